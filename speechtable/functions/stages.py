@@ -87,7 +87,7 @@ def stage(kernel: Callable, ddl: str, inputs: Sequence, on_error: str = "fail")
 
     run.__annotations__ = {}
     out = T.StructType([*fields, T.StructField(STATUS, T.StringType())])
-    return F.arrow_udf(run, returnType=out, functionType="scalar")(*inputs)
+    return F.arrow_udf(run, returnType=out, functionType=F.ArrowUDFType.SCALAR)(*inputs)
 
 
 def with_stage(df: DataFrame, kernel: Callable, ddl: str, inputs: Sequence, on_error: str = "fail") -> DataFrame:

@@ -33,6 +33,8 @@ def signal(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("event_id", "value"))).alias("values"))
         .select(
             F.concat_ws("-", "user_id", "segment").alias("key"),
+            "user_id",
+            F.col("segment").cast("bigint").alias("segment"),
             F.col("values.value").alias("samples"),
             F.lit(16).alias("sample_rate"),
         )
@@ -77,8 +79,8 @@ def rir_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The same views for DuckDB.
 SQL_VIEWS = {
     "wave": "SELECT vec_id AS key, embedding::DOUBLE[] AS samples, 16 AS sample_rate, label AS speaker FROM embeddings",
-    "signal": f"""SELECT user_id || '-' || segment AS key, list(value ORDER BY event_id) AS samples, 16 AS sample_rate
-        FROM (SELECT user_id, event_id, value,
+    "signal": f"""SELECT user_id || '-' || segment AS key, user_id, segment, list(value ORDER BY event_id) AS samples,
+        16 AS sample_rate FROM (SELECT user_id, event_id, value,
                      (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // {SEGMENT} AS segment FROM events)
         GROUP BY user_id, segment""",
     "utt": """SELECT doc_id AS ordinal, CAST(doc_id AS VARCHAR) AS key, source AS shard, lang AS language,
