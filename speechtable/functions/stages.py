@@ -1,13 +1,15 @@
 """Arrow-batched waveform stages.
 
-A stage is one ``arrow_udf`` column: only the columns it reads cross to Python, Catalyst can
-still prune and push filters around it, and Spark bounds each batch by bytes
-(``spark.sql.execution.arrow.maxBytesPerBatch``), so long waveforms make small batches.
+A stage is one ``mapInArrow`` over the frame, so several kernels run on a waveform while it is in
+Python. Columns the caller no longer needs are dropped on the way in, the others pass through
+untouched. Spark bounds each batch by bytes (``spark.sql.execution.arrow.maxBytesPerBatch``), so
+long waveforms make small batches. (An ``arrow_udf`` column would leave other columns in the JVM,
+but Spark 4.1 does not extract it when a nested lambda over structs is collapsed into its input.)
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -56,44 +58,64 @@ def _arrow_type(t: T.DataType) -> pa.DataType:
     return pa.list_(_arrow_type(t.elementType)) if isinstance(t, T.ArrayType) else _ARROW[t.simpleString()]
 
 
-def stage(kernel: Callable, ddl: str, inputs: Sequence, on_error: str = "fail") -> Column:
-    """STRUCT column of the fields in ``ddl`` (plus ``status``) from ``kernel(*row values)``.
+def _name(c: str) -> Column:
+    return F.col(f"`{c}`")
 
-    ``kernel`` returns a tuple with one value per field. With on_error="quarantine" a raising
-    row gets null fields and its message as status; with "fail" the task fails.
+
+def with_batches(df: DataFrame, run: Callable, ddl: str, inputs: Sequence, drop: Sequence[str] = ()) -> DataFrame:
+    """Append the fields of ``ddl``: ``run`` gets iterators over the input arrays of each batch and
+    yields one list of arrays per batch. Inputs are column names, or expressions for the stage only.
+    """
+    fields = T.StructType.fromDDL(ddl)
+    added = [f.name for f in fields]
+    taken = [c if isinstance(c, str) else f"_in{i}" for i, c in enumerate(inputs)]
+    kept = [c for c in df.columns if c not in added and c not in drop]
+    needed = [c for c in df.columns if c in kept or c in taken]
+    extra = [c.alias(n) for c, n in zip(inputs, taken) if not isinstance(c, str)]
+    names = [*kept, *added]
+    schema = T.StructType([*[df.schema[c] for c in kept], *fields])
+
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passing = []
+
+        def arrays():
+            for batch in batches:
+                passing.append([batch.column(c) for c in kept])
+                yield [batch.column(c) for c in taken]
+
+        for out in run(arrays()):
+            yield pa.RecordBatch.from_arrays([*passing.pop(0), *out], names=names)
+
+    return df.select(*[_name(c) for c in needed], *extra).mapInArrow(stage, schema)
+
+
+def with_stage(
+    df: DataFrame, kernel: Callable, ddl: str, inputs: Sequence, on_error: str = "fail", drop: Sequence[str] = ()
+) -> DataFrame:
+    """Append the fields of ``ddl`` from ``kernel(*row values)``, which returns one value per field.
+
+    With on_error="quarantine" a raising row gets null fields and its message in ``status``; with
+    "fail" the task fails.
     """
     if on_error not in ("fail", "quarantine"):
         raise ValueError("on_error must be 'fail' or 'quarantine'")
     fields = T.StructType.fromDDL(ddl)
     kinds = [_arrow_type(f.dataType) for f in fields]
-    names = [f.name for f in fields]
     keep_going = on_error == "quarantine"
 
-    def run(*columns):
-        rows, notes = [], []
-        for values in zip(*(_column(c) for c in columns)):
-            try:
-                rows.append(kernel(*values))
-                notes.append(None)
-            except Exception as error:  # a bad row, reported through its status
-                if not keep_going:
-                    raise
-                rows.append((None,) * len(names))
-                notes.append(f"{type(error).__name__}: {error}")
-        arrays = [_to_arrow([r[j] for r in rows], kind) for j, kind in enumerate(kinds)]
-        return pa.StructArray.from_arrays(
-            [*arrays, pa.array(notes, type=pa.string())], names=[*names, STATUS]
-        )
-
-    run.__annotations__ = {}
-    out = T.StructType([*fields, T.StructField(STATUS, T.StringType())])
-    return F.arrow_udf(run, returnType=out, functionType=F.ArrowUDFType.SCALAR)(*inputs)
-
-
-def with_stage(df: DataFrame, kernel: Callable, ddl: str, inputs: Sequence, on_error: str = "fail") -> DataFrame:
-    """Append the fields of one stage to ``df``; ``status`` is kept only under quarantine."""
-    fields = T.StructType.fromDDL(ddl)
-    names = [f.name for f in fields] + ([STATUS] if on_error == "quarantine" else [])
-    staged = df.withColumn("_stage", stage(kernel, ddl, inputs, on_error))
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in names]
-    return staged.select(*kept, *[F.col("_stage").getField(n).alias(n) for n in names])
+    def run(batches):
+        for columns in batches:
+            rows, notes = [], []
+            for values in zip(*(_column(c) for c in columns)):
+                try:
+                    rows.append(kernel(*values))
+                    notes.append(None)
+                except Exception as error:  # a bad row, reported through its status
+                    if not keep_going:
+                        raise
+                    rows.append((None,) * len(kinds))
+                    notes.append(f"{type(error).__name__}: {error}")
+            out = [_to_arrow([r[j] for r in rows], kind) for j, kind in enumerate(kinds)]
+            yield [*out, pa.array(notes, type=pa.string())] if keep_going else out
+
+    return with_batches(df, run, f"{ddl}, {STATUS} string" if keep_going else ddl, inputs, drop)

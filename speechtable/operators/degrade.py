@@ -112,11 +112,11 @@ def degrade(
         ready = ready.withColumns({"rir": F.lit(None).cast("array<double>"), "rir_rate": F.lit(None).cast("int")})
     if "noise" not in ready.columns:
         ready = ready.withColumns({"noise": F.lit(None).cast("array<double>"), "noise_rate": F.lit(None).cast("int")})
-    inputs = [F.col(c) for c in (col, rate, "rir", "rir_rate", "noise", "noise_rate", "_draws")]
+    inputs = [col, rate, "rir", "rir_rate", "noise", "noise_rate", "_draws"]
     kind = sample_type(df, col)
     helpers = ("rir", "rir_rate", "noise", "noise_rate", "_draws")
     if target is None:
-        return with_stage(ready, chain, f"clean array<{kind}>, noisy array<{kind}>", inputs).drop(*helpers)
+        return with_stage(ready, chain, f"clean array<{kind}>, noisy array<{kind}>", inputs, drop=helpers)
 
     def paired(x, r, *rest):
         full = [kernels.resample(v, r, target) for v in chain(x, r, *rest)]
@@ -127,6 +127,6 @@ def degrade(
         return tuple(every) if not any(np.isnan(v).any() for v in every) else (None,) * 4
 
     names = ("clean", "noisy", "clean_16k", "noisy_16k")
-    staged = with_stage(ready, paired, ", ".join(f"{n} array<{kind}>" for n in names), inputs)
-    kept = staged.filter(F.col("clean").isNotNull()).drop(col, *helpers)
+    staged = with_stage(ready, paired, ", ".join(f"{n} array<{kind}>" for n in names), inputs, drop=(col, *helpers))
+    kept = staged.filter(F.col("clean").isNotNull())
     return kept.withColumn(rate, F.lit(target)).withColumn(f"{rate}_16k", F.lit(low))

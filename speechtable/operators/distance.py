@@ -53,4 +53,4 @@ def spectral_distance(
             mel += _spectra_gap(spectra[w][0] @ bank, spectra[w][1] @ bank, 1.0, 1.0, 0.0)
         return mel, sum(_spectra_gap(*spectra[w], 2.0, 1.0, 1.0) for w in windows)
 
-    return with_stage(df, run, "mel_distance double, stft_distance double", [F.col(a), F.col(b), F.col(rate)], on_error)
+    return with_stage(df, run, "mel_distance double, stft_distance double", [a, b, rate], on_error)

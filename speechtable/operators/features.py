@@ -23,7 +23,7 @@ def log_mel(
     """(frames, n_mels) log mel matrix per row; a waveform shorter than a frame has no frames."""
     return with_stage(
         df, lambda x, r: (None if x is None else kernels.log_mel(x, r, n_mels, frame_ms, hop_ms),),
-        f"`{to}` array<array<double>>", [F.col(col), F.col(rate)], on_error,
+        f"`{to}` array<array<double>>", [col, rate], on_error,
     )
 
 
@@ -54,7 +54,7 @@ def normalize_mel_matrix(df: DataFrame, col: str = "features", floor: float = VA
             spread = m.var(axis=0, ddof=1) if len(m) > 1 else np.full(m.shape[1:], np.nan)
             return ((m - m.mean(axis=0)) / np.sqrt(spread + floor) if len(m) else m,)
 
-    return with_stage(df, run, f"`{col}` array<array<double>>", [F.col(col)])
+    return with_stage(df, run, f"`{col}` array<array<double>>", [col])
 
 
 def pad_features(

@@ -82,7 +82,7 @@ def match_rate(df: DataFrame, col: str, own_rate: str, rate: str = "sample_rate"
     kind = sample_type(df, col)
     return with_stage(
         df, lambda x, a, b: (None if x is None else kernels.resample(x, a, b),), f"`{col}` array<{kind}>",
-        [F.col(col), F.col(own_rate), F.col(rate)],
+        [col, own_rate, rate],
     ).withColumn(own_rate, F.when(F.col(col).isNotNull(), F.col(rate)))
 
 
@@ -123,7 +123,7 @@ def convolve(df: DataFrame, x: str, h: str, to: str) -> DataFrame:
     """Convolution of x with h cut to the length of x (FFT inside one Arrow stage)."""
     return with_stage(
         df, lambda a, b: (a if b is None else kernels.convolve(a, b),), f"`{to}` array<{sample_type(df, x)}>",
-        [F.col(x), F.col(h)],
+        [x, h],
     )
 
 
@@ -151,7 +151,7 @@ def band_limit(
         return (None if x is None else kernels.resample(kernels.resample(x, r, band), band, r),)
 
     return with_stage(
-        drawn, there_and_back, f"`{col}` array<{sample_type(df, col)}>", [F.col(col), F.col(rate), F.col("band_rate")]
+        drawn, there_and_back, f"`{col}` array<{sample_type(df, col)}>", [col, rate, "band_rate"]
     )
 
 
@@ -166,7 +166,7 @@ def quantile_clip(df: DataFrame, low: Column | None = None, high: Column | None
 def align_best_lag(df: DataFrame, ref: str, x: str) -> DataFrame:
     """A coded signal at its original's length: cut, or placed at the lag of least squared error."""
     return with_stage(
-        df, lambda a, b: (kernels.best_lag_fit(a, b),), f"`{x}` array<{sample_type(df, x)}>", [F.col(ref), F.col(x)]
+        df, lambda a, b: (kernels.best_lag_fit(a, b),), f"`{x}` array<{sample_type(df, x)}>", [ref, x]
     )
 
 
@@ -177,12 +177,13 @@ def loss_spans(
     duration = n_samples / rate.cast("double")
     count = F.floor(duration * F.lit(per_10s) / F.lit(10.0)).cast("int")
 
-    def span(i: Column, d: Column, r: Column) -> Column:
+    def span(i: Column, d: Column) -> Column:
         length = draws.uniform(key, "loss.length", low_ms, high_ms, i, seed) / F.lit(1000.0)
-        start = draws.uniform(key, "loss.start", F.lit(0.0), d - length, i, seed)
-        return F.struct((start * r).cast("int").alias("s"), ((start + length) * r).cast("int").alias("e"))
+        begin = lambda n: draws.draw(key, "loss.start", i, seed) * (d - n)
+        ends = lambda n, b: F.struct((b * rate).cast("int").alias("s"), ((b + n) * rate).cast("int").alias("e"))
+        return waves.let(length, lambda n: waves.let(begin(n), lambda b: ends(n, b)))
 
-    spans = waves.let(duration, lambda d: F.transform(F.sequence(F.lit(0), count - 1), lambda i: span(i, d, rate)))
+    spans = waves.let(duration, lambda d: F.transform(F.sequence(F.lit(0), count - 1), lambda i: span(i, d)))
     return F.when(count > 0, spans).otherwise(F.array().cast("array<struct<s:int,e:int>>"))
 
 

@@ -9,10 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from speechtable.functions import kernels
-from speechtable.functions.stages import STATUS, _column, _list_array
+from speechtable.functions.stages import STATUS, _column, _list_array, with_batches
 from speechtable.operators.segment import chunk_samples, expected_length
 
 _MODELS: dict[str, Callable] = {}
@@ -86,7 +85,7 @@ def restore(
             return wave
         return np.pad(wave, (0, n - len(wave))) if len(wave) < n else wave[:n]
 
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def run(batches: Iterator) -> Iterator:
         model = cached_model(model_factory, settings)
         for xs, expected in batches:
             rows, lengths = _column(xs), expected.to_pylist()
@@ -98,19 +97,15 @@ def restore(
                 picked = known[at : at + batch_size]
                 for i, (wave, note) in zip(picked, guarded(model, [rows[i] for i in picked])):
                     waves[i], notes[i] = fitted(wave, lengths[i]), note
-            yield pa.StructArray.from_arrays(
-                [_list_array(waves, pa.float32()), pa.array(notes, type=pa.string())], names=["wave", STATUS]
-            )
-
-    run.__annotations__ = {}
-    result = T.StructType([T.StructField("wave", T.ArrayType(T.FloatType())), T.StructField(STATUS, T.StringType())])
-    model_udf = F.arrow_udf(run, returnType=result, functionType=F.ArrowUDFType.SCALAR_ITER)
-    size = F.size(col)
-    staged = df.withColumn("_out", model_udf(F.col(col), expected_length(size, F.col(rate), target_rate)))
-    out = staged.withColumn(to, F.col("_out.wave")).withColumn("truncated", size > chunk)
-    if keep_going:
-        out = out.withColumn(STATUS, F.col("_out.status"))
-    return out.withColumn(f"{to}_rate", F.lit(target_rate)).drop("_out")
+            out = [_list_array(waves, pa.float32()), pa.array(rows_truncated(rows), pa.bool_())]
+            yield [*out, pa.array(notes, type=pa.string())] if keep_going else out
+
+    def rows_truncated(rows):
+        return [r is not None and len(r) > chunk for r in rows]
+
+    ddl = f"`{to}` array<float>, truncated boolean" + (f", {STATUS} string" if keep_going else "")
+    restored = with_batches(df, run, ddl, [col, expected_length(F.size(col), F.col(rate), target_rate)])
+    return restored.withColumn(f"{to}_rate", F.lit(target_rate))
 
 
 def apply(df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:

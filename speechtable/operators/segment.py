@@ -31,7 +31,7 @@ def resample(
     out = to or col
     staged = with_stage(
         df, lambda x, source, wanted: (None if x is None else kernels.resample(x, source, wanted),),
-        f"`{out}` array<{sample_type(df, col)}>", [F.col(col), F.col(rate), target], on_error,
+        f"`{out}` array<{sample_type(df, col)}>", [col, rate, target], on_error,
     )
     return staged.withColumn(rate, target.cast("int")) if out == col else staged
 
@@ -49,7 +49,7 @@ def fan_out_rates(
 
     names = [*cols, *[f"{c}{low_suffix}" for c in cols]]
     ddl = ", ".join(f"`{n}` array<{kind}>" for n in names)
-    staged = with_stage(df, run, ddl, [F.col(rate), *[F.col(c) for c in cols]])
+    staged = with_stage(df, run, ddl, [rate, *cols])
     return staged.withColumn(rate, F.lit(target)).withColumn(f"{rate}{low_suffix}", F.lit(low))
 
 
@@ -57,7 +57,7 @@ def low_cut(df: DataFrame, cutoff: float = 50.0, col: str = "samples", rate: str
     """Second-order high-pass, output clamped to [-1, 1]."""
     return with_stage(
         df, lambda x, r: (None if x is None else kernels.low_cut(x, r, cutoff),),
-        f"`{col}` array<{sample_type(df, col)}>", [F.col(col), F.col(rate)],
+        f"`{col}` array<{sample_type(df, col)}>", [col, rate],
     )
 
 
@@ -198,7 +198,7 @@ def prepare_crops(
 
     drawn = df.withColumn("_starts", starts)
     kind = sample_type(df, col)
-    staged = with_stage(drawn, run, f"_crops array<array<{kind}>>", [F.col(col), F.col(rate), F.col("_starts"), length])
+    staged = with_stage(drawn, run, f"_crops array<array<{kind}>>", [col, rate, "_starts", length], drop=[col])
     kept = [c for c in df.columns if c != col]
     return staged.select(*kept, F.posexplode(F.arrays_zip("_starts", "_crops")).alias("crop", "_crop")).select(
         *kept, "crop", F.col("_crop._starts").alias("crop_start"), F.col("_crop._crops").alias(col)
