@@ -62,16 +62,24 @@ def _name(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
+def inputs_by_name(inputs: Sequence) -> set[str]:
+    return {c for c in inputs if isinstance(c, str)}
+
+
 def with_batches(df: DataFrame, run: Callable, ddl: str, inputs: Sequence, drop: Sequence[str] = ()) -> DataFrame:
     """Append the fields of ``ddl``: ``run`` gets iterators over the input arrays of each batch and
     yields one list of arrays per batch. Inputs are column names, or expressions for the stage only.
     """
     fields = T.StructType.fromDDL(ddl)
     added = [f.name for f in fields]
-    taken = [c if isinstance(c, str) else f"_in{i}" for i, c in enumerate(inputs)]
     kept = [c for c in df.columns if c not in added and c not in drop]
-    needed = [c for c in df.columns if c in kept or c in taken]
-    extra = [c.alias(n) for c, n in zip(inputs, taken) if not isinstance(c, str)]
+    needed = [c for c in df.columns if c in kept or c in inputs_by_name(inputs)]
+    expressions = [c for c in inputs if not isinstance(c, str)]
+    # Positions, not names: mapInArrow cannot address names with dots.
+    place = {c: i for i, c in enumerate(needed)}
+    given = iter(range(len(needed), len(needed) + len(expressions)))
+    taken = [place[c] if isinstance(c, str) else next(given) for c in inputs]
+    passed = [place[c] for c in kept]
     names = [*kept, *added]
     schema = T.StructType([*[df.schema[c] for c in kept], *fields])
 
@@ -80,13 +88,14 @@ def with_batches(df: DataFrame, run: Callable, ddl: str, inputs: Sequence, drop:
 
         def arrays():
             for batch in batches:
-                passing.append([batch.column(c) for c in kept])
-                yield [batch.column(c) for c in taken]
+                passing.append([batch.column(i) for i in passed])
+                yield [batch.column(i) for i in taken]
 
         for out in run(arrays()):
             yield pa.RecordBatch.from_arrays([*passing.pop(0), *out], names=names)
 
-    return df.select(*[_name(c) for c in needed], *extra).mapInArrow(stage, schema)
+    columns = [*[_name(c) for c in needed], *expressions]
+    return df.select(*[c.alias(f"_c{i}") for i, c in enumerate(columns)]).mapInArrow(stage, schema)
 
 
 def with_stage(

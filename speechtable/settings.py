@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -29,3 +31,17 @@ def ensure_checkpoints(spark: SparkSession) -> None:
     """Point reliable checkpoints at the shared folder unless the session already did."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_speechtable_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="speechtable-")) / "speechtable.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent).as_posix())
+    context.addPyFile(str(archive))
+    context._speechtable_shipped = True
