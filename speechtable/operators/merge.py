@@ -11,10 +11,10 @@ independently. Only lengths take part; audio joins the labels afterwards.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,60 +36,102 @@ def target_ticks(seconds: float) -> int:
     return math.ceil(round(seconds * TICKS, 6))
 
 
-def _reach(target: int):
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
+    """Columns of each run of rows with equal first ``keys`` columns, in sorted input.
+
+    A run may span batches; at most one run (a block, or a shard's walk table) is held.
+    """
+    held: list[list[np.ndarray]] = []
+    last = None
+    for batch in batches:
+        n = batch.num_rows
+        if n == 0:
+            continue
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        changed = np.zeros(n, dtype=bool)
+        for column in columns[:keys]:
+            changed[1:] |= column[1:] != column[:-1]
+        changed[0] = last is not None and any(c[0] != v for c, v in zip(columns, last))
+        last = [c[-1] for c in columns[:keys]]
+        edges = [0, *np.flatnonzero(changed).tolist(), n]
+        for at, (low, high) in enumerate(zip(edges, edges[1:])):
+            if at and held:
+                yield [np.concatenate(parts) for parts in zip(*held)]
+                held = []
+            if high > low:
+                held.append([c[low:high] for c in columns])
+    if held:
+        yield [np.concatenate(parts) for parts in zip(*held)]
+
+
+def _per_run(keys: int, fn: Callable, names: Sequence[str]) -> Callable:
+    """mapInArrow function: ``fn(*columns)`` per run gives output columns, joined to larger batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready, rows = [], 0
+        flush = lambda parts: pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
+        for columns in _runs(batches, keys):
+            out = fn(*columns)
+            ready.append(out)
+            rows += len(out[0])
+            if rows >= BLOCK:
+                yield flush(ready)
+                ready, rows = [], 0
+        if ready:
+            yield flush(ready)
+
+    return run
+
+
+def _filled(value, n: int) -> np.ndarray:
+    return np.full(n, value, dtype=object if isinstance(value, str) else np.int64)
+
+
+def _reach(target: int) -> Callable:
     """Per block: closing points that may come in, and what each turns into at the block's end."""
 
-    def run(key, block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("_order")
-        start, end = block["_start"].to_numpy(), block["_end"].to_numpy()
+    def run(shard, block, order, start, end):
         n = len(start)
-        closes = np.searchsorted(end, start + target, side="left")
-        leaves = np.empty(n + 1, dtype=np.int64)
-        leaves[n] = end[-1] + target  # a group that begins with the next block
+        closes = np.searchsorted(end, start + target, side="left").tolist()
+        leaves = [0] * n + [int(end[-1]) + target]  # the last is a group that begins with the next block
         for i in range(n - 1, -1, -1):
-            leaves[i] = start[i] + target if closes[i] == n else leaves[closes[i] + 1]
-        last = min(int(np.searchsorted(end, start[0] + target, side="left")), n - 1)
+            leaves[i] = int(start[i]) + target if closes[i] == n else leaves[closes[i] + 1]
+        last = min(closes[0], n - 1)
         upto, first = np.unique(end[: last + 1], return_index=True)
-        out = pd.DataFrame({"_upto": upto, "_leaves": leaves[first + 1]})
-        out.insert(0, "_block", block["_block"].iloc[0])
-        out.insert(0, "_shard", block["_shard"].iloc[0])
-        return out
+        return _filled(shard[0], len(upto)), _filled(block[0], len(upto)), upto, np.asarray(leaves, dtype=np.int64)[first + 1]
 
     return run
 
 
-def _walk(target: int):
+def _walk(target: int) -> Callable:
     """Per shard: the closing point each block starts with (a few rows per 65,536 ordinals)."""
 
-    def run(key, table: pd.DataFrame) -> pd.DataFrame:
-        table = table.sort_values(["_block", "_upto"])
-        point, blocks, points = target, [], []
-        for block, rows in table.groupby("_block", sort=True):
-            blocks.append(block)
+    def run(shard, block, upto, leaves):
+        edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+        point, points = target, []
+        for low, high in zip(edges, edges[1:]):
             points.append(point)
-            at = int(np.searchsorted(rows["_upto"].to_numpy(), point, side="left"))
-            if at < len(rows):
-                point = int(rows["_leaves"].iloc[at])
-        return pd.DataFrame({"_shard": table["_shard"].iloc[0], "_block": blocks, "_point": points})
+            at = low + int(np.searchsorted(upto[low:high], point, side="left"))
+            if at < high:
+                point = int(leaves[at])
+        return _filled(shard[0], len(points)), block[edges[:-1]], np.asarray(points, dtype=np.int64)
 
     return run
 
 
-def _label(target: int):
+def _label(target: int) -> Callable:
     """Per block: the start offset of the group each row belongs to."""
 
-    def run(key, block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("_order")
-        start, end = block["_start"].to_numpy(), block["_end"].to_numpy()
+    def run(shard, block, order, start, end, entry):
         group = np.empty(len(start), dtype=np.int64)
-        point, at = int(block["_point"].iloc[0]), 0
+        point, at = int(entry[0]), 0
         while at < len(start):
             close = int(np.searchsorted(end, point, side="left"))
             group[at : close + 1] = point - target
             at = close + 1
             if at < len(start):
                 point = int(start[at]) + target
-        return pd.DataFrame({"_shard": block["_shard"], "_order": block["_order"], "group_start": group})
+        return shard, order, group
 
     return run
 
@@ -105,9 +147,10 @@ def merge_groups(
     target = target_ticks(seconds)
     if target < 1:
         raise ValueError("seconds must be positive")
-    # Groups travel through pandas as one JSON string, whatever the types of ``by``.
+    # Groups travel through Python as one JSON string, whatever the types of ``by``.
     shard = F.to_json(F.struct(*by), {"ignoreNullFields": "false"}) if by else F.lit("{}")
-    rows = df.select(*by, F.col(order).alias("_order"), shard.alias("_shard"), ticks(F.col(n_samples), F.col(rate)).alias("_ticks"))
+    rows = df.select(*by, F.col(order).cast("bigint").alias("_order"), shard.alias("_shard"),
+        ticks(F.col(n_samples), F.col(rate)).alias("_ticks"))
     placed = running(rows, ["_shard"], "_order", {"_start": F.col("_ticks")}, index="_index", width=width)
     placed = placed.select(
         *by, "_shard", "_order", F.col("_start").cast("bigint").alias("_start"),
@@ -115,12 +158,17 @@ def merge_groups(
         F.floor(F.col("_order") / width).cast("bigint").alias("_block"),
     )
     lengths = placed.select("_shard", "_block", "_order", "_start", "_end")
-    reach = lengths.groupBy("_shard", "_block").applyInPandas(
-        _reach(target), "_shard string, _block bigint, _upto bigint, _leaves bigint"
+    blocks = lengths.repartition("_shard", "_block").sortWithinPartitions("_shard", "_block", "_order")
+    reach = blocks.mapInArrow(
+        _per_run(2, _reach(target), ["_shard", "_block", "_upto", "_leaves"]),
+        "_shard string, _block bigint, _upto bigint, _leaves bigint",
+    )
+    entry = reach.repartition("_shard").sortWithinPartitions("_shard", "_block", "_upto").mapInArrow(
+        _per_run(1, _walk(target), ["_shard", "_block", "_point"]), "_shard string, _block bigint, _point bigint"
     )
-    entry = reach.groupBy("_shard").applyInPandas(_walk(target), "_shard string, _block bigint, _point bigint")
-    labels = lengths.join(entry, ["_shard", "_block"]).groupBy("_shard", "_block").applyInPandas(
-        _label(target), "_shard string, _order bigint, group_start bigint"
+    entered = lengths.join(entry, ["_shard", "_block"]).repartition("_shard", "_block")
+    labels = entered.sortWithinPartitions("_shard", "_block", "_order").mapInArrow(
+        _per_run(2, _label(target), ["_shard", "_order", "group_start"]), "_shard string, _order bigint, group_start bigint"
     )
     keys = rows.select(*by, "_shard", "_order")
     return keys.join(labels, ["_shard", "_order"]).select(*by, F.col("_order").alias(order), "group_start")

@@ -134,7 +134,7 @@ def _greedy(source: str, group: str, order: str, length: str, target: int) -> st
 )
 def merge_groups(spark, sf):
     rows = fx.utt(spark, sf).withColumn("sample_rate", F.lit(1000))
-    groups = merge.merge_groups(rows, 20.0, ["shard"], width=16)
+    groups = merge.merge_groups(rows, 20.0, ["shard"])
     return groups.groupBy("shard", "group_start").agg(
         F.min("ordinal").alias("first_ordinal"), F.max("ordinal").alias("last_ordinal"), F.count(F.lit(1)).alias("n_members")
     ).drop("group_start")
