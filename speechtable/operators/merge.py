@@ -149,11 +149,11 @@ def merge_groups(
         raise ValueError("seconds must be positive")
     # Groups travel through Python as one JSON string, whatever the types of ``by``.
     shard = F.to_json(F.struct(*by), {"ignoreNullFields": "false"}) if by else F.lit("{}")
-    rows = df.select(*by, F.col(order).cast("bigint").alias("_order"), shard.alias("_shard"),
+    rows = df.select(F.col(order).cast("bigint").alias("_order"), shard.alias("_shard"),
         ticks(F.col(n_samples), F.col(rate)).alias("_ticks"))
     placed = running(rows, ["_shard"], "_order", {"_start": F.col("_ticks")}, index="_index", width=width)
     placed = placed.select(
-        *by, "_shard", "_order", F.col("_start").cast("bigint").alias("_start"),
+        "_shard", "_order", F.col("_start").cast("bigint").alias("_start"),
         (F.col("_start") + F.col("_ticks")).cast("bigint").alias("_end"),
         F.floor(F.col("_order") / width).cast("bigint").alias("_block"),
     )
@@ -170,8 +170,10 @@ def merge_groups(
     labels = entered.sortWithinPartitions("_shard", "_block", "_order").mapInArrow(
         _per_run(2, _label(target), ["_shard", "_order", "group_start"]), "_shard string, _order bigint, group_start bigint"
     )
-    keys = rows.select(*by, "_shard", "_order")
-    return keys.join(labels, ["_shard", "_order"]).select(*by, F.col("_order").alias(order), "group_start")
+    if not by:
+        return labels.select(F.col("_order").alias(order), "group_start")
+    group = F.from_json("_shard", df.select(*by).schema)
+    return labels.select(*[group[c].alias(c) for c in by], F.col("_order").alias(order), "group_start")
 
 
 def merge_to_length(

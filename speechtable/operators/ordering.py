@@ -67,24 +67,25 @@ def running(
     return out.drop(_GROUP, _BLOCK, "_skip", *[f"_skip_{n}" for n in sums])
 
 
-def dense_ordinal(df: DataFrame, order: Sequence[Column | str], name: str = "ordinal") -> DataFrame:
+def dense_ordinal(df: DataFrame, order: Sequence[str], name: str = "ordinal", unique: bool = False) -> DataFrame:
     """Number all rows 0..n-1 in any sort order, for sources that carry no ordinal.
 
     The sorted rows are checkpointed to the shared folder first: positions inside partitions are
-    only meaningful if a retry sees the same partitions.
+    only meaningful if a retry sees the same partitions. When the order columns are ``unique``
+    (and not null) only they are sorted and checkpointed, and the rest of the row joins its number.
     """
     settings.ensure_checkpoints(df.sparkSession)
-    fixed = df.orderBy(*order).checkpoint(eager=True)
-    placed = fixed.withColumn("_at", F.monotonically_increasing_id())
-    # The id is (partition << 33) + position, so its high part is the partition.
-    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    fixed = (df.select(*order) if unique else df).orderBy(*order).checkpoint(eager=True)
+    # The id is (partition << 33) + position.
+    placed = fixed.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33))
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     upper = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    # One row per partition of the sort.
     skips = counts.select("_part", F.coalesce(F.sum("_rows").over(upper), F.lit(0)).alias("_skip"))
     position = F.col("_at") - F.shiftleft(F.col("_part"), 33)
-    return placed.join(skips, "_part").withColumn(name, (F.col("_skip") + position).cast("bigint")).drop(
-        "_at", "_part", "_skip"
-    )
+    numbered = placed.join(skips, "_part").withColumn(name, (F.col("_skip") + position).cast("bigint"))
+    numbered = numbered.drop("_at", "_part", "_skip")
+    return df.join(numbered, list(order)) if unique else numbered
 
 
 def assign_batches(df: DataFrame, size: int, by: Sequence[str] = (), order: str = "ordinal", drop_last: bool = False) -> DataFrame:

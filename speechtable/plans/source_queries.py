@@ -14,7 +14,7 @@ from speechtable.sources import catalog, corpus, ingest, tarshards
 from speechtable.streaming.merge import merge_to_length_stream
 from speechtable.streaming.restore import restore_stream, write_stream
 
-PER_SHARD = 100
+PER_SHARD = 250
 
 
 def _written(spark, sf, pattern="dataset-%06d.tar", per_shard=PER_SHARD):
@@ -41,8 +41,8 @@ def tar_round_trip(spark, sf):
 
 
 @query(
-    """SELECT CAST(key AS VARCHAR) AS key, (row_number() OVER (ORDER BY key) - 1) // 100 AS shard_number,
-        (row_number() OVER (ORDER BY key) - 1) % 100 AS sample_number, 16 AS rate, 'spk' || speaker AS text,
+    """SELECT CAST(key AS VARCHAR) AS key, (row_number() OVER (ORDER BY key) - 1) // 250 AS shard_number,
+        (row_number() OVER (ORDER BY key) - 1) % 250 AS sample_number, 16 AS rate, 'spk' || speaker AS text,
         CAST(speaker AS VARCHAR) AS speaker FROM wave""",
     ["wave"],
 )
@@ -62,14 +62,13 @@ def compressed_tar_members(spark, sf):
     """SELECT CAST(key AS VARCHAR) AS key FROM wave""", ["wave"],
 )
 def split_tar_ranges(spark, sf):
-    """One large shard read by several tasks: every sample comes once."""
-    folder = _written(spark, sf, per_shard=1 << 30)
-    return tarshards.read_tarshards(spark, folder, split_bytes=64 << 10).select("key")
+    """Each shard read by several tasks: every sample comes once."""
+    return tarshards.read_tarshards(spark, _written(spark, sf), split_bytes=64 << 10).select("key")
 
 
 @query(
     """SELECT 'dataset-' || lpad(CAST(i AS VARCHAR), 6, '0') || '.tar' AS name, i AS ordinal
-        FROM (SELECT unnest(range(CAST(ceil(count(*) / 100.0) AS BIGINT))) AS i FROM wave)""",
+        FROM (SELECT unnest(range(CAST(ceil(count(*) / 250.0) AS BIGINT))) AS i FROM wave)""",
     ["wave"],
 )
 def shard_catalog(spark, sf):
@@ -90,8 +89,8 @@ def manifest_entries(spark, sf):
     )
     line = F.when(F.col("ordinal") % 10 == 9, F.concat(F.lit("# "), tar)).otherwise(F.concat(F.lit("  "), tar, F.lit(" ")))
     utt = fx.utt(spark, sf)
-    # One manifest file per 100 utterances, each read as a manifest of its own.
-    lines = utt.select(F.floor(F.col("ordinal") / 100).alias("part"), "ordinal", line.alias("value"))
+    # One manifest file per 10,000 utterances, each read as a manifest of its own.
+    lines = utt.select(F.floor(F.col("ordinal") / 10000).alias("part"), "ordinal", line.alias("value"))
     lines.repartition("part").sortWithinPartitions("part", "ordinal").select("part", "value").write.partitionBy("part").text(path)
     entries = catalog.read_manifest(spark, path).select("entry")
     key = F.regexp_extract("entry", r"([0-9]+)\.tar$", 1)
@@ -187,7 +186,7 @@ def unmarked_units(spark, sf):
 
 @query(
     """SELECT CAST(i AS INT) AS shard_number, round(sum(64 / 16.0) / 3600, 6) AS hours, count(*) AS n_utterances
-        FROM (SELECT (row_number() OVER (ORDER BY key) - 1) // 100 AS i FROM wave) GROUP BY i""",
+        FROM (SELECT (row_number() OVER (ORDER BY key) - 1) // 250 AS i FROM wave) GROUP BY i""",
     ["wave"],
 )
 def shard_file_hours(spark, sf):
@@ -201,48 +200,48 @@ def shard_file_hours(spark, sf):
     return hours.select(F.regexp_extract("shard", r"-(\d+)\.tar$", 1).cast("int").alias("shard_number"), "hours", "n_utterances")
 
 
-def _in_files(spark, df, name, order, n):
-    """The table as n Parquet files written one after another in ``order``."""
-    path = settings.fresh_path(spark, name)
-    total = df.agg(F.min(order), F.max(order)).first()
-    step = (total[1] - total[0]) // n + 1
-    for i in range(n):
-        low = total[0] + i * step
-        df.filter((F.col(order) >= low) & (F.col(order) < low + step)).repartition(1).write.mode("append").parquet(path)
-    return path
-
-
 @query("SELECT shard, count(*) AS n, sum(n_samples) AS n_samples FROM utt GROUP BY shard", ["utt"])
 def streamed_corpus(spark, sf):
     source = settings.fresh_path(spark, "stream-in")
-    fx.utt(spark, sf).repartition(6, "shard").write.parquet(source)
+    fx.utt(spark, sf).repartition("key").write.parquet(source)
     out, marks = settings.fresh_path(spark, "stream-out"), settings.fresh_path(spark, "stream-marks")
     write_stream(corpus.stream_corpus(spark, source, 2), out, marks).awaitTermination()
     return spark.read.parquet(out).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum("n_samples").alias("n_samples"))
 
 
+LANE, SLICES = 33, 3  # segments per lane, and files a lane is spread over
+
+
 @query(
-    f"""WITH /*recursive*/ sized AS (SELECT *, len(samples) AS n_samples FROM signal),
-        {_greedy('sized', 'user_id', 'segment', 'n_samples', 100)},
-        g AS (SELECT user_id, min_by(key, segment) AS key, CAST(count(*) AS INT) AS n_members,
+    f"""WITH /*recursive*/ sized AS (SELECT *, len(samples) AS n_samples, user_id || ':' || (segment // {LANE}) AS lane FROM signal),
+        {_greedy('sized', 'lane', 'segment', 'n_samples', 100)},
+        g AS (SELECT lane, min_by(key, segment) AS key, CAST(count(*) AS INT) AS n_members,
                 flatten(list(samples ORDER BY segment))[1:100] AS y
-            FROM r JOIN sized USING (user_id, segment) GROUP BY user_id, gid HAVING sum(n_samples) >= 100)
-        """ + sql_long("g", "user_id, key, n_members"),
+            FROM r JOIN sized USING (lane, segment) GROUP BY lane, gid HAVING sum(n_samples) >= 100)
+        """ + sql_long("g", "lane, key, n_members"),
     ["signal"],
 )
 def merged_stream(spark, sf):
-    """The greedy merge over micro-batches, the open group carried as state."""
-    source = _in_files(spark, fx.signal(spark, sf), "stream-in", "segment", 3)
+    """The greedy merge over micro-batches, the open group carried as state.
+
+    Long users are split in lanes, and each lane arrives in three slices written one after another.
+    """
+    source = settings.fresh_path(spark, "stream-in")
+    lane = F.concat_ws(":", "user_id", F.floor(F.col("segment") / LANE))
+    rows = fx.signal(spark, sf).withColumn("lane", lane)
+    arrival = F.floor(F.pmod("segment", F.lit(LANE)) * SLICES / LANE)
+    for at in range(SLICES):
+        rows.filter(arrival == at).repartition("lane").write.mode("append").parquet(source)
     out, marks = settings.fresh_path(spark, "stream-out"), settings.fresh_path(spark, "stream-marks")
-    merged = merge_to_length_stream(corpus.stream_corpus(spark, source, 1), 6.25, "user_id", order="segment")
+    merged = merge_to_length_stream(corpus.stream_corpus(spark, source, 5), 6.25, "lane", order="segment")
     write_stream(merged, out, marks).awaitTermination()
-    return samples_long(spark.read.parquet(out), ["user_id", "key", "n_members"], "samples")
+    return samples_long(spark.read.parquet(out), ["lane", "key", "n_members"], "samples")
 
 
 @query("WITH m AS (SELECT key, list_transform(samples, lambda v: v / 2) AS y FROM wave) " + sql_long("m"), ["wave"])
 def restored_stream(spark, sf):
     source = settings.fresh_path(spark, "stream-in")
-    fx.wave(spark, sf).repartition(4, "key").write.parquet(source)
+    fx.wave(spark, sf).repartition("key").write.parquet(source)
     out, marks = settings.fresh_path(spark, "stream-out"), settings.fresh_path(spark, "stream-marks")
     rows = corpus.stream_corpus(spark, source, 2)
     restore_stream(rows, half_gain, out, marks, 16, chunk_seconds=0.1, config={"scale": 0.5}).awaitTermination()

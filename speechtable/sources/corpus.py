@@ -16,13 +16,13 @@ def read_corpus(
     spark: SparkSession, path: str, split: str | None = None, columns: Sequence[str] | None = None,
     order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """A Parquet corpus, one split of it, only the named columns; ``order`` adds a dense ordinal."""
+    """A Parquet corpus, one split of it, only the named columns; unique ``order`` columns add a dense ordinal."""
     df = spark.read.parquet(path)
     if split is not None:
         df = df.filter(F.col("split") == split)
     if columns is not None:
         df = df.select(*columns)
-    return dense_ordinal(df, order) if order else df
+    return dense_ordinal(df, order, unique=True) if order else df
 
 
 def stream_corpus(spark: SparkSession, path: str, max_files: int, schema: T.StructType | None = None) -> DataFrame:
