@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from speechtable.functions import kernels
 from speechtable.functions.stages import STATUS, _column, _list_array, with_batches
-from speechtable.operators.segment import chunk_samples, expected_length
+from speechtable.operators.segment import chunk_samples
 
 _MODELS: dict[str, Callable] = {}
 
@@ -42,12 +42,15 @@ def restore(
     df: DataFrame, model_factory: Callable[..., Callable], target_rate: int, batch_size: int = 16,
     chunk_seconds: float = 30.0, on_error: str = "fail", col: str = "samples", rate: str = "sample_rate",
     to: str = "restored", config: dict | None = None, features: bool = False, retry: bool = True,
+    model_rate: int | None = None, cutoff: float | None = None, drop: Sequence[str] = (),
 ) -> DataFrame:
     """Run ``model_factory(**config)`` over batches and fit each result to its source's duration.
 
     The model maps float32 (rows, chunk) — or the mel features of it — to one waveform per row.
     Rows longer than the chunk are cut and flagged ``truncated``. Under "quarantine" a failing batch
-    is retried row by row (unless ``retry`` is off) and only failing rows get a status.
+    is retried row by row (unless ``retry`` is off) and only failing rows get a status. With
+    ``model_rate`` the waveform is resampled to it first, after an optional low cut, in the same
+    stage; without, it must already have the model's rate.
     """
     if on_error not in ("fail", "quarantine"):
         raise ValueError("on_error must be 'fail' or 'quarantine'")
@@ -81,30 +84,42 @@ def restore(
             return [pair for x in rows for pair in guarded(model, [x])]
 
     def fitted(wave, n):
-        if wave is None or n is None or n <= 0 or len(wave) == n:
+        if wave is None or n <= 0 or len(wave) == n:
             return wave
         return np.pad(wave, (0, n - len(wave))) if len(wave) < n else wave[:n]
 
+    def prepared(x, source_rate):
+        if x is None or source_rate is None:
+            raise ValueError("no audio" if x is None else "no sample rate")
+        if cutoff is not None:
+            x = kernels.low_cut(x, source_rate, cutoff)
+        return x if model_rate is None else kernels.resample(x, source_rate, model_rate)
+
     def run(batches: Iterator) -> Iterator:
         model = cached_model(model_factory, settings)
-        for xs, expected in batches:
-            rows, lengths = _column(xs), expected.to_pylist()
-            waves, notes = [None] * len(rows), [None if r is not None else "no audio" for r in rows]
-            if not keep_going and any(r is None for r in rows):
-                raise ValueError("row without audio")
-            known = [i for i, r in enumerate(rows) if r is not None]
+        for xs, rates in batches:
+            n = len(xs)
+            rows, waves, notes, cut = [None] * n, [None] * n, [None] * n, [False] * n
+            for i, (x, r) in enumerate(zip(_column(xs), rates.to_pylist())):
+                try:
+                    rows[i] = prepared(x, r)
+                    cut[i] = len(rows[i]) > chunk
+                except Exception as error:
+                    if not keep_going:
+                        raise
+                    notes[i] = f"{type(error).__name__}: {error}"
+            known = [i for i in range(n) if rows[i] is not None]
             for at in range(0, len(known), batch_size):
                 picked = known[at : at + batch_size]
                 for i, (wave, note) in zip(picked, guarded(model, [rows[i] for i in picked])):
-                    waves[i], notes[i] = fitted(wave, lengths[i]), note
-            out = [_list_array(waves, pa.float32()), pa.array(rows_truncated(rows), pa.bool_())]
+                    rate_in = model_rate or rates[i].as_py()
+                    # Python rounds halves to even, as the expected length asks.
+                    waves[i], notes[i] = fitted(wave, round(len(rows[i]) / rate_in * target_rate)), note
+            out = [_list_array(waves, pa.float32()), pa.array(cut, pa.bool_())]
             yield [*out, pa.array(notes, type=pa.string())] if keep_going else out
 
-    def rows_truncated(rows):
-        return [r is not None and len(r) > chunk for r in rows]
-
     ddl = f"`{to}` array<float>, truncated boolean" + (f", {STATUS} string" if keep_going else "")
-    restored = with_batches(df, run, ddl, [col, expected_length(F.size(col), F.col(rate), target_rate)])
+    restored = with_batches(df, run, ddl, [col, rate], drop)
     return restored.withColumn(f"{to}_rate", F.lit(target_rate))
 
 

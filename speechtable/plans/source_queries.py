@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from speechtable import settings
 from speechtable.operators import audit, ordering, records
+from speechtable.plans import audits, cleansing, pairs
 from speechtable.plans import fixtures as fx
 from speechtable.plans.degrade_queries import half_gain
 from speechtable.plans.registry import query, samples_long, sql_long
@@ -246,3 +247,55 @@ def restored_stream(spark, sf):
     rows = corpus.stream_corpus(spark, source, 2)
     restore_stream(rows, half_gain, out, marks, 16, chunk_seconds=0.1, config={"scale": 0.5}).awaitTermination()
     return samples_long(spark.read.parquet(out).withColumn("y", F.col("restored").cast("array<double>")), ["key"], "y")
+
+
+@query(
+    """WITH m AS (SELECT CAST(key AS VARCHAR) AS key, 'spk' || speaker AS text, CAST(speaker AS VARCHAR) AS speaker,
+        list_transform(samples, lambda v: round_even(v / 2 * 32768, 0) / 32768) AS y FROM wave) """
+    + sql_long("m", "key, text, speaker"),
+    ["wave"],
+)
+def cleansed_shards(spark, sf):
+    """Restore (half as loud), write compressed WAV shards with text and metadata, read them back."""
+    folder = settings.fresh_path(spark, "cleansed")
+    rows = fx.wave(spark, sf).withColumns({"ordinal": F.col("key"), "name": F.concat(F.lit("spk"), "speaker")})
+    cleansing.cleanse_to_shards(
+        rows, folder, half_gain, 16, PER_SHARD, config={"scale": 0.5}, chunk_seconds=0.1, model_rate=16, text_col="name"
+    )
+    back = tarshards.read_tarshards(spark, folder)
+    named = back.select(
+        "key", F.col("members")["text.txt"].cast("string").alias("text"),
+        F.get_json_object(F.col("members")["metadata.json"].cast("string"), "$.speaker").alias("speaker"),
+        F.col("members")["wav"].alias("wav"), F.lit("restored.wav").alias("name"),
+    )
+    decoded = ingest.decode_waves(named, "wav", "name")
+    return samples_long(
+        decoded.withColumn("y", F.get("channels", F.lit(0)).cast("array<double>")), ["key", "text", "speaker"], "y"
+    )
+
+
+@query(
+    """WITH s AS (SELECT CAST((row_number() OVER (ORDER BY key) - 1) // 250 AS INT) AS shard_number FROM wave)
+        SELECT shard_number, round(sum(64 / 16.0) / 3600, 6) AS hours, CAST(grouping(shard_number) AS INT) AS is_total
+        FROM s GROUP BY ROLLUP(shard_number)""",
+    ["wave"],
+)
+def audited_shards(spark, sf):
+    hours, _ = audits.audit_shards(spark, _written(spark, sf))
+    return hours.select(F.regexp_extract("shard", r"-(\d+)\.tar$", 1).cast("int").alias("shard_number"), "hours", "is_total")
+
+
+@query()
+def paired_shards(spark, sf):
+    """Crops, degradation, merging per speaker and mel features of the pairs."""
+    rows = fx.wave(spark, sf).withColumn("ordinal", F.col("key"))
+    made = pairs.training_pairs(
+        rows, fx.noise_pool(spark, sf), fx.rir_pool(spark, sf), target=24, n_crops=2, seconds=2.0, cutoff=2.0, low=8,
+        band_rates=(8, 12, 24), merge_by=["speaker"],
+    )
+    timed = made.withColumn("sample_rate_16k", F.lit(16000))
+    mels = pairs.with_mel(timed, n_mels=6, frame_ms=1.0, hop_ms=0.5)
+    return mels.select(
+        "speaker", "key", F.size("clean").alias("n_clean"), F.size("noisy_16k").alias("n_low"),
+        F.size("clean_mel").alias("n_frames"),
+    )

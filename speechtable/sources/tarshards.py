@@ -27,6 +27,7 @@ from pyspark.sql.datasource import (
 
 from speechtable.operators.ordering import running
 from speechtable.sources import files
+from speechtable.sources.ingest import pcm_bytes
 
 SHARD_STRIDE = 1 << 32  # ordinal = shard number * stride + sample number
 BATCH_BYTES = 32 << 20
@@ -154,11 +155,11 @@ class Written(WriterCommitMessage):
     moves: list
 
 
-def _payload(value, suffix: str) -> bytes:
+def _payload(value, suffix: str, rate: int | None) -> bytes:
     if isinstance(value, bytes):
         return value
     if isinstance(value, np.ndarray):
-        return value.astype("<f4").tobytes()
+        return pcm_bytes(value, rate) if suffix == "wav" else value.astype("<f4").tobytes()
     return str(value).encode("utf-8")
 
 
@@ -166,6 +167,7 @@ class TarShardWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.folder = options["path"]
         self.pattern = options.get("pattern", "dataset-%06d.tar")
+        self.rate = int(options["rate"]) if "rate" in options else None
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, inner = files.locate(self.folder)
@@ -190,7 +192,7 @@ class TarShardWriter(DataSourceArrowWriter):
                         value = columns[n][i]
                         if value is None:
                             continue
-                        payload = _payload(value, n)
+                        payload = _payload(value, n, self.rate)
                         member = tarfile.TarInfo(f"{key}.{n}")
                         member.size = len(payload)
                         tar.addfile(member, io.BytesIO(payload))
@@ -250,12 +252,13 @@ def read_tarshards(spark: SparkSession, path: str, mode: str = "PERMISSIVE", spl
 
 def write_tarshards(
     df: DataFrame, folder: str, max_count: int, pattern: str = "dataset-%06d.tar", key: str = "key",
-    order: str = "ordinal", force: bool = False, dense: bool = False,
+    order: str = "ordinal", force: bool = False, dense: bool = False, rate: int | None = None,
 ) -> bool:
     """Write shards of ``max_count`` consecutive samples; False when the folder is already complete.
 
     Column names are member suffixes (``wav``, ``text.txt``, ``metadata.json``): binary as it is,
-    float arrays as little-endian float32, other values as text, nulls left out. ``dense`` says that
+    float arrays as little-endian float32 (a ``wav`` array as 16-bit PCM at ``rate``), other values
+    as text, nulls left out. ``dense`` says that
     ``order`` already counts 0..n-1, which saves numbering the rows.
     """
     if max_count < 1:
@@ -264,6 +267,8 @@ def write_tarshards(
     if done and not force:
         return False
     register(df.sparkSession)
+    if rate is None and "wav" in df.columns and isinstance(df.schema["wav"].dataType, T.ArrayType):
+        raise ValueError("a wav array needs its rate")
     if dense:
         shard_of = df.withColumn("__shard__", F.floor(F.col(order) / max_count))
     else:
@@ -274,5 +279,8 @@ def write_tarshards(
     placed = shard_of.repartition("__shard__").sortWithinPartitions("__shard__", order)
     members = [F.col(f"`{c}`") for c in df.columns if c not in (key, order)]
     rows = placed.select(F.col("__shard__").cast("int"), F.col(key).cast("string").alias("__key__"), *members)
-    rows.write.format("tarshards").option("pattern", pattern).mode("append").save(folder)
+    writer = rows.write.format("tarshards").option("pattern", pattern)
+    if rate is not None:
+        writer = writer.option("rate", rate)
+    writer.mode("append").save(folder)
     return True
