@@ -12,7 +12,7 @@ from speechtable.plans import fixtures as fx
 from speechtable.plans.registry import (
     digest, query, samples_long, sql_digest, sql_draw, sql_long, sql_resample, sql_samples,
 )
-from speechtable.plans.wave_queries import _PEAK, NORMALIZED
+from speechtable.plans.wave_queries import _PEAK, LOW_CUT_SQL, NORMALIZED
 
 _NOISE_N = "(SELECT count(*) FROM noise_pool)"
 _RIR_N = "(SELECT count(*) FROM rir_pool)"
@@ -64,7 +64,7 @@ def tiled_noise(spark, sf):
 
 _ENERGY = "list_sum(list_transform({c}, lambda v: v * v))"
 _SNR = f"(-5 + {sql_draw('key', 'snr')} * 25)"
-_GAIN = f"pow(10, (10 * log10({_ENERGY.format(c='x')} / {_ENERGY.format(c='noise')}) - {_SNR}) / 20)"
+_GAIN = f"pow(10, (10 * log10({_ENERGY.format(c='x')} / {_ENERGY.format(c='noise[1:len(x)]')}) - {_SNR}) / 20)"
 _MIX = f"list_transform(range(len(x)), lambda i: x[i + 1] + gain * noise[i + 1])"
 
 
@@ -161,17 +161,22 @@ def level_matched(spark, sf):
 _BANDS = (8, 12, 24)
 
 
-def _band_sql() -> str:
+def _band_ctes(source: str, bands: tuple[int, ...]) -> str:
+    """`up8`, `up12`, ...: rows of ``source`` taken to their drawn band and back."""
     parts = []
-    for n, band in enumerate(_BANDS):
-        parts.append(f"""x{band} AS (SELECT key, pos, value FROM x WHERE CAST(floor({sql_draw('key', 'band')} * 3) AS INT) = {n}),
+    for n, band in enumerate(bands):
+        parts.append(f"""x{band} AS (SELECT key, pos, value FROM {source}
+                WHERE CAST(floor({sql_draw('key', 'band')} * {len(bands)}) AS INT) = {n}),
             down{band} AS ({sql_resample(f'x{band}', 16, band)}), up{band} AS ({sql_resample(f'down{band}', band, 16)})""")
-    every = " UNION ALL ".join(f"SELECT * FROM up{b}" for b in _BANDS)
-    return f"""WITH x AS ({sql_samples('wave')}), {', '.join(parts)}
-        SELECT key, pos, round(value, 6) + 0.0 AS value FROM ({every})"""
+    return ", ".join(parts)
 
 
-@query(_band_sql(), ["wave"])
+
+@query(
+    f"WITH x AS ({sql_samples('wave')}), {_band_ctes('x', _BANDS)} SELECT key, pos, round(value, 6) + 0.0 AS value FROM ("
+    + " UNION ALL ".join(f"SELECT * FROM up{b}" for b in _BANDS) + ")",
+    ["wave"],
+)
 def band_limited(spark, sf):
     return samples_long(pairing.band_limit(_noisy(spark, sf), _BANDS), ["key"], "noisy")
 
@@ -227,19 +232,69 @@ def _loss_sql(source: str, n: int, seconds: float) -> str:
 def packet_losses(spark, sf):
     return samples_long(pairing.packet_loss(_noisy(spark, sf), per_10s=20.0), ["key"], "noisy")
 
-
-_CHAIN = f"""{_REVERB},
-        reverbed AS (SELECT key, CASE WHEN {sql_draw('key', 'rir.gate')} < 0.5 THEN leveled.dry ELSE samples END AS clean,
-            CASE WHEN {sql_draw('key', 'rir.gate')} < 0.5 THEN leveled.wet ELSE samples END AS x FROM wave JOIN leveled USING (key)),
+def _chain_ctes(bands: tuple[int, ...] = (), codec: bool = False, seconds: int = 4) -> str:
+    """`chain` (key, clean, noisy): all stages over `wave`, each where its draw says so."""
+    on = lambda stage: f"{sql_draw('key', stage + '.gate')} < 0.5"
+    losses = seconds * 3 // 10
+    ctes = [_NOISE, _REVERB.replace("begin + 4 THEN", "begin + 0 THEN"), f"""
+        reverbed AS (SELECT key, CASE WHEN {on('rir')} THEN leveled.dry ELSE samples END AS clean,
+            CASE WHEN {on('rir')} THEN leveled.wet ELSE samples END AS x FROM wave JOIN leveled USING (key)),
         joined AS (SELECT reverbed.*, noise FROM reverbed JOIN picked USING (key)),
         gained AS (SELECT key, clean, x, noise, {_GAIN} AS gain FROM joined),
-        source AS (SELECT key, clean, CASE WHEN noise IS NULL THEN x ELSE {_MIX} END AS x FROM gained), {_CLIP},
-        clipped AS (SELECT key, clean, CASE WHEN {sql_draw('key', 'clip.gate')} < 0.5
+        mixed AS (SELECT key, clean, CASE WHEN noise IS NULL THEN x ELSE {_MIX} END AS x FROM gained)"""]
+    if bands:
+        every = " UNION ALL ".join(f"SELECT * FROM up{b}" for b in bands)
+        ctes.append(f"""to_band AS (SELECT key, unnest(range(len(x))) AS pos, unnest(x) AS value FROM mixed WHERE {on('band')}),
+            {_band_ctes('to_band', bands)}, banded AS (SELECT key, list(value ORDER BY pos) AS xb FROM ({every}) GROUP BY key),
+            source AS (SELECT key, clean, coalesce(xb, x) AS x FROM mixed LEFT JOIN banded USING (key))""")
+    else:
+        ctes.append("source AS (SELECT * FROM mixed)")
+    ctes.append(_CLIP)
+    coded = "list_transform(x, lambda v: round_even(v * 128, 0) / 128)" if codec else "x"
+    ctes.append(f"""clipped AS (SELECT key, clean, CASE WHEN {on('clip')}
             THEN list_transform(x, lambda v: least(greatest(v, lo), hi)) ELSE x END AS x FROM source JOIN bounds USING (key)),
-        {_loss_sql('wave', 1, 4)},
-        chain AS (SELECT key, clean, CASE WHEN {sql_draw('key', 'loss.gate')} < 0.5 THEN list_transform(x, lambda v, i:
-            CASE WHEN len(list_filter(p, lambda w: i - 1 >= w.s AND i - 1 < w.e)) > 0 THEN 0 ELSE v END) ELSE x END AS noisy
-            FROM clipped JOIN spans USING (key))""".replace("begin + 4 THEN", "begin + 0 THEN")
+        coded AS (SELECT key, clean, CASE WHEN {on('codec')} THEN {coded} ELSE x END AS x FROM clipped)""")
+    if losses:
+        ctes.append(f"""{_loss_sql('wave', losses, seconds)},
+            chain AS (SELECT key, clean, CASE WHEN {on('loss')} THEN list_transform(x, lambda v, i:
+                CASE WHEN len(list_filter(p, lambda w: i - 1 >= w.s AND i - 1 < w.e)) > 0 THEN 0 ELSE v END) ELSE x END AS noisy
+                FROM coded JOIN spans USING (key))""")
+    else:
+        ctes.append("chain AS (SELECT key, clean, x AS noisy FROM coded)")
+    return ", ".join(ctes)
+
+
+_FLAT = """flat AS (SELECT key, 'clean' AS kind, clean AS y FROM chain UNION ALL SELECT key, 'noisy', noisy FROM chain)"""
+_RATES = {"clean": ("clean", 24), "noisy": ("noisy", 24), "clean_16k": ("clean", 8), "noisy_16k": ("noisy", 8)}
+
+
+def _rates_ctes() -> str:
+    """`rated` (key, kind, y): clean and noisy at 24 and, from there, 8, each normalised.
+
+    A direct path of silence leaves nothing to normalise, and its pair goes.
+    """
+    ctes = []
+    for side in ("clean", "noisy"):
+        ctes += [f"{side}_in AS (SELECT key, unnest(range(len({side}))) AS pos, unnest({side}) AS value FROM chain)",
+                 f"{side}24 AS ({sql_resample(f'{side}_in', 16, 24)})", f"{side}8 AS ({sql_resample(f'{side}24', 24, 8)})"]
+    lists = " UNION ALL ".join(
+        f"SELECT key, '{kind}' AS kind, list(value ORDER BY pos) AS x FROM {side}{rate} GROUP BY key"
+        for kind, (side, rate) in _RATES.items()
+    )
+    silent = "len(list_filter(y, lambda v: v IS NULL)) > 0"
+    return ", ".join([*ctes, f"""leveled4 AS (SELECT key, kind, {NORMALIZED.format(c='x')} AS y FROM ({lists})),
+        rated AS (SELECT * FROM leveled4 WHERE key NOT IN (SELECT key FROM leveled4 WHERE {silent}))"""])
+
+
+# Low cut, crops of 2 s and normalising; the result takes the place of `wave`.
+def _prepared_ctes(crops: int, samples: int) -> str:
+    start = f"CAST(floor({sql_draw('key', 'crop', 'crop')} * {65 - min(samples, 64)}) AS BIGINT)"
+    return f"""{LOW_CUT_SQL.replace('FROM wave', 'FROM base')},
+        cutoff AS (SELECT key, list(least(greatest(y, -1), 1) ORDER BY pos) AS samples FROM filtered GROUP BY key),
+        cropped AS (SELECT key, crop, samples[{start} + 1 : {start} + {samples}] AS x
+            FROM (SELECT key, samples, unnest(range({crops})) AS crop FROM cutoff)),
+        wave AS (SELECT key || '-' || crop AS key, {NORMALIZED.format(c='x')} AS samples, 16 AS sample_rate FROM cropped)"""
+
 
 _NATIVE_STAGES = tuple(s for s in degrade.STAGES if s.name not in ("band", "codec"))
 
@@ -249,7 +304,9 @@ def _kinds(df):
     return samples_long(df.select("key", F.inline(F.array(*kinds))), ["kind", "key"], "y")
 
 
-@query()
+@query(
+    f"WITH {_chain_ctes(_BANDS, codec=True)}, {_FLAT} " + sql_long("flat", "kind, key"), ["wave", "noise_pool", "rir_pool"]
+)
 def degradation_chain(spark, sf):
     """All stages: reverb, noise, band limit, clip, codec (a coarse quantiser) and packet loss."""
 
@@ -263,7 +320,11 @@ def degradation_chain(spark, sf):
     return _kinds(chain)
 
 
-@query()
+@query(
+    f"WITH /*recursive*/ base AS ({fx.SQL_VIEWS['wave']}), {_prepared_ctes(2, 32)}, {_chain_ctes(_BANDS, seconds=2)}, "
+    + f"{_rates_ctes()} " + sql_digest("rated", "kind, key"),
+    ["noise_pool", "rir_pool"],
+)
 def training_pairs(spark, sf):
     """The chain with both rates and the four normalisations in its one stage."""
     rows = segment.prepare_crops(fx.wave(spark, sf), n_crops=2, seconds=2.0, cutoff=2.0)
@@ -276,13 +337,9 @@ def training_pairs(spark, sf):
     return digest(pairs.select("key", F.inline(F.array(*kinds))), ["kind", "key"], "y")
 
 
-@query(
-    f"""WITH {_CHAIN}, flat AS (SELECT key, 'clean' AS kind, clean AS y FROM chain UNION ALL SELECT key, 'noisy', noisy FROM chain) """
-    .replace("WITH ", f"WITH {_NOISE}, ", 1) + sql_long("flat", "kind, key"),
-    ["wave", "noise_pool", "rir_pool"],
-)
-def degradation_chain_without_band(spark, sf):
-    """The stages SQL can follow: reverb, noise, clip and packet loss."""
+@query(f"WITH {_chain_ctes()}, {_FLAT} " + sql_long("flat", "kind, key"), ["wave", "noise_pool", "rir_pool"])
+def chosen_stages(spark, sf):
+    """A user's own choice of stages: reverb, noise, clip and packet loss."""
     rows = fx.wave(spark, sf)
     return _kinds(degrade.degrade(rows, fx.noise_pool(spark, sf), fx.rir_pool(spark, sf), _NATIVE_STAGES))
 

@@ -8,8 +8,8 @@ from speechtable import settings
 from speechtable.operators import audit, ordering, records
 from speechtable.plans import audits, cleansing, pairs
 from speechtable.plans import fixtures as fx
-from speechtable.plans.degrade_queries import half_gain
-from speechtable.plans.registry import query, samples_long, sql_long
+from speechtable.plans.degrade_queries import _BANDS, _chain_ctes, _prepared_ctes, _rates_ctes, half_gain
+from speechtable.plans.registry import digest, query, samples_long, sql_digest, sql_long
 from speechtable.plans.wave_queries import _greedy
 from speechtable.sources import catalog, corpus, ingest, tarshards
 from speechtable.streaming.merge import merge_to_length_stream
@@ -285,17 +285,27 @@ def audited_shards(spark, sf):
     return hours.select(F.regexp_extract("shard", r"-(\d+)\.tar$", 1).cast("int").alias("shard_number"), "hours", "is_total")
 
 
-@query()
+@query(
+    f"""WITH /*recursive*/ base AS ({fx.SQL_VIEWS['wave']}), {_prepared_ctes(1, 160)}, {_chain_ctes(_BANDS)}, {_rates_ctes()},
+        placed AS (SELECT speaker, b.key || '-0' AS key, b.key AS ordinal,
+            (row_number() OVER (PARTITION BY speaker ORDER BY b.key) - 1) // 3 AS g
+            FROM base b WHERE b.key || '-0' IN (SELECT key FROM rated)),
+        merged AS (SELECT speaker, min_by(key, ordinal) AS key, kind, flatten(list(y ORDER BY ordinal)) AS y
+            FROM rated JOIN placed USING (key) GROUP BY speaker, g, kind HAVING count(*) = 3),
+        cut AS (SELECT speaker, key, kind, CASE WHEN kind LIKE '%16k' THEN y[1:80] ELSE y[1:240] END AS y,
+            CAST(1 + (80 + 80 - 16) // 8 AS INT) AS n_frames FROM merged) """
+    + sql_digest("cut", "speaker, key, kind, n_frames"),
+    ["noise_pool", "rir_pool"],
+)
 def paired_shards(spark, sf):
-    """Crops, degradation, merging per speaker and mel features of the pairs."""
+    """Low cut, crops, degradation, two rates, merging to ten seconds per speaker, mel features."""
     rows = fx.wave(spark, sf).withColumn("ordinal", F.col("key"))
     made = pairs.training_pairs(
-        rows, fx.noise_pool(spark, sf), fx.rir_pool(spark, sf), target=24, n_crops=2, seconds=2.0, cutoff=2.0, low=8,
-        band_rates=(8, 12, 24), merge_by=["speaker"],
-    )
-    timed = made.withColumn("sample_rate_16k", F.lit(16000))
-    mels = pairs.with_mel(timed, n_mels=6, frame_ms=1.0, hop_ms=0.5)
-    return mels.select(
-        "speaker", "key", F.size("clean").alias("n_clean"), F.size("noisy_16k").alias("n_low"),
-        F.size("clean_mel").alias("n_frames"),
+        rows, fx.noise_pool(spark, sf), fx.rir_pool(spark, sf), target=24, seconds=10.0, cutoff=2.0, low=8,
+        band_rates=_BANDS, merge_by=["speaker"],
     )
+    # The short low-rate waveforms count as 16 kHz for the mel front end.
+    mels = pairs.with_mel(made.withColumn("sample_rate_16k", F.lit(16000)), n_mels=6, frame_ms=1.0, hop_ms=0.5)
+    kinds = [F.struct(F.lit(c).alias("kind"), F.col(c).alias("y")) for c in pairs.WAVES]
+    flat = mels.select("speaker", "key", F.size("clean_mel").alias("n_frames"), F.inline(F.array(*kinds)))
+    return digest(flat, ["speaker", "key", "kind", "n_frames"], "y")

@@ -77,14 +77,17 @@ def _biquad(rate: float, cutoff: float) -> tuple[float, ...]:
 _B0, _B1, _A1, _A2 = _biquad(16, 2.0)
 
 
-@query(
-    f"""WITH /*recursive*/ x AS (SELECT key, samples FROM wave),
-        r AS (SELECT key, samples, 0 AS pos, {_B0}::DOUBLE * samples[1] AS y, 0.0::DOUBLE AS y1 FROM x
+# Direct recursion of the 2 Hz high-pass at 16 Hz, one step per sample, as `filtered` rows.
+LOW_CUT_SQL = f"""filtered AS (SELECT key, samples, 0 AS pos, {_B0}::DOUBLE * samples[1] AS y, 0.0::DOUBLE AS y1 FROM wave
           UNION ALL SELECT key, samples, pos + 1,
             {_B0}::DOUBLE * samples[pos + 2] + {_B1}::DOUBLE * samples[pos + 1]
             + CASE WHEN pos > 0 THEN {_B0}::DOUBLE * samples[pos] ELSE 0 END - {_A1}::DOUBLE * y - {_A2}::DOUBLE * y1, y
-            FROM r WHERE pos + 1 < len(samples))
-        SELECT key, CAST(pos AS BIGINT) AS pos, round(least(greatest(y, -1), 1), 6) + 0.0 AS value FROM r""",
+            FROM filtered WHERE pos + 1 < len(samples))"""
+
+
+@query(
+    f"""WITH /*recursive*/ {LOW_CUT_SQL}
+        SELECT key, CAST(pos AS BIGINT) AS pos, round(least(greatest(y, -1), 1), 6) + 0.0 AS value FROM filtered""",
     ["wave"],
 )
 def low_cut(spark, sf):
