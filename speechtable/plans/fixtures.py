@@ -41,6 +41,12 @@ def signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Waves cut to 20 to 64 samples."""
+    length = (20 + F.col("key") % 45).cast("int")
+    return wave(spark, sf_dir).withColumn("samples", F.slice("samples", F.lit(1), length))
+
+
 def utt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ordinal"),
@@ -79,6 +85,8 @@ def rir_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The same views for DuckDB.
 SQL_VIEWS = {
     "wave": "SELECT vec_id AS key, embedding::DOUBLE[] AS samples, 16 AS sample_rate, label AS speaker FROM embeddings",
+    "clips": """SELECT vec_id AS key, embedding[1 : 20 + vec_id % 45]::DOUBLE[] AS samples, 16 AS sample_rate,
+        label AS speaker FROM embeddings""",
     "signal": f"""SELECT user_id || '-' || segment AS key, user_id, segment, list(value ORDER BY event_id) AS samples,
         16 AS sample_rate FROM (SELECT user_id, event_id, value,
                      (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // {SEGMENT} AS segment FROM events)

@@ -64,12 +64,12 @@ def run_counters(spark, sf):
 
 def _long_failures(spark, sf):
     joined = fx.utt(spark, sf).join(fx.flag(spark, sf), "ordinal", "left")
-    _, bad = records.split_quarantine(joined, {"too long": F.col("n_samples") > 20000})
+    _, bad = records.split_quarantine(joined, {"too long": F.col("n_samples") > 15000})
     return audit.shard_failures(joined, bad)
 
 
 @query(
-    """SELECT shard, count(*) AS n_failed, 'too long' AS reason FROM utt WHERE n_samples > 20000 GROUP BY shard""",
+    """SELECT shard, count(*) AS n_failed, 'too long' AS reason FROM utt WHERE n_samples > 15000 GROUP BY shard""",
     ["utt"],
 )
 def shard_failure_report(spark, sf):
@@ -79,7 +79,7 @@ def shard_failure_report(spark, sf):
 @query(
     """SELECT shard, round(sum(n_samples / CAST(coalesce(sample_rate, 500) AS DOUBLE)) / 3600, 6) AS hours,
         count(n_samples) AS n_utterances
-        FROM utt WHERE shard NOT IN (SELECT shard FROM utt WHERE n_samples > 20000) GROUP BY shard""",
+        FROM utt WHERE shard NOT IN (SELECT shard FROM utt WHERE n_samples > 15000) GROUP BY shard""",
     ["utt"],
 )
 def hours_without_failed_shards(spark, sf):

@@ -10,7 +10,7 @@ from speechtable.plans import audits, cleansing, pairs
 from speechtable.plans import fixtures as fx
 from speechtable.plans.degrade_queries import _BANDS, _chain_ctes, _prepared_ctes, _rates_ctes, half_gain
 from speechtable.plans.registry import digest, query, samples_long, sql_digest, sql_long
-from speechtable.plans.wave_queries import _greedy
+from speechtable.plans.wave_queries import merged_sql
 from speechtable.sources import catalog, corpus, ingest, tarshards
 from speechtable.streaming.merge import merge_to_length_stream
 from speechtable.streaming.restore import restore_stream, write_stream
@@ -210,33 +210,28 @@ def streamed_corpus(spark, sf):
     return spark.read.parquet(out).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum("n_samples").alias("n_samples"))
 
 
-LANE, SLICES = 33, 3  # segments per lane, and files a lane is spread over
+LANE, SLICES = 258, 3  # keys per lane, and the arrivals a lane is spread over
 
 
 @query(
-    f"""WITH /*recursive*/ sized AS (SELECT *, len(samples) AS n_samples, user_id || ':' || (segment // {LANE}) AS lane FROM signal),
-        {_greedy('sized', 'lane', 'segment', 'n_samples', 100)},
-        g AS (SELECT lane, min_by(key, segment) AS key, CAST(count(*) AS INT) AS n_members,
-                flatten(list(samples ORDER BY segment))[1:100] AS y
-            FROM r JOIN sized USING (lane, segment) GROUP BY lane, gid HAVING sum(n_samples) >= 100)
-        """ + sql_long("g", "lane, key, n_members"),
-    ["signal"],
+    merged_sql(f"(SELECT *, speaker || ':' || (key // {LANE}) AS lane FROM clips)", "lane"), ["clips"]
 )
 def merged_stream(spark, sf):
     """The greedy merge over micro-batches, the open group carried as state.
 
-    Long users are split in lanes, and each lane arrives in three slices written one after another.
+    A speaker is split in lanes of keys, and each lane arrives in three slices, one after another.
     """
     source = settings.fresh_path(spark, "stream-in")
-    lane = F.concat_ws(":", "user_id", F.floor(F.col("segment") / LANE))
-    rows = fx.signal(spark, sf).withColumn("lane", lane)
-    arrival = F.floor(F.pmod("segment", F.lit(LANE)) * SLICES / LANE)
+    lane = F.concat_ws(":", "speaker", F.floor(F.col("key") / LANE))
+    rows = fx.clips(spark, sf).withColumn("lane", lane)
+    arrival = F.floor(F.pmod("key", F.lit(LANE)) * SLICES / LANE)
     for at in range(SLICES):
         rows.filter(arrival == at).repartition("lane").write.mode("append").parquet(source)
     out, marks = settings.fresh_path(spark, "stream-out"), settings.fresh_path(spark, "stream-marks")
-    merged = merge_to_length_stream(corpus.stream_corpus(spark, source, 5), 6.25, "lane", order="segment")
+    merged = merge_to_length_stream(corpus.stream_corpus(spark, source, 5), 10.0, "lane", order="key")
     write_stream(merged, out, marks).awaitTermination()
-    return samples_long(spark.read.parquet(out), ["lane", "key", "n_members"], "samples")
+    found = spark.read.parquet(out).withColumn("key", F.col("key").cast("bigint"))
+    return samples_long(found, ["lane", "key", "n_members"], "samples")
 
 
 @query("WITH m AS (SELECT key, list_transform(samples, lambda v: v / 2) AS y FROM wave) " + sql_long("m"), ["wave"])

@@ -143,18 +143,20 @@ def merge_groups(spark, sf):
     ).drop("group_start")
 
 
-@query(
-    f"""WITH /*recursive*/ sized AS (SELECT *, len(samples) AS n_samples FROM signal),
-        {_greedy('sized', 'user_id', 'segment', 'n_samples', 100)},
-        g AS (SELECT user_id, min_by(key, segment) AS key, CAST(count(*) AS INT) AS n_members,
-                flatten(list(samples ORDER BY segment))[1:100] AS y
-            FROM r JOIN sized USING (user_id, segment) GROUP BY user_id, gid HAVING sum(n_samples) >= 100)
-        """ + sql_long("g", "user_id, key, n_members"),
-    ["signal"],
-)
+def merged_sql(clips: str, group: str) -> str:
+    """Greedy groups of 160 samples over `clips` rows, concatenated and cut."""
+    return f"""WITH /*recursive*/ sized AS (SELECT *, len(samples) AS n_samples FROM {clips}),
+        {_greedy('sized', group, 'key', 'n_samples', 160)},
+        g AS (SELECT {group}, min(key) AS key, CAST(count(*) AS INT) AS n_members,
+                flatten(list(samples ORDER BY key))[1:160] AS y
+            FROM r JOIN sized USING ({group}, key) GROUP BY {group}, gid HAVING sum(n_samples) >= 160)
+        """ + sql_long("g", f"{group}, key, n_members")
+
+
+@query(merged_sql("clips", "speaker"), ["clips"])
 def merged_to_length(spark, sf):
-    merged = merge.merge_to_length(fx.signal(spark, sf), 6.25, ["samples"], ["user_id"], "segment")
-    return samples_long(merged, ["user_id", "key", "n_members"], "samples")
+    merged = merge.merge_to_length(fx.clips(spark, sf), 10.0, ["samples"], ["speaker"], "key")
+    return samples_long(merged, ["speaker", "key", "n_members"], "samples")
 
 
 @query(

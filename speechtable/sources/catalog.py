@@ -107,4 +107,5 @@ def shard_catalog(spark: SparkSession, inputs: str | Sequence[str]) -> DataFrame
     if listed is None:
         raise ValueError("no inputs given")
     firsts = listed.groupBy("path").agg(F.min("rank").alias("rank"))
-    return dense_ordinal(firsts, ["rank", "path"]).select("ordinal", "path")
+    # Folder by folder: paths compare by their parts.
+    return dense_ordinal(firsts, ["rank", F.split("path", "/")]).select("ordinal", "path")

@@ -60,7 +60,7 @@ def list_shards(path: str) -> list[fs.FileInfo]:
     below = system.get_file_info(fs.FileSelector(inner, recursive=True))
     shards = [f for f in below if f.type == fs.FileType.File and f.base_name.endswith((".tar", ".tar.gz"))]
     visible = [f for f in shards if not f.base_name.startswith((".", "_"))]
-    return sorted(visible, key=lambda f: (f.base_name.endswith(".gz"), f.path))
+    return sorted(visible, key=lambda f: (f.base_name.endswith(".gz"), f.path.split("/")))
 
 
 def _named(member: str) -> tuple[str, str]:

@@ -35,5 +35,7 @@ def compare(df, con, sql: str) -> str | None:
         return f"columns {ours[0]} != {theirs[0]}"
     if len(ours[1]) != len(theirs[1]):
         return f"rows {len(ours[1])} != {len(theirs[1])}"
+    if not ours[1]:
+        return "no rows on either side"
     bad = [(a, b) for a, b in zip(ours[1], theirs[1]) if a != b]
     return f"{len(bad)} rows differ, first {bad[0]}" if bad else None
