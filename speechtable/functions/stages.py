@@ -26,28 +26,31 @@ def sample_type(df: DataFrame, col: str) -> str:
 
 
 def _column(array: pa.Array):
-    """Per-row access: list columns give NumPy views on the batch buffer, others Python values."""
-    if pa.types.is_list(array.type) and not pa.types.is_nested(array.type.value_type):
-        offsets = array.offsets.to_numpy()
-        values = array.values.to_numpy(zero_copy_only=False)
-        valid = array.is_valid().to_numpy(zero_copy_only=False)
-        return [values[offsets[i] : offsets[i + 1]] if valid[i] else None for i in range(len(array))]
-    return array.to_pylist()
+    """Per-row access: lists give NumPy views on the batch buffer (nested ones, lists of views)."""
+    if not pa.types.is_list(array.type):
+        return array.to_pylist()
+    numeric = pa.types.is_floating(array.type.value_type) or pa.types.is_integer(array.type.value_type)
+    values = array.values.to_numpy(zero_copy_only=False) if numeric else _column(array.values)
+    offsets = array.offsets.to_numpy()
+    valid = array.is_valid().to_numpy(zero_copy_only=False)
+    return [values[offsets[i] : offsets[i + 1]] if valid[i] else None for i in range(len(array))]
 
 
 def _list_array(rows: list, item: pa.DataType) -> pa.Array:
-    sizes = np.array([0 if r is None else len(r) for r in rows], dtype=np.int64)
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    parts = [np.asarray(r) for r in rows if r is not None and len(r)]
-    flat = np.concatenate(parts) if parts else np.empty(0)
+    """List column of ``item`` from arrays, nested arrays or None, without per-sample objects."""
+    offsets = np.zeros(len(rows) + 1, dtype=np.int32)
+    np.cumsum([0 if r is None else len(r) for r in rows], out=offsets[1:])
+    if pa.types.is_list(item):
+        flat = _list_array([x for r in rows if r is not None for x in r], item.value_type)
+    else:
+        parts = [np.asarray(r) for r in rows if r is not None and len(r)]
+        flat = pa.array(np.concatenate(parts) if parts else np.empty(0)).cast(item)
     mask = pa.array([r is None for r in rows]) if any(r is None for r in rows) else None
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat).cast(item), mask=mask)
+    return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=mask)
 
 
 def _to_arrow(rows: list, kind: pa.DataType) -> pa.Array:
-    if pa.types.is_list(kind) and not pa.types.is_nested(kind.value_type):
-        return _list_array(rows, kind.value_type)
-    return pa.array([r.tolist() if isinstance(r, np.ndarray) else r for r in rows], type=kind)
+    return _list_array(rows, kind.value_type) if pa.types.is_list(kind) else pa.array(rows, type=kind)
 
 
 _ARROW = {"float": pa.float32(), "double": pa.float64(), "int": pa.int32(), "bigint": pa.int64(),

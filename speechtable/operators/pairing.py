@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from speechtable.functions import draws, kernels, waves
 from speechtable.functions.stages import sample_type, with_stage
+from speechtable.operators.ordering import running
+from speechtable.operators.segment import random_crop
 
 BROADCAST_BYTES = 64 << 20  # a pool below this size is sent to every executor
 SPREAD = 4096  # distinct join keys a shuffled pool should offer
@@ -37,6 +39,16 @@ def random_apply(
     return after.withColumns(chosen).drop("_gate", *[f"_old_{c}" for c in cols])
 
 
+def prepare_pool(
+    df: DataFrame, seconds: float, n_crops: int = 30, seed: int = draws.DEFAULT_SEED, col: str = "samples",
+    ordinal: str = "ordinal", key: str = "key",
+) -> DataFrame:
+    """(pool_idx, samples, sample_rate): crops of noise recordings, numbered in source order."""
+    crops = random_crop(df, n_crops, seconds, seed, col, key=key)
+    placed = crops.withColumn("_at", F.col(ordinal) * n_crops + F.col("crop"))
+    return running(placed, order="_at", index="pool_idx").select("pool_idx", F.col(col).alias("samples"), "sample_rate")
+
+
 def pool_size(pool: DataFrame, col: str) -> tuple[int, int]:
     """(rows, bytes) of a pool, from one aggregate over its lengths."""
     nested = pool.schema[col].dataType.elementType.simpleString().startswith("array")

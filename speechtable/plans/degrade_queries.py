@@ -53,6 +53,20 @@ def noise_pairs(spark, sf):
     return paired.select("key", "noise_rate", F.round(total, 6).alias("noise_total"))
 
 
+_POOL_START = f"CAST(floor({sql_draw('key', 'crop', 'crop')} * 33) AS BIGINT)"
+
+
+@query(
+    f"""WITH m AS (SELECT row_number() OVER (ORDER BY key, crop) - 1 AS pool_idx,
+            samples[{_POOL_START} + 1 : {_POOL_START} + 32] AS y
+            FROM (SELECT key, samples, unnest(range(2)) AS crop FROM wave)) """ + sql_long("m", "pool_idx"),
+    ["wave"],
+)
+def prepared_pool(spark, sf):
+    pool = pairing.prepare_pool(fx.wave(spark, sf).withColumn("ordinal", F.col("key")), 2.0, 2)
+    return samples_long(pool, ["pool_idx"], "samples")
+
+
 @query(
     """WITH m AS (SELECT key, list_transform(range(64 + key % 90), lambda i: samples[(i % 64) + 1]) AS y FROM wave) """
     + sql_digest("m"),

@@ -73,7 +73,7 @@ def decode_waves(df: DataFrame, bytes_col: str, name_col: str, drop_bytes: bool
             channels, rate = pcm_channels(payload)
         except (riff.Error, EOFError) as error:
             raise ValueError("broken wav") from error
-        return channels.tolist(), rate
+        return channels, rate
 
     ddl = "channels array<array<float>>, sample_rate int"
     return with_stage(df, run, ddl, [bytes_col, name_col], "quarantine", drop=[bytes_col] if drop_bytes else [])
