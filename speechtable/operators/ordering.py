@@ -101,6 +101,25 @@ def assign_batches(df: DataFrame, size: int, by: Sequence[str] = (), order: str
     return out.drop("_index")
 
 
+def assign_shards(df: DataFrame, max_count: int, order: str = "ordinal", name: str = "shard_id", width: int = BLOCK) -> DataFrame:
+    """Output shard number of each row, ``max_count`` consecutive rows per shard, without moving the rows.
+
+    Only ordinals are numbered. Each block of ordinals then becomes one small row (its first number
+    and the ordinals at which shards start), and rows look up their block: one row per 65,536
+    ordinals and one value per shard, which the adaptive planner broadcasts while it is small.
+    """
+    if max_count < 1:
+        raise ValueError("max_count must be >= 1")
+    block = F.floor(F.col(order) / F.lit(width)).cast("bigint")
+    numbered = running(df.select(order), order=order, index="_index", width=width).withColumn(_BLOCK, block)
+    begins = F.when(F.pmod("_index", F.lit(max_count)) == 0, F.col(order))
+    blocks = numbered.groupBy(_BLOCK).agg(F.min("_index").alias("_first"), F.collect_list(begins).alias("_starts"))
+    before = F.ceil(F.col("_first") / F.lit(max_count))
+    inside = F.size(F.filter("_starts", lambda s: s <= F.col(order)))
+    found = df.withColumn(_BLOCK, block).join(blocks, _BLOCK)
+    return found.withColumn(name, (before + inside - 1).cast("bigint")).drop(_BLOCK, "_first", "_starts")
+
+
 def assign_by_bytes(df: DataFrame, size_col: str, cap: int, by: Sequence[str] = (), order: str = "ordinal") -> DataFrame:
     """Output file number per row so that a file starts once the bytes before it reach the cap."""
     if cap < 1:

@@ -101,7 +101,10 @@ def union_corpora(corpora: dict[str, DataFrame]) -> DataFrame:
 
 
 def distinct_first(df: DataFrame, cols: Sequence[str], ordinal: str = "ordinal") -> DataFrame:
-    """First occurrence of each key in source order; repeats collapse before the exchange."""
-    rest = [c for c in df.columns if c not in cols]
-    first = df.groupBy(*cols).agg(F.min_by(F.struct(*rest), F.col(ordinal)).alias("_first"))
-    return first.select(*[c if c in cols else F.col("_first")[c].alias(c) for c in df.columns])
+    """First occurrence of each key in source order; ``ordinal`` is unique.
+
+    Keys are reduced on narrow rows, repeats before the exchange, and whole rows only meet the
+    surviving ordinals (broadcast while those are few).
+    """
+    firsts = df.groupBy(*cols).agg(F.min(ordinal).alias("_first")).select("_first")
+    return df.join(firsts, F.col(ordinal) == F.col("_first"), "left_semi")

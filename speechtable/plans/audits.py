@@ -26,10 +26,8 @@ def shard_lengths(
         )
     else:
         named = rows.select("shard", "error", payload.alias("payload"), F.lit(audio).alias("name"))
-        decoded = ingest.decode_waves(named, "payload", "name")
-        sized = decoded.select(
-            "shard", F.coalesce("error", "status").alias("error"),
-            F.size(F.get("channels", F.lit(0))).cast("bigint").alias("n_samples"), F.col("sample_rate").alias("own_rate"),
+        sized = ingest.probe_waves(named, "payload", "name").select(
+            "shard", F.coalesce("error", "status").alias("error"), "n_samples", F.col("sample_rate").alias("own_rate")
         )
     rated = records.resolve_rate(sized, ["own_rate"], default_rate)
     checks = {"unreadable shard": F.col("error").isNotNull(),

@@ -129,6 +129,23 @@ def undecodable_members(spark, sf):
     return decoded.filter(F.col("status").isNotNull()).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("SELECT key, CAST(len(samples) AS BIGINT) AS n_samples, sample_rate FROM wave WHERE key % 11 <> 0 AND key % 7 <> 0 AND key % 10 <> 0", ["wave"])
+def probed_members(spark, sf):
+    """Lengths and rates from the first bytes of each WAV member."""
+    probed = ingest.probe_waves(_wav_members(spark, sf).select("key", "name", "wav"), "wav", "name")
+    return probed.filter(F.col("status").isNull()).select("key", "n_samples", "sample_rate")
+
+
+@query(
+    """SELECT ordinal, (row_number() OVER (ORDER BY ordinal) - 1) // 7 AS shard_id FROM
+        (SELECT doc_id * 3 AS ordinal FROM labels)""",
+)
+def numbered_shards(spark, sf):
+    """Shard numbers over ordinals with gaps."""
+    rows = fx.flag(spark, sf).select((F.col("ordinal") * 3).alias("ordinal"))
+    return ordering.assign_shards(rows, 7)
+
+
 @query("SELECT key FROM wave WHERE key % 11 <> 0 AND key % 7 <> 0 AND key % 10 <> 0", ["wave"])
 def readable_members(spark, sf):
     return ingest.filter_readable(_wav_members(spark, sf), "wav", "name").select("key")
@@ -166,7 +183,7 @@ def exported_corpus(spark, sf):
     path = settings.fresh_path(spark, "export")
     corpus.export_corpus(fx.utt(spark, sf), path, max_rows=64)
     back = corpus.read_corpus(spark, path).withColumnRenamed("ordinal", "source_ordinal")
-    placed = ordering.dense_ordinal(back, ["shard", "source_ordinal"], "position")
+    placed = ordering.dense_ordinal(back, ["shard", "source_ordinal"], "position", unique=True)
     return placed.select(F.col("source_ordinal").alias("ordinal"), "key", "position")
 
 

@@ -79,6 +79,30 @@ def decode_waves(df: DataFrame, bytes_col: str, name_col: str, drop_bytes: bool
     return with_stage(df, run, ddl, [bytes_col, name_col], "quarantine", drop=[bytes_col] if drop_bytes else [])
 
 
+HEADER_BYTES = 4096
+
+
+def probe_waves(df: DataFrame, bytes_col: str, name_col: str) -> DataFrame:
+    """Add ``n_samples``, ``sample_rate`` and ``status`` from the header alone; the payload stays in the JVM.
+
+    Rows without a payload keep nulls and are no errors.
+    """
+
+    def run(head, name):
+        if head is None:
+            return None, None
+        if name.rsplit(".", 1)[-1].lower() != PCM_SUFFIX:
+            raise ValueError("not a wav")
+        try:
+            with riff.open(io.BytesIO(head)) as source:
+                return source.getnframes(), source.getframerate()
+        except (riff.Error, EOFError) as error:
+            raise ValueError("broken wav") from error
+
+    headed = df.withColumn("_head", F.substring(F.col(bytes_col), 1, HEADER_BYTES)).drop(bytes_col)
+    return with_stage(headed, run, "n_samples bigint, sample_rate int", ["_head", name_col], "quarantine", drop=["_head"])
+
+
 def members(df: DataFrame, cols: tuple[str, ...] = ("shard", "ordinal", "key")) -> DataFrame:
     """One row per shard member: (shard, ordinal, key, name, payload); broken shards give none."""
     rows = df.filter(F.col("error").isNull())

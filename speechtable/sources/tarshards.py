@@ -25,7 +25,7 @@ from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage,
 )
 
-from speechtable.operators.ordering import running
+from speechtable.operators.ordering import assign_shards
 from speechtable.sources import files
 from speechtable.sources.ingest import pcm_bytes
 
@@ -272,10 +272,7 @@ def write_tarshards(
     if dense:
         shard_of = df.withColumn("__shard__", F.floor(F.col(order) / max_count))
     else:
-        # Only ordinals are numbered; audio joins its number afterwards.
-        numbered = running(df.select(order), order=order, index="_index")
-        shards = numbered.select(order, F.floor(F.col("_index") / max_count).alias("__shard__"))
-        shard_of = df.join(shards, order)
+        shard_of = assign_shards(df, max_count, order, "__shard__")
     placed = shard_of.repartition("__shard__").sortWithinPartitions("__shard__", order)
     members = [F.col(f"`{c}`") for c in df.columns if c not in (key, order)]
     rows = placed.select(F.col("__shard__").cast("int"), F.col(key).cast("string").alias("__key__"), *members)

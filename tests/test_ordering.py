@@ -105,3 +105,12 @@ def test_size_caps(spark):
     df = spark.createDataFrame([(0, 40), (1, 40), (2, 40), (3, 100), (4, 1)], "ordinal int, size int")
     got = {r.ordinal: r.file_id for r in ordering.assign_by_bytes(df, "size", 100).collect()}
     assert got == {0: 0, 1: 0, 2: 0, 3: 1, 4: 2}
+
+
+@pytest.mark.parametrize("width", [1, 8, 1 << 16])
+@pytest.mark.parametrize("max_count", [1, 7, 1000])
+def test_shard_numbers(spark, width, max_count):
+    ordinals = sorted(random.Random(9).sample(range(3000), 200))
+    df = spark.createDataFrame([(o,) for o in ordinals], "ordinal bigint")
+    got = {r.ordinal: r.shard_id for r in ordering.assign_shards(df.repartition(5), max_count, width=width).collect()}
+    assert got == {o: i // max_count for i, o in enumerate(ordinals)}

@@ -193,6 +193,10 @@ def test_audit_of_wav_members(spark, tmp_path):
     write_tar(f"{tmp_path}/a.tar", [("u.wav", pcm(np.zeros(4000, dtype="<i2").tobytes())), ("v.wav", pcm(np.zeros(4000, dtype="<i2").tobytes()))])
     hours, failures = audits.audit_shards(spark, str(tmp_path), audio="wav")
     assert hours.filter("is_total = 1").first().hours == round(1 / 3600, 6) and failures.count() == 0
+    write_tar(f"{tmp_path}/b.tar", [("u.wav", b"RIFF"), ("w.txt", b"no audio")])
+    hours, failures = audits.audit_shards(spark, str(tmp_path), audio="wav")
+    assert hours.filter("is_total = 1").first().hours == round(1 / 3600, 6)
+    assert [os.path.basename(r.shard) for r in failures.collect()] == ["b.tar"]
 
 
 # --- columnar -------------------------------------------------------------------------------------
