@@ -178,16 +178,19 @@ def merge_groups(
 
 def merge_to_length(
     df: DataFrame, seconds: float, cols: Sequence[str], by: Sequence[str], order: str = "ordinal", key: str = "key",
-    rates: dict[str, str] | None = None, width: int = BLOCK,
+    rates: dict[str, str] | None = None, n_samples: str | None = None, width: int = BLOCK,
 ) -> DataFrame:
     """Merged rows: key of the first member, waveforms concatenated and cut to int(seconds * rate).
 
     ``rates`` names the rate column per waveform ('sample_rate' by default); the first waveform
-    decides the grouping. A tail short of the target is dropped.
+    decides the grouping. A tail short of the target is dropped. The input is scanned several
+    times, mostly for its lengths: give a written table, and name its length column ``n_samples`` so
+    that those scans leave the audio alone.
     """
     rates = {c: (rates or {}).get(c, "sample_rate") for c in cols}
     lead = cols[0]
-    lengths = df.select(*by, order, F.size(lead).alias("n_samples"), F.col(rates[lead]).alias("_rate"))
+    length = F.col(n_samples) if n_samples else F.size(lead)
+    lengths = df.select(*by, order, length.alias("n_samples"), F.col(rates[lead]).alias("_rate"))
     labels = merge_groups(lengths, seconds, by, order, "n_samples", "_rate", width)
     rate_cols = sorted(set(rates.values()))
     # Empty waveforms add nothing to the concatenation and must not fill a group's list.

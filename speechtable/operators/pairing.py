@@ -43,7 +43,10 @@ def prepare_pool(
     df: DataFrame, seconds: float, n_crops: int = 30, seed: int = draws.DEFAULT_SEED, col: str = "samples",
     ordinal: str = "ordinal", key: str = "key",
 ) -> DataFrame:
-    """(pool_idx, samples, sample_rate): crops of noise recordings, numbered in source order."""
+    """(pool_idx, samples, sample_rate): crops of noise recordings, numbered in source order.
+
+    Pairing reads a pool twice (its size, then its clips): write it first when it is costly to make.
+    """
     crops = random_crop(df, n_crops, seconds, seed, col, key=key)
     placed = crops.withColumn("_at", F.col(ordinal) * n_crops + F.col("crop"))
     return running(placed, order="_at", index="pool_idx").select("pool_idx", F.col(col).alias("samples"), "sample_rate")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from speechtable import settings
 from speechtable.operators import audit, records
 from speechtable.sources import ingest
 from speechtable.sources.tarshards import read_tarshards
@@ -15,13 +16,14 @@ def shard_lengths(
 ) -> tuple[DataFrame, DataFrame]:
     """((shard, n_samples, sample_rate), (shard, reason)): lengths of float payloads or WAV members.
 
-    Samples without audio count nothing; a broken shard or a sample without a rate is a failure.
+    Samples without audio count nothing; a broken shard or a sample without a rate is a failure. Only
+    the start of each member is read, and the shards are walked once: the lengths go to a table.
     """
-    rows = read_tarshards(spark, path)
+    rows = read_tarshards(spark, path, head_bytes=ingest.HEADER_BYTES)
     payload = F.col("members")[audio]
     if audio.rsplit(".", 1)[-1] == "pth":
         sized = rows.select(
-            "shard", "error", (F.octet_length(payload) / 4).cast("bigint").alias("n_samples"),
+            "shard", "error", F.floor(F.col("sizes")[audio] / 4).alias("n_samples"),
             F.col("members")[rate].cast("string").cast("int").alias("own_rate"),
         )
     else:
@@ -29,7 +31,7 @@ def shard_lengths(
         sized = ingest.probe_waves(named, "payload", "name").select(
             "shard", F.coalesce("error", "status").alias("error"), "n_samples", F.col("sample_rate").alias("own_rate")
         )
-    rated = records.resolve_rate(sized, ["own_rate"], default_rate)
+    rated = records.resolve_rate(settings.materialize(sized, "lengths"), ["own_rate"], default_rate)
     checks = {"unreadable shard": F.col("error").isNotNull(),
               "no sample rate": F.col("n_samples").isNotNull() & F.col("sample_rate").isNull()}
     good, bad = records.split_quarantine(rated, checks)

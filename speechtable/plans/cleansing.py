@@ -7,24 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from speechtable.operators import audit, records, segment
+from speechtable import settings
+from speechtable.operators import audit, records
 from speechtable.operators.restore import restore
 from speechtable.operators.selection import skip_completed
-from speechtable.sources.tarshards import write_tarshards
+from speechtable.sources.tarshards import is_complete, write_tarshards
 
 MODEL_RATE = 16000
 
 
-def cleanse(
+def _restored(
     df: DataFrame, model_factory: Callable[..., Callable], target_rate: int, completed: DataFrame | None = None,
     unit_keys: tuple[str, ...] = ("key",), text_col: str | None = None, on_error: str = "quarantine",
     model_rate: int = MODEL_RATE, **options,
-) -> tuple[DataFrame, DataFrame]:
-    """(good, bad) from (key, ordinal, samples, sample_rate, any metadata).
-
-    ``good`` holds key, ordinal, wav, transcript and metadata JSON; low cut, resampling, the model
-    and the fit to length run in one Arrow stage. ``bad`` holds key, ordinal and reason.
-    """
+) -> DataFrame:
+    """(key, ordinal, transcript, metadata, wav, status): one Arrow stage from source to output."""
     todo = skip_completed(df, completed, unit_keys) if completed is not None else df
     described = [c for c in todo.columns if c not in ("samples", "ordinal")]
     noted = records.metadata_json(todo, described)
@@ -34,25 +31,41 @@ def cleanse(
         narrow, model_factory, target_rate, on_error=on_error, to="wav", model_rate=model_rate,
         drop=("samples", "sample_rate"), **options,
     )
-    columns = ("key", "ordinal", "wav", "transcript", "metadata")
-    if on_error == "fail":
-        return restored.select(*columns), restored.limit(0).select("key", "ordinal", F.lit("").alias("reason"))
-    good = restored.filter(F.col("status").isNull()).select(*columns)
+    status = F.col("status") if on_error == "quarantine" else F.lit(None).cast("string")
+    return restored.select("key", "ordinal", "transcript", "metadata", "wav", status.alias("status"))
+
+
+def _split(restored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    good = restored.filter(F.col("status").isNull()).drop("status")
     return good, restored.filter(F.col("status").isNotNull()).select("key", "ordinal", F.col("status").alias("reason"))
 
 
+def cleanse(df: DataFrame, model_factory: Callable[..., Callable], target_rate: int, **options) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) from (key, ordinal, samples, sample_rate, any metadata).
+
+    ``good`` holds key, ordinal, wav, transcript and metadata JSON; ``bad`` holds key, ordinal and
+    reason. Options: ``completed`` and ``unit_keys`` leave out finished work, ``text_col``,
+    ``model_rate``, ``cutoff`` and those of ``restore``. Both are lazy over the same stage; use
+    ``cleanse_to_shards`` to run the model once for both.
+    """
+    return _split(_restored(df, model_factory, target_rate, **options))
+
+
 def cleanse_to_shards(
     df: DataFrame, folder: str, model_factory: Callable[..., Callable], target_rate: int, per_shard: int = 5000,
     pattern: str = "dataset-%06d.tar.gz", force: bool = False, **options,
-) -> bool:
-    """Write the cleansed corpus; False when the folder already carries its completion marker."""
-    good, _ = cleanse(df, model_factory, target_rate, **options)
+) -> DataFrame | None:
+    """Write the cleansed corpus; None when the folder already carries its completion marker.
+
+    Returns the counters of the run (processed, and skipped by reason). The model runs once: its
+    output is written to the shared folder, from which shards are numbered and written.
+    """
+    if is_complete(folder) and not force:
+        return None
+    restored = settings.materialize(_restored(df, model_factory, target_rate, **options), "restored")
+    good, bad = _split(restored)
     rows = good.select(
         "key", "ordinal", "wav", F.col("transcript").alias("text.txt"), F.col("metadata").alias("metadata.json")
     )
-    return write_tarshards(rows, folder, per_shard, pattern, force=force, rate=target_rate)
-
-
-def with_counters(good: DataFrame, name: str = "cleansing"):
-    """(df, Observation): rows counted while the write job runs."""
-    return audit.observed(good, name)
+    write_tarshards(rows, folder, per_shard, pattern, force=True, rate=target_rate)
+    return audit.run_metrics(good.select("key"), bad)

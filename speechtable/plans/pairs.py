@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from speechtable.functions import draws, waves
+from speechtable import settings
+from speechtable.functions import draws, kernels, waves
+from speechtable.functions.stages import with_stage
 from speechtable.operators import degrade, features, pairing, records, segment
 from speechtable.operators.merge import merge_to_length
 
@@ -22,7 +25,8 @@ def training_pairs(
     """Rows of clean and noisy waveforms at both rates from (key, ordinal, samples, sample_rate, ...).
 
     Two Arrow stages touch the audio: preparing crops, and the whole degradation with resampling and
-    normalising. With ``merge_by`` consecutive crops are joined to ``seconds`` inside those groups.
+    normalising. With ``merge_by`` consecutive crops are joined to ``seconds`` inside those groups;
+    the pairs are then written once, since merging scans their lengths before their audio.
     """
     crops = segment.prepare_crops(df, n_crops, seconds, cutoff, seed)
     crops = crops.filter(~waves.has_nan(F.col("samples")))
@@ -33,14 +37,19 @@ def training_pairs(
     if merge_by is None:
         return pairs
     rates = {c: "sample_rate_16k" if c.endswith("_16k") else "sample_rate" for c in WAVES}
-    merged = merge_to_length(pairs, seconds, WAVES, merge_by, rates=rates)
+    written = settings.materialize(pairs.withColumn("n_clean", F.size("clean")), "pairs")
+    merged = merge_to_length(written, seconds, WAVES, merge_by, rates=rates, n_samples="n_clean")
     return records.drop_nan(merged, ["clean", "noisy"], ["clean_16k", "noisy_16k"])
 
 
-def with_mel(pairs: DataFrame, pad: int = 40, **options) -> DataFrame:
-    """Add log-mel matrices of the edge-padded low-rate waveforms."""
-    out = pairs
-    for name in ("clean", "noisy"):
-        padded = out.withColumn("_padded", waves.edge_pad(F.col(f"{name}_16k"), pad))
-        out = features.log_mel(padded, "_padded", "sample_rate_16k", to=f"{name}_mel", **options).drop("_padded")
-    return out
+def with_mel(
+    pairs: DataFrame, pad: int = 40, n_mels: int = features.N_MELS, frame_ms: float = features.FRAME_MS,
+    hop_ms: float = features.HOP_MS,
+) -> DataFrame:
+    """Add log-mel matrices of both edge-padded low-rate waveforms, in one stage."""
+
+    def run(rate, *sides):
+        return tuple(None if x is None else kernels.log_mel(np.pad(x, pad), rate, n_mels, frame_ms, hop_ms) for x in sides)
+
+    ddl = "clean_mel array<array<double>>, noisy_mel array<array<double>>"
+    return with_stage(pairs, run, ddl, ["sample_rate_16k", "clean_16k", "noisy_16k"])

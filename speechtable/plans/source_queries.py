@@ -208,10 +208,10 @@ def unmarked_units(spark, sf):
     ["wave"],
 )
 def shard_file_hours(spark, sf):
-    """Audit of shard files: true lengths, from the payload size alone."""
-    rows = tarshards.read_tarshards(spark, _written(spark, sf))
+    """Audit of shard files: true lengths, from the member sizes alone."""
+    rows = tarshards.read_tarshards(spark, _written(spark, sf), head_bytes=16)
     sizes = rows.select(
-        "shard", (F.octet_length(F.col("members")["input_wav.pth"]) / 4).cast("bigint").alias("n_samples"),
+        "shard", F.floor(F.col("sizes")["input_wav.pth"] / 4).alias("n_samples"),
         F.col("members")["sr.index"].cast("string").cast("int").alias("sample_rate"),
     )
     hours = audit.shard_hours(sizes)

@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,6 +27,17 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    For results that several later steps scan: a Python stage below them would run once per scan,
+    since nothing can be pruned out of it.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoints(spark: SparkSession) -> None:
     """Point reliable checkpoints at the shared folder unless the session already did."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -34,10 +34,12 @@ BATCH_BYTES = 32 << 20
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 SUCCESS = "_SUCCESS"
 
-READ_SCHEMA = "shard string, ordinal bigint, key string, members map<string, binary>, error string"
+READ_SCHEMA = (
+    "shard string, ordinal bigint, key string, members map<string, binary>, sizes map<string, bigint>, error string"
+)
 _BATCH = pa.schema([
     ("shard", pa.string()), ("ordinal", pa.int64()), ("key", pa.string()),
-    ("members", pa.map_(pa.string(), pa.binary())), ("error", pa.string()),
+    ("members", pa.map_(pa.string(), pa.binary())), ("sizes", pa.map_(pa.string(), pa.int64())), ("error", pa.string()),
 ])
 
 
@@ -70,13 +72,16 @@ def _named(member: str) -> tuple[str, str]:
     return (f"{folder}/{stem}" if folder else stem), suffix.lower()
 
 
-def _samples(part: ShardRange) -> Iterator[tuple[int, str, dict[str, bytes]]]:
-    """(sample number, key, members) of the samples that start in the partition's byte range."""
+def _samples(part: ShardRange, head: int | None) -> Iterator[tuple[int, str, dict[str, bytes], dict[str, int]]]:
+    """(sample number, key, members, sizes) of the samples that start in the partition's byte range.
+
+    With ``head`` only that many bytes of each payload are read, the rest is skipped by seeking.
+    """
     system, inner = files.locate(part.path)
     packed = part.path.endswith(".gz")
     source = system.open_input_stream(inner, compression=None) if packed else system.open_input_file(inner)
     with source, tarfile.open(fileobj=source, mode="r|gz" if packed else "r:") as tar:
-        number, key, mine, members = -1, None, False, {}
+        number, key, mine, members, sizes = -1, None, False, {}, {}
         for member in tar:
             tar.members = []  # the index is not needed and would grow with the shard
             if not member.isfile():
@@ -86,18 +91,19 @@ def _samples(part: ShardRange) -> Iterator[tuple[int, str, dict[str, bytes]]]:
                 continue
             if name != key:
                 if mine:
-                    yield number, key, members
+                    yield number, key, members, sizes
                 if member.offset >= part.stop and not packed:
                     return
-                number, key, members = number + 1, name, {}
+                number, key, members, sizes = number + 1, name, {}, {}
                 mine = packed or member.offset >= part.start
             if mine:
-                payload = tar.extractfile(member).read()
-                if len(payload) != member.size:
+                wanted = member.size if head is None else min(head, member.size)
+                payload = tar.extractfile(member).read(wanted)
+                if len(payload) != wanted:
                     raise tarfile.ReadError(f"member {member.name} is cut short")
-                members[suffix] = payload
+                members[suffix], sizes[suffix] = payload, member.size
         if mine and key is not None:
-            yield number, key, members
+            yield number, key, members, sizes
 
 
 class TarShardReader(DataSourceReader):
@@ -109,6 +115,7 @@ class TarShardReader(DataSourceReader):
         if self.mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
         self.split_bytes = int(options.get("splitbytes", 1 << 30))
+        self.head = int(options["headbytes"]) if "headbytes" in options else None
 
     def partitions(self) -> list[ShardRange]:
         ranges = []
@@ -130,8 +137,9 @@ class TarShardReader(DataSourceReader):
         shard = files.plain(partition.path)
         rows, held = [], 0
         try:
-            for number, key, members in _samples(partition):
-                rows.append((shard, partition.number * SHARD_STRIDE + number, key, list(members.items()), None))
+            for number, key, members, sizes in _samples(partition, self.head):
+                ordinal = partition.number * SHARD_STRIDE + number
+                rows.append((shard, ordinal, key, list(members.items()), list(sizes.items()), None))
                 held += sum(len(v) for v in members.values())
                 if held >= BATCH_BYTES:
                     yield self._batch(rows)
@@ -140,7 +148,7 @@ class TarShardReader(DataSourceReader):
             if self.mode == "FAILFAST":
                 raise
             if self.mode == "PERMISSIVE":
-                rows.append((shard, None, None, None, f"{type(error).__name__}: {error}"))
+                rows.append((shard, None, None, None, None, f"{type(error).__name__}: {error}"))
         if rows:
             yield self._batch(rows)
 
@@ -244,10 +252,23 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(TarShards)
 
 
-def read_tarshards(spark: SparkSession, path: str, mode: str = "PERMISSIVE", split_bytes: int = 1 << 30) -> DataFrame:
-    """(shard, ordinal, key, members, error) of all samples below a path."""
+def read_tarshards(
+    spark: SparkSession, path: str, mode: str = "PERMISSIVE", split_bytes: int = 1 << 30, head_bytes: int | None = None
+) -> DataFrame:
+    """(shard, ordinal, key, members, sizes, error) of all samples below a path.
+
+    ``head_bytes`` reads only the start of each member; ``sizes`` are the full ones.
+    """
     register(spark)
-    return spark.read.format("tarshards").option("mode", mode).option("splitBytes", split_bytes).load(path)
+    reader = spark.read.format("tarshards").option("mode", mode).option("splitBytes", split_bytes)
+    if head_bytes is not None:
+        reader = reader.option("headBytes", head_bytes)
+    return reader.load(path)
+
+
+def is_complete(folder: str) -> bool:
+    """Whether a finished write left its marker."""
+    return files.info(f"{folder}/{SUCCESS}").type == fs.FileType.File
 
 
 def write_tarshards(
@@ -258,13 +279,12 @@ def write_tarshards(
 
     Column names are member suffixes (``wav``, ``text.txt``, ``metadata.json``): binary as it is,
     float arrays as little-endian float32 (a ``wav`` array as 16-bit PCM at ``rate``), other values
-    as text, nulls left out. ``dense`` says that
-    ``order`` already counts 0..n-1, which saves numbering the rows.
+    as text, nulls left out. ``dense`` says that ``order`` already counts 0..n-1, which saves
+    numbering the rows; otherwise the input is scanned for its ordinals too, so give a written table.
     """
     if max_count < 1:
         raise ValueError("max_count must be >= 1")
-    done = files.info(f"{folder}/{SUCCESS}").type == fs.FileType.File
-    if done and not force:
+    if is_complete(folder) and not force:
         return False
     register(df.sparkSession)
     if rate is None and "wav" in df.columns and isinstance(df.schema["wav"].dataType, T.ArrayType):

@@ -108,6 +108,15 @@ def test_broken_shards_by_mode(spark, tmp_path):
         tarshards.read_tarshards(spark, str(tmp_path), "SOMEHOW").collect()
 
 
+@pytest.mark.parametrize("suffix", ["tar", "tar.gz"])
+def test_heads_and_sizes(spark, tmp_path, suffix):
+    write_tar(f"{tmp_path}/a.{suffix}", [("u.wav", b"abcdef"), ("u.txt", b"x"), ("v.wav", b"")])
+    rows = tarshards.read_tarshards(spark, str(tmp_path), head_bytes=2).orderBy("ordinal").collect()
+    assert [({k: bytes(v) for k, v in r.members.items()}, r.sizes) for r in rows] == [
+        ({"wav": b"ab", "txt": b"x"}, {"wav": 6, "txt": 1}), ({"wav": b""}, {"wav": 0})
+    ]
+
+
 def test_empty_folder(spark, tmp_path):
     assert tarshards.read_tarshards(spark, str(tmp_path)).count() == 0
 
@@ -284,11 +293,22 @@ def test_model_is_built_once_per_configuration():
     assert built == [1, 2, 1]
 
 
+def test_cleansing_to_shards(spark, fresh):
+    rows = speech(spark, [("a", 0, [0.25] * 80, 8000), ("b", 5, [0.25] * 80, 8000), ("c", 9, [9.0] * 80, 8000)])
+    folder = fresh("cleansed")
+    options = dict(chunk_seconds=0.1, config={"limit": 5.0})
+    counters = cleansing.cleanse_to_shards(rows, folder, double, 32000, 1, **options)
+    assert {(r.outcome, r.n_rows) for r in counters.collect()} == {("processed", 2), ("skipped", 1)}
+    back = tarshards.read_tarshards(spark, folder).orderBy("ordinal").collect()
+    assert [r.key for r in back] == ["a", "b"] and len(tarshards.list_shards(folder)) == 2
+    assert cleansing.cleanse_to_shards(rows, folder, double, 32000, 1, **options) is None
+
+
 def test_cleansing_flow(spark, fresh):
     rows = speech(spark, [("a", 0, [0.25] * 80, 8000), ("b", 1, [0.25] * 80, 8000), ("c", 2, [9.0] * 80, 8000)])
     rows = rows.withColumn("text", F.when(F.col("key") == "a", F.lit("é")).otherwise(F.lit("")))
     done = spark.createDataFrame([("b",)], "key string")
-    good, bad = cleansing.cleanse(rows, double, 32000, done, text_col="text", chunk_seconds=0.1, config={"limit": 5.0})
+    good, bad = cleansing.cleanse(rows, double, 32000, completed=done, text_col="text", chunk_seconds=0.1, config={"limit": 5.0})
     only = good.collect()
     assert [(r.key, len(r.wav), r.transcript) for r in only] == [("a", 320, "é")] and '"text":"é"' in only[0].metadata
     assert [(r.key, "too loud" in r.reason) for r in bad.collect()] == [("c", True)]
