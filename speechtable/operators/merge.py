@@ -1,11 +1,11 @@
 """Greedy merging of consecutive utterances to a target length, without a serial pass per shard.
 
 A group starts where the last one ended and closes at the first row that brings it to the target.
-That reset looks sequential, but with running totals a group starting at offset s closes at the
-first row whose end reaches s + target. So each block of ordinals can be turned into a small
-table "incoming closing point -> outgoing closing point" on its own; walking those tables once
-per group of shards gives every block its incoming point, and the blocks then label their rows
-independently. Only lengths take part; audio joins the labels afterwards.
+That reset looks sequential, but a group starting at offset s closes at the first row whose end
+reaches s + target. So each block of ordinals can be turned into a small table "incoming closing
+point -> outgoing closing point" on its own; walking those tables once per shard gives every block
+its incoming point, and the blocks then label their rows independently. Only lengths take part;
+audio joins the labels afterwards.
 """
 
 from __future__ import annotations
@@ -15,10 +15,12 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from speechtable.operators.ordering import BLOCK, running
+from speechtable.operators.ordering import BLOCK
 
 # 705,600,000 ticks per second divide evenly by all usual audio rates, so totals are exact.
 TICKS = 705_600_000
@@ -36,85 +38,102 @@ def target_ticks(seconds: float) -> int:
     return math.ceil(round(seconds * TICKS, 6))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Array]]:
     """Columns of each run of rows with equal first ``keys`` columns, in sorted input.
 
     A run may span batches; at most one run (a block, or a shard's walk table) is held.
     """
-    held: list[list[np.ndarray]] = []
+    held: list[list[pa.Array]] = []
     last = None
+    joined = lambda: [pa.concat_arrays(parts) if len(parts) > 1 else parts[0] for parts in zip(*held)]
     for batch in batches:
         n = batch.num_rows
         if n == 0:
             continue
-        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         changed = np.zeros(n, dtype=bool)
-        for column in columns[:keys]:
-            changed[1:] |= column[1:] != column[:-1]
-        changed[0] = last is not None and any(c[0] != v for c, v in zip(columns, last))
-        last = [c[-1] for c in columns[:keys]]
+        for column in batch.columns[:keys]:
+            differs = pc.not_equal(column.slice(1), column.slice(0, n - 1))
+            changed[1:] |= differs.to_numpy(zero_copy_only=False)
+        first = [c[0] for c in batch.columns[:keys]]
+        changed[0] = last is not None and first != last
+        last = [c[n - 1] for c in batch.columns[:keys]]
         edges = [0, *np.flatnonzero(changed).tolist(), n]
         for at, (low, high) in enumerate(zip(edges, edges[1:])):
             if at and held:
-                yield [np.concatenate(parts) for parts in zip(*held)]
+                yield joined()
                 held = []
             if high > low:
-                held.append([c[low:high] for c in columns])
+                held.append([c.slice(low, high - low) for c in batch.columns])
     if held:
-        yield [np.concatenate(parts) for parts in zip(*held)]
+        yield joined()
 
 
-def _per_run(keys: int, fn: Callable, names: Sequence[str]) -> Callable:
-    """mapInArrow function: ``fn(*columns)`` per run gives output columns, joined to larger batches."""
+def _per_run(keys: int, fn: Callable, names: Sequence[str], numbers: int) -> Callable:
+    """mapInArrow function: ``fn`` per run, with the shard as an Arrow array and numbers as NumPy.
+
+    ``fn`` takes the shard and the next ``numbers`` columns and gives output columns in either form,
+    joined to larger batches; columns after those stand beside its rows when ``names`` has them.
+    """
+
+    def whole(parts: Sequence) -> pa.Array:
+        return pa.concat_arrays(parts) if isinstance(parts[0], pa.Array) else pa.array(np.concatenate(parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready, rows = [], 0
-        flush = lambda parts: pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
-        for columns in _runs(batches, keys):
-            out = fn(*columns)
+        flush = lambda: pa.RecordBatch.from_arrays([whole(c) for c in zip(*ready)], names=names)
+        for shard, *others in _runs(batches, keys):
+            out = [*fn(shard, *(c.to_numpy() for c in others[:numbers])), *others[numbers:]][: len(names)]
             ready.append(out)
             rows += len(out[0])
             if rows >= BLOCK:
-                yield flush(ready)
+                yield flush()
                 ready, rows = [], 0
         if ready:
-            yield flush(ready)
+            yield flush()
 
     return run
 
 
-def _filled(value, n: int) -> np.ndarray:
-    return np.full(n, value, dtype=object if isinstance(value, str) else np.int64)
-
-
 def _reach(target: int) -> Callable:
-    """Per block: closing points that may come in, and what each turns into at the block's end."""
+    """Per block: closing points that may come in, and what each turns into at the block's end.
 
-    def run(shard, block, order, start, end):
-        n = len(start)
-        closes = np.searchsorted(end, start + target, side="left").tolist()
-        leaves = [0] * n + [int(end[-1]) + target]  # the last is a group that begins with the next block
-        for i in range(n - 1, -1, -1):
-            leaves[i] = int(start[i]) + target if closes[i] == n else leaves[closes[i] + 1]
-        last = min(closes[0], n - 1)
+    Points count from the block's start on the way in and from its end on the way out.
+    """
+
+    def run(shard, block, order, length):
+        end = np.cumsum(length)
+        start, total, n = end - length, end[-1], len(end)
+        closes = np.searchsorted(end, start + target, side="left")
+        # Follow group after group to the one open at the block's end, doubling the step each time;
+        # n stands for a group that begins with the next block.
+        last_group = np.append(np.where(closes < n, closes + 1, np.arange(n)), n)
+        while True:
+            further = last_group[last_group]
+            if np.array_equal(further, last_group):
+                break
+            last_group = further
+        leaves = np.append(start, total)[last_group] + target - total
+        last = min(int(closes[0]), n - 1)
         upto, first = np.unique(end[: last + 1], return_index=True)
-        return _filled(shard[0], len(upto)), _filled(block[0], len(upto)), upto, np.asarray(leaves, dtype=np.int64)[first + 1]
+        m = len(upto)
+        return pa.repeat(shard[0], m), np.full(m, block[0]), upto, leaves[first + 1], np.full(m, total)
 
     return run
 
 
 def _walk(target: int) -> Callable:
-    """Per shard: the closing point each block starts with (a few rows per 65,536 ordinals)."""
+    """Per shard: each block's incoming closing point and offset (a few rows per 65,536 ordinals)."""
 
-    def run(shard, block, upto, leaves):
+    def run(shard, block, upto, leaves, total):
         edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
-        point, points = target, []
+        point, offset, points, offsets = target, 0, [], []
         for low, high in zip(edges, edges[1:]):
             points.append(point)
+            offsets.append(offset)
             at = low + int(np.searchsorted(upto[low:high], point, side="left"))
-            if at < high:
-                point = int(leaves[at])
-        return _filled(shard[0], len(points)), block[edges[:-1]], np.asarray(points, dtype=np.int64)
+            point = int(leaves[at]) if at < high else point - int(total[low])
+            offset += int(total[low])
+        return pa.repeat(shard[0], len(points)), block[edges[:-1]], np.asarray(points), np.asarray(offsets)
 
     return run
 
@@ -122,16 +141,16 @@ def _walk(target: int) -> Callable:
 def _label(target: int) -> Callable:
     """Per block: the start offset of the group each row belongs to."""
 
-    def run(shard, block, order, start, end, entry):
-        group = np.empty(len(start), dtype=np.int64)
-        point, at = int(entry[0]), 0
+    def run(shard, block, order, length, entry, offset):
+        end = np.cumsum(length)
+        start = end - length
+        closes = np.searchsorted(end, start + target, side="left").tolist()
+        starts, at = [], int(np.searchsorted(end, entry[0], side="left")) + 1
         while at < len(start):
-            close = int(np.searchsorted(end, point, side="left"))
-            group[at : close + 1] = point - target
-            at = close + 1
-            if at < len(start):
-                point = int(start[at]) + target
-        return shard, order, group
+            starts.append(at)
+            at = closes[at] + 1
+        sizes = np.diff([0, *starts, len(start)])
+        return order, np.repeat(np.append(entry[0] - target, start[starts]), sizes) + offset[0]
 
     return run
 
@@ -147,33 +166,34 @@ def merge_groups(
     target = target_ticks(seconds)
     if target < 1:
         raise ValueError("seconds must be positive")
-    # Groups travel through Python as one JSON string, whatever the types of ``by``.
+    # One JSON string stands for the group, whatever the types of ``by``; nulls make a group too.
     shard = F.to_json(F.struct(*by), {"ignoreNullFields": "false"}) if by else F.lit("{}")
-    rows = df.select(F.col(order).cast("bigint").alias("_order"), shard.alias("_shard"),
-        ticks(F.col(n_samples), F.col(rate)).alias("_ticks"))
-    placed = running(rows, ["_shard"], "_order", {"_start": F.col("_ticks")}, index="_index", width=width)
-    placed = placed.select(
-        "_shard", "_order", F.col("_start").cast("bigint").alias("_start"),
-        (F.col("_start") + F.col("_ticks")).cast("bigint").alias("_end"),
-        F.floor(F.col("_order") / width).cast("bigint").alias("_block"),
+    carried = [F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]
+    ordinal = F.col(order).cast("bigint")
+    rows = df.select(
+        shard.alias("_shard"), F.floor(ordinal / width).cast("bigint").alias("_block"), ordinal.alias("_order"),
+        ticks(F.col(n_samples), F.col(rate)).alias("_ticks"), *carried,
     )
-    lengths = placed.select("_shard", "_block", "_order", "_start", "_end")
-    blocks = lengths.repartition("_shard", "_block").sortWithinPartitions("_shard", "_block", "_order")
-    reach = blocks.mapInArrow(
-        _per_run(2, _reach(target), ["_shard", "_block", "_upto", "_leaves"]),
-        "_shard string, _block bigint, _upto bigint, _leaves bigint",
+    # Both passes read the same exchange: it is planned once and reused.
+    blocks = rows.repartition("_shard", "_block")
+    in_order = lambda df: df.sortWithinPartitions("_shard", "_block", "_order")
+    reach = in_order(blocks).mapInArrow(
+        _per_run(2, _reach(target), ["_shard", "_block", "_upto", "_leaves", "_total"], 3),
+        "_shard string, _block bigint, _upto bigint, _leaves bigint, _total bigint",
     )
     entry = reach.repartition("_shard").sortWithinPartitions("_shard", "_block", "_upto").mapInArrow(
-        _per_run(1, _walk(target), ["_shard", "_block", "_point"]), "_shard string, _block bigint, _point bigint"
-    )
-    entered = lengths.join(entry, ["_shard", "_block"]).repartition("_shard", "_block")
-    labels = entered.sortWithinPartitions("_shard", "_block", "_order").mapInArrow(
-        _per_run(2, _label(target), ["_shard", "_order", "group_start"]), "_shard string, _order bigint, group_start bigint"
+        _per_run(1, _walk(target), ["_shard", "_block", "_point", "_offset"], 4),
+        "_shard string, _block bigint, _point bigint, _offset bigint",
     )
-    if not by:
-        return labels.select(F.col("_order").alias(order), "group_start")
-    group = F.from_json("_shard", df.select(*by).schema)
-    return labels.select(*[group[c].alias(c) for c in by], F.col("_order").alias(order), "group_start")
+    # Every block has its entry; an inner join would filter nulls below the exchange and part the two.
+    entered = blocks.join(entry, ["_shard", "_block"], "left")
+    columns = ["_shard", "_block", "_order", "_ticks", "_point", "_offset", *[f"_by{i}" for i in range(len(by))]]
+    out = T.StructType([
+        T.StructField("_order", T.LongType()), T.StructField("group_start", T.LongType()),
+        *[T.StructField(f"_by{i}", df.schema[c].dataType) for i, c in enumerate(by)],
+    ])
+    labels = in_order(entered.select(*columns)).mapInArrow(_per_run(2, _label(target), out.names, 5), out)
+    return labels.select(*[F.col(f"_by{i}").alias(c) for i, c in enumerate(by)], F.col("_order").alias(order), "group_start")
 
 
 def merge_to_length(

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from speechtable.operators import audit, degrade, pairing, records, selection
+from speechtable.operators import audit, degrade, merge, pairing, records, selection
 from speechtable.operators.ordering import running
 from speechtable.plans import fixtures as fx
 from speechtable.sources import corpus, ingest
@@ -73,3 +73,25 @@ def test_readable_filter_runs_before_decoding(spark):
 def test_quarantine_reads_no_more_than_needed(spark, sf):
     good, _ = records.split_quarantine(fx.utt(spark, sf), {"no rate": F.col("sample_rate").isNull()})
     assert "text" not in plan(good.select("key")).split("ReadSchema:")[1]
+
+
+def test_merge_shuffles_lengths_once(spark, sf):
+    labels = merge.merge_groups(fx.utt(spark, sf).withColumn("sample_rate", F.lit(1000)), 20.0, ["shard"])
+    labels.collect()
+    final = plan(labels)
+    assert "ReusedExchange" in final and "text" not in final.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_shard_numbers_do_not_shuffle_the_rows(spark, sf):
+    from speechtable.operators.ordering import assign_shards
+
+    numbered = assign_shards(fx.wave(spark, sf).withColumnRenamed("key", "ordinal"), 100)
+    numbered.collect()
+    assert "BroadcastHashJoin" in plan(numbered).split("Initial Plan")[0]
+
+
+def test_large_ordinals_and_negative_ones_keep_their_order(spark):
+    from speechtable.operators.ordering import running
+
+    df = spark.createDataFrame([(-(1 << 40),), (-1,), (0,), (1 << 52,), ((1 << 52) + 1,)], "ordinal bigint")
+    assert [r.row_index for r in running(df).orderBy("ordinal").collect()] == [0, 1, 2, 3, 4]
