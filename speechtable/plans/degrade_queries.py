@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from speechtable.functions import draws, kernels, waves
+from speechtable.functions import waves
 from speechtable.operators import degrade, distance, features, ordering, pairing, records, restore, segment
 from speechtable.plans import fixtures as fx
 from speechtable.plans.registry import (
@@ -482,7 +482,8 @@ def _mels(spark, sf):
 )
 def log_mel_table(spark, sf):
     rows = features.long_features(_mels(spark, sf))
-    return rows.select("key", F.col("frame").cast("bigint").alias("frame"), F.col("mel").cast("bigint").alias("mel"), F.round("value", 6).alias("value"))
+    place = [F.col(c).cast("bigint").alias(c) for c in ("frame", "mel")]
+    return rows.select("key", *place, F.round("value", 6).alias("value"))
 
 
 _FRAMED = """frames AS (SELECT key, CAST(unnest(range(len(samples) // 8)) AS INT) AS frame, samples FROM signal),

@@ -114,7 +114,7 @@ def chunk_slices(spark, sf):
     return selection.slice_chunks(fx.utt(spark, sf), 6).select("ordinal", "chunk_id")
 
 
-@query("SELECT shard, count(*) AS n, sum(ordinal) AS ordinals FROM utt GROUP BY shard", ["utt"])
+@query("SELECT shard, count(*) AS n, CAST(sum(ordinal) AS BIGINT) AS ordinals FROM utt GROUP BY shard", ["utt"])
 def shards_by_worker(spark, sf):
     dealt = selection.by_shard(fx.utt(spark, sf), 8)
     return dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum("ordinal").alias("ordinals"))

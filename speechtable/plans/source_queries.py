@@ -129,7 +129,11 @@ def undecodable_members(spark, sf):
     return decoded.filter(F.col("status").isNotNull()).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT key, CAST(len(samples) AS BIGINT) AS n_samples, sample_rate FROM wave WHERE key % 11 <> 0 AND key % 7 <> 0 AND key % 10 <> 0", ["wave"])
+@query(
+    """SELECT key, CAST(len(samples) AS BIGINT) AS n_samples, sample_rate FROM wave
+        WHERE key % 11 <> 0 AND key % 7 <> 0 AND key % 10 <> 0""",
+    ["wave"],
+)
 def probed_members(spark, sf):
     """Lengths and rates from the first bytes of each WAV member."""
     probed = ingest.probe_waves(_wav_members(spark, sf).select("key", "name", "wav"), "wav", "name")
@@ -161,8 +165,8 @@ def corpus_split(spark, sf):
 
 @query(
     """SELECT shard AS split, CASE WHEN shard = 'src1' THEN 'second' ELSE 'first' END AS run, count(*) AS n,
-        sum(ordinal) AS ordinals FROM utt GROUP BY ALL
-        UNION ALL SELECT shard, 'first', count(*), sum(ordinal) FROM utt WHERE shard = 'src1' GROUP BY ALL""",
+        CAST(sum(ordinal) AS BIGINT) AS ordinals FROM utt GROUP BY ALL
+        UNION ALL SELECT shard, 'first', count(*), CAST(sum(ordinal) AS BIGINT) FROM utt WHERE shard = 'src1' GROUP BY ALL""",
     ["utt"],
 )
 def split_run_layout(spark, sf):
@@ -218,7 +222,7 @@ def shard_file_hours(spark, sf):
     return hours.select(F.regexp_extract("shard", r"-(\d+)\.tar$", 1).cast("int").alias("shard_number"), "hours", "n_utterances")
 
 
-@query("SELECT shard, count(*) AS n, sum(n_samples) AS n_samples FROM utt GROUP BY shard", ["utt"])
+@query("SELECT shard, count(*) AS n, CAST(sum(n_samples) AS BIGINT) AS n_samples FROM utt GROUP BY shard", ["utt"])
 def streamed_corpus(spark, sf):
     source = settings.fresh_path(spark, "stream-in")
     fx.utt(spark, sf).repartition("key").write.parquet(source)

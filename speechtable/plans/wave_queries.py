@@ -6,8 +6,8 @@ import math
 
 from pyspark.sql import functions as F
 
-from speechtable.functions import kernels, waves
-from speechtable.operators import merge, ordering, records, segment, selection
+from speechtable.functions import kernels
+from speechtable.operators import merge, ordering, records, segment
 from speechtable.plans import fixtures as fx
 from speechtable.plans.registry import (
     digest, query, samples_long, sql_digest, sql_draw, sql_long, sql_resample, sql_samples,

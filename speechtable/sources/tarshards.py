@@ -9,7 +9,6 @@ files which the commit renames, so a retried task leaves nothing behind.
 from __future__ import annotations
 
 import io
-import os.path
 import tarfile
 import uuid
 from collections.abc import Iterator
