@@ -43,8 +43,8 @@ def _list_array(rows: list, item: pa.DataType) -> pa.Array:
     if pa.types.is_list(item):
         flat = _list_array([x for r in rows if r is not None for x in r], item.value_type)
     else:
-        parts = [np.asarray(r) for r in rows if r is not None and len(r)]
-        flat = pa.array(np.concatenate(parts) if parts else np.empty(0)).cast(item)
+        parts = [np.asarray(r, dtype=item.to_pandas_dtype()) for r in rows if r is not None and len(r)]
+        flat = pa.array(np.concatenate(parts) if parts else [], type=item)
     mask = pa.array([r is None for r in rows]) if any(r is None for r in rows) else None
     return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=mask)
 
@@ -53,6 +53,13 @@ def _to_arrow(rows: list, kind: pa.DataType) -> pa.Array:
     return _list_array(rows, kind.value_type) if pa.types.is_list(kind) else pa.array(rows, type=kind)
 
 
+def _kept(value, kind: pa.DataType):
+    """A waveform in its column's precision, so that a batch does not pile up in double."""
+    if isinstance(value, np.ndarray) and pa.types.is_list(kind) and pa.types.is_float32(kind.value_type):
+        return value.astype(np.float32, copy=False)
+    return value
+
+
 _ARROW = {"float": pa.float32(), "double": pa.float64(), "int": pa.int32(), "bigint": pa.int64(),
           "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
 
@@ -120,7 +127,7 @@ def with_stage(
             rows, notes = [], []
             for values in zip(*(_column(c) for c in columns)):
                 try:
-                    rows.append(kernel(*values))
+                    rows.append([_kept(v, kind) for v, kind in zip(kernel(*values), kinds)])
                     notes.append(None)
                 except Exception as error:  # a bad row, reported through its status
                     if not keep_going:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os.path
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs
@@ -70,10 +71,12 @@ def _require_files(df: DataFrame) -> DataFrame:
     return df.mapInArrow(check, df.schema)
 
 
-def _expand(spark: SparkSession, entry: str, rank: tuple[int, ...], depth: int) -> Iterator[DataFrame]:
-    one = lambda path: spark.range(1).select(_rank(rank).alias("rank"), F.lit(path).alias("path"))
+def _expand(
+    spark: SparkSession, entry: str, rank: tuple[int, ...], depth: int
+) -> Iterator[DataFrame | tuple[list[int], str]]:
+    """Tables of shards below folders and manifests, and (rank, path) of entries that are shards."""
     if entry.startswith(REMOTE_PREFIXES):
-        yield one(entry)
+        yield list(rank), entry
         return
     found = files.info(os.path.expanduser(entry))
     path = os.path.normpath(os.path.expanduser(entry)) if "://" not in entry else entry
@@ -82,7 +85,7 @@ def _expand(spark: SparkSession, entry: str, rank: tuple[int, ...], depth: int)
     if found.type == fs.FileType.Directory:
         yield _folder(spark, path, rank)
     elif path.endswith(SHARD_SUFFIXES):
-        yield one(os.path.abspath(path) if "://" not in path else path)
+        yield list(rank), os.path.abspath(path) if "://" not in path else path
     elif path.endswith(MANIFEST_SUFFIX):
         if depth >= MAX_NESTING:
             raise ValueError(f"manifests nested deeper than {MAX_NESTING}: {entry}")
@@ -100,12 +103,15 @@ def _expand(spark: SparkSession, entry: str, rank: tuple[int, ...], depth: int)
 def shard_catalog(spark: SparkSession, inputs: str | Sequence[str]) -> DataFrame:
     """(ordinal, path) of all shards in input order, first occurrence kept."""
     inputs = [inputs] if isinstance(inputs, str) else list(inputs)
-    listed = None
+    if not inputs:
+        raise ValueError("no inputs given")
+    tables, named = [], []
     for at, entry in enumerate(inputs):
         for part in _expand(spark, entry, (at,), 0):
-            listed = part if listed is None else listed.unionByName(part)
-    if listed is None:
-        raise ValueError("no inputs given")
+            (tables if isinstance(part, DataFrame) else named).append(part)
+    if named:
+        tables.append(spark.createDataFrame(named, "rank array<bigint>, path string"))
+    listed = reduce(DataFrame.unionByName, tables)
     firsts = listed.groupBy("path").agg(F.min("rank").alias("rank"))
     # Folder by folder: paths compare by their parts.
     return dense_ordinal(firsts, ["rank", F.split("path", "/")]).select("ordinal", "path")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from speechtable.operators.ordering import dense_ordinal
+from speechtable.sources import files
 
 
 def read_corpus(
@@ -32,14 +33,23 @@ def stream_corpus(spark: SparkSession, path: str, max_files: int, schema: T.Stru
 
 
 def export_corpus(df: DataFrame, path: str, max_rows: int | None = None, mode: str = "errorifexists") -> bool:
-    """Write Parquet with at most ``max_rows`` rows per file; nothing is written for an empty table."""
-    if df.isEmpty():
-        return False
-    writer = df.write.mode(mode)
+    """Write Parquet with at most ``max_rows`` rows per file; False, and no folder, for an empty table.
+
+    Rows are counted by the write itself, so the table is computed once.
+    """
+    if mode not in ("errorifexists", "append"):
+        raise ValueError("mode must be 'errorifexists' or 'append'")
+    rows = Observation("export")
+    writer = df.observe(rows, F.count(F.lit(1)).alias("n")).write.mode(mode)
     if max_rows is not None:
         writer = writer.option("maxRecordsPerFile", max_rows)
     writer.parquet(path)
-    return True
+    if rows.get["n"]:
+        return True
+    if mode == "errorifexists":
+        system, inner = files.locate(path)
+        system.delete_dir(inner)  # the empty folder this call made
+    return False
 
 
 def write_split(df: DataFrame, root: str, run: str, max_rows: int | None = None) -> None:
