@@ -123,7 +123,7 @@ def best_lag_fit(reference: np.ndarray, x: np.ndarray) -> np.ndarray:
     # The transform rounds, so lags close to the least error are compared exactly.
     near = np.flatnonzero(error <= error.min() + 1e-9 * max(1.0, squares[-1]))
     exact = [float(np.mean((ref[i : i + m] - x) ** 2)) for i in near]
-    lag = int(near[int(np.argmin(exact))])
+    lag = int(near[int(np.argmin(exact))]) if exact else 0  # NaN has no least error
     out[lag : lag + m] = x
     return out
 

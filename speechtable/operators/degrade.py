@@ -69,6 +69,8 @@ def plan_draws(df: DataFrame, noise: DataFrame, rirs: DataFrame, stages: Sequenc
 def _degrade_row(stages: Sequence[Stage]) -> Callable:
     def run(x, rate, rir, rir_rate, noise, noise_rate, drawn):
         clean = noisy = np.asarray(x, dtype=np.float64)
+        if np.isnan(noisy).any():
+            return clean, noisy  # silence before normalising; the NaN filter takes it out
         for s, on in zip(stages, drawn["on"]):
             if not on or len(noisy) == 0:
                 continue
@@ -119,6 +121,8 @@ def degrade(
         return with_stage(ready, chain, f"clean array<{kind}>, noisy array<{kind}>", inputs, drop=helpers)
 
     def paired(x, r, *rest):
+        if np.isnan(x).any():
+            return (None,) * 4
         full = [kernels.resample(v, r, target) for v in chain(x, r, *rest)]
         every = [*full, *(kernels.resample(v, target, low) for v in full)]
         if any(np.isnan(v).any() for v in every):

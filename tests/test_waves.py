@@ -259,6 +259,18 @@ def test_chain_is_the_same_under_any_partitioning(spark, sf):
     assert total(1) == total(3) == total(17)
 
 
+def test_silence_leaves_the_chain(spark, sf):
+    noise, rirs = fx.noise_pool(spark, sf), fx.rir_pool(spark, sf)
+    rows = spark.createDataFrame([("quiet", [0.0] * 64, 16), ("loud", [0.5, -0.5] * 32, 16)], "key string, samples array<double>, sample_rate int")
+    crops = segment.prepare_crops(rows, 2, 2.0, cutoff=2.0)
+    codec = degrade.with_codec(lambda x, rate: x[:-3])
+    forced = [degrade.Stage(s.name, 1.0, s.fn) for s in codec if s.name != "reverb"]
+    kept = degrade.degrade(crops, noise, rirs, forced, band_rates=(8,), target=24, low=8).collect()
+    assert [r.key for r in kept] == ["loud", "loud"]
+    assert degrade.degrade(crops, noise, rirs, forced, band_rates=(8,)).count() == 4
+    assert kernels.best_lag_fit(np.full(4, np.nan), np.ones(3)).tolist() == [1, 1, 1, 0]
+
+
 def test_user_stages(spark, sf):
     noise, rirs = fx.noise_pool(spark, sf), fx.rir_pool(spark, sf)
     gain = lambda x, rate, by: x * by
