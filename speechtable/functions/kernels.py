@@ -83,6 +83,18 @@ def peak_normalize(x: np.ndarray) -> np.ndarray:
         return (np.asarray(x, dtype=np.float64) / np.max(np.abs(x), initial=0.0) + 1e-7) * 0.9
 
 
+def clip_quantiles(x: np.ndarray, low: float, high: float) -> np.ndarray:
+    return np.clip(x, *np.quantile(x, [low, high])) if len(x) else x
+
+
+def drop_spans(x: np.ndarray, spans: list) -> np.ndarray:
+    """x with half-open spans {s, e} set to zero."""
+    out = np.array(x)
+    for span in spans:
+        out[span["s"] : span["e"]] = 0.0
+    return out
+
+
 def mix_at_snr(x: np.ndarray, noise: np.ndarray, snr_db: float) -> np.ndarray:
     """Tile the noise over x and add it at the signal-to-noise ratio."""
     tiled = np.resize(noise, len(x)).astype(np.float64)

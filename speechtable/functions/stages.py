@@ -20,6 +20,16 @@ from pyspark.sql import types as T
 STATUS = "status"
 
 
+ENGINES = ("native", "arrow")
+
+
+def is_arrow(engine: str) -> bool:
+    """Operators with both forms: "native" for short arrays, "arrow" for long waveforms."""
+    if engine not in ENGINES:
+        raise ValueError(f"engine must be one of {ENGINES}")
+    return engine == "arrow"
+
+
 def sample_type(df: DataFrame, col: str) -> str:
     """Element type name of a waveform column ('float' or 'double')."""
     return df.schema[col].dataType.elementType.simpleString()

@@ -82,11 +82,9 @@ def _degrade_row(stages: Sequence[Stage]) -> Callable:
                 band = drawn["band_rate"]
                 noisy = kernels.resample(kernels.resample(noisy, rate, band), band, rate)
             elif s.name == "clip":
-                noisy = np.clip(noisy, *np.quantile(noisy, [drawn["clip_low"], drawn["clip_high"]]))
+                noisy = kernels.clip_quantiles(noisy, drawn["clip_low"], drawn["clip_high"])
             elif s.name == "loss":
-                noisy = noisy.copy()
-                for span in drawn["spans"]:
-                    noisy[span["s"] : span["e"]] = 0.0
+                noisy = kernels.drop_spans(noisy, drawn["spans"])
             elif s.fn is not None:
                 noisy = kernels.best_lag_fit(noisy, np.asarray(s.fn(noisy, rate, **s.options), dtype=np.float64))
         return clean, noisy

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from speechtable.functions import draws, kernels, waves
-from speechtable.functions.stages import sample_type, with_stage
+from speechtable.functions.stages import is_arrow, sample_type, with_stage
 from speechtable.operators.ordering import running
 from speechtable.operators.segment import random_crop
 
@@ -109,8 +109,14 @@ def draw_snr(df: DataFrame, key: str = "key", seed: int = draws.DEFAULT_SEED, na
     return df.withColumn(name, draws.uniform(F.col(key), "snr", *SNR_DB, seed=seed))
 
 
-def mix_snr(df: DataFrame, snr_col: str = "snr_db", x: str = "noisy", noise: str = "noise") -> DataFrame:
-    """x plus the noise (of the same length) scaled to the signal-to-noise ratio; no noise, no change."""
+def mix_snr(df: DataFrame, snr_col: str = "snr_db", x: str = "noisy", noise: str = "noise", engine: str = "native") -> DataFrame:
+    """x plus the noise (of the same length) scaled to the signal-to-noise ratio; no noise, no change.
+
+    The Arrow form tiles the noise itself.
+    """
+    if is_arrow(engine):
+        kernel = lambda a, b, snr: (a if a is None or b is None else kernels.mix_at_snr(a, b, snr),)
+        return with_stage(df, kernel, f"`{x}` array<{sample_type(df, x)}>", [x, noise, snr_col])
     gain = waves.snr_gain(F.col(x), F.col(noise), F.col(snr_col))
     mixed = waves.mixed(F.col(x), F.col(noise), gain)
     return df.withColumn(x, F.when(F.col(noise).isNotNull(), mixed).otherwise(F.col(x).cast("array<double>")))
@@ -171,10 +177,13 @@ def band_limit(
 
 
 def quantile_clip(df: DataFrame, low: Column | None = None, high: Column | None = None, col: str = "noisy", key: str = "key",
-                  seed: int = draws.DEFAULT_SEED) -> DataFrame:
+                  seed: int = draws.DEFAULT_SEED, engine: str = "native") -> DataFrame:
     """Clamp at the low and high quantiles, drawn per row unless given."""
     low = low if low is not None else draws.uniform(F.col(key), "clip.low", *CLIP_LOW, seed=seed)
     high = high if high is not None else draws.uniform(F.col(key), "clip.high", *CLIP_HIGH, seed=seed)
+    if is_arrow(engine):
+        kernel = lambda x, a, b: (None if x is None else kernels.clip_quantiles(x, a, b),)
+        return with_stage(df, kernel, f"`{col}` array<{sample_type(df, col)}>", [col, low, high])
     return df.withColumn(col, waves.quantile_clipped(F.col(col), low, high))
 
 
@@ -205,7 +214,11 @@ def loss_spans(
 def packet_loss(
     df: DataFrame, seed: int = draws.DEFAULT_SEED, col: str = "noisy", rate: str = "sample_rate", key: str = "key",
     low_ms: float = LOSS_MS[0], high_ms: float = LOSS_MS[1], per_10s: float = LOSSES_PER_10_SECONDS,
+    engine: str = "native",
 ) -> DataFrame:
     """Zero int(duration * 3 / 10) drawn spans of 20 to 200 ms."""
     spans = loss_spans(F.col(key), F.size(col), F.col(rate), low_ms, high_ms, per_10s, seed)
+    if is_arrow(engine):
+        kernel = lambda x, p: (None if x is None else kernels.drop_spans(x, p),)
+        return with_stage(df, kernel, f"`{col}` array<{sample_type(df, col)}>", [col, spans])
     return df.withColumn(col, waves.dropped(F.col(col), spans))

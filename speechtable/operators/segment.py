@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from speechtable.functions import draws, kernels, waves
-from speechtable.functions.stages import sample_type, with_stage
+from speechtable.functions.stages import is_arrow, sample_type, with_stage
 
 MODEL_RATE = 16000
 
@@ -61,8 +61,11 @@ def low_cut(df: DataFrame, cutoff: float = 50.0, col: str = "samples", rate: str
     )
 
 
-def normalize(df: DataFrame, col: str = "samples", to: str | None = None) -> DataFrame:
-    """Peak normalisation; silent rows get null samples, which ``drop_nan`` removes."""
+def normalize(df: DataFrame, col: str = "samples", to: str | None = None, engine: str = "native") -> DataFrame:
+    """Peak normalisation; silent rows get null (in Arrow NaN) samples, which ``drop_nan`` removes."""
+    if is_arrow(engine):
+        kernel = lambda x: (None if x is None else kernels.peak_normalize(x),)
+        return with_stage(df, kernel, f"`{to or col}` array<{sample_type(df, col)}>", [col])
     return df.withColumn(to or col, waves.normalized(F.col(col)))
 
 

@@ -259,6 +259,22 @@ def test_chain_is_the_same_under_any_partitioning(spark, sf):
     assert total(1) == total(3) == total(17)
 
 
+def test_both_engines_agree(spark, sf):
+    rows = fx.wave(spark, sf).withColumn("noisy", F.col("samples"))
+    paired = pairing.draw_snr(pairing.pair_noise(rows, fx.noise_pool(spark, sf), p=0.5))
+    operators = {
+        "clip": (lambda e: pairing.quantile_clip(rows, engine=e)),
+        "loss": (lambda e: pairing.packet_loss(rows, per_10s=20.0, engine=e)),
+        "norm": (lambda e: segment.normalize(rows, "noisy", engine=e)),
+        "snr": (lambda e: pairing.mix_snr(paired if e == "arrow" else pairing.tile_to(paired, "noise", F.size("noisy")), engine=e)),
+    }
+    for name, run in operators.items():
+        native, arrow = ({r.key: r.noisy for r in run(e).select("key", "noisy").collect()} for e in ("native", "arrow"))
+        assert native.keys() == arrow.keys() and all(np.allclose(native[k], arrow[k], atol=1e-9) for k in native), name
+    with pytest.raises(ValueError):
+        segment.normalize(rows, engine="magic")
+
+
 def test_silence_leaves_the_chain(spark, sf):
     noise, rirs = fx.noise_pool(spark, sf), fx.rir_pool(spark, sf)
     rows = spark.createDataFrame([("quiet", [0.0] * 64, 16), ("loud", [0.5, -0.5] * 32, 16)], "key string, samples array<double>, sample_rate int")
