@@ -25,3 +25,9 @@ def info(path: str) -> fs.FileInfo:
 def plain(path: str) -> str:
     """A Hadoop file URI as the local path it stands for; other URIs as they are."""
     return "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
+
+
+def full(uri: str, root: str, inner: str) -> str:
+    """URI of ``inner``, a path of the file system in which ``uri`` stands for ``root``."""
+    uri, root = uri.rstrip("/"), root.rstrip("/")
+    return uri[: len(uri) - len(root)] + inner if uri.endswith(root) else inner

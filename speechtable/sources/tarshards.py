@@ -118,18 +118,15 @@ class TarShardReader(DataSourceReader):
 
     def partitions(self) -> list[ShardRange]:
         ranges = []
+        root = files.locate(self.path)[1]
         for number, shard in enumerate(list_shards(self.path)):
             whole = shard.path.endswith(".gz") or shard.size <= self.split_bytes
             step = shard.size + 1 if whole else self.split_bytes
-            uri = self.path if shard.path == files.locate(self.path)[1] else self._full(shard.path)
+            uri = files.full(self.path, root, shard.path)
             ranges += [ShardRange(uri, number, at, at + step) for at in range(0, max(shard.size, 1), step)]
         # An empty listing still needs one (empty) partition.
         return ranges or [ShardRange("", 0, 0, 0)]
 
-    def _full(self, inner: str) -> str:
-        scheme, sep, _ = self.path.partition("://")
-        return f"{scheme}://{inner}" if sep and scheme != "file" else inner
-
     def read(self, partition: ShardRange) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from speechtable.operators import audit, records, restore, selection
 from speechtable.plans import audits, cleansing
-from speechtable.sources import catalog, corpus, ingest, tarshards
+from speechtable.sources import catalog, corpus, files, ingest, tarshards
 
 
 def write_tar(path, members):
@@ -117,6 +117,21 @@ def test_heads_and_sizes(spark, tmp_path, suffix):
     ]
 
 
+def test_shard_uris():
+    full = files.full
+    assert full("/a/b/", "/a/b", "/a/b/c.tar") == "/a/b/c.tar"
+    assert full("hdfs://h:9000/a", "/a", "/a/c.tar") == "hdfs://h:9000/a/c.tar"
+    assert full("s3a://bucket/a", "bucket/a", "bucket/a/c.tar") == "s3a://bucket/a/c.tar"
+    assert files.locate("file:///a/b")[1] == files.locate("file:/a/b")[1] == "/a/b"
+    assert full("file:///a/b", "/a/b", "/a/b/c.tar") == "file:///a/b/c.tar" and files.plain("file:///a/b") == "/a/b"
+
+
+def test_file_uris_read_like_paths(spark, tmp_path):
+    write_tar(f"{tmp_path}/d/a.tar", [("u.wav", b"1")])
+    for path in (f"file://{tmp_path}", f"{tmp_path}/d/a.tar", f"file://{tmp_path}/d/a.tar"):
+        assert [(r.shard, r.key) for r in tarshards.read_tarshards(spark, path).collect()] == [(f"{tmp_path}/d/a.tar", "u")]
+
+
 def test_empty_folder(spark, tmp_path):
     assert tarshards.read_tarshards(spark, str(tmp_path)).count() == 0
 
