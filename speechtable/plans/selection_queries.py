@@ -16,7 +16,7 @@ def _rated(spark, sf):
 
 
 @query(
-    """SELECT shard, round(sum(n_samples / CAST(coalesce(sample_rate, 500) AS DOUBLE)) / 3600, 6) AS hours,
+    """SELECT shard, round(sum(n_samples / CAST(coalesce(sample_rate, 500) AS DOUBLE)) / 3600, 9) AS hours,
         count(n_samples) AS n_utterances FROM utt GROUP BY shard""",
     ["utt"],
 )
@@ -25,7 +25,7 @@ def shard_hours(spark, sf):
 
 
 @query(
-    """SELECT shard, round(sum(n_samples / CAST(coalesce(sample_rate, 500) AS DOUBLE)) / 3600, 6) AS hours,
+    """SELECT shard, round(sum(n_samples / CAST(coalesce(sample_rate, 500) AS DOUBLE)) / 3600, 9) AS hours,
         CAST(grouping(shard) AS INT) AS is_total FROM utt GROUP BY ROLLUP(shard)""",
     ["utt"],
 )
@@ -62,14 +62,20 @@ def run_counters(spark, sf):
 
 
 
+# Shards of 200 ordinals each, so that their number grows with the table and their size does not.
+_SMALL_SHARDS = "WITH small AS (SELECT * REPLACE (shard || '-' || (ordinal // 200) AS shard) FROM utt)"
+
+
 def _long_failures(spark, sf):
-    joined = fx.utt(spark, sf).join(fx.flag(spark, sf), "ordinal", "left")
-    _, bad = records.split_quarantine(joined, {"too long": F.col("n_samples") > 15000})
-    return audit.shard_failures(joined, bad)
+    small = F.concat_ws("-", "shard", F.floor(F.col("ordinal") / 200))
+    rows = fx.utt(spark, sf).withColumn("shard", small)
+    _, bad = records.split_quarantine(rows, {"too long": F.col("n_samples") > 15000})
+    return audit.shard_failures(rows, bad)
 
 
 @query(
-    """SELECT shard, count(*) AS n_failed, 'too long' AS reason FROM utt WHERE n_samples > 15000 GROUP BY shard""",
+    _SMALL_SHARDS
+    + " SELECT shard, count(*) AS n_failed, 'too long' AS reason FROM small WHERE n_samples > 15000 GROUP BY shard",
     ["utt"],
 )
 def shard_failure_report(spark, sf):
@@ -77,9 +83,10 @@ def shard_failure_report(spark, sf):
 
 
 @query(
-    """SELECT shard, round(sum(n_samples / CAST(coalesce(sample_rate, 500) AS DOUBLE)) / 3600, 6) AS hours,
+    _SMALL_SHARDS
+    + """ SELECT shard, round(sum(n_samples / CAST(coalesce(sample_rate, 500) AS DOUBLE)) / 3600, 9) AS hours,
         count(n_samples) AS n_utterances
-        FROM utt WHERE shard NOT IN (SELECT shard FROM utt WHERE n_samples > 15000) GROUP BY shard""",
+        FROM small WHERE shard NOT IN (SELECT shard FROM small WHERE n_samples > 15000) GROUP BY shard""",
     ["utt"],
 )
 def hours_without_failed_shards(spark, sf):

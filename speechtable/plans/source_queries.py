@@ -207,7 +207,7 @@ def unmarked_units(spark, sf):
 
 
 @query(
-    """SELECT CAST(i AS INT) AS shard_number, round(sum(64 / 16.0) / 3600, 6) AS hours, count(*) AS n_utterances
+    """SELECT CAST(i AS INT) AS shard_number, round(sum(64 / 16.0) / 3600, 9) AS hours, count(*) AS n_utterances
         FROM (SELECT (row_number() OVER (ORDER BY key) - 1) // 250 AS i FROM wave) GROUP BY i""",
     ["wave"],
 )
@@ -292,7 +292,7 @@ def cleansed_shards(spark, sf):
 
 @query(
     """WITH s AS (SELECT CAST((row_number() OVER (ORDER BY key) - 1) // 250 AS INT) AS shard_number FROM wave)
-        SELECT shard_number, round(sum(64 / 16.0) / 3600, 6) AS hours, CAST(grouping(shard_number) AS INT) AS is_total
+        SELECT shard_number, round(sum(64 / 16.0) / 3600, 9) AS hours, CAST(grouping(shard_number) AS INT) AS is_total
         FROM s GROUP BY ROLLUP(shard_number)""",
     ["wave"],
 )

@@ -204,22 +204,22 @@ def test_audit_names_failed_shards_and_leaves_them_out(spark, tmp_path):
     (tmp_path / "c.tar").write_bytes(b"junk" * 400)
     hours, failures = audits.audit_shards(spark, str(tmp_path), audio="x.pth")
     assert {(os.path.basename(r.shard) if r.shard else None): r.hours for r in hours.collect()} == {
-        "a.tar": round(1 / 3600, 6), None: round(1 / 3600, 6)
+        "a.tar": round(1 / 3600, 9), None: round(1 / 3600, 9)
     }
     assert {(os.path.basename(r.shard), r.reason) for r in failures.collect()} == {
         ("b.tar", "no sample rate"), ("c.tar", "unreadable shard")
     }
     known, _ = audits.audit_shards(spark, str(tmp_path), audio="x.pth", default_rate=8000)
-    assert known.filter("is_total = 1").first().hours == round(3 / 3600, 6)
+    assert known.filter("is_total = 1").first().hours == round(3 / 3600, 9)
 
 
 def test_audit_of_wav_members(spark, tmp_path):
     write_tar(f"{tmp_path}/a.tar", [("u.wav", pcm(np.zeros(4000, dtype="<i2").tobytes())), ("v.wav", pcm(np.zeros(4000, dtype="<i2").tobytes()))])
     hours, failures = audits.audit_shards(spark, str(tmp_path), audio="wav")
-    assert hours.filter("is_total = 1").first().hours == round(1 / 3600, 6) and failures.count() == 0
+    assert hours.filter("is_total = 1").first().hours == round(1 / 3600, 9) and failures.count() == 0
     write_tar(f"{tmp_path}/b.tar", [("u.wav", b"RIFF"), ("w.txt", b"no audio")])
     hours, failures = audits.audit_shards(spark, str(tmp_path), audio="wav")
-    assert hours.filter("is_total = 1").first().hours == round(1 / 3600, 6)
+    assert hours.filter("is_total = 1").first().hours == round(1 / 3600, 9)
     assert [os.path.basename(r.shard) for r in failures.collect()] == ["b.tar"]
 
 
