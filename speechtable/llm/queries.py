@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from speechtable.llm import chat, embed, quality_rules, rule_ensemble, simhash
+from speechtable.llm import bpe, chat, embed, packing, quality_rules, rule_ensemble, simhash
 from speechtable.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -69,3 +75,24 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(flat, 256).alias("turns_sha256"),
         F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query()
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(1)
+            ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
+            hashes = [hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends).astype(np.int64)), pa.array(hashes), ids], ["doc_id", "n_tokens", "ids_sha256", "ids"])
+
+    found = bpe.encode(table(spark, sf_dir, "documents"), path)
+    found = found.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, ids array<int>")
+    return found.select("doc_id", "n_tokens", "ids_sha256", F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))

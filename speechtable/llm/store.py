@@ -98,14 +98,18 @@ def bits_for(df: DataFrame) -> int:
     return max(3, math.ceil(math.log2(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
 
 
-def build(df: DataFrame, key: str, columns: dict[str, str], reduce: Reduce | None = None, bits: int | None = None) -> Store:
+def place(df: DataFrame, key: str, bits: int) -> DataFrame:
+    """Bring the rows of a shard into one task: one shuffle by the top bits of the key."""
+    return df.repartitionById(1 << bits, F.shiftrightunsigned(key, 64 - bits).cast("int") if bits else F.lit(0))
+
+
+def build(df: DataFrame, key: str, columns: dict[str, str], reduce: Reduce | None = None, bits: int | None = None, placed: bool = False) -> Store:
     """Write a store from rows of ``df`` (``key`` long, read as unsigned; ``columns`` name to NumPy type).
 
-    One shuffle brings a shard's rows into one task; ``reduce`` merges equal keys there. Keys must be hashes, so that shards are even.
+    ``reduce`` merges equal keys of a shard. Keys must be hashes, so that shards are even. ``placed`` rows were placed with the same bits.
     """
     spark, bits = df.sparkSession, bits_for(df) if bits is None else bits
     folder, kinds = settings.fresh_path(spark, "store"), tuple(columns.items())
-    shard = F.shiftrightunsigned("_key", 64 - bits).cast("int") if bits else F.lit(0)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [(b.column(0).to_numpy(zero_copy_only=False), [b.column(i + 1).to_numpy(zero_copy_only=False) for i in range(len(kinds))]) for b in batches]
@@ -125,7 +129,8 @@ def build(df: DataFrame, key: str, columns: dict[str, str], reduce: Reduce | Non
             path = put(folder, [keys[a:b], *(values[name][a:b] for name, _ in kinds)])
             yield pa.RecordBatch.from_pydict({"shard": pa.array([number], pa.int32()), "path": [path], "n": pa.array([b - a], pa.int64())})
 
-    rows = df.select(F.col(key).cast("long").alias("_key"), *columns).repartitionById(1 << bits, shard)
+    rows = df.select(key, *columns)
+    rows = rows if placed else place(rows, key, bits)
     files = rows.mapInArrow(write, "shard int, path string, n long").collect()
     return Store(bits, kinds, {r["shard"]: (r["path"], r["n"]) for r in files})
 
