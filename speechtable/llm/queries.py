@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from speechtable.llm import bpe, chat, embed, packing, quality_rules, rule_ensemble, simhash
+from speechtable.llm import bpe, chat, embed, fmindex, packing, quality_rules, rule_ensemble, simhash, suffix
 from speechtable.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -96,3 +96,19 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.encode(table(spark, sf_dir, "documents"), path)
     found = found.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, ids array<int>")
     return found.select("doc_id", "n_tokens", "ids_sha256", F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+
+
+@query()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = suffix.dedup(docs)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["length"])
+    return found.select(
+        F.col("id").alias("doc_id"), (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fmindex.dedup(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -31,8 +31,20 @@ _BASE = 0x9E3779B97F4A7C55
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(n: int, base: int = _BASE) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64."""
+    """base^0 .. base^(n-1) modulo 2^64; the longest table up to a chunk's length stays in memory."""
+    if base not in _POWERS or len(_POWERS[base]) < n:
+        made = _powers(n, base)
+        if n > 2 * CHUNK_BYTES:
+            return made
+        _POWERS[base] = made
+    return _POWERS[base][:n]
+
+
+def _powers(n: int, base: int) -> np.ndarray:
     out = np.ones(max(n, 1), np.uint64)
     filled, step = 1, base
     while filled < n:
