@@ -3,22 +3,19 @@
 ``fingerprints`` gives every document the 64-bit SimHash of its word shingles. ``near_groups`` links fingerprints that
 differ in at most ``radius`` bits and returns the component of every document.
 
-The index: distinct fingerprints are sorted by Gray rank, so that neighbours share most bits, and cut into groups of
-about ``group_rows``. A group keeps the bits all its members share (a mask and a pattern); these are the upper nodes. A
-fingerprint is sent only to groups whose shared pattern differs from it in at most ``radius`` bits. Inside a
-group a tree factors shared bits upwards again: a child keeps only the bits its parent does not hold, a search adds the
-differences found on the way down and drops a whole subtree as soon as they exceed ``radius``. No link is lost: every
-pair is compared in the group of one of its two ends, unless shared bits already prove it too far apart.
-
-Scale: equal fingerprints are one row before anything is compared, a dense family spreads over as many groups as it
-needs, a task holds one group and its visitors and returns a spanning forest of its links, never all pairs. The driver
-sees at most ``MAX_GROUPS`` masks. A null text counts as empty, an empty text has fingerprint zero; repeated and null
-ids stay rows of their own; input columns other than the named two are ignored.
+The index: distinct fingerprints are sorted by Gray rank, so that neighbours share most bits, and a tree factors shared bit patterns
+into upper nodes: a child keeps only the bits its parent does not hold, a search adds the differences found on the way
+down and drops a whole group as soon as they exceed ``radius``.
+
+Scale: equal fingerprints are one row before anything is compared. Nine arrangements move chosen bits to the front; rows meet in a task by 35
+front bits, and every pair within two bits meets in at least one arrangement, so no link is lost, each fingerprint travels nine
+times whatever the size, and a dense family is dealt out by the bits its members differ in. A task returns a spanning forest of its links,
+never all pairs. A null text counts as empty, an empty text has fingerprint zero; repeated and null ids stay rows of their own; input
+columns other than the named two are ignored.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -29,11 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from speechtable import settings
+from speechtable.llm import store, textbatch
 from speechtable.llm.components import components
 
-MAX_GROUPS = 4096
-_SIGN = -(1 << 63)
-
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
     """XXH64 (seed 42) of every run of ``words`` words, repeats included; fewer words: of the whole sequence."""
@@ -69,15 +64,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
 
 
-def gray_rank(fp: str) -> F.Column:
-    """Place of a code word in the Gray sequence, shifted so that longs sort like unsigned numbers."""
-    x = F.col(fp)
-    for shift in (1, 2, 4, 8, 16, 32):
-        x = x.bitwiseXOR(F.shiftrightunsigned(x, shift))
-    return x.bitwiseXOR(F.lit(_SIGN))
-
-
 def gray_ranks(fp: np.ndarray) -> np.ndarray:
+    """Place of each code word in the Gray sequence."""
     for shift in (1, 2, 4, 8, 16, 32):
         fp = fp ^ (fp >> np.uint64(shift))
     return fp
@@ -153,64 +141,76 @@ class Forest:
             root[x] = find(x)
 
 
-def _links(fp: np.ndarray, rep: np.ndarray, home: np.ndarray, radius: int) -> np.ndarray:
-    """Spanning forest of a group's rows: its own members are the index, all rows ask."""
-    ranked = np.argsort(gray_ranks(fp[home]), kind="stable")
-    leaf_row = np.flatnonzero(home)[ranked]
-    tree = GrayTree(fp[leaf_row], np.full(len(leaf_row), ~np.uint64(0)))
-    forest = Forest(len(fp))
-    for at in range(0, len(fp), 256):
-        query, leaf = tree.search(fp[at : at + 256], radius)
-        forest.add(query + at, leaf_row[leaf])
+def _widths(n: int) -> list[int]:
+    return [n - 2 * (n // 3), n // 3, n // 3]
+
+
+def _turn(x: np.ndarray, width: int, by: int) -> np.ndarray:
+    """Rotate the lowest ``width`` bits to the left."""
+    if not by:
+        return x
+    low = x & np.uint64((1 << width) - 1) if width < 64 else x
+    turned = (low << np.uint64(by)) | (low >> np.uint64(width - by))
+    return turned if width == 64 else (turned & np.uint64((1 << width) - 1)) | (x ^ low)
+
+
+def arrangements(fp: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """(fingerprints with chosen bits in front, number of these bits), nine times.
+
+    Of three blocks, two differing bits leave one alike; of three blocks of the other bits again one. So two fingerprints within two bits
+    agree in the front bits of at least one arrangement.
+    """
+    blocks = _widths(64)
+    for i, block in enumerate(blocks):
+        rest = 64 - block
+        turned = _turn(fp, 64, sum(blocks[:i]))
+        inner = _widths(rest)
+        for j, sub in enumerate(inner):
+            yield _turn(turned, rest, sum(inner[:j])), block + sub
+
+
+def _links(arranged: np.ndarray, turn: np.ndarray, rep: np.ndarray, radius: int) -> np.ndarray:
+    """Spanning forest of a task's rows: every arrangement is an index of its own, and all its rows ask it."""
+    forest = Forest(len(rep))
+    for number in np.unique(turn):
+        here = np.flatnonzero(turn == number)
+        here = here[np.argsort(gray_ranks(arranged[here]), kind="stable")]
+        fp = arranged[here]
+        tree = GrayTree(fp, np.full(len(fp), ~np.uint64(0)))
+        for at in range(0, len(fp), 256):
+            query, leaf = tree.search(fp[at : at + 256], radius)
+            forest.add(here[query + at], here[leaf])
     return rep[np.array(forest.links, np.int64).reshape(-1, 2)]
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2,
-                group_rows: int = 8192) -> DataFrame:
-    """(id, fp, component): component is the smallest id reachable over links of at most ``radius`` differing bits."""
-    spark = docs.sparkSession
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
+    """(id, fp, component): component is the smallest id reachable over links of at most ``radius`` (0 to 2) differing bits."""
+    if not 0 <= radius <= 2:
+        raise ValueError("radius must be 0, 1 or 2: nine arrangements find no more")
     prints = settings.materialize(fingerprints(docs, id_col, text_col, words), "fingerprints")
+    kind = prints.schema["id"].dataType.simpleString()
     classes = prints.groupBy("fp").agg(F.min("id").alias("rep"))
-    # One row per distinct fingerprint, numbered by the Gray range it lies in.
-    total = prints.select(F.approx_count_distinct("fp")).first()[0]
-    groups = max(1, min(MAX_GROUPS, math.ceil(total / group_rows)))
-    ranked = classes.withColumn("rank", gray_rank("fp")).repartitionByRange(groups, "rank")
-    ranked = settings.materialize(ranked.select("fp", "rep", F.spark_partition_id().alias("home")), "gray")
-    upper = ranked.groupBy("home").agg(F.bit_and("fp").alias("both"), F.bit_or("fp").alias("some")).orderBy("home").collect()
-    if not upper:
-        return prints.select("id", "fp", F.col("id").alias("component"))
-    number = np.array([r["home"] for r in upper], np.int32)
-    both, some = (np.array([r[k] for r in upper], np.int64).view(np.uint64) for k in ("both", "some"))
-    shared = ~(both ^ some)
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = GrayTree(both, shared)
+    bits = store.bits_for(prints)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy().view(np.uint64)
-            home = batch.column(2).to_numpy()
-            for at in range(0, len(fp), 4096):
-                query, leaf = tree.search(fp[at : at + 4096], radius)
-                # A pair of groups meets once, in the later one.
-                later = number[leaf] >= home[at + query]
-                query, leaf = query[later] + at, leaf[later]
-                rows = batch.select([0, 1]).take(pa.array(query))
+            for number, (arranged, front) in enumerate(arrangements(fp)):
+                group = textbatch.mix((arranged >> np.uint64(64 - front)) + (np.uint64(number + 1) << np.uint64(60)))
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array(number[leaf]), pa.array(number[leaf] == home[query])], ["fp", "rep", "target", "home"])
+                    [pa.array(group.view(np.int64)), pa.array(np.full(len(fp), number, np.int32)), pa.array(arranged.view(np.int64)), batch.column(1)],
+                    ["group", "turn", "arranged", "rep"])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = list(batches)
-        if not parts:
-            return
-        fp, rep, target, home = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in parts]) for i in range(4))
-        for group in np.unique(target):
-            here = target == group
-            pairs = _links(fp[here].view(np.uint64), rep[here], home[here].astype(bool), radius)
+        parts = [b for b in batches if b.num_rows]
+        if parts:
+            turn, arranged, rep = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in parts]) for i in (1, 2, 3))
+            pairs = _links(arranged.view(np.uint64), turn, rep, radius)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     # Null ids can only lead a class whose ids are all null; such rows stay alone.
-    kind = prints.schema["id"].dataType.simpleString()
-    routed = ranked.where("rep IS NOT NULL").mapInArrow(route, f"fp long, rep {kind}, target int, home boolean")
-    edges = routed.repartitionById(int(number.max()) + 1, "target").mapInArrow(link, f"a {kind}, b {kind}")
+    routed = classes.where("rep IS NOT NULL").mapInArrow(spread, f"group long, turn int, arranged long, rep {kind}")
+    edges = store.place(routed, "group", bits).mapInArrow(link, f"a {kind}, b {kind}")
     found = components(edges, "a", "b")
-    by_print = ranked.join(found, ranked["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component"))
+    by_print = classes.join(found, classes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component"))
     return prints.join(by_print, "fp").select("id", "fp", "component")

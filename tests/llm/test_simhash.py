@@ -39,12 +39,12 @@ def test_prints_and_groups_equal_all_pairs(spark, sf):
     ids = sorted(texts)
     prints = [brute_print(texts[i]) for i in ids]
     want = {ids[k]: (prints[k], ids[c]) for k, c in enumerate(brute_components(prints))}
-    got = {r["id"]: (r["fp"] % (1 << 64), r["component"]) for r in simhash.near_groups(docs, group_rows=32).collect()}
+    got = {r["id"]: (r["fp"] % (1 << 64), r["component"]) for r in simhash.near_groups(docs).collect()}
     assert got == want
 
 
-def test_dense_family_over_many_groups(spark):
-    """Chains and families of fingerprints, cut into groups of four."""
+def test_dense_families(spark):
+    """Chains and families of fingerprints."""
     rng = np.random.default_rng(5)
     prints = [int(x) for x in rng.integers(0, 1 << 63, 60)]
     for base in prints[:6]:
@@ -53,7 +53,7 @@ def test_dense_family_over_many_groups(spark):
     docs = spark.createDataFrame([(i, np.uint64(p).astype(np.int64).item()) for i, p in enumerate(prints)], "doc_id long, fp long")
     original, simhash.fingerprints = simhash.fingerprints, lambda d, *_: d.select(F.col("doc_id").alias("id"), "fp")
     try:
-        got = {r["id"]: r["component"] for r in simhash.near_groups(docs, group_rows=4).collect()}
+        got = {r["id"]: r["component"] for r in simhash.near_groups(docs).collect()}
     finally:
         simhash.fingerprints = original
     assert [got[i] for i in range(len(prints))] == brute_components(prints)
@@ -69,6 +69,16 @@ def test_tree_search_equals_scan():
     assert got == {(i, j) for i, q in enumerate(asks) for j, v in enumerate(leaves) if int(q ^ v).bit_count() <= 4}
 
 
+def test_arrangements_meet_within_two_bits():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        a = int(rng.integers(0, 1 << 63)) << 1
+        b = a ^ sum(1 << int(k) for k in rng.choice(64, 2, replace=False))
+        turned = list(zip(simhash.arrangements(np.array([a], np.uint64)), simhash.arrangements(np.array([b], np.uint64))))
+        assert all(int(x[0] ^ y[0]).bit_count() == 2 for (x, _), (y, _) in turned)
+        assert any(int(x[0]) >> (64 - n) == int(y[0]) >> (64 - n) for (x, n), (y, _) in turned)
+
+
 def test_nulls_empty_ties_and_extra_columns(spark):
     rows = [(1, None, 5), (2, "", 5), (3, " \t\n", 5), (4, "One two", 5), (5, "one  TWO", 5), (6, "a b c d" * 5000, 5), (6, "a b c d" * 5000, 5), (None, "z y x", 5)]
     got = simhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string, fp int")).collect()
