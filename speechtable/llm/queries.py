@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from speechtable.llm import bpe, chat, embed, fmindex, packing, quality_rules, rule_ensemble, simhash, suffix
+from speechtable.llm import bpe, chat, embed, fmindex, kneser, packing, quality_rules, rule_ensemble, simhash, suffix
 from speechtable.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -112,3 +112,13 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fmindex.dedup(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    model = kneser.train(docs.where(~held))
+    return kneser.score(docs, model).select(
+        F.col("id").alias("doc_id"), F.coalesce(F.crc32(F.col("id").cast("string")) % 5 == 1, F.lit(False)).alias("held_out"),
+        "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -9,6 +9,7 @@ system a process copies a shard to its temporary folder when it first needs it a
 from __future__ import annotations
 
 import atexit
+import json
 import math
 import os
 import shutil
@@ -20,7 +21,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from speechtable import settings
@@ -36,6 +37,9 @@ class Store:
     bits: int
     columns: tuple[tuple[str, str], ...]
     shards: dict[int, tuple[str, int]]
+    totals: dict[str, int] = field(default_factory=dict)
+    #: First keys of the shards after the first, where the top bits do not name the shard.
+    cuts: np.ndarray | None = None
     _open: dict = field(default_factory=dict, repr=False, compare=False)
 
     def __getstate__(self):
@@ -56,6 +60,24 @@ class Store:
             self._open[number] = arrays[0], dict(zip((name for name, _ in self.columns), arrays[1:]))
         return self._open[number]
 
+    def offsets(self) -> dict[int, int]:
+        """Rows before each shard, in key order."""
+        out, total = {}, 0
+        for number in sorted(self.shards):
+            out[number] = total
+            total += self.shards[number][1]
+        return out
+
+    def index(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each sorted key among all keys of the store, -1 where unknown."""
+        out, offsets = np.full(len(keys), -1, np.int64), self.offsets()
+        for number, a, b in self._parts(keys):
+            known, _ = self.shard(number)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys[a:b]), len(known) - 1)
+                out[a:b] = np.where(known[at] == keys[a:b], at + offsets[number], -1)
+        return out
+
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         """(found, columns) for sorted keys; columns hold zeros where a key is unknown. Keys are unique in the store."""
         found = np.zeros(len(keys), bool)
@@ -87,12 +109,19 @@ class Store:
     def _parts(self, keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
         if not len(keys):
             return
-        owner = (keys >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(keys), np.int64)
+        owner = shards_of(keys, self.bits, self.cuts)
         cuts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
         for a, b in zip(cuts, np.append(cuts[1:], len(keys))):
             yield int(owner[a]), int(a), int(b)
 
 
+def shards_of(keys: np.ndarray, bits: int, cuts: np.ndarray | None = None) -> np.ndarray:
+    """Shard of each unsigned key."""
+    if cuts is not None:
+        return np.searchsorted(cuts, keys, "right")
+    return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+
+
 def bits_for(df: DataFrame) -> int:
     """Shards follow the session's shuffle partitions."""
     return max(3, math.ceil(math.log2(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
@@ -103,10 +132,12 @@ def place(df: DataFrame, key: str, bits: int) -> DataFrame:
     return df.repartitionById(1 << bits, F.shiftrightunsigned(key, 64 - bits).cast("int") if bits else F.lit(0))
 
 
-def build(df: DataFrame, key: str, columns: dict[str, str], reduce: Reduce | None = None, bits: int | None = None, placed: bool = False) -> Store:
+def build(df: DataFrame, key: str, columns: dict[str, str], reduce: Reduce | None = None, bits: int | None = None, placed: bool = False,
+          cuts: np.ndarray | None = None, summary: Callable[[np.ndarray, dict[str, np.ndarray]], dict[str, int]] | None = None) -> Store:
     """Write a store from rows of ``df`` (``key`` long, read as unsigned; ``columns`` name to NumPy type).
 
-    ``reduce`` merges equal keys of a shard. Keys must be hashes, so that shards are even. ``placed`` rows were placed with the same bits.
+    ``reduce`` merges equal keys of a shard. Keys must be hashes, so that shards are even, or else ``cuts`` says where shards begin.
+    ``placed`` rows were dealt out by shard already. The numbers ``summary`` finds in a shard are added up in ``totals``.
     """
     spark, bits = df.sparkSession, bits_for(df) if bits is None else bits
     folder, kinds = settings.fresh_path(spark, "store"), tuple(columns.items())
@@ -121,18 +152,35 @@ def build(df: DataFrame, key: str, columns: dict[str, str], reduce: Reduce | Non
         if reduce is not None:
             keys, values = reduce(keys, values)
         order = np.argsort(keys, kind="stable")
-        keys, values = keys[order], {name: values[name][order] for name, _ in kinds}
+        keys, values = keys[order], {name: values[name][order].astype(kind) for name, kind in kinds}
         # Partitions hold whole shards, mostly one each.
-        owner = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+        owner = shards_of(keys, bits, cuts)
         for number in np.flatnonzero(np.bincount(owner)) if len(owner) else ():
             a, b = np.searchsorted(owner, [number, number + 1])
             path = put(folder, [keys[a:b], *(values[name][a:b] for name, _ in kinds)])
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([number], pa.int32()), "path": [path], "n": pa.array([b - a], pa.int64())})
+            note = json.dumps({k: int(v) for k, v in summary(keys[a:b], {n: v[a:b] for n, v in values.items()}).items()}) if summary else "{}"
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([number], pa.int32()), "path": [path], "n": pa.array([b - a], pa.int64()), "note": [note]})
 
     rows = df.select(key, *columns)
     rows = rows if placed else place(rows, key, bits)
-    files = rows.mapInArrow(write, "shard int, path string, n long").collect()
-    return Store(bits, kinds, {r["shard"]: (r["path"], r["n"]) for r in files})
+    files = rows.mapInArrow(write, "shard int, path string, n long, note string").collect()
+    totals: dict[str, int] = {}
+    for r in files:
+        for k, v in json.loads(r["note"]).items():
+            totals[k] = totals.get(k, 0) + v
+    return Store(bits, kinds, {r["shard"]: (r["path"], r["n"]) for r in files}, totals, cuts)
+
+
+def over_shards(spark: SparkSession, store: Store, fn: Callable[[int, np.ndarray, dict[str, np.ndarray]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Rows ``fn`` makes of each shard (number, keys, columns), one task per shard."""
+    numbers = sorted(store.shards)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                yield from fn(numbers[k], *store.shard(numbers[k]))
+
+    return spark.range(0, len(numbers), 1, max(1, len(numbers))).mapInArrow(run, schema)
 
 
 def put(folder: str, arrays: list[np.ndarray]) -> str:
