@@ -19,6 +19,7 @@ Null texts and roles are empty; null scores count 0; a null tree id is a tree. O
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -54,21 +55,24 @@ def branches(nodes: DataFrame, top: int = 1) -> DataFrame:
     keyed = settings.materialize(keyed.groupBy("t", "node").agg(F.min("tree").alias("tree"), F.min("row").alias("row")), "nodes")
     reach = keyed.select("t", "node", F.col("row.parent").alias("up"), F.lit(1).alias("depth"),
                          F.coalesce(F.col("row.score").cast("double"), F.lit(0.0)).alias("total"))
-    reach = settings.materialize(reach, "reach")
-    n, open_rows = reach.agg(F.count("*"), F.count("up")).first()
-    levels = [reach]
+    # Rows that have met their root leave the rounds; the others join the last state of all rows.
+    latest = settings.materialize(reach, "reach")
+    n, open_rows = latest.agg(F.count("*"), F.count("up")).first()
+    levels, done = [], []
     for _ in range(math.ceil(math.log2(max(n, 2))) + 1):
+        done.append(latest.where("up IS NULL"))
         if not open_rows:
             break
-        above = reach.select("t", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("total").alias("_total"))
-        reach = reach.join(above, ["t", "up"], "left").select(
-            "t", "node", F.col("_up").alias("up"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"))
-        reach = settings.materialize(reach, "reach")
-        open_rows = reach.agg(F.count("up")).first()[0]
+        reach = latest.where("up IS NOT NULL")
         levels.append(reach)
-    rooted = reach.where("up IS NULL").drop("up")
-    parents = levels[0].select("t", F.col("up").alias("node")).where("node IS NOT NULL").distinct()
+        above = reduce(DataFrame.unionByName, [*done, reach]).select(
+            "t", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("total").alias("_total"))
+        latest = settings.materialize(reach.join(above, ["t", "up"], "left").select(
+            "t", "node", F.col("_up").alias("up"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
+            (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total")), "reach")
+        open_rows = latest.agg(F.count("up")).first()[0]
+    rooted = reduce(DataFrame.unionByName, done).drop("up")
+    parents = keyed.select("t", F.col("row.parent").alias("node")).where("node IS NOT NULL").distinct()
     order = W.partitionBy("t").orderBy(F.desc("total"), F.desc("depth"), "node")
     leaves = rooted.join(parents, ["t", "node"], "left_anti").withColumn("place", F.row_number().over(order)).where(F.col("place") <= top)
     chosen = leaves.select("t", F.col("node").alias("leaf"), "node")

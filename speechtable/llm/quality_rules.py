@@ -1,9 +1,10 @@
 """Quality rules: base counts and a hashed n-gram likelihood ratio, as DataFrame expressions only.
 
-Word n-grams fall into ``buckets`` hash buckets. Two multinomials are counted over whole texts: the raw corpus (all rows) and
-the trusted target (rows whose ids the caller trusts). A bucket's weight is the logarithm of target over raw probability,
-smoothed by half a count and fixed to whole millionths, so sums do not depend on any order. A document's score is the
-sum of the weights of its n-grams divided by their number; it is kept if the base rules pass and the score reaches the threshold.
+Words and word pairs fall into ``buckets`` hash buckets. Two multinomials are counted over whole texts: the raw corpus (all rows) and the
+trusted target (rows whose ids the caller trusts). A bucket's weight is the logarithm of target over raw probability, both smoothed by
+``PRIOR`` counts at the target's size, so that a bucket seen rarely says little in a small corpus; it is fixed to whole millionths,
+so sums do not depend on any order. A document's score is the sum of the weights of its n-grams divided by their number; it is kept if the base
+rules pass and the score reaches the threshold.
 
 Scale: counting explodes n-grams into a partial aggregate of at most ``buckets`` groups per task, scoring needs no shuffle; the
 driver sees ``buckets`` sums, a fixed number. Trusted ids meet the documents in one join by id; the id is the only key.
@@ -15,16 +16,18 @@ decide alone. Repeated ids are rows of their own (a trusted id trusts them all);
 from __future__ import annotations
 
 import json
-import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from speechtable.llm import textstats
 
-BUCKETS = 1 << 15
+BUCKETS = 1 << 18
 UNIT = 1_000_000
-THRESHOLD = -0.15
+#: Counts added to a bucket's target count and to the count the raw corpus lets expect there.
+PRIOR = 4.0
+THRESHOLD = -0.3
 
 
 def grams(word_col: str, buckets: int) -> Column:
@@ -47,13 +50,14 @@ def weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     target = docs.select(id_col, text_col).join(trusted.select(id_col).where(F.col(id_col).isNotNull()).distinct(), id_col, "left_semi")
     both = bucket_counts(docs, text_col, buckets).withColumn("kind", F.lit(0)).unionByName(
         bucket_counts(target, text_col, buckets).withColumn("kind", F.lit(1)))
-    counts = [[0] * buckets, [0] * buckets]
-    for row in both.collect():
-        counts[row["kind"]][row["bucket"]] = row["n"]
-    if not sum(counts[1]):
+    counts = np.zeros((2, buckets))
+    rows = both.toArrow()
+    counts[rows["kind"].to_numpy(), rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+    raw, target = counts
+    if not target.sum():
         return [0] * buckets
-    raw, aim = (sum(c) + 0.5 * buckets for c in counts)
-    return [round(UNIT * math.log((t + 0.5) / aim / ((r + 0.5) / raw))) for r, t in zip(*counts)]
+    ratio = (target + PRIOR) / (raw * (target.sum() / raw.sum()) + PRIOR)
+    return np.rint(UNIT * np.log(ratio)).astype(int).tolist()
 
 
 def judge(docs: DataFrame, weight: list[int], text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -116,11 +116,16 @@ def fit(stats: DataFrame, label: str, trees: int = 24, depth: int = 3, penalty:
     return Ensemble(float(model.intercept), terms)
 
 
+def learned(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Ensemble:
+    """The ensemble fitted to all labelled rows of a statistics table."""
+    known = labels.where(F.col(id_col).isNotNull()).select(id_col, F.col(label_col).alias("_label"))
+    return fit(stats.select(id_col, *STATS).join(known, id_col), "_label")
+
+
 def classify(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "quality", at: float = 0.7) -> DataFrame:
     """``docs`` without the text but with score and predicted. ``learn`` says which rows of ``labels`` may be learned from."""
     stats = settings.materialize(statistics(docs.drop("score", "predicted"), text_col), "statistics")
-    known = labels.where(learn & F.col(id_col).isNotNull()).select(id_col, F.col(label_col).alias("_label"))
-    model = fit(stats.select(id_col, *STATS).join(known, id_col), "_label")
+    model = learned(stats, labels.where(learn), id_col, label_col)
     out = stats.withColumn("score", model.score()).drop(*STATS)
     return out.withColumn("predicted", (F.col("score") >= at).cast("int"))

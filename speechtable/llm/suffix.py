@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,3 +145,24 @@ def dedup(docs: DataFrame, length: int = 50, gram: int = 16, id_col: str = "doc_
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return repeats.marks(rows, repeats.Rule("bytes", length, min(gram, length)), solver, finish,
                          f"id {kind}, kept binary, spans array<struct<start:long,length:long>>")
+
+
+def dedup_texts(docs: DataFrame, length: int = 50, gram: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the repeated bytes gone from its texts, all columns kept.
+
+    Only whole characters go: of a character that is partly repeated all bytes stay. A null text stays null.
+    """
+
+    def finish(batch, data, offsets, units, gone):
+        lead = np.flatnonzero((data & 0xC0) != 0x80)
+        if len(lead):
+            gone = np.repeat(np.logical_and.reduceat(gone, lead), np.diff(np.append(lead, len(data))))
+        kept = np.concatenate(([0], np.cumsum(~gone)))[offsets].astype(np.int32)
+        text = pa.Array.from_buffers(pa.string(), batch.num_rows, [None, pa.py_buffer(kept), pa.py_buffer(np.ascontiguousarray(data[~gone]))])
+        text = pc.if_else(batch.column(1).is_valid(), text, pa.scalar(None, pa.string()))
+        return pa.RecordBatch.from_arrays([batch.column(2), text], ["row", "text"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*(c for c in docs.columns if c != text_col)).alias("row"))
+    kind = rows.schema["row"].dataType.simpleString()
+    found = repeats.marks(rows, repeats.Rule("bytes", length, min(gram, length)), solver, finish, f"row {kind}, text string")
+    return found.select(*(F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns))

@@ -16,6 +16,15 @@ SPACES = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "[#*$%&|<>]+"
 
 
+def settled(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows that meet a condition on computed columns, without the condition moving below the columns it reads.
+
+    Pushed down, it would repeat their expressions inside array functions, once per element. A filter does not pass a projection with a
+    row number, and none is negative.
+    """
+    return df.withColumn("_number", F.monotonically_increasing_id()).where(condition & (F.col("_number") >= 0)).drop("_number")
+
+
 def words(text: Column) -> Column:
     inner = F.btrim(text, F.lit(_SPACE))
     return F.when(inner.isNull() | (inner == ""), F.array().cast("array<string>")).otherwise(F.split(inner, SPACES))
