@@ -1,8 +1,8 @@
 """Byte-level BPE in two steps: merges are folded over the distinct words in Spark, documents then look their words up.
 
 ``encode`` splits whole texts by the pattern and keeps the distinct words. Each word becomes an array of its bytes (as hex pairs); a fold of
-Spark's higher-order functions merges the leftmost pair of least rank until no pair has one. The rank map is a literal: an array of small
-maps, a pair looking only into the map its hash names, since a lookup in a literal map walks all its entries. The ids of words go to
+Spark's higher-order functions merges the leftmost pair of least rank until no pair has one. The rank map is a literal: a
+table of two arrays in which a token lies in one of the two slots its hash names, since a lookup in a literal map walks all its entries. The ids of words go to
 a store of sorted hash arrays in the shared folder; a second pass over the texts maps it and joins the ids of a
 document's words, so occurrences of words are never shuffled. ``decode`` concatenates the binary pieces of ids from a literal list.
 
@@ -31,7 +31,6 @@ from speechtable.functions.waves import let
 from speechtable.llm import pretoken, store, textbatch
 
 LONG_WORD = 96
-_MAPS = 1 << 16
 
 
 @cache
@@ -41,20 +40,54 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
-def rank_table(path: str) -> Column:
-    """The rank map as a literal: hex token to rank, in ``_MAPS`` maps chosen by the token's hash."""
-    maps: list[dict[str, int]] = [{} for _ in range(_MAPS)]
-    for token, rank in ranks(path).items():
-        name = token.hex().upper()
-        maps[xxhash.xxh64_intdigest(name, 42) % _MAPS][name] = rank
-    return F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>")
+def _slots(path: str) -> tuple[list[str | None], list[int]]:
+    """Cuckoo table of the ranks: each hex token lies in one of the two slots its hash names."""
+    names = {token.hex().upper(): rank for token, rank in ranks(path).items()}
+    size = 1 << max(4, (3 * len(names)).bit_length() - 1)
+    slots: list[str | None] = [None] * size
+    at = {name: _pair(xxhash.xxh64_intdigest(name, 42), size) for name in names}
+    for name in names:
+        place, moves = at[name][0], 0
+        while name is not None:
+            slots[place], name = name, slots[place]
+            if name is not None:
+                one, two = at[name]
+                place = two if place == one else one
+                moves += 1
+                if moves > size:
+                    raise ValueError("the rank file's tokens do not fit a table of two choices")
+    return slots, [names[x] if x is not None else -1 for x in slots]
 
 
-def fold(word: Column, table: Column) -> Column:
-    """Ids of a binary word: merges folded over its bytes."""
+def _pair(value: int, size: int) -> tuple[int, int]:
+    return value % size, (value >> 32) % size
+
+
+def rank_table(path: str) -> tuple[Column, Column]:
+    """The rank map as two literals: hex tokens in slots, and their ranks."""
+    slots, values = _slots(path)
+    literal = lambda x, kind: F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), f"array<{kind}>")
+    return literal(slots, "string"), literal(values, "int")
+
+
+def fold(word: Column, table: tuple[Column, Column]) -> Column:
+    """Ids of a binary word: merges folded over its bytes. The literals stand in the expression once."""
+    return let(table[0], lambda slots: let(table[1], lambda values: _fold(word, slots, values)))
+
+
+def _fold(word: Column, slots: Column, values: Column) -> Column:
+    size = F.size(slots)
 
     def rank(token: Column) -> Column:
-        return let(token, lambda x: F.element_at(F.get(table, F.xxhash64(x).bitwiseAND(F.lit(_MAPS - 1)).cast("int")), x))
+        def look(x: Column) -> Column:
+            def either(h: Column) -> Column:
+                one = F.pmod(h, size).cast("int")
+                two = F.pmod(F.shiftrightunsigned(h, 32), size).cast("int")
+                return F.when(F.get(slots, one) == x, F.get(values, one)).when(F.get(slots, two) == x, F.get(values, two))
+
+            return let(F.xxhash64(x), either)
+
+        return let(token, look)
 
     def step(state: Column, _: Column) -> Column:
         def merged(i: Column) -> Column:
@@ -73,11 +106,11 @@ def fold(word: Column, table: Column) -> Column:
         return F.when(best.isNull(), state).otherwise(let(F.array_position(state["r"], best).cast("int"), merged))
 
     text = F.hex(word)
-    size = F.octet_length(word)
+    length = F.octet_length(word)
     pairs = lambda s: F.transform(F.slice(s, F.lit(1), F.size(s) - 1), lambda a, i: rank(F.concat(a, F.get(s, i + 1))))
-    bytes_ = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.substring(text, i * 2 + 1, F.lit(2)))
+    bytes_ = F.transform(F.sequence(F.lit(0), length - 1), lambda i: F.substring(text, i * 2 + 1, F.lit(2)))
     start = let(bytes_, lambda s: F.struct(s.alias("s"), pairs(s).alias("r")))
-    ended = F.aggregate(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), start, step, lambda x: F.transform(x["s"], rank))
+    ended = F.aggregate(F.sequence(F.lit(1), F.greatest(length - 1, F.lit(1))), start, step, lambda x: F.transform(x["s"], rank))
     return let(rank(text), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(ended))
 
 
