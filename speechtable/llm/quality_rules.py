@@ -47,7 +47,9 @@ def bucket_counts(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
 
 def weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> list[int]:
     """Log-likelihood ratio of each bucket in millionths. ``trusted`` has the trusted ids in ``id_col``."""
-    target = docs.select(id_col, text_col).join(trusted.select(id_col).where(F.col(id_col).isNotNull()).distinct(), id_col, "left_semi")
+    # Trusted ids grow with the corpus: one plan at every size, never a broadcast of them.
+    ids = trusted.select(id_col).where(F.col(id_col).isNotNull()).distinct().hint("merge")
+    target = docs.select(id_col, text_col).join(ids, id_col, "left_semi")
     both = bucket_counts(docs, text_col, buckets).withColumn("kind", F.lit(0)).unionByName(
         bucket_counts(target, text_col, buckets).withColumn("kind", F.lit(1)))
     counts = np.zeros((2, buckets))
