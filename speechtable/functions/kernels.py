@@ -58,23 +58,34 @@ def convolve(x: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=64)
-def _highpass_response(rate: int, cutoff: float) -> np.ndarray:
-    """Impulse response of the second-order high-pass until it falls below double precision."""
+def _highpass_response(rate: int, cutoff: float, n: int) -> np.ndarray:
+    """Impulse response of the second-order high-pass until it falls below double precision, at most n taps."""
     w = 2 * math.pi * cutoff / rate
     alpha, cos = math.sin(w) / (2 * HIGHPASS_Q), math.cos(w)
     a0, a1, a2 = 1 + alpha, -2 * cos, 1 - alpha
     b = np.array([(1 + cos) / 2, -(1 + cos), (1 + cos) / 2]) / a0
     decay = math.sqrt(abs(a2 / a0))
-    taps = 3 if decay < 1e-9 else min(1 << 22, max(3, math.ceil(math.log(1e-18) / math.log(decay))))
+    taps = min(n, 3 if decay < 1e-9 else max(3, math.ceil(math.log(1e-18) / math.log(decay))))
     h = np.zeros(taps)
-    for n in range(taps):
-        h[n] = (b[n] if n < 3 else 0.0) - (a1 / a0) * (h[n - 1] if n else 0.0) - (a2 / a0) * (h[n - 2] if n > 1 else 0.0)
+    for k in range(min(taps, 1 << 16)):
+        h[k] = (b[k] if k < 3 else 0.0) - (a1 / a0) * (h[k - 1] if k else 0.0) - (a2 / a0) * (h[k - 2] if k > 1 else 0.0)
+    if taps > 1 << 16:
+        # The recursion's two modes, from the last two values it gave.
+        one, two = np.roots([1.0, a1 / a0, a2 / a0]).astype(complex)
+        at = np.arange(taps - (1 << 16))
+        first, second = h[(1 << 16) - 2], h[(1 << 16) - 1]
+        weight = (second - two * first) / (one - two)
+        h[1 << 16 :] = (weight * np.exp((at + 2) * np.log(one)) + (first - weight) * np.exp((at + 2) * np.log(two))).real
     return h
 
 
 def low_cut(x: np.ndarray, rate: int, cutoff: float) -> np.ndarray:
-    """High-pass by convolution with the decayed response, clamped to [-1, 1]."""
-    return np.clip(convolve(np.asarray(x, dtype=np.float64), _highpass_response(int(rate), float(cutoff))), -1.0, 1.0)
+    """High-pass by convolution with the decayed response, clamped to [-1, 1]; cutoffs are below half the rate."""
+    if not 0 < cutoff < rate / 2:
+        raise ValueError(f"a low cut of {cutoff:g} Hz needs a rate above {2 * cutoff:g} Hz, not {rate}")
+    # Taps beyond the waveform's length do not reach it.
+    n = 1 << max(len(x) - 1, 2).bit_length()
+    return np.clip(convolve(np.asarray(x, dtype=np.float64), _highpass_response(int(rate), float(cutoff), n)), -1.0, 1.0)
 
 
 def peak_normalize(x: np.ndarray) -> np.ndarray:
@@ -110,9 +121,9 @@ def early_part(h: np.ndarray, rate: int, seconds: float = 0.05, ratio: float = 0
     return np.where(np.arange(len(h)) < start + int(seconds * rate), h, 0.0)
 
 
-def reverberate(x: np.ndarray, h: np.ndarray, rate: int) -> tuple[np.ndarray, np.ndarray]:
+def reverberate(x: np.ndarray, h: np.ndarray, rate: int, early: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
     """(direct-path, reverberant) copies, scaled together so the larger peak equals that of x."""
-    dry, wet = convolve(x, early_part(h, rate)), convolve(x, h)
+    dry, wet = convolve(x, early_part(h, rate, early)), convolve(x, h)
     top = max(np.max(np.abs(dry), initial=0.0), np.max(np.abs(wet), initial=0.0))
     with np.errstate(invalid="ignore", divide="ignore"):
         factor = np.max(np.abs(x), initial=0.0) / np.float64(top)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -196,6 +197,14 @@ def merge_groups(
     return labels.select(*[F.col(f"_by{i}").alias(c) for i, c in enumerate(by)], F.col("_order").alias(order), "group_start")
 
 
+def _beside(df: DataFrame, labels: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """Rows with their label; null groups are groups too."""
+    names = {c: f"_label_{i}" for i, c in enumerate([*by, order])}
+    renamed = labels.withColumnsRenamed(names)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    return df.join(renamed, same).drop(*names.values())
+
+
 def merge_to_length(
     df: DataFrame, seconds: float, cols: Sequence[str], by: Sequence[str], order: str = "ordinal", key: str = "key",
     rates: dict[str, str] | None = None, n_samples: str | None = None, width: int = BLOCK,
@@ -216,7 +225,7 @@ def merge_to_length(
     # Empty waveforms add nothing to the concatenation and must not fill a group's list.
     member = F.when(F.size(lead) > 0, F.struct(F.col(order), *cols))
     merged = (
-        df.join(labels, [*by, order])
+        _beside(df, labels, by, order)
         .groupBy(*by, "group_start")
         .agg(
             F.min_by(F.struct(F.col(key), *rate_cols), F.col(order)).alias("_first"),

@@ -10,6 +10,7 @@ block: 10^10 rows of one group are 152,588 of them.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -83,17 +84,32 @@ def dense_ordinal(df: DataFrame, order: Sequence[str], name: str = "ordinal", un
     # One row per partition of the sort.
     skips = counts.select("_part", F.coalesce(F.sum("_rows").over(upper), F.lit(0)).alias("_skip"))
     position = F.col("_at") - F.shiftleft(F.col("_part"), 33)
-    numbered = placed.join(skips, "_part").withColumn(name, (F.col("_skip") + position).cast("bigint"))
-    numbered = numbered.drop("_at", "_part", "_skip")
-    return df.join(numbered, list(order)) if unique else numbered
+    out = placed.join(skips, "_part").withColumn(name, (F.col("_skip") + position).cast("bigint"))
+    out = out.drop("_at", "_part", "_skip")
+    return df.join(out, list(order)) if unique else out
+
+
+def numbered(df: DataFrame, by: Sequence[str], order: str, ties: Sequence[str] = (), **options) -> DataFrame:
+    """Rows beside the columns ``running`` adds: only (by, order, ties) are numbered, wide rows meet their number by these.
+
+    (by, order, ties) is unique; null groups are groups. Whole rows are dealt out by that key, one by one, never a block of them to a task.
+    """
+    sums = options.get("sums") or {}
+    keys = [*by, order, *ties]
+    narrow = df.select(*keys, *[v.alias(f"_in_{n}") for n, v in sums.items()])
+    options = {**options, "sums": {n: F.col(f"_in_{n}") for n in sums}}
+    counted = running(narrow, by, order, ties=ties, **options).drop(*[f"_in_{n}" for n in sums])
+    names = {c: f"_of_{i}" for i, c in enumerate(keys)}
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    return df.join(counted.withColumnsRenamed(names), same).drop(*names.values())
 
 
 def assign_batches(df: DataFrame, size: int, by: Sequence[str] = (), order: str = "ordinal", drop_last: bool = False) -> DataFrame:
-    """Consecutive groups of ``size`` rows: ``batch_id`` per group and ``slot`` in the batch."""
+    """Consecutive groups of ``size`` rows: ``batch_id`` per group and ``slot`` in the batch; ``order`` is unique in a group."""
     if size < 1:
         raise ValueError("batch size must be >= 1")
-    numbered = running(df, by, order, index="_index", group_size="_group_rows" if drop_last else None)
-    out = numbered.withColumn("batch_id", F.floor(F.col("_index") / size).cast("bigint")).withColumn(
+    placed = numbered(df, by, order, index="_index", group_size="_group_rows" if drop_last else None)
+    out = placed.withColumn("batch_id", F.floor(F.col("_index") / size).cast("bigint")).withColumn(
         "slot", F.pmod("_index", F.lit(size)).cast("int")
     )
     if drop_last:
@@ -101,19 +117,19 @@ def assign_batches(df: DataFrame, size: int, by: Sequence[str] = (), order: str
     return out.drop("_index")
 
 
-def assign_shards(df: DataFrame, max_count: int, order: str = "ordinal", name: str = "shard_id", width: int = BLOCK) -> DataFrame:
+def assign_shards(df: DataFrame, max_count: int | Column, order: str = "ordinal", name: str = "shard_id", width: int = BLOCK) -> DataFrame:
     """Output shard number of each row, ``max_count`` consecutive rows per shard, without moving the rows.
 
     Only ordinals are numbered. Each block of ordinals then becomes one small row (its first number
     and the ordinals at which shards start), and rows look up their block: one row per 65,536
     ordinals and one value per shard, which the adaptive planner broadcasts while it is small.
     """
-    if max_count < 1:
+    if isinstance(max_count, int) and max_count < 1:
         raise ValueError("max_count must be >= 1")
     block = F.floor(F.col(order) / F.lit(width)).cast("bigint")
-    numbered = running(df.select(order), order=order, index="_index", width=width).withColumn(_BLOCK, block)
+    narrow = running(df.select(order), order=order, index="_index", width=width).withColumn(_BLOCK, block)
     begins = F.when(F.pmod("_index", F.lit(max_count)) == 0, F.col(order))
-    blocks = numbered.groupBy(_BLOCK).agg(F.min("_index").alias("_first"), F.collect_list(begins).alias("_starts"))
+    blocks = narrow.groupBy(_BLOCK).agg(F.min("_index").alias("_first"), F.collect_list(begins).alias("_starts"))
     before = F.ceil(F.col("_first") / F.lit(max_count))
     inside = F.size(F.filter("_starts", lambda s: s <= F.col(order)))
     found = df.withColumn(_BLOCK, block).join(blocks, _BLOCK)
@@ -121,8 +137,8 @@ def assign_shards(df: DataFrame, max_count: int, order: str = "ordinal", name: s
 
 
 def assign_by_bytes(df: DataFrame, size_col: str, cap: int, by: Sequence[str] = (), order: str = "ordinal") -> DataFrame:
-    """Output file number per row so that a file starts once the bytes before it reach the cap."""
+    """Output file number per row so that a file starts once the bytes before it reach the cap; ``order`` is unique in a group."""
     if cap < 1:
         raise ValueError("cap must be >= 1")
-    summed = running(df, by, order, sums={"bytes_before": F.col(size_col).cast("bigint")}, index="_index")
+    summed = numbered(df, by, order, sums={"bytes_before": F.col(size_col).cast("bigint")}, index="_index")
     return summed.withColumn("file_id", F.floor(F.col("bytes_before") / cap).cast("bigint")).drop("_index")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from speechtable.functions import draws, kernels, waves
 from speechtable.functions.stages import is_arrow, sample_type, with_stage
-from speechtable.operators.ordering import running
+from speechtable.operators.ordering import numbered
 from speechtable.operators.segment import random_crop
 
 BROADCAST_BYTES = 64 << 20  # a pool below this size is sent to every executor
@@ -49,7 +49,7 @@ def prepare_pool(
     """
     crops = random_crop(df, n_crops, seconds, seed, col, key=key)
     placed = crops.withColumn("_at", F.col(ordinal) * n_crops + F.col("crop"))
-    return running(placed, order="_at", index="pool_idx").select("pool_idx", F.col(col).alias("samples"), "sample_rate")
+    return numbered(placed, (), "_at", index="pool_idx").select("pool_idx", F.col(col).alias("samples"), "sample_rate")
 
 
 def pool_size(pool: DataFrame, col: str) -> tuple[int, int]:

@@ -6,7 +6,7 @@ import warnings
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,9 +126,9 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFr
 
 
 def concat_blocks(blocks: Sequence[DataFrame], schema: T.StructType) -> DataFrame:
-    """Result blocks as one table of the declared schema; no block gives an empty table."""
+    """Result blocks as one table of the declared schema; no block gives an empty table of the active session."""
     if not blocks:
-        raise ValueError("need at least one block; pass an empty frame for an empty result")
+        return SparkSession.active().createDataFrame([], schema)
     whole = blocks[0]
     for block in blocks[1:]:
         whole = whole.unionByName(block, allowMissingColumns=True)
@@ -152,19 +152,22 @@ def _suffix(kind: T.DataType) -> str:
     return "pickle"
 
 
-def encode_record(df: DataFrame, seed: str = "record") -> DataFrame:
+def encode_record(df: DataFrame, seed: str = "record", identity: Sequence[str] = ()) -> DataFrame:
     """Rename each column by its type's suffix and add a hashed ``__key__``.
 
     Waveforms stay typed arrays (the shard sink writes them as raw little-endian float32);
-    other nested values become JSON.
+    other nested values become JSON. The key is made of all values, waveforms included, and of the ``identity`` columns
+    (source key, ordinal, crop), which are not encoded: name them where whole rows may be equal.
     """
     encoded = []
-    for field in df.schema:
+    for field in df.drop(*identity).schema:
         value = F.col(field.name)
         suffix = _suffix(field.dataType)
         if suffix == "pickle":
             nested = isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType))
             value = F.to_json(value) if nested else value.cast("string")
         encoded.append(value.alias(f"{field.name}.{suffix}"))
-    identity = F.to_json(F.struct(*[f.name for f in df.schema if _suffix(f.dataType) != "pth"]))
-    return df.select(F.sha2(F.concat(F.lit(f"{seed}|"), identity), 256).alias("__key__"), *encoded)
+    plain = F.to_json(F.struct(*[f.name for f in df.schema if _suffix(f.dataType) != "pth"]))
+    # Two 64-bit hashes stand for a waveform; its samples need not become text.
+    audio = [F.xxhash64(f.name, F.lit(k)).cast("string") for f in df.schema if _suffix(f.dataType) == "pth" for k in (1, 2)]
+    return df.select(F.sha2(F.concat_ws("|", F.lit(seed), plain, *audio), 256).alias("__key__"), *encoded)

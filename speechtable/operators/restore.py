@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from speechtable.functions import kernels
 from speechtable.functions.stages import STATUS, _column, _list_array, with_batches
-from speechtable.operators.segment import chunk_samples
+from speechtable.operators.segment import MODEL_RATE, chunk_samples
 
 _MODELS: dict[str, Callable] = {}
+LONG_ROWS = ("cut", "quarantine", "split")
 
 
 def cached_model(factory: Callable[..., Callable], config: dict) -> Callable:
@@ -42,12 +43,14 @@ def restore(
     df: DataFrame, model_factory: Callable[..., Callable], target_rate: int, batch_size: int = 16,
     chunk_seconds: float = 30.0, on_error: str = "fail", col: str = "samples", rate: str = "sample_rate",
     to: str = "restored", config: dict | None = None, features: bool = False, retry: bool = True,
-    model_rate: int | None = None, cutoff: float | None = None, drop: Sequence[str] = (),
+    model_rate: int | None = None, cutoff: float | None = None, drop: Sequence[str] = (), long_rows: str = "cut",
 ) -> DataFrame:
     """Run ``model_factory(**config)`` over batches and fit each result to its source's duration.
 
     The model maps float32 (rows, chunk) — or the mel features of it — to one waveform per row.
-    Rows longer than the chunk are cut and flagged ``truncated``. Under "quarantine" a failing batch
+    The chunk is ``chunk_seconds`` at ``model_rate`` (16 kHz where none is given). A longer row is, by
+    ``long_rows``, cut to it and flagged ``truncated`` ("cut": its tail becomes zeros), given a status and no result
+    ("quarantine"), or restored chunk by chunk and joined again ("split"). Under "quarantine" a failing batch
     is retried row by row (unless ``retry`` is off) and only failing rows get a status. With
     ``model_rate`` the waveform is resampled to it first, after an optional low cut, in the same
     stage; without, it must already have the model's rate.
@@ -56,7 +59,12 @@ def restore(
         raise ValueError("on_error must be 'fail' or 'quarantine'")
     if batch_size < 1:
         raise ValueError("batch size must be >= 1")
-    settings, chunk, keep_going = dict(config or {}), chunk_samples(chunk_seconds), on_error == "quarantine"
+    if long_rows not in LONG_ROWS:
+        raise ValueError(f"long_rows must be one of {LONG_ROWS}")
+    if long_rows == "quarantine" and on_error != "quarantine":
+        raise ValueError("over-long rows can only be quarantined where failing rows are")
+    settings, keep_going = dict(config or {}), on_error == "quarantine"
+    chunk = chunk_samples(chunk_seconds, model_rate or MODEL_RATE)
 
     def padded(rows: list) -> np.ndarray:
         out = np.zeros((len(rows), chunk), dtype=np.float32)
@@ -102,19 +110,30 @@ def restore(
             rows, waves, notes, cut = [None] * n, [None] * n, [None] * n, [False] * n
             for i, (x, r) in enumerate(zip(_column(xs), rates.to_pylist())):
                 try:
-                    rows[i] = prepared(x, r)
-                    cut[i] = len(rows[i]) > chunk
+                    row = prepared(x, r)
+                    if len(row) > chunk and long_rows == "quarantine":
+                        raise ValueError(f"{len(row)} samples do not fit a chunk of {chunk}")
+                    rows[i], cut[i] = row, len(row) > chunk and long_rows == "cut"
                 except Exception as error:
                     if not keep_going:
                         raise
                     notes[i] = f"{type(error).__name__}: {error}"
-            known = [i for i in range(n) if rows[i] is not None]
-            for at in range(0, len(known), batch_size):
-                picked = known[at : at + batch_size]
-                for i, (wave, note) in zip(picked, guarded(model, [rows[i] for i in picked])):
+            # One piece a row, or its consecutive chunks.
+            step = lambda row: chunk if long_rows == "split" else max(len(row), 1)
+            pieces = [(i, at, row[at : at + step(row)]) for i, row in enumerate(rows) if row is not None
+                      for at in range(0, max(len(row), 1), step(row))]
+            made = [[] for _ in rows]
+            for at in range(0, len(pieces), batch_size):
+                picked = pieces[at : at + batch_size]
+                for (i, begin, piece), (wave, note) in zip(picked, guarded(model, [p for _, _, p in picked])):
                     rate_in = model_rate or rates[i].as_py()
-                    # Python rounds halves to even, as the expected length asks.
-                    waves[i], notes[i] = fitted(wave, round(len(rows[i]) / rate_in * target_rate)), note
+                    # Python rounds halves to even, as the expected length asks; a piece ends where the next begins.
+                    place = lambda t: round(t / rate_in * target_rate)
+                    made[i].append(fitted(wave, place(begin + len(piece)) - place(begin)))
+                    notes[i] = notes[i] or note
+            for i, parts in enumerate(made):
+                if parts and notes[i] is None:
+                    waves[i] = parts[0] if len(parts) == 1 else np.concatenate(parts)
             out = [_list_array(waves, pa.float32()), pa.array(cut, pa.bool_())]
             yield [*out, pa.array(notes, type=pa.string())] if keep_going else out
 

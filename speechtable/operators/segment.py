@@ -107,9 +107,9 @@ def random_crop(
     )
 
 
-def chunk_samples(chunk_seconds: float) -> int:
-    """Model input length: at least a tenth of a second."""
-    return max(int(chunk_seconds * MODEL_RATE), MODEL_RATE // 10)
+def chunk_samples(chunk_seconds: float, rate: int = MODEL_RATE) -> int:
+    """Model input length at the model's rate: at least a tenth of a second."""
+    return max(int(chunk_seconds * rate), rate // 10, 1)
 
 
 def fit_chunk(df: DataFrame, chunk_seconds: float, col: str = "samples") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from speechtable.functions import draws
-from speechtable.operators.ordering import running
+from speechtable.operators.ordering import assign_shards, numbered, running
 
 
 def _row_count(df: DataFrame) -> Column:
@@ -18,15 +18,20 @@ def _row_count(df: DataFrame) -> Column:
 
 
 def select_block(df: DataFrame, n: int, i: int, ordinal: str = "ordinal") -> DataFrame:
-    """Worker i of n takes the i-th run of ceil(total / n) ordinals; late workers may get none."""
+    """Worker i of n takes the i-th run of ceil(total / n) rows in order; late workers may get none.
+
+    Ordinals are unique but may have gaps: rows are counted on a table of ordinals, and the block is a range of them.
+    """
     if n < 1:
         raise ValueError("number of blocks must be >= 1")
     if n == 1:
         return df
     if not 0 <= i < n:
         raise ValueError("block index must be within [0, n)")
-    block = F.ceil(_row_count(df) / F.lit(n))
-    return df.filter((F.col(ordinal) >= block * i) & (F.col(ordinal) < block * (i + 1)))
+    counted = running(df.select(ordinal), order=ordinal, index="_index", group_size="_rows")
+    inside = F.floor(F.col("_index") / F.ceil(F.col("_rows") / n)) == i
+    bounds = counted.filter(inside).agg(F.min(ordinal).alias("low"), F.max(ordinal).alias("high"))
+    return df.filter(F.col(ordinal).between(bounds.select("low").scalar(), bounds.select("high").scalar()))
 
 
 def select_stride(df: DataFrame, n: int, i: int, ordinal: str = "ordinal") -> DataFrame:
@@ -37,16 +42,21 @@ def select_stride(df: DataFrame, n: int, i: int, ordinal: str = "ordinal") -> Da
 
 
 def head_rows(df: DataFrame, n: int, ordinal: str = "ordinal") -> DataFrame:
-    """The first n rows in source order (planned as a top-k, no full sort)."""
+    """The first n rows in source order (planned as a top-k, no full sort); of a stream, the first n to arrive."""
+    if df.isStreaming:
+        return df.limit(n)
     return df.orderBy(ordinal).limit(n)
 
 
 def slice_chunks(df: DataFrame, parallelism: int | None, ordinal: str = "ordinal") -> DataFrame:
-    """Label runs of max(total // parallelism, 1) rows; without parallelism all rows are one run."""
+    """Label runs of max(total // parallelism, 1) rows in order; without parallelism all rows are one run.
+
+    Ordinals are unique but may have gaps.
+    """
     if not parallelism or parallelism < 1:
         return df.withColumn("chunk_id", F.lit(0).cast("bigint"))
     chunk = F.greatest(F.floor(_row_count(df) / F.lit(parallelism)), F.lit(1))
-    return df.withColumn("chunk_id", F.floor(F.col(ordinal) / chunk).cast("bigint"))
+    return assign_shards(df, chunk, ordinal, "chunk_id")
 
 
 def by_shard(df: DataFrame, n: int, shard: str = "shard", ordinal: str = "ordinal", span: int = 4096) -> DataFrame:
@@ -77,7 +87,7 @@ def shuffle_rows(df: DataFrame, key: str = "key", seed: int = draws.DEFAULT_SEED
 def shuffle_positions(df: DataFrame, key: str = "key", seed: int = draws.DEFAULT_SEED) -> DataFrame:
     """Position of each row in the global shuffle, numbered block-wise over the 32-bit draw."""
     drawn = df.withColumn("_draw", (draws.draw(F.col(key), "shuffle", 0, seed) * F.lit(4294967296)).cast("bigint"))
-    return running(drawn, order="_draw", ties=[key], index="position").drop("_draw")
+    return numbered(drawn, (), "_draw", [key], index="position").drop("_draw")
 
 
 def pending_units(

@@ -11,15 +11,18 @@ from speechtable.sources import ingest
 from speechtable.sources.tarshards import read_tarshards
 
 
+RATE_BYTES = 64  # the longest text of a rate; WAV headers are found wherever they lie
+
+
 def shard_lengths(
     spark: SparkSession, path: str, audio: str = "input_wav.pth", rate: str = "sr.index", default_rate: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """((shard, n_samples, sample_rate), (shard, reason)): lengths of float payloads or WAV members.
 
-    Samples without audio count nothing; a broken shard or a sample without a rate is a failure. Only
-    the start of each member is read, and the shards are walked once: the lengths go to a table.
+    Samples without audio count nothing; a broken shard, a cut file or a sample without a rate is a failure. Of each
+    member only headers are read, and the shards are walked once: the lengths go to a table.
     """
-    rows = read_tarshards(spark, path, head_bytes=ingest.HEADER_BYTES)
+    rows = read_tarshards(spark, path, head_bytes=RATE_BYTES)
     payload = F.col("members")[audio]
     if audio.rsplit(".", 1)[-1] == "pth":
         sized = rows.select(
@@ -28,7 +31,7 @@ def shard_lengths(
         )
     else:
         named = rows.select("shard", "error", payload.alias("payload"), F.lit(audio).alias("name"))
-        sized = ingest.probe_waves(named, "payload", "name").select(
+        sized = ingest.probe_waves(named, "payload", "name", headers=True).select(
             "shard", F.coalesce("error", "status").alias("error"), "n_samples", F.col("sample_rate").alias("own_rate")
         )
     rated = records.resolve_rate(settings.materialize(sized, "lengths"), ["own_rate"], default_rate)

@@ -32,7 +32,11 @@ def _restored(
         drop=("samples", "sample_rate"), **options,
     )
     status = F.col("status") if on_error == "quarantine" else F.lit(None).cast("string")
-    return restored.select("key", "ordinal", "transcript", "metadata", "wav", status.alias("status"))
+    # A cut row says so wherever it goes.
+    body = F.regexp_replace("metadata", r"\}$", "")
+    flagged = F.concat(body, F.when(body == "{", "").otherwise(","), F.lit('"truncated":true}'))
+    metadata = F.when(F.col("truncated"), flagged).otherwise(F.col("metadata"))
+    return restored.select("key", "ordinal", "transcript", metadata.alias("metadata"), "truncated", "wav", status.alias("status"))
 
 
 def _split(restored: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -43,8 +47,8 @@ def _split(restored: DataFrame) -> tuple[DataFrame, DataFrame]:
 def cleanse(df: DataFrame, model_factory: Callable[..., Callable], target_rate: int, **options) -> tuple[DataFrame, DataFrame]:
     """(good, bad) from (key, ordinal, samples, sample_rate, any metadata).
 
-    ``good`` holds key, ordinal, wav, transcript and metadata JSON; ``bad`` holds key, ordinal and
-    reason. Options: ``completed`` and ``unit_keys`` leave out finished work, ``text_col``,
+    ``good`` holds key, ordinal, wav, transcript, metadata JSON and whether the row was cut (also in the
+    metadata, where it was); ``bad`` holds key, ordinal and reason. Options: ``completed`` and ``unit_keys`` leave out finished work, ``text_col``,
     ``model_rate``, ``cutoff`` and those of ``restore``. Both are lazy over the same stage; use
     ``cleanse_to_shards`` to run the model once for both.
     """
@@ -57,7 +61,7 @@ def cleanse_to_shards(
 ) -> DataFrame | None:
     """Write the cleansed corpus; None when the folder already carries its completion marker.
 
-    Returns the counters of the run (processed, and skipped by reason). The model runs once: its
+    Returns the counters of the run (processed, truncated if any were, and skipped by reason). The model runs once: its
     output is written to the shared folder, from which shards are numbered and written.
     """
     if is_complete(folder) and not force:
@@ -68,4 +72,6 @@ def cleanse_to_shards(
         "key", "ordinal", "wav", F.col("transcript").alias("text.txt"), F.col("metadata").alias("metadata.json")
     )
     write_tarshards(rows, folder, per_shard, pattern, force=True, rate=target_rate)
-    return audit.run_metrics(good.select("key"), bad)
+    cut = good.filter("truncated").agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 0")
+    cut = cut.select(F.lit("truncated").alias("outcome"), F.lit("").alias("reason"), "n_rows")
+    return audit.run_metrics(good.select("key"), bad).unionByName(cut)

@@ -276,7 +276,7 @@ def cleansed_shards(spark, sf):
     folder = settings.fresh_path(spark, "cleansed")
     rows = fx.wave(spark, sf).withColumns({"ordinal": F.col("key"), "name": F.concat(F.lit("spk"), "speaker")})
     cleansing.cleanse_to_shards(
-        rows, folder, half_gain, 16, PER_SHARD, config={"scale": 0.5}, chunk_seconds=0.1, model_rate=16, text_col="name"
+        rows, folder, half_gain, 16, PER_SHARD, config={"scale": 0.5}, chunk_seconds=4.0, model_rate=16, text_col="name"
     )
     back = tarshards.read_tarshards(spark, folder)
     named = back.select(

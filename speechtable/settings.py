@@ -9,22 +9,45 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Intermediate folders of this process, for ``clean_up``.
+_MADE: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the cluster in spark.checkpoint.dir.
 
-    A folder of our own is made only where the session names none (unit tests).
+    Where the session names none, a local session (unit tests) gets a folder of its own, a cluster one below the warehouse;
+    a warehouse on a machine's own disk is refused, since every executor would write to another one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named is None:
-        named = tempfile.mkdtemp(prefix="speechtable-")
+        named = _fallback(spark.sparkContext.master, spark.conf.get("spark.sql.warehouse.dir"))
         spark.conf.set("spark.checkpoint.dir", named)
     return named
 
 
+def _fallback(master: str, warehouse: str) -> str:
+    if master.startswith("local"):
+        return tempfile.mkdtemp(prefix="speechtable-")
+    if "://" not in warehouse or warehouse.startswith("file:"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder all executors reach; the warehouse {warehouse} is on one machine")
+    return f"{warehouse.rstrip('/')}/speechtable-intermediate"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Delete the intermediate folders this process has made so far; tables read from them can no longer be computed."""
+    done = 0
+    while _MADE:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        done += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return done
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

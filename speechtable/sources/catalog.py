@@ -18,18 +18,22 @@ from speechtable.sources import files
 SHARD_SUFFIXES = (".tar", ".tar.gz")
 REMOTE_PREFIXES = ("s3://", "s3a://", "pipe:")
 MANIFEST_SUFFIX = ".txt"
-MAX_NESTING = 16
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """(line, entry) of a manifest: trimmed, blank and # lines left out, relative paths resolved."""
-    folder = os.path.dirname(files.plain(path)) or "."
-    text = spark.read.text(path, wholetext=True)
-    lines = text.select(F.posexplode(F.split("value", "\n")).alias("line", "raw"))
+    """(line, entry) of a manifest: trimmed, blank and # lines left out, relative paths resolved against their own file.
+
+    ``line`` orders the entries of a file: the first byte of the block a line was read from, and its place among the rows of the task.
+    """
+    text = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    # File names come percent-encoded; a plus is a plus.
+    file = F.regexp_replace(F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
+    place = F.array(F.col("file_block_start"), F.monotonically_increasing_id())
+    lines = text.select(place.alias("line"), F.col("value").alias("raw"), F.regexp_replace(file, "/[^/]*$", "").alias("folder"))
     entry = F.regexp_replace("raw", r"^\s+|\s+$", "")
-    kept = lines.select("line", entry.alias("entry")).filter((F.length("entry") > 0) & ~F.col("entry").startswith("#"))
+    kept = lines.select("line", "folder", entry.alias("entry")).filter((F.length("entry") > 0) & ~F.col("entry").startswith("#"))
     absolute = F.col("entry").startswith("/") | F.col("entry").contains("://") | F.col("entry").startswith("pipe:")
-    resolved = F.when(absolute, F.col("entry")).otherwise(F.concat(F.lit(f"{folder}/"), F.col("entry")))
+    resolved = F.when(absolute, F.col("entry")).otherwise(F.concat_ws("/", "folder", "entry"))
     return kept.select("line", resolved.alias("entry"))
 
 
@@ -72,7 +76,7 @@ def _require_files(df: DataFrame) -> DataFrame:
 
 
 def _expand(
-    spark: SparkSession, entry: str, rank: tuple[int, ...], depth: int
+    spark: SparkSession, entry: str, rank: tuple[int, ...], above: tuple[str, ...]
 ) -> Iterator[DataFrame | tuple[list[int], str]]:
     """Tables of shards below folders and manifests, and (rank, path) of entries that are shards."""
     if entry.startswith(REMOTE_PREFIXES):
@@ -87,15 +91,15 @@ def _expand(
     elif path.endswith(SHARD_SUFFIXES):
         yield list(rank), os.path.abspath(path) if "://" not in path else path
     elif path.endswith(MANIFEST_SUFFIX):
-        if depth >= MAX_NESTING:
-            raise ValueError(f"manifests nested deeper than {MAX_NESTING}: {entry}")
+        if path in above:
+            raise ValueError(f"manifest {entry} lists itself through {' > '.join(above[above.index(path):])}")
         lines = read_manifest(spark, path)
         direct = _is_remote(F.col("entry")) | _ends_like_shard(F.col("entry"))
-        placed = F.concat(_rank(rank), F.array(F.col("line").cast("bigint")))
+        placed = F.concat(_rank(rank), F.col("line"))
         yield _require_files(lines.filter(direct).select(placed.alias("rank"), F.col("entry").alias("path")))
         # What is left are folders and nested manifests: entries to expand, not shards.
         for row in lines.filter(~direct).toLocalIterator():
-            yield from _expand(spark, row["entry"], (*rank, row["line"]), depth + 1)
+            yield from _expand(spark, row["entry"], (*rank, *row["line"]), (*above, path))
     else:
         raise ValueError(f"Unsupported file type: {entry}")
 
@@ -107,7 +111,7 @@ def shard_catalog(spark: SparkSession, inputs: str | Sequence[str]) -> DataFrame
         raise ValueError("no inputs given")
     tables, named = [], []
     for at, entry in enumerate(inputs):
-        for part in _expand(spark, entry, (at,), 0):
+        for part in _expand(spark, entry, (at,), ()):
             (tables if isinstance(part, DataFrame) else named).append(part)
     if named:
         tables.append(spark.createDataFrame(named, "rank array<bigint>, path string"))

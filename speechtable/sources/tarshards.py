@@ -9,6 +9,7 @@ files which the commit renames, so a retried task leaves nothing behind.
 from __future__ import annotations
 
 import io
+import re
 import tarfile
 import uuid
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from pyspark.sql.datasource import (
 
 from speechtable.operators.ordering import assign_shards
 from speechtable.sources import files
-from speechtable.sources.ingest import pcm_bytes
+from speechtable.sources.ingest import pcm_bytes, wave_header
 
 SHARD_STRIDE = 1 << 32  # ordinal = shard number * stride + sample number
 BATCH_BYTES = 32 << 20
@@ -65,16 +66,24 @@ def list_shards(path: str) -> list[fs.FileInfo]:
 
 
 def _named(member: str) -> tuple[str, str]:
-    """(sample key, suffix): the base name is cut at its first dot."""
+    """(sample key, suffix): the base name is cut at its first dot, then what ``_escaped`` wrote is restored."""
     folder, _, base = member.rpartition("/")
     stem, _, suffix = base.partition(".")
+    stem = stem.replace("%2E", ".").replace("%25", "%")
     return (f"{folder}/{stem}" if folder else stem), suffix.lower()
 
 
+def _escaped(key: str) -> str:
+    """A key whose base name has no dot, since the first dot ends the key."""
+    folder, slash, base = key.rpartition("/")
+    return folder + slash + base.replace("%", "%25").replace(".", "%2E")
+
+
 def _samples(part: ShardRange, head: int | None) -> Iterator[tuple[int, str, dict[str, bytes], dict[str, int]]]:
     """(sample number, key, members, sizes) of the samples that start in the partition's byte range.
 
-    With ``head`` only that many bytes of each payload are read, the rest is skipped by seeking.
+    With ``head`` only that many bytes of each payload are read, the rest is skipped by seeking; of a WAV member
+    a plain header with its true length is made, wherever its samples start.
     """
     system, inner = files.locate(part.path)
     packed = part.path.endswith(".gz")
@@ -97,9 +106,13 @@ def _samples(part: ShardRange, head: int | None) -> Iterator[tuple[int, str, dic
                 mine = packed or member.offset >= part.start
             if mine:
                 wanted = member.size if head is None else min(head, member.size)
-                payload = tar.extractfile(member).read(wanted)
-                if len(payload) != wanted:
-                    raise tarfile.ReadError(f"member {member.name} is cut short")
+                body = tar.extractfile(member)
+                if head is not None and suffix.rsplit(".", 1)[-1] == "wav":
+                    payload = wave_header(body, member.size)
+                else:
+                    payload = body.read(wanted)
+                    if len(payload) != wanted:
+                        raise tarfile.ReadError(f"member {member.name} is cut short")
                 members[suffix], sizes[suffix] = payload, member.size
         if mine and key is not None:
             yield number, key, members, sizes
@@ -131,27 +144,32 @@ class TarShardReader(DataSourceReader):
         if not partition.path:
             return
         shard = files.plain(partition.path)
-        rows, held = [], 0
-        try:
-            for number, key, members, sizes in _samples(partition, self.head):
-                ordinal = partition.number * SHARD_STRIDE + number
-                rows.append((shard, ordinal, key, list(members.items()), list(sizes.items()), None))
-                held += sum(len(v) for v in members.values())
-                if held >= BATCH_BYTES:
-                    yield self._batch(rows)
-                    rows, held = [], 0
-        except (tarfile.TarError, OSError, EOFError) as error:
-            if self.mode == "FAILFAST":
-                raise
-            if self.mode == "PERMISSIVE":
-                rows.append((shard, None, None, None, None, f"{type(error).__name__}: {error}"))
-        if rows:
-            yield self._batch(rows)
-
-    @staticmethod
-    def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        columns = [pa.array(list(c), type=f.type) for c, f in zip(zip(*rows), _BATCH)]
-        return pa.RecordBatch.from_arrays(columns, schema=_BATCH)
+        yield from _rows(partition, shard, self.mode, self.head)
+
+
+def _rows(partition: ShardRange, shard: str, mode: str, head: int | None) -> Iterator[pa.RecordBatch]:
+    """Batches of a partition's samples; a broken shard ends in a row with its error, in nothing, or in the error itself."""
+    rows, held = [], 0
+    try:
+        for number, key, members, sizes in _samples(partition, head):
+            ordinal = partition.number * SHARD_STRIDE + number
+            rows.append((shard, ordinal, key, list(members.items()), list(sizes.items()), None))
+            held += sum(len(v) for v in members.values())
+            if held >= BATCH_BYTES:
+                yield _batch(rows)
+                rows, held = [], 0
+    except (tarfile.TarError, OSError, EOFError) as error:
+        if mode == "FAILFAST":
+            raise
+        if mode == "PERMISSIVE":
+            rows.append((shard, None, None, None, None, f"{type(error).__name__}: {error}"))
+    if rows:
+        yield _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(list(c), type=f.type) for c, f in zip(zip(*rows), _BATCH)]
+    return pa.RecordBatch.from_arrays(columns, schema=_BATCH)
 
 
 @dataclass
@@ -172,11 +190,12 @@ class TarShardWriter(DataSourceArrowWriter):
         self.folder = options["path"]
         self.pattern = options.get("pattern", "dataset-%06d.tar")
         self.rate = int(options["rate"]) if "rate" in options else None
+        self.replace = options.get("replace", "false").lower() == "true"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, inner = files.locate(self.folder)
         system.create_dir(inner, recursive=True)
-        moves, current, out, tar = [], None, None, None
+        moves, current, out, tar, last = [], None, None, None, None
         try:
             for batch in iterator:
                 names = [n for n in batch.schema.names if n not in ("__shard__", "__key__")]
@@ -191,13 +210,16 @@ class TarShardWriter(DataSourceArrowWriter):
                         moves.append((hidden, f"{inner}/{name}"))
                         out = system.open_output_stream(hidden, compression=None)
                         tar = tarfile.open(fileobj=out, mode="w|gz" if name.endswith(".gz") else "w|")
-                        current = shard
+                        current, last = shard, None
+                    if key is None or key == last:
+                        raise ValueError(f"shard {shard} would hold key {key!r} twice in a row: a reader takes both for one sample")
+                    last = key
                     for n in names:
                         value = columns[n][i]
                         if value is None:
                             continue
                         payload = _payload(value, n, self.rate)
-                        member = tarfile.TarInfo(f"{key}.{n}")
+                        member = tarfile.TarInfo(f"{_escaped(key)}.{n}")
                         member.size = len(payload)
                         tar.addfile(member, io.BytesIO(payload))
         finally:
@@ -218,6 +240,15 @@ class TarShardWriter(DataSourceArrowWriter):
         for message in messages:
             for hidden, final in message.moves if message else []:
                 system.move(hidden, final)
+        if self.replace:
+            # What an earlier run or a failed attempt left is no part of the corpus.
+            new = {final for message in messages for _, final in (message.moves if message else [])}
+            for found in system.get_file_info(fs.FileSelector(inner)):
+                name = found.base_name
+                stale = name.endswith((".tar", ".tar.gz")) and not name.startswith(".") and found.path not in new
+                left = re.fullmatch(r"\..+\.[0-9a-f]{32}", name)
+                if found.type == fs.FileType.File and (stale or left):
+                    system.delete_file(found.path)
         with system.open_output_stream(f"{inner}/{SUCCESS}"):
             pass
 
@@ -262,6 +293,24 @@ def read_tarshards(
     return reader.load(path)
 
 
+def read_listed(catalog: DataFrame, mode: str = "PERMISSIVE", head_bytes: int | None = None) -> DataFrame:
+    """The same columns for the shards a catalogue (ordinal, path) lists: select among its rows, then read.
+
+    One shard is one row of work; a shard is read by the task that holds its row, the list never leaves the executors. Sample
+    ordinals follow the catalogue's.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                yield from _rows(ShardRange(path, number, 0, 1 << 62), files.plain(path), mode, head_bytes)
+
+    spread = catalog.select(F.col("ordinal").cast("bigint"), "path").repartition(F.col("path"))
+    return spread.mapInArrow(run, READ_SCHEMA)
+
+
 def is_complete(folder: str) -> bool:
     """Whether a finished write left its marker."""
     return files.info(f"{folder}/{SUCCESS}").type == fs.FileType.File
@@ -276,12 +325,18 @@ def write_tarshards(
     Column names are member suffixes (``wav``, ``text.txt``, ``metadata.json``): binary as it is,
     float arrays as little-endian float32 (a ``wav`` array as 16-bit PCM at ``rate``), other values
     as text, nulls left out. ``dense`` says that ``order`` already counts 0..n-1, which saves
-    numbering the rows; otherwise the input is scanned for its ordinals too, so give a written table.
+    numbering the rows; otherwise the input is scanned for its ordinals too, so give a written table. ``force`` replaces a finished
+    folder: its marker goes first, shards the new run does not write go last. Two equal keys in a row are refused.
     """
     if max_count < 1:
         raise ValueError("max_count must be >= 1")
-    if is_complete(folder) and not force:
+    done = is_complete(folder)
+    if done and not force:
         return False
+    if done:
+        # A rewrite that breaks off must not look finished.
+        system, inner = files.locate(folder)
+        system.delete_file(f"{inner}/{SUCCESS}")
     register(df.sparkSession)
     if rate is None and "wav" in df.columns and isinstance(df.schema["wav"].dataType, T.ArrayType):
         raise ValueError("a wav array needs its rate")
@@ -292,7 +347,7 @@ def write_tarshards(
     placed = shard_of.repartition("__shard__").sortWithinPartitions("__shard__", order)
     members = [F.col(f"`{c}`") for c in df.columns if c not in (key, order)]
     rows = placed.select(F.col("__shard__").cast("int"), F.col(key).cast("string").alias("__key__"), *members)
-    writer = rows.write.format("tarshards").option("pattern", pattern)
+    writer = rows.write.format("tarshards").option("pattern", pattern).option("replace", force)
     if rate is not None:
         writer = writer.option("rate", rate)
     writer.mode("append").save(folder)
