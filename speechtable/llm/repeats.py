@@ -123,10 +123,11 @@ def anchor_store(docs: DataFrame, rule: Rule) -> store.Store:
                 pair[1:] |= row[1:] != row[:-1]
                 heads = np.flatnonzero(fresh)
                 n = np.add.reduceat(pair.astype(np.int32), heads) if len(heads) else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(key[heads].view(np.int64)), pa.array(n.astype(np.int32))], ["anchor", "n"])
+                yield from store.pack(pa.RecordBatch.from_arrays([pa.array(key[heads].view(np.int64)), pa.array(n.astype(np.int32))], ["anchor", "n"]), bits)
 
-    counted = docs.select("text").mapInArrow(run, "anchor long, n int")
-    return store.build(counted, "anchor", {"n": "<u4"}, _shared)
+    bits = store.bits_for(docs)
+    counted = docs.select("text").mapInArrow(run, store.PACKED)
+    return store.build(counted, "anchor", {"n": "<u4"}, _shared, bits, packed=True)
 
 
 def _shared(keys: np.ndarray, values: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
@@ -183,17 +184,18 @@ def solve(docs: DataFrame, rule: Rule, anchors: store.Store, solver: Solver) ->
                 one = order[heads]
                 begin, size = units.starts[found.start[one]], units.ends[found.stop[one] - 1] - units.starts[found.start[one]]
                 body = textbatch.binary_array(textbatch.gather(data, begin, size), size).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(found.route[one].view(np.int64)), pa.array(found.name[one].view(np.int64)), pa.array(np.minimum.reduceat(doc, heads)),
-                    pa.array(np.maximum.reduceat(doc, heads)), body], ["route", "name", "first", "last", "body"])
+                # The name follows from the body; it need not travel.
+                yield from store.pack(pa.RecordBatch.from_arrays([
+                    pa.array(found.route[one].view(np.int64)), pa.array(np.minimum.reduceat(doc, heads)), pa.array(np.maximum.reduceat(doc, heads)), body],
+                    ["route", "first", "last", "body"]), bits)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b for b in batches if b.num_rows]
+        parts = store.unpack(batches)
         if not parts:
             return
         whole = pa.Table.from_batches(parts).combine_chunks()
         del parts
-        name = whole["name"].to_numpy().view(np.uint64)
+        name = np.concatenate([_names(data, offsets, rule) for _, _, data, offsets in textbatch.chunks(whole["body"])])
         order, heads, _ = textbatch.distinct(name)
         first = np.minimum.reduceat(whole["first"].to_numpy()[order], heads)
         last = np.maximum.reduceat(whole["last"].to_numpy()[order], heads)
@@ -212,16 +214,45 @@ def solve(docs: DataFrame, rule: Rule, anchors: store.Store, solver: Solver) ->
             size = np.diff(offsets)[pick]
             part = textbatch.gather(data, offsets[pick], size)
             segment, begin, units, doc = solver(part, np.concatenate(([0], np.cumsum(size))), first[pick], rule.length)
-            # All later documents of a segment repeat it whole.
-            many = np.flatnonzero(first[pick] != last[pick])
+            segment, begin, units, doc = united(segment, begin, units, doc)
+            # All later documents of a segment repeat it whole; where an earlier one does so for all, they need no row of their own.
+            long = np.zeros(len(pick), np.int64)
+            np.maximum.at(long, segment, np.where(begin == 0, units, 0))
+            many = np.flatnonzero((first[pick] != last[pick]) & (long < _sizes(part, size, rule)))
             total = np.concatenate([np.full(len(many), 0xFFFFFFFF, np.int64), units])
-            yield pa.RecordBatch.from_arrays([
-                pa.array(name[pick][np.concatenate([many, segment])].view(np.int64)), pa.array(np.concatenate([np.zeros(len(many), np.int64), begin])),
-                pa.array(total), pa.array(np.concatenate([first[pick][many], doc]))], ["name", "begin", "units", "doc"])
-
-    rows = docs.select("id", "text").mapInArrow(emit, "route long, name long, first long, last long, body binary")
-    rows = store.place(rows, "route", bits).mapInArrow(index, "name long, begin long, units long, doc long")
-    return store.build(rows, "name", {"begin": "<u4", "units": "<u4", "doc": "<i8"}, bits=bits)
+            yield from store.pack(pa.RecordBatch.from_arrays([
+                pa.array(name[pick][np.concatenate([many, segment])].view(np.int64)), pa.array(np.concatenate([np.zeros(len(many), np.int64), begin]).astype(np.uint32)),
+                pa.array(total.astype(np.uint32)), pa.array(np.concatenate([first[pick][many], doc]))], ["name", "begin", "units", "doc"]), bits)
+
+    rows = store.place_packed(docs.select("id", "text").mapInArrow(emit, store.PACKED), bits).mapInArrow(index, store.PACKED)
+    return store.build(rows, "name", {"begin": "<u4", "units": "<u4", "doc": "<i8"}, bits=bits, packed=True)
+
+
+def _names(data: np.ndarray, offsets: np.ndarray, rule: Rule) -> np.ndarray:
+    """Identity of each body, the same as ``segments`` gives the units in their document."""
+    units = units_of(data, offsets, rule)
+    return textbatch.span_hash(textbatch.prefix_hash(units.values), units.rows[:-1], units.rows[1:])
+
+
+def _sizes(data: np.ndarray, sizes: np.ndarray, rule: Rule) -> np.ndarray:
+    """Units of each body."""
+    return sizes if rule.units == "bytes" else np.diff(units_of(data, np.concatenate(([0], np.cumsum(sizes))), rule).rows)
+
+
+def united(segment: np.ndarray, begin: np.ndarray, units: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Overlapping or touching spans of a segment as one, under their greatest id: all ids are below the segment's own least one, so any of them
+    tells a document of the segment that an earlier one holds the units."""
+    order = np.lexsort((begin, segment))
+    segment, begin, stop, doc = segment[order], begin[order], (begin + units)[order], doc[order]
+    if not len(segment):
+        return segment, begin, stop, doc
+    # Reach so far inside a segment: a running maximum over places that grow from segment to segment.
+    wide = int(stop.max()) + 1
+    reach = np.maximum.accumulate(segment * wide + stop)
+    fresh = np.concatenate(([True], segment[1:] * wide + begin[1:] > reach[:-1]))
+    heads = np.flatnonzero(fresh)
+    tails = np.append(heads[1:], len(segment)) - 1
+    return segment[heads], begin[heads], reach[tails] - segment[heads] * wide - begin[heads], np.maximum.reduceat(doc, heads)
 
 
 def covered(units: Units, ids: np.ndarray, rule: Rule, anchors: store.Store, spans: store.Store) -> np.ndarray:

@@ -125,3 +125,26 @@ def test_word_hashes_depend_on_content_only():
     starts, ends, rows = textbatch.split_words(data, np.array([0, 4, 4, len(data)]))
     names = textbatch.hash_spans(data, starts, ends)
     assert rows.tolist() == [0, 2, 2, 5] and names[0] == names[2] and names[1] == names[4] and len(set(names.tolist())) == 3
+
+
+def test_spans_unite_inside_a_segment():
+    rng = np.random.default_rng(3)
+    segment, begin, units = rng.integers(0, 5, 60), rng.integers(0, 40, 60), rng.integers(1, 6, 60)
+    got = repeats.united(segment, begin, units, np.arange(60))
+    cells = lambda s, b, u: {(int(x), int(k)) for x, y, n in zip(s, b, u) for k in range(y, y + n)}
+    assert cells(*got[:3]) == cells(segment, begin, units)
+    ends = {(int(s), int(b + u)) for s, b, u in zip(*got[:3])}
+    assert all((int(s), int(b)) not in ends for s, b in zip(got[0], got[1]))
+
+
+def test_packed_rows_come_back():
+    import pyarrow as pa
+
+    from speechtable.llm import store
+
+    keys = np.array([5, 1 << 63, 7, (1 << 64) - 1, 5], np.uint64)
+    batch = pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(["a", "b", "c", "d", "e"])], ["key", "v"])
+    packed = list(store.pack(batch, 2))
+    assert packed[0].column(0).to_pylist() == [0, 2, 3]
+    back = [(k % (1 << 64), v) for b in store.unpack(packed) for k, v in zip(*(c.to_pylist() for c in b.columns))]
+    assert back == [(5, "a"), (5, "e"), (7, "c"), (1 << 63, "b"), ((1 << 64) - 1, "d")]
