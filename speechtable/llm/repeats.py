@@ -31,6 +31,8 @@ from speechtable.llm import store, textbatch
 
 MAX_RUN = 128
 HOT = 4096
+#: Bytes of text at a time: arrays hold 8 bytes a unit.
+CHUNK = {"bytes": 1 << 20, "words": 2 << 20}
 _LAST = np.iinfo(np.int64).max
 #: (segment bodies, offsets, least id of each) -> (segment, first unit, units, id) of spans that also occur under a smaller id.
 Solver = Callable[[np.ndarray, np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
@@ -112,7 +114,7 @@ def anchor_store(docs: DataFrame, rule: Rule) -> store.Store:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in textbatch.chunks(batch.column(0)):
+            for _, _, data, offsets in textbatch.chunks(batch.column(0), CHUNK[rule.units]):
                 units = units_of(data, offsets, rule)
                 runs = runs_of(units, textbatch.prefix_hash(units.values), rule)
                 order = np.argsort(runs.anchor, kind="stable")
@@ -174,7 +176,7 @@ def solve(docs: DataFrame, rule: Rule, anchors: store.Store, solver: Solver) ->
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = _ids(batch.column(0))
-            for a, _, data, offsets in textbatch.chunks(batch.column(1)):
+            for a, _, data, offsets in textbatch.chunks(batch.column(1), CHUNK[rule.units]):
                 units = units_of(data, offsets, rule)
                 found = segments(units, rule, anchors)
                 order, heads, _ = textbatch.distinct(found.name)
@@ -195,7 +197,7 @@ def solve(docs: DataFrame, rule: Rule, anchors: store.Store, solver: Solver) ->
             return
         whole = pa.Table.from_batches(parts).combine_chunks()
         del parts
-        name = np.concatenate([_names(data, offsets, rule) for _, _, data, offsets in textbatch.chunks(whole["body"])])
+        name = np.concatenate([_names(data, offsets, rule) for _, _, data, offsets in textbatch.chunks(whole["body"], CHUNK[rule.units])])
         order, heads, _ = textbatch.distinct(name)
         first = np.minimum.reduceat(whole["first"].to_numpy()[order], heads)
         last = np.maximum.reduceat(whole["last"].to_numpy()[order], heads)
@@ -203,10 +205,10 @@ def solve(docs: DataFrame, rule: Rule, anchors: store.Store, solver: Solver) ->
         name, route = name[one], whole["route"].to_numpy()[one].view(np.uint64)
         data, offsets = textbatch.flat(whole["body"].combine_chunks().take(pa.array(one)))
         del whole
-        # A task indexes its segments in portions of whole anchors, about 16 MB each.
+        # A task indexes its segments in portions of whole anchors, about 4 MB each.
         by = np.argsort(route, kind="stable")
         sizes = np.diff(offsets)[by]
-        portion = np.cumsum(sizes) // (16 << 20)
+        portion = np.cumsum(sizes) // (4 << 20)
         edge = np.flatnonzero(np.concatenate(([True], route[by][1:] != route[by][:-1])))
         group = np.repeat(portion[edge], np.diff(np.append(edge, len(by))))
         for number in np.unique(group):
@@ -286,7 +288,7 @@ def marks(docs: DataFrame, rule: Rule, solver: Solver, finish: Callable, schema:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = _ids(batch.column(0))
-            for a, b, data, offsets in textbatch.chunks(batch.column(1)):
+            for a, b, data, offsets in textbatch.chunks(batch.column(1), CHUNK[rule.units]):
                 units = units_of(data, offsets, rule)
                 yield finish(batch.slice(a, b - a), data, offsets, units, covered(units, ids[a:b], rule, anchors, spans))
 
