@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("selection_queries", "wave_queries", "degrade_queries", "source_queries")
+_MODULES = ("selection_queries", "wave_queries", "degrade_queries", "source_queries", "edge_queries")
 
 
 def load_queries() -> None:

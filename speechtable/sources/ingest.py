@@ -26,15 +26,51 @@ def is_audio(name: Column) -> Column:
     return suffix_of(name).isin(*AUDIO_SUFFIXES)
 
 
+# Fixed value: what a writer that does not know the length leaves in a size field, or more.
+OPEN_ENDED = 0xFFFFFFF0
+
+
+def wave_shape(source, size: int) -> tuple[int, int, int, int, int]:
+    """(samples, rate, channels, bytes per value, first byte of the samples) of a PCM WAV of ``size`` bytes, from its chunk headers.
+
+    ``source`` can read and seek forward; chunk bodies are passed over wherever the samples start. The length is
+    what the file holds: an open-ended size counts to its end, a file shorter than it says raises.
+    """
+    at = 12
+    head = source.read(at)
+    if len(head) < at or head[:4] != b"RIFF" or head[8:] != b"WAVE":
+        raise EOFError("no RIFF header")
+    form = None
+    while True:
+        chunk = source.read(8)
+        if len(chunk) < 8:
+            raise EOFError("no samples")
+        name, length = chunk[:4], int.from_bytes(chunk[4:], "little")
+        at += 8
+        if name == b"data":
+            break
+        if name == b"fmt ":
+            form = source.read(length)
+        step = length + (length & 1) - (length if name == b"fmt " else 0)
+        source.seek(step, 1)
+        at += length + (length & 1)
+    if form is None or len(form) < 16:
+        raise EOFError("no format before the samples")
+    channels, rate, width = int.from_bytes(form[2:4], "little"), int.from_bytes(form[4:8], "little"), -(-int.from_bytes(form[14:16], "little") // 8)
+    # Plain PCM, or the extensible form whose subformat is PCM.
+    kind = form[24:26] if form[:2] == b"\xfe\xff" else form[:2]
+    if kind != b"\x01\x00" or not channels or not width:
+        raise EOFError("not PCM")
+    held = size - at
+    if held < length < OPEN_ENDED:
+        raise EOFError(f"{length} bytes of samples announced, {held} found")
+    return min(held, length) // (channels * width), rate, channels, width, at
+
+
 def pcm_channels(payload: bytes) -> tuple[np.ndarray, int]:
     """(channels, time) floats in [-1, 1] and the rate of a PCM WAV file."""
-    with riff.open(io.BytesIO(payload)) as source:
-        n, width, rate = source.getnchannels(), source.getsampwidth(), source.getframerate()
-        declared = source.getnframes() * n * width
-        raw = source.readframes(source.getnframes())
-        if len(raw) < declared < OPEN_ENDED - n * width:
-            raise EOFError(f"{declared} bytes of samples announced, {len(raw)} found")
-        raw = raw[: len(raw) // (n * width) * (n * width)]
+    frames, rate, n, width, at = wave_shape(io.BytesIO(payload), len(payload))
+    raw = payload[at : at + frames * n * width]
     if width == 1:
         flat = (np.frombuffer(raw, dtype=np.uint8).astype(np.float32) - 128) / 128
     elif width == 3:
@@ -76,7 +112,7 @@ def decode_waves(df: DataFrame, bytes_col: str, name_col: str, drop_bytes: bool
             raise ValueError(f"no codec for {suffix}")
         try:
             channels, rate = pcm_channels(payload)
-        except (riff.Error, EOFError) as error:
+        except EOFError as error:
             raise ValueError("broken wav") from error
         return channels, rate
 
@@ -84,49 +120,10 @@ def decode_waves(df: DataFrame, bytes_col: str, name_col: str, drop_bytes: bool
     return with_stage(df, run, ddl, [bytes_col, name_col], "quarantine", drop=[bytes_col] if drop_bytes else [])
 
 
-# Fixed value: what a writer that does not know the length leaves in a size field, or more.
-OPEN_ENDED = 0xFFFFFFF0
-
-
-def wave_shape(source, size: int) -> tuple[int, int, int, int]:
-    """(samples, rate, channels, bytes per value) of a PCM WAV of ``size`` bytes, from its chunk headers.
-
-    ``source`` can read and seek forward; chunk bodies are passed over wherever the samples start. The length is
-    what the file holds: an open-ended size counts to its end, a file shorter than it says raises.
-    """
-    at = 12
-    head = source.read(at)
-    if len(head) < at or head[:4] != b"RIFF" or head[8:] != b"WAVE":
-        raise EOFError("no RIFF header")
-    form = None
-    while True:
-        chunk = source.read(8)
-        if len(chunk) < 8:
-            raise EOFError("no samples")
-        name, length = chunk[:4], int.from_bytes(chunk[4:], "little")
-        at += 8
-        if name == b"data":
-            break
-        if name == b"fmt ":
-            form = source.read(length)
-        step = length + (length & 1) - (length if name == b"fmt " else 0)
-        source.seek(step, 1)
-        at += length + (length & 1)
-    if form is None or len(form) < 16:
-        raise EOFError("no format before the samples")
-    channels, rate, width = int.from_bytes(form[2:4], "little"), int.from_bytes(form[4:8], "little"), -(-int.from_bytes(form[14:16], "little") // 8)
-    if int.from_bytes(form[:2], "little") not in (1, 0xFFFE) or not channels or not width:
-        raise EOFError("not PCM")
-    held = size - at
-    if held < length < OPEN_ENDED:
-        raise EOFError(f"{length} bytes of samples announced, {held} found")
-    return min(held, length) // (channels * width), rate, channels, width
-
-
 def wave_header(source, size: int) -> bytes:
     """A plain WAV header with the true length of a member; empty where the member is no whole PCM WAV."""
     try:
-        n, rate, channels, width = wave_shape(source, size)
+        n, rate, channels, width, _ = wave_shape(source, size)
     except (EOFError, OSError):
         return b""
     form = struct.pack("<HHIIHH", 1, channels, rate, rate * channels * width, channels * width, width * 8)

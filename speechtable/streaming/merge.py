@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -12,44 +12,68 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from speechtable.operators.merge import target_ticks, ticks
 
-_STATE = "key string, ticks bigint, n int, samples array<double>"
-
 
 def merge_to_length_stream(
-    df: DataFrame, seconds: float, by: str, col: str = "samples", order: str = "ordinal", key: str = "key",
-    rate: str = "sample_rate",
+    df: DataFrame, seconds: float, by: str, col: str | Sequence[str] = "samples", order: str = "ordinal", key: str = "key",
+    rate: str = "sample_rate", rates: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Merged rows (by, key, samples, sample_rate, n_members) per ``by``; an unfinished group stays open.
+    """Merged rows (by, key, waveforms, rates, n_members) per ``by``; an unfinished group stays open.
 
-    Rows must arrive in ``order`` from one micro-batch to the next. State is one open group per
-    ``by``: less than ``seconds`` of audio plus a row. Split a hot stream by a finer ``by`` column
-    (source file, lane): groups never span its values.
+    Like the batch form: the first waveform decides the grouping, key and rates come from a group's first row, ``rates`` names
+    the rate column per waveform (``rate`` by default), and n_members counts rows that are not empty. Rows must arrive in ``order`` from one
+    micro-batch to the next. State is one open group per ``by``: less than ``seconds`` of audio plus a row. Split a hot stream
+    by a finer ``by`` column (source file, lane): groups never span its values.
     """
     target = target_ticks(seconds)
+    cols = [col] if isinstance(col, str) else list(col)
+    rate_of = {c: (rates or {}).get(c, rate) for c in cols}
+    rate_cols = sorted(set(rate_of.values()))
+    waves, rate_names = [f"w{i}" for i in range(len(cols))], [f"r{i}" for i in range(len(rate_cols))]
 
     def run(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first, total, count, held = state.get if state.exists else (None, 0, 0, [])
-        parts = [np.asarray(held, dtype=float)] if count else []
-        done = []
         # A group's rows of one micro-batch, bounded by the files a trigger admits.
-        rows = pd.concat(list(frames)).sort_values("_order")
-        for r in rows.itertuples(index=False):
-            first = r.key if count == 0 else first
-            parts.append(np.asarray(r.samples, dtype=float))
-            total, count = total + int(r.ticks), count + 1
-            if total >= target:
-                whole = np.concatenate(parts)[: int(seconds * r.rate)]
-                done.append((group[0], first, whole, int(r.rate), count))
-                first, total, count, parts = None, 0, 0, []
-        state.update((first, total, count, np.concatenate(parts).tolist() if parts else []))
+        rows = pd.concat(list(frames)).sort_values("_order", kind="stable")
+        keys, sizes = rows["key"].to_numpy(), rows["ticks"].to_numpy(dtype=np.int64)
+        audio = [rows[w].to_numpy() for w in waves]
+        own = [rows[r].to_numpy() for r in rate_names]
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        first, total, count, *rest = state.get if state.exists else (None, 0, 0, *[None] * len(rate_names), *[b""] * len(waves))
+        first_rates, held = list(rest[: len(rate_names)]), [[np.frombuffer(w)] for w in rest[len(rate_names) :]]
+        opened, at, done = bool(state.exists and state.get[3] is not None), 0, []
+
+        def take(begin: int, end: int) -> None:
+            nonlocal first, first_rates, count, opened
+            if not opened and begin < end:
+                first, first_rates, opened = keys[begin], [int(r[begin]) for r in own], True
+            for parts, column in zip(held, audio):
+                parts += [np.asarray(x, dtype=float) for x in column[begin:end]]
+            count += sum(len(x) > 0 for x in audio[0][begin:end])
+
+        while True:
+            # The row with which the running length reaches the target closes the group.
+            close = at + 1 + int(np.searchsorted(upto[at + 1 :], upto[at] + target - total, "left"))
+            if close > len(rows):
+                break
+            take(at, close)
+            whole = [np.concatenate(parts) for parts in held]
+            cut = [w[: int(seconds * first_rates[rate_cols.index(rate_of[c])])] for w, c in zip(whole, cols)]
+            done.append((group[0], first, *cut, *first_rates, count))
+            first, total, count, opened, first_rates, at = None, 0, 0, False, [None] * len(rate_names), close
+            held = [[] for _ in waves]
+        total += int(upto[-1] - upto[at])
+        take(at, len(rows))
+        state.update((first, total, count, *first_rates, *[np.concatenate(p).tobytes() if p else b"" for p in held]))
         if done:
-            yield pd.DataFrame(done, columns=[by, "key", "samples", "sample_rate", "n_members"])
+            yield pd.DataFrame(done, columns=[by, "key", *cols, *rate_cols, "n_members"])
 
     rows = df.select(
         F.col(by), F.col(order).alias("_order"), F.col(key).cast("string").alias("key"),
-        F.col(col).cast("array<double>").alias("samples"), F.col(rate).cast("int").alias("rate"),
-        ticks(F.size(col), F.col(rate)).alias("ticks"),
+        *[F.coalesce(F.col(c).cast("array<double>"), F.array().cast("array<double>")).alias(w) for c, w in zip(cols, waves)],
+        *[F.col(c).cast("int").alias(r) for c, r in zip(rate_cols, rate_names)],
+        ticks(F.size(cols[0]), F.col(rate_of[cols[0]])).alias("ticks"),
     )
-    out = f"{by} {df.schema[by].dataType.simpleString()}, key string, samples array<double>, sample_rate int, n_members int"
-    # itertuples hides names that start with an underscore, so only `_order` does.
-    return rows.groupBy(by).applyInPandasWithState(run, out, _STATE, "append", GroupStateTimeout.NoTimeout)
+    kind = df.schema[by].dataType.simpleString()
+    out = ", ".join([f"`{by}` {kind}", "key string", *[f"`{c}` array<double>" for c in cols], *[f"`{c}` int" for c in rate_cols], "n_members int"])
+    # The open group's audio is kept as bytes.
+    held = ", ".join(["key string", "ticks bigint", "n int", *[f"{r} int" for r in rate_names], *[f"{w} binary" for w in waves]])
+    return rows.groupBy(by).applyInPandasWithState(run, out, held, "append", GroupStateTimeout.NoTimeout)

@@ -110,10 +110,10 @@ def test_broken_shards_by_mode(spark, tmp_path):
 
 @pytest.mark.parametrize("suffix", ["tar", "tar.gz"])
 def test_heads_and_sizes(spark, tmp_path, suffix):
-    write_tar(f"{tmp_path}/a.{suffix}", [("u.wav", b"abcdef"), ("u.txt", b"x"), ("v.wav", b"")])
+    write_tar(f"{tmp_path}/a.{suffix}", [("u.mp3", b"abcdef"), ("u.txt", b"x"), ("v.wav", b"no wave")])
     rows = tarshards.read_tarshards(spark, str(tmp_path), head_bytes=2).orderBy("ordinal").collect()
     assert [({k: bytes(v) for k, v in r.members.items()}, r.sizes) for r in rows] == [
-        ({"wav": b"ab", "txt": b"x"}, {"wav": 6, "txt": 1}), ({"wav": b""}, {"wav": 0})
+        ({"mp3": b"ab", "txt": b"x"}, {"mp3": 6, "txt": 1}), ({"wav": b""}, {"wav": 7})
     ]
 
 
