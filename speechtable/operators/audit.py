@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At six digits exact halves occur (n / 3.6 million) and the order of additions would decide them; at nine
-# they cannot.
-HOURS_DIGITS = 9
-
-
 def _hours():
     return F.sum(F.col("n_samples") / F.col("sample_rate").cast("double")) / 3600
 
@@ -17,14 +12,14 @@ def _hours():
 def shard_hours(df: DataFrame) -> DataFrame:
     """Hours and rows per shard from (shard, n_samples, sample_rate); rows without audio add nothing."""
     return df.groupBy("shard").agg(
-        F.round(F.coalesce(_hours(), F.lit(0.0)), HOURS_DIGITS).alias("hours"), F.count("n_samples").alias("n_utterances")
+        F.coalesce(_hours(), F.lit(0.0)).alias("hours"), F.count("n_samples").alias("n_utterances")
     )
 
 
 def corpus_hours(df: DataFrame) -> DataFrame:
     """Hours per shard plus the corpus total in one pass (``is_total`` = 1)."""
     return df.rollup("shard").agg(
-        F.round(F.coalesce(_hours(), F.lit(0.0)), HOURS_DIGITS).alias("hours"), F.grouping("shard").cast("int").alias("is_total")
+        F.coalesce(_hours(), F.lit(0.0)).alias("hours"), F.grouping("shard").cast("int").alias("is_total")
     )
 
 

@@ -157,7 +157,7 @@ def encode_record(df: DataFrame, seed: str = "record", identity: Sequence[str] =
 
     Waveforms stay typed arrays (the shard sink writes them as raw little-endian float32);
     other nested values become JSON. The key is made of all values, waveforms included, and of the ``identity`` columns
-    (source key, ordinal, crop), which are not encoded: name them where whole rows may be equal.
+    (source key, ordinal, crop), which go along as they are: name them where whole rows may be equal.
     """
     encoded = []
     for field in df.drop(*identity).schema:
@@ -170,4 +170,4 @@ def encode_record(df: DataFrame, seed: str = "record", identity: Sequence[str] =
     plain = F.to_json(F.struct(*[f.name for f in df.schema if _suffix(f.dataType) != "pth"]))
     # Two 64-bit hashes stand for a waveform; its samples need not become text.
     audio = [F.xxhash64(f.name, F.lit(k)).cast("string") for f in df.schema if _suffix(f.dataType) == "pth" for k in (1, 2)]
-    return df.select(F.sha2(F.concat_ws("|", F.lit(seed), plain, *audio), 256).alias("__key__"), *encoded)
+    return df.select(F.sha2(F.concat_ws("|", F.lit(seed), plain, *audio), 256).alias("__key__"), *encoded, *identity)

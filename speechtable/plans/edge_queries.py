@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 
 from speechtable import settings
 from speechtable.operators import degrade, merge, records, restore, selection
-from speechtable.plans import cleansing
+from speechtable.plans import cleansing, pairs
 from speechtable.plans import fixtures as fx
-from speechtable.plans.degrade_queries import half_gain
+from speechtable.plans.degrade_queries import _BANDS, _chain_ctes, _prepared_ctes, _rates_ctes, half_gain
 from speechtable.plans.registry import digest, query, samples_long, sql_digest, sql_draw, sql_long
 from speechtable.plans.wave_queries import merged_sql
 from speechtable.sources import catalog, corpus, files, ingest, tarshards
@@ -205,6 +205,33 @@ def cached_models(spark, sf):
     return digest(made.withColumn("y", F.col("restored").cast("array<double>")), ["scale", "key"], "y")
 
 
+@query(
+    f"""WITH /*recursive*/ base AS ({fx.SQL_VIEWS['wave']}), {_prepared_ctes(1, 32)}, {_chain_ctes(_BANDS, seconds=2)}, {_rates_ctes()},
+        placed AS (SELECT key, split, (row_number() OVER (PARTITION BY split ORDER BY {sql_draw('key', 'shuffle')}, key) - 1) // 4 AS batch_id,
+                CAST((row_number() OVER (PARTITION BY split ORDER BY {sql_draw('key', 'shuffle')}, key) - 1) % 4 AS INT) AS slot
+            FROM (SELECT DISTINCT key, CASE WHEN {sql_draw('key', 'split')} < 0.75 THEN 'train' ELSE 'valid' END AS split FROM rated)),
+        m AS (SELECT split, batch_id, slot, key, kind, 6 AS n_mels, CAST(1 + (len(y) + 80 - 16) // 8 AS INT) AS n_frames, y FROM rated JOIN placed USING (key)
+            WHERE kind LIKE '%16k') """ + sql_digest("m", "split, batch_id, slot, key, kind, n_mels, n_frames"),
+    ["noise_pool", "rir_pool"],
+)
+def preprocessed_batches(spark, sf):
+    """Crops, degradation, mel features, records in shards per split, read back, shuffled and batched."""
+    rows = fx.wave(spark, sf).withColumn("ordinal", F.col("key"))
+    made = pairs.training_pairs(
+        rows, fx.noise_pool(spark, sf), fx.rir_pool(spark, sf), target=24, n_crops=1, seconds=2.0, cutoff=2.0, low=8, band_rates=_BANDS)
+    folder = settings.fresh_path(spark, "preprocessed")
+    # The short low-rate waveforms count as 16 kHz for the mel front end.
+    made = made.withColumn("sample_rate_16k", F.lit(16000))
+    splits = {"train": 0.75, "valid": 0.25}
+    pairs.preprocess_to_shards(made, folder, 50, splits, n_mels=6, frame_ms=1.0, hop_ms=0.5)
+    back = [pairs.training_batches(spark, folder, s, 4).withColumn("split", F.lit(s)) for s in splits]
+    frames = lambda c: (F.size(c) / F.col("n_mels")).cast("int")
+    kinds = [F.struct(F.lit(f"{s}_16k").alias("kind"), F.col(f"{s}_16k").cast("array<double>").alias("y"), frames(f"{s}_mel").alias("n_frames"))
+             for s in ("clean", "noisy")]
+    flat = reduce(DataFrame.unionByName, back).select("split", "batch_id", "slot", "key", "n_mels", F.inline(F.array(*kinds)))
+    return digest(flat, ["split", "batch_id", "slot", "key", "kind", "n_mels", "n_frames"], "y")
+
+
 def _merged_kinds(df):
     kinds = [F.struct(F.lit(n).alias("kind"), F.col(n).alias("y")) for n in ("samples", "loud")]
     return samples_long(df.select("lane", F.col("key").cast("bigint").alias("key"), "n_members", F.inline(F.array(*kinds))),

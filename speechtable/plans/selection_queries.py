@@ -8,20 +8,25 @@ from pyspark.sql import types as T
 from speechtable.functions import draws
 from speechtable.operators import audit, ordering, records, selection
 from speechtable.plans import fixtures as fx
-from speechtable.plans.registry import query, sql_draw
+from speechtable.plans.registry import digest, query, sql_digest, sql_draw
 
 
 def _rated(spark, sf):
     return records.resolve_rate(fx.utt(spark, sf), ["sample_rate"], 500)
 
 
+def _nine_digits(hours):
+    """Sums in any order agree at nine digits; at six exact halves occur (n / 3.6 million)."""
+    return hours.withColumn("hours", F.round("hours", 9))
+
+
 @query(
     """SELECT shard, round(sum(n_samples / CAST(coalesce(sample_rate, 500) AS DOUBLE)) / 3600, 9) AS hours,
         count(n_samples) AS n_utterances FROM utt GROUP BY shard""",
     ["utt"],
 )
 def shard_hours(spark, sf):
-    return audit.shard_hours(_rated(spark, sf))
+    return _nine_digits(audit.shard_hours(_rated(spark, sf)))
 
 
 @query(
@@ -30,7 +35,7 @@ def shard_hours(spark, sf):
     ["utt"],
 )
 def corpus_hours(spark, sf):
-    return audit.corpus_hours(_rated(spark, sf))
+    return _nine_digits(audit.corpus_hours(_rated(spark, sf)))
 
 
 def _checked(spark, sf):
@@ -91,7 +96,7 @@ def shard_failure_report(spark, sf):
 )
 def hours_without_failed_shards(spark, sf):
     good, _ = _long_failures(spark, sf)
-    return audit.shard_hours(records.resolve_rate(good, ["sample_rate"], 500))
+    return _nine_digits(audit.shard_hours(records.resolve_rate(good, ["sample_rate"], 500)))
 
 
 @query(
@@ -121,10 +126,12 @@ def chunk_slices(spark, sf):
     return selection.slice_chunks(fx.utt(spark, sf), 6).select("ordinal", "chunk_id")
 
 
-@query("SELECT shard, count(*) AS n, CAST(sum(ordinal) AS BIGINT) AS ordinals FROM utt GROUP BY shard", ["utt"])
+@query("SELECT shard, ordinal // 4096 AS piece, 1 AS n_tasks, count(*) AS n FROM utt GROUP BY ALL", ["utt"])
 def shards_by_worker(spark, sf):
-    dealt = selection.by_shard(fx.utt(spark, sf), 8)
-    return dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum("ordinal").alias("ordinals"))
+    """Each piece of a shard lies in one task."""
+    dealt = selection.by_shard(fx.utt(spark, sf), 8).withColumn("task", F.spark_partition_id())
+    piece = F.floor(F.col("ordinal") / 4096).alias("piece")
+    return dealt.groupBy("shard", piece).agg(F.countDistinct("task").cast("int").alias("n_tasks"), F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT key, CAST(unnest(range(3)) AS INT) AS epoch FROM utt", ["utt"])
@@ -242,11 +249,10 @@ def derived_keys(spark, sf):
     return records.with_key(gaps, "key", "train").select("ordinal", "key")
 
 
-@query("SELECT key, list_sum(samples[1:4]) AS head FROM wave", ["wave"])
+@query("WITH m AS (SELECT key, samples AS y FROM signal) " + sql_digest("m"), ["signal"])
 def audio_column(spark, sf):
-    raw = fx.wave(spark, sf).withColumnRenamed("samples", "source_audio")
-    head = F.aggregate(F.slice("audio", 1, 4), F.lit(0.0), lambda s, v: s + v)
-    return records.audio_column(raw).select("key", head.alias("head"))
+    raw = fx.signal(spark, sf).withColumnRenamed("samples", "source_audio")
+    return digest(records.audio_column(raw), ["key"], "audio")
 
 
 @query("SELECT key, ordinal, shard, language, sample_rate FROM utt", ["utt"])

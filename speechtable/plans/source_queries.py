@@ -44,27 +44,28 @@ def tar_round_trip(spark, sf):
 @query(
     """SELECT CAST(key AS VARCHAR) AS key, (row_number() OVER (ORDER BY key) - 1) // 250 AS shard_number,
         (row_number() OVER (ORDER BY key) - 1) % 250 AS sample_number, 16 AS rate, 'spk' || speaker AS text,
-        CAST(speaker AS VARCHAR) AS speaker FROM wave""",
+        CAST(speaker AS VARCHAR) AS speaker, round(list_sum(samples), 4) AS total FROM wave""",
     ["wave"],
 )
 def compressed_tar_members(spark, sf):
     rows = tarshards.read_tarshards(spark, _written(spark, sf, "part-%04d.tar.gz"))
-    typed = ingest.typed_members(rows, {"sr.index": "int", "text.txt": "string", "metadata.json": "string"})
+    typed = ingest.typed_members(rows, {"sr.index": "int", "text.txt": "string", "metadata.json": "string", "input_wav.pth": "array<float>"})
     return typed.select(
         "key",
         F.floor(F.col("ordinal") / tarshards.SHARD_STRIDE).cast("bigint").alias("shard_number"),
         F.pmod(F.col("ordinal"), F.lit(tarshards.SHARD_STRIDE)).cast("bigint").alias("sample_number"),
         F.col("`sr.index`").alias("rate"), F.col("`text.txt`").alias("text"),
         F.get_json_object(F.col("`metadata.json`"), "$.speaker").alias("speaker"),
+        F.round(F.aggregate(F.col("`input_wav.pth`").cast("array<double>"), F.lit(0.0), lambda s, v: s + v), 4).alias("total"),
     )
 
 
-@query(
-    """SELECT CAST(key AS VARCHAR) AS key FROM wave""", ["wave"],
-)
+@query("WITH m AS (SELECT CAST(key AS VARCHAR) AS key, samples AS y FROM wave) " + sql_digest("m"), ["wave"])
 def split_tar_ranges(spark, sf):
-    """Each shard read by several tasks: every sample comes once."""
-    return tarshards.read_tarshards(spark, _written(spark, sf), split_bytes=64 << 10).select("key")
+    """Each shard read by several tasks: every sample comes once, with its audio."""
+    rows = tarshards.read_tarshards(spark, _written(spark, sf), split_bytes=64 << 10)
+    typed = ingest.typed_members(rows, {"input_wav.pth": "array<float>"})
+    return digest(typed.withColumn("y", F.col("`input_wav.pth`").cast("array<double>")), ["key"], "y")
 
 
 @query(
@@ -219,7 +220,7 @@ def shard_file_hours(spark, sf):
         F.col("members")["sr.index"].cast("string").cast("int").alias("sample_rate"),
     )
     hours = audit.shard_hours(sizes)
-    return hours.select(F.regexp_extract("shard", r"-(\d+)\.tar$", 1).cast("int").alias("shard_number"), "hours", "n_utterances")
+    return hours.select(F.regexp_extract("shard", r"-(\d+)\.tar$", 1).cast("int").alias("shard_number"), F.round("hours", 9).alias("hours"), "n_utterances")
 
 
 @query("SELECT shard, count(*) AS n, CAST(sum(n_samples) AS BIGINT) AS n_samples FROM utt GROUP BY shard", ["utt"])
@@ -298,7 +299,7 @@ def cleansed_shards(spark, sf):
 )
 def audited_shards(spark, sf):
     hours, _ = audits.audit_shards(spark, _written(spark, sf))
-    return hours.select(F.regexp_extract("shard", r"-(\d+)\.tar$", 1).cast("int").alias("shard_number"), "hours", "is_total")
+    return hours.select(F.regexp_extract("shard", r"-(\d+)\.tar$", 1).cast("int").alias("shard_number"), F.round("hours", 9).alias("hours"), "is_total")
 
 
 @query(
