@@ -24,7 +24,7 @@ ENGINES = ("native", "arrow")
 
 
 def is_arrow(engine: str) -> bool:
-    """Operators with both forms: "native" for short arrays, "arrow" for long waveforms."""
+    """Operators with both forms: "arrow" for waveforms (the default), "native" for short arrays without Python."""
     if engine not in ENGINES:
         raise ValueError(f"engine must be one of {ENGINES}")
     return engine == "arrow"

@@ -107,9 +107,13 @@ def tiled(x: Column, n) -> Column:
 
 
 def snr_gain(speech: Column, noise: Column, snr_db: Column) -> Column:
-    """Factor for the noise so that speech / noise reaches snr_db."""
-    ratio = F.try_divide(energy(speech), energy(noise))
-    return F.pow(F.lit(10.0), (F.lit(10.0) * F.log10(ratio) - snr_db) / F.lit(20.0))
+    """Factor for the noise so that speech / noise reaches snr_db: 0 for silent speech, NaN for silent noise."""
+
+    def gain(e: Column) -> Column:
+        ratio = F.pow(F.lit(10.0), (F.lit(10.0) * F.log10(e["s"] / e["n"]) - snr_db) / F.lit(20.0))
+        return F.when(e["n"] == 0, F.lit(float("nan"))).when(e["s"] == 0, F.lit(0.0)).otherwise(ratio)
+
+    return let(F.struct(energy(speech).alias("s"), energy(noise).alias("n")), gain)
 
 
 def mixed(speech: Column, noise: Column, gain: Column) -> Column:

@@ -109,7 +109,7 @@ def draw_snr(df: DataFrame, key: str = "key", seed: int = draws.DEFAULT_SEED, na
     return df.withColumn(name, draws.uniform(F.col(key), "snr", *SNR_DB, seed=seed))
 
 
-def mix_snr(df: DataFrame, snr_col: str = "snr_db", x: str = "noisy", noise: str = "noise", engine: str = "native") -> DataFrame:
+def mix_snr(df: DataFrame, snr_col: str = "snr_db", x: str = "noisy", noise: str = "noise", engine: str = "arrow") -> DataFrame:
     """x plus the noise (of the same length) scaled to the signal-to-noise ratio; no noise, no change.
 
     The Arrow form tiles the noise itself.
@@ -177,7 +177,7 @@ def band_limit(
 
 
 def quantile_clip(df: DataFrame, low: Column | None = None, high: Column | None = None, col: str = "noisy", key: str = "key",
-                  seed: int = draws.DEFAULT_SEED, engine: str = "native") -> DataFrame:
+                  seed: int = draws.DEFAULT_SEED, engine: str = "arrow") -> DataFrame:
     """Clamp at the low and high quantiles, drawn per row unless given."""
     low = low if low is not None else draws.uniform(F.col(key), "clip.low", *CLIP_LOW, seed=seed)
     high = high if high is not None else draws.uniform(F.col(key), "clip.high", *CLIP_HIGH, seed=seed)
@@ -214,7 +214,7 @@ def loss_spans(
 def packet_loss(
     df: DataFrame, seed: int = draws.DEFAULT_SEED, col: str = "noisy", rate: str = "sample_rate", key: str = "key",
     low_ms: float = LOSS_MS[0], high_ms: float = LOSS_MS[1], per_10s: float = LOSSES_PER_10_SECONDS,
-    engine: str = "native",
+    engine: str = "arrow",
 ) -> DataFrame:
     """Zero int(duration * 3 / 10) drawn spans of 20 to 200 ms."""
     spans = loss_spans(F.col(key), F.size(col), F.col(rate), low_ms, high_ms, per_10s, seed)

@@ -61,7 +61,7 @@ def low_cut(df: DataFrame, cutoff: float = 50.0, col: str = "samples", rate: str
     )
 
 
-def normalize(df: DataFrame, col: str = "samples", to: str | None = None, engine: str = "native") -> DataFrame:
+def normalize(df: DataFrame, col: str = "samples", to: str | None = None, engine: str = "arrow") -> DataFrame:
     """Peak normalisation; silent rows get null (in Arrow NaN) samples, which ``drop_nan`` removes."""
     if is_arrow(engine):
         kernel = lambda x: (None if x is None else kernels.peak_normalize(x),)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from speechtable import settings
 from speechtable.functions import kernels
-from speechtable.operators import degrade, merge, ordering, restore, selection
+from speechtable.operators import degrade, merge, ordering, pairing, restore, selection
 from speechtable.plans import fixtures as fx
 from speechtable.sources import corpus, tarshards
 from speechtable.streaming.merge import merge_to_length_stream
@@ -119,3 +119,11 @@ def test_stream_head_and_merge_like_batch(spark, fresh):
     head, marks = fresh("head"), fresh("head-marks")
     write_stream(selection.head_rows(corpus.stream_corpus(spark, source, 1), 4), head, marks).awaitTermination()
     assert spark.read.parquet(head).count() == 4
+
+
+def test_silent_speech_and_noise_alike_in_both_engines(spark):
+    rows = [(1, [0.0, 0.0], [0.5, 0.5], 3.0), (2, [0.1, -0.2], [0.5, 0.25], 3.0), (3, [0.1, 0.2], [0.0, 0.0], 3.0), (4, [0.1, 0.2], None, 3.0)]
+    df = spark.createDataFrame(rows, "key long, noisy array<double>, noise array<double>, snr_db double")
+    got = [{r.key: r.noisy for r in pairing.mix_snr(df, engine=e).collect()} for e in ("native", "arrow")]
+    assert all(np.allclose(got[0][k], got[1][k], equal_nan=True) for k in (1, 2, 3, 4))
+    assert got[0][1] == [0.0, 0.0] and np.isnan(got[0][3]).all() and got[0][4] == [0.1, 0.2]
