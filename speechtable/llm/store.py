@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from speechtable import settings
+from speechtable.sources import files
 
 #: Rows of one task at a time: (unsorted unsigned keys, columns) in, the same out.
 Reduce = Callable[[np.ndarray, dict[str, np.ndarray]], tuple[np.ndarray, dict[str, np.ndarray]]]
@@ -229,7 +230,7 @@ def over_shards(spark: SparkSession, store: Store, fn: Callable[[int, np.ndarray
 
 def put(folder: str, arrays: list[np.ndarray]) -> str:
     """Write arrays one after another to a new file below the folder."""
-    system, root = fs.FileSystem.from_uri(folder)
+    system, root = files.locate(folder)
     system.create_dir(root, recursive=True)
     name = uuid.uuid4().hex
     with system.open_output_stream(f"{root}/{name}") as out:
@@ -242,7 +243,7 @@ _COPIES: list[str] = []
 
 
 def _local(uri: str) -> str:
-    system, path = fs.FileSystem.from_uri(uri)
+    system, path = files.locate(uri)
     if isinstance(system, fs.LocalFileSystem):
         return path
     if not _COPIES:
