@@ -23,7 +23,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from speechtable import settings
@@ -215,13 +214,3 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = components(edges, "a", "b")
     by_print = classes.join(found, classes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component"))
     return prints.join(by_print, "fp").select("id", "fp", "component")
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group. Rows with a null id stay; of rows with one id the least text stays."""
-    found = near_groups(docs, id_col, text_col, words, radius)
-    # Kept ids grow with the corpus: one plan at every size, never a broadcast of them.
-    first = found.where("id = component").select(F.col("id").alias("_id")).distinct().hint("merge")
-    order = W.partitionBy(id_col).orderBy(text_col)
-    kept = docs.join(first, docs[id_col] == first["_id"], "left_semi").withColumn("_place", F.row_number().over(order))
-    return kept.where("_place = 1").drop("_place").unionByName(docs.where(F.col(id_col).isNull()))
