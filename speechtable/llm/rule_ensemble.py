@@ -77,6 +77,8 @@ class Rule:
 class Ensemble:
     intercept: float
     terms: tuple[tuple[float, Rule], ...]
+    #: Whether rows of both classes were there to learn from.
+    fitted: bool = True
 
     def score(self) -> Column:
         """Probability of label 1 from the statistics columns."""
@@ -105,7 +107,7 @@ def fit(stats: DataFrame, label: str, trees: int = 24, depth: int = 3, penalty:
     n, ones = rows.agg(F.count("*"), F.sum("label")).first()
     if not n or ones in (0, n):
         share = min(max((ones / n) if n else 0.5, 1e-6), 1 - 1e-6)
-        return Ensemble(math.log(share / (1 - share)), ())
+        return Ensemble(math.log(share / (1 - share)), (), False)
     # Rows in one order and one place for a given table: the forest draws by place.
     rows = settings.materialize(rows.withColumn("features", array_to_vector(F.array(*STATS))), "labelled")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, featureSubsetStrategy="0.5", subsamplingRate=0.7, seed=seed).fit(rows)
