@@ -45,12 +45,13 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def classes_of(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """(rep, label, vector, dims, n): one row per distinct usable vector of a label."""
+    """(rep, label, vector, first, n, dims): one row per distinct usable vector of a label; rep is its hash, first its smallest id."""
     v = F.col(vector_col)
     good = F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))) & F.exists(v, lambda x: x != 0)
     usable = vectors.where(F.col(label_col).isNotNull() & v.isNotNull() & good)
     return usable.groupBy(F.col(label_col).alias("label"), v.alias("vector")).agg(
-        F.min(id_col).alias("rep"), F.count("*").alias("n")).withColumn("dims", F.size("vector"))
+        F.min(id_col).alias("first"), F.count("*").alias("n")).select(
+        F.xxhash64("label", "vector").alias("rep"), "label", "vector", "first", "n", F.size("vector").alias("dims"))
 
 
 def _keys(classes: DataFrame, passes: int, seed: int) -> DataFrame:
@@ -175,13 +176,15 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     n_links counts the other rows linked directly, equal vectors included; component_id is the smallest id reachable.
     """
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"), F.col(label_col).alias("label"))
-    classes = settings.materialize(classes_of(rows, "id", "vector", "label").where("rep IS NOT NULL"), "classes")
+    classes = settings.materialize(classes_of(rows, "id", "vector", "label").where("first IS NOT NULL"), "classes")
     pairs = verified(candidate_pairs(classes, passes, window, cosine, seed), classes, cosine)
     found = settings.materialize(components(pairs, "a", "b"), "components")
     members = found.join(classes, found["node"] == classes["rep"]).select("component", "rep", "vector", "n")
     links = count_links(members, cosine)
-    per_class = classes.join(found, classes["rep"] == found["node"], "left").join(links, "rep", "left").select(
-        "label", "vector", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    least = found.join(classes, found["node"] == classes["rep"]).groupBy("component").agg(F.min("first").alias("least"))
+    roots = found.join(least, "component").select("node", "least")
+    per_class = classes.join(roots, classes["rep"] == roots["node"], "left").join(links, "rep", "left").select(
+        "label", "vector", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("least", "first").alias("component_id"))
     out = rows.join(per_class, ["label", "vector"], "left")
     component = F.coalesce("component_id", "id")
     return out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
