@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from speechtable.llm import bpe, chat, embed, fmindex, kneser, packing, quality_rules, rule_ensemble, simhash, suffix
+from speechtable.llm import bpe, chat, embed, fmindex, kneser, packing, prefixcounts, quality_rules, rule_ensemble, simhash, suffix
 from speechtable.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -122,3 +122,9 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser.score(docs, model).select(
         F.col("id").alias("doc_id"), F.coalesce(F.crc32(F.col("id").cast("string")) % 5 == 1, F.lit(False)).alias("held_out"),
         "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@query()
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = prefixcounts.prefixes(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return prefixcounts.totals(counted).select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
