@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from speechtable.llm import bpe, chat, embed, fmindex, kneser, packing, prefixcounts, quality_rules, rule_ensemble, simhash, suffix
+from speechtable.llm import bpe, chat, embed, fmindex, hardneg, kneser, packing, prefixcounts, quality_rules, rule_ensemble, simhash, suffix, whitening
 from speechtable.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -128,3 +128,30 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = prefixcounts.prefixes(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return prefixcounts.totals(counted).select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+@query("""
+    WITH rows AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS n,
+            list_transform(embedding, lambda v: floor(256 * CAST(v AS DOUBLE))) AS x
+        FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+    scored AS MATERIALIZED (
+        SELECT a.n, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+            CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+        FROM rows a JOIN rows b ON a.n <> b.n AND len(a.x) = len(b.x) WHERE a.vec_id % 100 = 0),
+    positives AS (
+        SELECT n, id, score, row_number() OVER (PARTITION BY n ORDER BY score DESC, id) AS place FROM scored WHERE same QUALIFY place <= 5)
+    SELECT anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY s.n, place ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+        s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+    FROM positives p JOIN scored s ON s.n = p.n AND NOT same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+    QUALIFY rank <= 5""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(rows.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
