@@ -11,11 +11,13 @@ from speechtable.plans import fixtures as fx
 from speechtable.plans.degrade_queries import _BANDS, _chain_ctes, _prepared_ctes, _rates_ctes, half_gain
 from speechtable.plans.registry import digest, query, samples_long, sql_digest, sql_long
 from speechtable.plans.wave_queries import merged_sql
-from speechtable.sources import catalog, corpus, ingest, tarshards
+from speechtable.sources import catalog, corpus, files, ingest, manifest, tarindex, tarshards
 from speechtable.streaming.merge import merge_to_length_stream
 from speechtable.streaming.restore import restore_stream, write_stream
 
 PER_SHARD = 250
+#: A shard's number in its file name; the writing attempt's name follows it.
+_NUMBER = r"-(\d+)-[0-9a-f]{12}\.tar$"
 
 
 def _written(spark, sf, pattern="dataset-%06d.tar", per_shard=PER_SHARD):
@@ -68,6 +70,37 @@ def split_tar_ranges(spark, sf):
     return digest(typed.withColumn("y", F.col("`input_wav.pth`").cast("array<double>")), ["key"], "y")
 
 
+@query(
+    "WITH m AS (SELECT CAST(key AS VARCHAR) AS key, samples AS y, (row_number() OVER (ORDER BY key) - 1) % 250 AS place FROM wave) "
+    + sql_digest("m", "key, place"), ["wave"])
+def indexed_tar_ranges(spark, sf):
+    """A header index beside the corpus; the shards of a catalogue are cut at its entries, and samples keep their numbers."""
+    folder = _written(spark, sf)
+    index = tarindex.write_index(spark, folder, every=20, range_bytes=32 << 10)
+    rows = tarshards.read_listed(catalog.shard_catalog(spark, folder), split_bytes=48 << 10, index=index)
+    rows = rows.withColumn("place", F.pmod("ordinal", F.lit(tarshards.SHARD_STRIDE)))
+    typed = ingest.typed_members(rows, {"input_wav.pth": "array<float>"})
+    return digest(typed.withColumn("y", F.col("`input_wav.pth`").cast("array<double>")), ["key", "place"], "y")
+
+
+@query(
+    """SELECT shard_number, count(*) AS n, count(*) AS n_read FROM (
+        SELECT CAST((row_number() OVER (ORDER BY key) - 1) // 100 AS INT) AS shard_number FROM wave) GROUP BY shard_number""",
+    ["wave"],
+)
+def committed_shards(spark, sf):
+    """A forced rewrite with other shard sizes beside what a killed attempt left: the manifest's counts, and what is read."""
+    folder = _written(spark, sf)
+    left = manifest.Shard("dataset-000000-0123456789ab.tar", 1, 1)
+    system, inner = files.locate(folder)
+    system.copy_file(f"{inner}/{manifest.listed(folder)[0].name}", f"{inner}/{left.name}")
+    rows = fx.wave(spark, sf).select("key", F.col("key").alias("ordinal"), F.col("samples").cast("array<float>").alias("input_wav.pth"))
+    tarshards.write_tarshards(rows, folder, 100, force=True)
+    listed = manifest.table(spark, folder).select(F.regexp_extract("name", _NUMBER, 1).cast("int").alias("shard_number"), F.col("count").alias("n"))
+    read = tarshards.read_tarshards(spark, folder).groupBy(F.regexp_extract("shard", _NUMBER, 1).cast("int").alias("shard_number"))
+    return listed.join(read.agg(F.count(F.lit(1)).alias("n_read")), "shard_number", "full")
+
+
 @query(
     """SELECT 'dataset-' || lpad(CAST(i AS VARCHAR), 6, '0') || '.tar' AS name, i AS ordinal
         FROM (SELECT unnest(range(CAST(ceil(count(*) / 250.0) AS BIGINT))) AS i FROM wave)""",
@@ -75,7 +108,8 @@ def split_tar_ranges(spark, sf):
 )
 def shard_catalog(spark, sf):
     listed = catalog.shard_catalog(spark, [_written(spark, sf)])
-    return listed.select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "ordinal")
+    # Between number and suffix stands the writing attempt's name.
+    return listed.select(F.regexp_replace(F.regexp_extract("path", "([^/]+)$", 1), r"-[0-9a-f]{12}\.", ".").alias("name"), "ordinal")
 
 
 @query(
@@ -220,7 +254,7 @@ def shard_file_hours(spark, sf):
         F.col("members")["sr.index"].cast("string").cast("int").alias("sample_rate"),
     )
     hours = audit.shard_hours(sizes)
-    return hours.select(F.regexp_extract("shard", r"-(\d+)\.tar$", 1).cast("int").alias("shard_number"), F.round("hours", 9).alias("hours"), "n_utterances")
+    return hours.select(F.regexp_extract("shard", _NUMBER, 1).cast("int").alias("shard_number"), F.round("hours", 9).alias("hours"), "n_utterances")
 
 
 @query("SELECT shard, count(*) AS n, CAST(sum(n_samples) AS BIGINT) AS n_samples FROM utt GROUP BY shard", ["utt"])
@@ -299,7 +333,7 @@ def cleansed_shards(spark, sf):
 )
 def audited_shards(spark, sf):
     hours, _ = audits.audit_shards(spark, _written(spark, sf))
-    return hours.select(F.regexp_extract("shard", r"-(\d+)\.tar$", 1).cast("int").alias("shard_number"), F.round("hours", 9).alias("hours"), "is_total")
+    return hours.select(F.regexp_extract("shard", _NUMBER, 1).cast("int").alias("shard_number"), F.round("hours", 9).alias("hours"), "is_total")
 
 
 @query(

@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from speechtable.operators.ordering import dense_ordinal
-from speechtable.sources import files
+from speechtable.sources import files, manifest
+from speechtable.sources.manifest import SHARD_SUFFIXES
 
-# What counts as a shard, in listing order, and as a remote entry.
-SHARD_SUFFIXES = (".tar", ".tar.gz")
+# What counts as a remote entry.
 REMOTE_PREFIXES = ("s3://", "s3a://", "pipe:")
 MANIFEST_SUFFIX = ".txt"
 
@@ -58,8 +58,9 @@ def _folder(spark: SparkSession, path: str, rank: tuple[int, ...]) -> DataFrame:
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.{tar,tar.gz}").load(path).select("path")
     )
+    listed = manifest.keep_listed(listed.select(F.regexp_replace("path", "^file:/+", "/").alias("path")))
     later = F.col("path").endswith(".tar.gz").cast("bigint")
-    return listed.select(F.concat(_rank(rank), F.array(later)).alias("rank"), F.regexp_replace("path", "^file:/+", "/").alias("path"))
+    return listed.select(F.concat(_rank(rank), F.array(later)).alias("rank"), "path")
 
 
 def _require_files(df: DataFrame) -> DataFrame:

@@ -1,38 +1,42 @@
 """Tar shards as a Spark data source: ``spark.read/write.format("tarshards")``.
 
-Reading: one partition per shard; a plain tar larger than ``splitBytes`` is read by several
-partitions, each taking the samples that start in its byte range (headers are walked by seeking,
-payloads are read only by their owner). Writing: one task writes whole numbered shards to hidden
-files which the commit renames, so a retried task leaves nothing behind.
+Reading: one partition per shard; a plain tar larger than ``splitBytes`` is read by several partitions. Where an index (``tarindex``) or the writer's
+manifest says where samples start, a partition opens its range right there, at a cost that does not depend on the range's place; without one its task
+walks the headers before it (``read_tarshards`` and ``read_listed`` then build an index first). Writing: tasks write whole numbered shards under names of
+their attempt, the manifest of the commit (``manifest``) says which of them count, so a retried or killed task leaves nothing that is read.
 """
 
 from __future__ import annotations
 
 import io
-import re
 import tarfile
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage,
 )
 
+from speechtable import settings
 from speechtable.operators.ordering import assign_shards
-from speechtable.sources import files
+from speechtable.sources import files, manifest, tarindex
 from speechtable.sources.ingest import pcm_bytes, wave_header
+from speechtable.sources.manifest import is_complete  # noqa: F401
+from speechtable.sources.tarindex import escaped, named
 
 SHARD_STRIDE = 1 << 32  # ordinal = shard number * stride + sample number
 BATCH_BYTES = 32 << 20
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
-SUCCESS = "_SUCCESS"
+#: Samples between two entries of a written shard.
+EVERY = 1000
 
 READ_SCHEMA = (
     "shard string, ordinal bigint, key string, members map<string, binary>, sizes map<string, bigint>, error string"
@@ -45,38 +49,34 @@ _BATCH = pa.schema([
 
 @dataclass
 class ShardRange(InputPartition):
+    """Samples that start in [start, stop); reading opens the shard at ``entry``, where sample ``sample`` starts."""
+
     path: str
     number: int
     start: int
     stop: int
+    entry: int = 0
+    sample: int = 0
 
 
 def list_shards(path: str) -> list[fs.FileInfo]:
-    """Shard files of a path: itself, or those below it (plain tars first, by path)."""
+    """Shard files of a path: itself, or those below it that count (plain tars first, by path)."""
     system, inner = files.locate(path)
     found = system.get_file_info(inner)
     if found.type == fs.FileType.NotFound:
         raise FileNotFoundError(f"Input not found: {path}")
     if found.type == fs.FileType.File:
         return [found]
-    below = system.get_file_info(fs.FileSelector(inner, recursive=True))
-    shards = [f for f in below if f.type == fs.FileType.File and f.base_name.endswith((".tar", ".tar.gz"))]
+    below = [f for f in system.get_file_info(fs.FileSelector(inner, recursive=True)) if f.type == fs.FileType.File]
+    shards = [f for f in manifest.only_listed(below, system) if f.base_name.endswith(manifest.SHARD_SUFFIXES)]
     visible = [f for f in shards if not f.base_name.startswith((".", "_"))]
     return sorted(visible, key=lambda f: (f.base_name.endswith(".gz"), f.path.split("/")))
 
 
-def _named(member: str) -> tuple[str, str]:
-    """(sample key, suffix): the base name is cut at its first dot, then what ``_escaped`` wrote is restored."""
-    folder, _, base = member.rpartition("/")
-    stem, _, suffix = base.partition(".")
-    stem = stem.replace("%2E", ".").replace("%25", "%")
-    return (f"{folder}/{stem}" if folder else stem), suffix.lower()
-
-
-def _escaped(key: str) -> str:
-    """A key whose base name has no dot, since the first dot ends the key."""
-    folder, slash, base = key.rpartition("/")
-    return folder + slash + base.replace("%", "%25").replace(".", "%2E")
+def listed_shards(path: str) -> list[tuple[str, int, fs.FileInfo]]:
+    """(uri, bytes, file) of the shards of a path, in order."""
+    root = files.locate(path)[1]
+    return [(files.full(path, root, f.path), f.size, f) for f in list_shards(path)]
 
 
 def _samples(part: ShardRange, head: int | None) -> Iterator[tuple[int, str, dict[str, bytes], dict[str, int]]]:
@@ -88,13 +88,15 @@ def _samples(part: ShardRange, head: int | None) -> Iterator[tuple[int, str, dic
     system, inner = files.locate(part.path)
     packed = part.path.endswith(".gz")
     source = system.open_input_stream(inner, compression=None) if packed else system.open_input_file(inner)
+    if part.entry:
+        source.seek(part.entry)
     with source, tarfile.open(fileobj=source, mode="r|gz" if packed else "r:") as tar:
-        number, key, mine, members, sizes = -1, None, False, {}, {}
+        number, key, mine, members, sizes = part.sample - 1, None, False, {}, {}
         for member in tar:
             tar.members = []  # the index is not needed and would grow with the shard
             if not member.isfile():
                 continue
-            name, suffix = _named(member.name)
+            name, suffix = named(member.name)
             if not suffix:
                 continue
             if name != key:
@@ -128,15 +130,20 @@ class TarShardReader(DataSourceReader):
             raise ValueError(f"mode must be one of {MODES}")
         self.split_bytes = int(options.get("splitbytes", 1 << 30))
         self.head = int(options["headbytes"]) if "headbytes" in options else None
+        self.index = options.get("index")
 
     def partitions(self) -> list[ShardRange]:
         ranges = []
-        root = files.locate(self.path)[1]
-        for number, shard in enumerate(list_shards(self.path)):
-            whole = shard.path.endswith(".gz") or shard.size <= self.split_bytes
-            step = shard.size + 1 if whole else self.split_bytes
-            uri = files.full(self.path, root, shard.path)
-            ranges += [ShardRange(uri, number, at, at + step) for at in range(0, max(shard.size, 1), step)]
+        shards = listed_shards(self.path)
+        big = [(uri, size) for uri, size, _ in shards if size > self.split_bytes and not uri.endswith(".gz")]
+        entries = _entries(self.path, big, self.index) if big else {}
+        for number, (uri, size, _) in enumerate(shards):
+            if (uri, size) in entries:
+                ranges += [ShardRange(uri, number, a, b, a, n) for a, b, n in tarindex.cut(entries[uri, size], self.split_bytes)]
+                continue
+            whole = uri.endswith(".gz") or size <= self.split_bytes or self.index == "none"
+            step = size + 1 if whole else self.split_bytes
+            ranges += [ShardRange(uri, number, at, at + step) for at in range(0, max(size, 1), step)]
         # An empty listing still needs one (empty) partition.
         return ranges or [ShardRange("", 0, 0, 0)]
 
@@ -147,6 +154,19 @@ class TarShardReader(DataSourceReader):
         yield from _rows(partition, shard, self.mode, self.head)
 
 
+def _entries(path: str, shards: list[tuple[str, int]], index: str | None) -> dict[tuple[str, int], list[tuple[int, int]]]:
+    """Sample starts of plain shards (uri, bytes), by the index named or beside the corpus, and by their manifests."""
+    wanted, out = set(shards), {}
+    for folder in {uri.rpartition("/")[0] for uri, _ in shards}:
+        for s in manifest.listed(folder) or []:
+            if s.entries and (f"{folder}/{s.name}", s.bytes) in wanted:
+                out[f"{folder}/{s.name}", s.bytes] = [tuple(e) for e in s.entries]
+    if index != "none":
+        found = tarindex.read_entries(index or f"{path.rstrip('/')}/{tarindex.FOLDER}")
+        out |= {k: v for k, v in found.items() if k in wanted}
+    return out
+
+
 def _rows(partition: ShardRange, shard: str, mode: str, head: int | None) -> Iterator[pa.RecordBatch]:
     """Batches of a partition's samples; a broken shard ends in a row with its error, in nothing, or in the error itself."""
     rows, held = [], 0
@@ -174,7 +194,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 @dataclass
 class Written(WriterCommitMessage):
-    moves: list
+    shards: list[manifest.Shard]
 
 
 def _payload(value, suffix: str, rate: int | None) -> bytes:
@@ -185,48 +205,74 @@ def _payload(value, suffix: str, rate: int | None) -> bytes:
     return str(value).encode("utf-8")
 
 
+@dataclass
+class _Open:
+    """A shard while it is written."""
+
+    system: fs.FileSystem
+    path: str
+    name: str
+    count: int = 0
+    entries: list = field(default_factory=list)
+
+    def __post_init__(self):
+        self.out = self.system.open_output_stream(self.path, compression=None)
+        self.packed = self.name.endswith(".gz")
+        self.tar = tarfile.open(fileobj=self.out, mode="w|gz" if self.packed else "w|")
+
+    def add(self, key: str, members: list[tuple[str, bytes]]) -> None:
+        if not self.packed and self.count % EVERY == 0 and members:
+            self.entries.append((self.tar.offset, self.count))
+        for suffix, payload in members:
+            member = tarfile.TarInfo(f"{escaped(key)}.{suffix}")
+            member.size = len(payload)
+            self.tar.addfile(member, io.BytesIO(payload))
+        self.count += bool(members)
+
+    def close(self) -> manifest.Shard:
+        self.tar.close()
+        size = self.out.tell()
+        self.out.close()
+        return manifest.Shard(self.name, self.count, size, self.entries)
+
+
 class TarShardWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.folder = options["path"]
         self.pattern = options.get("pattern", "dataset-%06d.tar")
         self.rate = int(options["rate"]) if "rate" in options else None
-        self.replace = options.get("replace", "false").lower() == "true"
+        self.list_only = options.get("listonly")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, inner = files.locate(self.folder)
         system.create_dir(inner, recursive=True)
-        moves, current, out, tar, last = [], None, None, None, None
+        token, done, current, shard, last = uuid.uuid4().hex[:12], [], None, None, None
         try:
             for batch in iterator:
                 names = [n for n in batch.schema.names if n not in ("__shard__", "__key__")]
                 columns = {n: self._values(batch.column(n)) for n in names}
-                for i, (shard, key) in enumerate(zip(batch.column("__shard__").to_pylist(), batch.column("__key__").to_pylist())):
-                    if shard != current:
-                        if tar is not None:
-                            tar.close()
-                            out.close()
-                        name = self.pattern % shard
-                        hidden = f"{inner}/.{name}.{uuid.uuid4().hex}"
-                        moves.append((hidden, f"{inner}/{name}"))
-                        out = system.open_output_stream(hidden, compression=None)
-                        tar = tarfile.open(fileobj=out, mode="w|gz" if name.endswith(".gz") else "w|")
-                        current, last = shard, None
+                for i, (number, key) in enumerate(zip(batch.column("__shard__").to_pylist(), batch.column("__key__").to_pylist())):
+                    if number != current:
+                        if shard is not None:
+                            done.append(shard.close())
+                        stem, _, suffix = (self.pattern % number).partition(".tar")
+                        name = f"{stem}-{token}.tar{suffix}"
+                        shard, current, last = _Open(system, f"{inner}/{name}", name), number, None
                     if key is None or key == last:
-                        raise ValueError(f"shard {shard} would hold key {key!r} twice in a row: a reader takes both for one sample")
+                        raise ValueError(f"shard {number} would hold key {key!r} twice in a row: a reader takes both for one sample")
                     last = key
-                    for n in names:
-                        value = columns[n][i]
-                        if value is None:
-                            continue
-                        payload = _payload(value, n, self.rate)
-                        member = tarfile.TarInfo(f"{_escaped(key)}.{n}")
-                        member.size = len(payload)
-                        tar.addfile(member, io.BytesIO(payload))
-        finally:
-            if tar is not None:
-                tar.close()
-                out.close()
-        return Written(moves)
+                    shard.add(key, [(n, _payload(columns[n][i], n, self.rate)) for n in names if columns[n][i] is not None])
+            if shard is not None:
+                done.append(shard.close())
+                shard = None
+        except BaseException:
+            # Nobody will list these; taking them away now only saves the space.
+            if shard is not None:
+                shard.close()
+                done.append(manifest.Shard(shard.name, 0, 0))
+            self._remove(done)
+            raise
+        return Written(done)
 
     @staticmethod
     def _values(array: pa.Array) -> list:
@@ -235,29 +281,22 @@ class TarShardWriter(DataSourceArrowWriter):
         return array.to_pylist()
 
     def commit(self, messages: list) -> None:
-        system, inner = files.locate(self.folder)
-        system.create_dir(inner, recursive=True)
-        for message in messages:
-            for hidden, final in message.moves if message else []:
-                system.move(hidden, final)
-        if self.replace:
-            # What an earlier run or a failed attempt left is no part of the corpus.
-            new = {final for message in messages for _, final in (message.moves if message else [])}
-            for found in system.get_file_info(fs.FileSelector(inner)):
-                name = found.base_name
-                stale = name.endswith((".tar", ".tar.gz")) and not name.startswith(".") and found.path not in new
-                left = re.fullmatch(r"\..+\.[0-9a-f]{32}", name)
-                if found.type == fs.FileType.File and (stale or left):
-                    system.delete_file(found.path)
-        with system.open_output_stream(f"{inner}/{SUCCESS}"):
-            pass
+        found = sorted((s for message in messages if message for s in message.shards), key=lambda s: s.name)
+        if self.list_only:
+            system, inner = files.locate(self.list_only)
+            with system.open_output_stream(inner, compression=None) as out:
+                out.write(manifest.lines(found))
+        else:
+            manifest.commit(self.folder, found)
 
     def abort(self, messages: list) -> None:
-        system, _ = files.locate(self.folder)
-        for message in messages:
-            for hidden, _final in message.moves if message else []:
-                if system.get_file_info(hidden).type == fs.FileType.File:
-                    system.delete_file(hidden)
+        self._remove([s for message in messages if message for s in message.shards])
+
+    def _remove(self, shards: list[manifest.Shard]) -> None:
+        system, inner = files.locate(self.folder)
+        for shard in shards:
+            if system.get_file_info(f"{inner}/{shard.name}").type == fs.FileType.File:
+                system.delete_file(f"{inner}/{shard.name}")
 
 
 class TarShards(DataSource):
@@ -280,40 +319,81 @@ def register(spark: SparkSession) -> None:
 
 
 def read_tarshards(
-    spark: SparkSession, path: str, mode: str = "PERMISSIVE", split_bytes: int = 1 << 30, head_bytes: int | None = None
+    spark: SparkSession, path: str, mode: str = "PERMISSIVE", split_bytes: int = 1 << 30, head_bytes: int | None = None,
+    index: str | None = None,
 ) -> DataFrame:
     """(shard, ordinal, key, members, sizes, error) of all samples below a path.
 
-    ``head_bytes`` reads only the start of each member; ``sizes`` are the full ones.
+    ``head_bytes`` reads only the start of each member; ``sizes`` are the full ones. Plain shards beyond ``split_bytes`` are split at the entries
+    of the ``index`` named, of the one beside the corpus or of their manifest; what none of them covers is indexed now, by a job over its headers.
     """
     register(spark)
     reader = spark.read.format("tarshards").option("mode", mode).option("splitBytes", split_bytes)
     if head_bytes is not None:
         reader = reader.option("headBytes", head_bytes)
+    big = [(uri, size) for uri, size, _ in listed_shards(path) if size > split_bytes and not uri.endswith(".gz")]
+    if big:
+        known = _entries(path, big, index)
+        fine = [k for k, found in known.items() if len(found) * split_bytes > k[1] / 4]
+        if len(fine) < len(big):
+            index = settings.fresh_path(spark, "tarindex")
+            rest = spark.createDataFrame([k for k in big if k not in fine], "path string, size bigint")
+            kept = spark.createDataFrame([(*k, *e) for k in fine for e in known[k]], tarindex.ENTRIES)
+            tarindex.header_index(rest, EVERY, split_bytes).unionByName(kept).write.parquet(index)
+    if index is not None:
+        reader = reader.option("index", index)
     return reader.load(path)
 
 
-def read_listed(catalog: DataFrame, mode: str = "PERMISSIVE", head_bytes: int | None = None) -> DataFrame:
+def read_listed(
+    catalog: DataFrame, mode: str = "PERMISSIVE", head_bytes: int | None = None, split_bytes: int = 1 << 30, index: str | None = None,
+) -> DataFrame:
     """The same columns for the shards a catalogue (ordinal, path) lists: select among its rows, then read.
 
-    One shard is one row of work; a shard is read by the task that holds its row, the list never leaves the executors. Sample
-    ordinals follow the catalogue's.
+    The list never leaves the executors: tasks look the sizes up, plain shards beyond ``split_bytes`` are cut at the entries of an ``index`` (of
+    the headers, which a job walks now, where it has none of a shard), and each range is a row of work. Sample ordinals follow the catalogue's.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    spark = catalog.sparkSession
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield from _rows(ShardRange(path, number, 0, 1 << 62), files.plain(path), mode, head_bytes)
-
-    spread = catalog.select(F.col("ordinal").cast("bigint"), "path").repartition(F.col("path"))
-    return spread.mapInArrow(run, READ_SCHEMA)
+            found = [_size(path) for path in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], ["ordinal", "path", "size"])
 
-
-def is_complete(folder: str) -> bool:
-    """Whether a finished write left its marker."""
-    return files.info(f"{folder}/{SUCCESS}").type == fs.FileType.File
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                part = ShardRange(r["path"], r["ordinal"], r["start"], r["stop"], r["start"], r["sample"])
+                yield from _rows(part, files.plain(r["path"]), mode, head_bytes)
+
+    tasks = tarindex.spread(spark)
+    named = catalog.select(F.col("ordinal").cast("bigint"), "path").repartition(tasks, "path")
+    sized = settings.materialize(named.mapInArrow(sizes, "ordinal bigint, path string, size bigint"), "catalog")
+    big = sized.filter((F.col("size") > split_bytes) & ~F.col("path").endswith(".gz"))
+    ranges = sized.select("ordinal", "path", F.lit(0).cast("bigint").alias("start"), F.lit(1 << 62).alias("stop"), F.lit(0).cast("bigint").alias("sample"))
+    if not big.isEmpty():
+        shards = big.select("path", "size").distinct()
+        entries = spark.read.parquet(index).join(shards, ["path", "size"]) if index else spark.createDataFrame([], tarindex.ENTRIES)
+        rest = shards.join(entries, ["path", "size"], "left_anti")
+        entries = settings.materialize(entries.unionByName(tarindex.header_index(rest, EVERY, split_bytes)), "entries")
+        first = entries.groupBy("path", F.floor(F.col("byte") / split_bytes).alias("part")).agg(F.min(F.struct("byte", "sample")).alias("at"))
+        order = W.partitionBy("path").orderBy("part")
+        start = F.when(F.col("at.sample") == 0, 0).otherwise(F.col("at.byte")).cast("bigint")
+        cuts = first.select("path", start.alias("start"), F.coalesce(F.lead("at.byte").over(order), F.lit(1 << 62)).alias("stop"), F.col("at.sample").alias("sample"))
+        split = sized.select("ordinal", "path").join(cuts, "path").select("ordinal", "path", "start", "stop", "sample")
+        ranges = ranges.join(cuts.select("path").distinct(), "path", "left_anti").select(*split.columns).unionByName(split)
+    return ranges.repartition(tasks, "path", "start").mapInArrow(run, READ_SCHEMA)
+
+
+def _size(path: str) -> int | None:
+    """Bytes of a shard; None where only reading it will tell what is wrong."""
+    try:
+        found = files.info(path)
+        return found.size if found.type == fs.FileType.File else None
+    except (OSError, ValueError):
+        return None
 
 
 def write_tarshards(
@@ -326,29 +406,34 @@ def write_tarshards(
     float arrays as little-endian float32 (a ``wav`` array as 16-bit PCM at ``rate``), other values
     as text, nulls left out. ``dense`` says that ``order`` already counts 0..n-1, which saves
     numbering the rows; otherwise the input is scanned for its ordinals too, so give a written table. ``force`` replaces a finished
-    folder: its marker goes first, shards the new run does not write go last. Two equal keys in a row are refused.
+    folder: readers see its old shards until the new manifest is there, then the old ones are deleted. Two equal keys in a row are refused.
     """
     if max_count < 1:
         raise ValueError("max_count must be >= 1")
-    done = is_complete(folder)
-    if done and not force:
+    if manifest.is_complete(folder) and not force:
         return False
-    if done:
-        # A rewrite that breaks off must not look finished.
-        system, inner = files.locate(folder)
-        system.delete_file(f"{inner}/{SUCCESS}")
-    register(df.sparkSession)
-    if rate is None and "wav" in df.columns and isinstance(df.schema["wav"].dataType, T.ArrayType):
-        raise ValueError("a wav array needs its rate")
+    manifest.begin(folder)
     if dense:
         shard_of = df.withColumn("__shard__", F.floor(F.col(order) / max_count))
     else:
         shard_of = assign_shards(df, max_count, order, "__shard__")
-    placed = shard_of.repartition("__shard__").sortWithinPartitions("__shard__", order)
-    members = [F.col(f"`{c}`") for c in df.columns if c not in (key, order)]
+    save_shards(shard_of, folder, pattern, key, order, rate)
+    if force:
+        manifest.vacuum(df.sparkSession, folder)
+    return True
+
+
+def save_shards(df: DataFrame, folder: str, pattern: str, key: str, order: str, rate: int | None, list_only: str | None = None) -> None:
+    """Write rows that carry their ``__shard__``; with ``list_only`` the list of shards goes to that file instead of the folder's manifest."""
+    register(df.sparkSession)
+    if rate is None and "wav" in df.columns and isinstance(df.schema["wav"].dataType, T.ArrayType):
+        raise ValueError("a wav array needs its rate")
+    placed = df.repartition("__shard__").sortWithinPartitions("__shard__", order)
+    members = [F.col(f"`{c}`") for c in df.columns if c not in (key, order, "__shard__")]
     rows = placed.select(F.col("__shard__").cast("int"), F.col(key).cast("string").alias("__key__"), *members)
-    writer = rows.write.format("tarshards").option("pattern", pattern).option("replace", force)
+    writer = rows.write.format("tarshards").option("pattern", pattern)
     if rate is not None:
         writer = writer.option("rate", rate)
+    if list_only is not None:
+        writer = writer.option("listOnly", list_only)
     writer.mode("append").save(folder)
-    return True
