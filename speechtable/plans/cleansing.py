@@ -16,7 +16,7 @@ from speechtable.sources.tarshards import is_complete, write_tarshards
 MODEL_RATE = 16000
 
 
-def _restored(
+def restored_rows(
     df: DataFrame, model_factory: Callable[..., Callable], target_rate: int, completed: DataFrame | None = None,
     unit_keys: tuple[str, ...] = ("key",), text_col: str | None = None, on_error: str = "quarantine",
     model_rate: int = MODEL_RATE, **options,
@@ -39,7 +39,7 @@ def _restored(
     return restored.select("key", "ordinal", "transcript", metadata.alias("metadata"), "truncated", "wav", status.alias("status"))
 
 
-def _split(restored: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_rows(restored: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = restored.filter(F.col("status").isNull()).drop("status")
     return good, restored.filter(F.col("status").isNotNull()).select("key", "ordinal", F.col("status").alias("reason"))
 
@@ -52,7 +52,7 @@ def cleanse(df: DataFrame, model_factory: Callable[..., Callable], target_rate:
     ``model_rate``, ``cutoff`` and those of ``restore``. Both are lazy over the same stage; use
     ``cleanse_to_shards`` to run the model once for both.
     """
-    return _split(_restored(df, model_factory, target_rate, **options))
+    return split_rows(restored_rows(df, model_factory, target_rate, **options))
 
 
 def cleanse_to_shards(
@@ -66,8 +66,8 @@ def cleanse_to_shards(
     """
     if is_complete(folder) and not force:
         return None
-    restored = settings.materialize(_restored(df, model_factory, target_rate, **options), "restored")
-    good, bad = _split(restored)
+    restored = settings.materialize(restored_rows(df, model_factory, target_rate, **options), "restored")
+    good, bad = split_rows(restored)
     rows = good.select(
         "key", "ordinal", "wav", F.col("transcript").alias("text.txt"), F.col("metadata").alias("metadata.json")
     )

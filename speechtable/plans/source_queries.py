@@ -11,7 +11,8 @@ from speechtable.plans import fixtures as fx
 from speechtable.plans.degrade_queries import _BANDS, _chain_ctes, _prepared_ctes, _rates_ctes, half_gain
 from speechtable.plans.registry import digest, query, samples_long, sql_digest, sql_long
 from speechtable.plans.wave_queries import merged_sql
-from speechtable.sources import catalog, corpus, files, ingest, manifest, tarindex, tarshards
+from speechtable.sources import catalog, corpus, files, ingest, manifest, tarindex, tarshards, tarstream
+from speechtable.streaming import shards
 from speechtable.streaming.merge import merge_to_length_stream
 from speechtable.streaming.restore import restore_stream, write_stream
 
@@ -325,6 +326,46 @@ def cleansed_shards(spark, sf):
     )
 
 
+@query(
+    "WITH m AS (SELECT CAST(key AS VARCHAR) AS key, samples AS y, (row_number() OVER (ORDER BY key) - 1) % 250 AS place FROM wave) "
+    + sql_digest("m", "key, place"), ["wave"])
+def streamed_tar_shards(spark, sf):
+    """Shards as a stream whose triggers end inside shards; every run starts a new query where the last one stopped."""
+    folder, seen = _written(spark, sf), settings.fresh_path(spark, "seen")
+    out, marks = settings.fresh_path(spark, "stream-out"), settings.fresh_path(spark, "stream-marks")
+    most = 1 + fx.wave(spark, sf).count() * 2 // 5
+    tarstream.drain(lambda: write_stream(tarstream.stream_tarshards(spark, folder, seen, most), out, marks))
+    rows = spark.read.parquet(out).withColumn("place", F.pmod("ordinal", F.lit(tarshards.SHARD_STRIDE)))
+    typed = ingest.typed_members(rows, {"input_wav.pth": "array<float>"})
+    return digest(typed.withColumn("y", F.col("`input_wav.pth`").cast("array<double>")), ["key", "place"], "y")
+
+
+@query(
+    """WITH m AS (SELECT CAST(key AS VARCHAR) AS key, 'spk' || speaker AS text, CAST(speaker AS VARCHAR) AS speaker,
+        list_transform(samples, lambda v: round_even(v / 2 * 32768, 0) / 32768) AS y FROM wave) """
+    + sql_long("m", "key, text, speaker"),
+    ["wave"],
+)
+def streamed_cleansed_shards(spark, sf):
+    """The restoring stream into shards of equal size, rows that do not fill one carried over to the next epoch."""
+    source = settings.fresh_path(spark, "stream-in")
+    rows = fx.wave(spark, sf).withColumns({"ordinal": F.col("key"), "name": F.concat(F.lit("spk"), "speaker")})
+    rows.repartitionByRange(5, "ordinal").write.parquet(source)
+    folder, rejected = settings.fresh_path(spark, "cleansed"), settings.fresh_path(spark, "rejected")
+    shards.cleanse_stream_to_shards(
+        corpus.stream_corpus(spark, source, 2), folder, half_gain, 16, settings.fresh_path(spark, "stream-marks"), rejected, 70,
+        config={"scale": 0.5}, chunk_seconds=4.0, model_rate=16, text_col="name").awaitTermination()
+    shards.ShardAppender(folder, 70, "dataset-%06d.tar.gz", rate=16).finish(spark)
+    back = tarshards.read_tarshards(spark, folder)
+    named = back.select(
+        "key", F.col("members")["text.txt"].cast("string").alias("text"),
+        F.get_json_object(F.col("members")["metadata.json"].cast("string"), "$.speaker").alias("speaker"),
+        F.col("members")["wav"].alias("wav"), F.lit("restored.wav").alias("name"),
+    )
+    decoded = ingest.decode_waves(named, "wav", "name")
+    return samples_long(decoded.withColumn("y", F.get("channels", F.lit(0)).cast("array<double>")), ["key", "text", "speaker"], "y")
+
+
 @query(
     """WITH s AS (SELECT CAST((row_number() OVER (ORDER BY key) - 1) // 250 AS INT) AS shard_number FROM wave)
         SELECT shard_number, round(sum(64 / 16.0) / 3600, 9) AS hours, CAST(grouping(shard_number) AS INT) AS is_total

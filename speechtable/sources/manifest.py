@@ -4,7 +4,7 @@ A writer's tasks put shards under names of their own attempt. A shard belongs to
 object, one JSON line per shard (name, samples, bytes, index entries) and a last line with their number, so that a
 manifest cut short does not count. What killed or repeated attempts leave is never read. A folder being written for the first time
 carries ``_WRITING``; with it and without a whole manifest nothing in it counts. A finished folder stays readable until the
-next manifest takes the place of its own, in one write. Folders without either (of other tools) hold what they hold.
+next manifest takes the place of its own, in one write. Until a stream's folder is finished, the logs of its epochs list its shards. Folders without either (of other tools) hold what they hold.
 """
 
 from __future__ import annotations
@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from speechtable.sources import files
 
-MARKER, WRITING = "_SUCCESS", "_WRITING"
+MARKER, WRITING, EPOCHS = "_SUCCESS", "_WRITING", "_epochs"
+#: Epochs of a stream after which their lists are put into one.
+COMPACT = 64
 # What counts as a shard.
 SHARD_SUFFIXES = (".tar", ".tar.gz")
 
@@ -52,11 +54,31 @@ def parse(text: bytes) -> list[Shard] | None:
         return None
 
 
+def read(system: fs.FileSystem, path: str) -> bytes:
+    with system.open_input_stream(path, compression=None) as source:
+        return source.read()
+
+
 def _object(system: fs.FileSystem, path: str) -> bytes | None:
     if system.get_file_info(path).type != fs.FileType.File:
         return None
-    with system.open_input_stream(path, compression=None) as source:
-        return source.read()
+    return read(system, path)
+
+
+def epochs(system: fs.FileSystem, inner: str) -> list[str]:
+    """Whole logs of the epochs a stream has added to a folder, from the last one that lists all before it."""
+    folder = f"{inner.rstrip('/')}/{EPOCHS}"
+    if system.get_file_info(folder).type != fs.FileType.Directory:
+        return []
+    found = sorted(f.path for f in system.get_file_info(fs.FileSelector(folder)) if f.path.endswith(".json"))
+    found = [path for path in found if _of_epoch(system, path) is not None]
+    whole = [i for i, path in enumerate(found) if path.endswith(".all.json")]
+    return found[whole[-1] :] if whole else found
+
+
+def _of_epoch(system: fs.FileSystem, path: str) -> list[Shard] | None:
+    """What an epoch added; None for a log that is cut short. The first line is the stream's own."""
+    return parse(read(system, path).partition(b"\n")[2])
 
 
 def listed(folder: str) -> list[Shard] | None:
@@ -69,7 +91,7 @@ def _listed(system: fs.FileSystem, inner: str) -> list[Shard] | None:
     text = _object(system, f"{inner}/{MARKER}") or b""
     found = parse(text)
     if found is None and (text.startswith(b"{") or system.get_file_info(f"{inner}/{WRITING}").type == fs.FileType.File):
-        return []
+        return [s for path in epochs(system, inner) for s in _of_epoch(system, path)]
     return found
 
 

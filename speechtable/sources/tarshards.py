@@ -79,11 +79,13 @@ def listed_shards(path: str) -> list[tuple[str, int, fs.FileInfo]]:
     return [(files.full(path, root, f.path), f.size, f) for f in list_shards(path)]
 
 
-def _samples(part: ShardRange, head: int | None) -> Iterator[tuple[int, str, dict[str, bytes], dict[str, int]]]:
+def _samples(
+    part: ShardRange, head: int | None, first: int = 0, end: int = 1 << 62,
+) -> Iterator[tuple[int, str, dict[str, bytes], dict[str, int]]]:
     """(sample number, key, members, sizes) of the samples that start in the partition's byte range.
 
-    With ``head`` only that many bytes of each payload are read, the rest is skipped by seeking; of a WAV member
-    a plain header with its true length is made, wherever its samples start.
+    Payloads of samples before ``first`` are not read, and nothing from sample ``end`` on. With ``head`` only that many bytes of each payload are
+    read, the rest is skipped by seeking; of a WAV member a plain header with its true length is made, wherever its samples start.
     """
     system, inner = files.locate(part.path)
     packed = part.path.endswith(".gz")
@@ -102,11 +104,11 @@ def _samples(part: ShardRange, head: int | None) -> Iterator[tuple[int, str, dic
             if name != key:
                 if mine:
                     yield number, key, members, sizes
-                if member.offset >= part.stop and not packed:
+                if number + 1 >= end or member.offset >= part.stop and not packed:
                     return
                 number, key, members, sizes = number + 1, name, {}, {}
                 mine = packed or member.offset >= part.start
-            if mine:
+            if mine and number >= first:
                 wanted = member.size if head is None else min(head, member.size)
                 body = tar.extractfile(member)
                 if head is not None and suffix.rsplit(".", 1)[-1] == "wav":
@@ -167,11 +169,15 @@ def _entries(path: str, shards: list[tuple[str, int]], index: str | None) -> dic
     return out
 
 
-def _rows(partition: ShardRange, shard: str, mode: str, head: int | None) -> Iterator[pa.RecordBatch]:
-    """Batches of a partition's samples; a broken shard ends in a row with its error, in nothing, or in the error itself."""
+def _rows(
+    partition: ShardRange, shard: str, mode: str, head: int | None, first: int = 0, end: int = 1 << 62,
+) -> Iterator[pa.RecordBatch]:
+    """Batches of a partition's samples numbered [first, end); a broken shard ends in a row with its error, in nothing, or in the error itself."""
     rows, held = [], 0
     try:
-        for number, key, members, sizes in _samples(partition, head):
+        for number, key, members, sizes in _samples(partition, head, first, end):
+            if number < first:
+                continue
             ordinal = partition.number * SHARD_STRIDE + number
             rows.append((shard, ordinal, key, list(members.items()), list(sizes.items()), None))
             held += sum(len(v) for v in members.values())
