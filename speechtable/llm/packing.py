@@ -9,7 +9,7 @@ into sequences whose lengths are powers of two, which need no padding.
 Scale: no shuffle but that of the leftovers (at most ``windows`` sequences a task); a task's memory is its windows and one batch. Ids of
 words are cached up to ``CACHE_WORDS`` distinct words a process. Sequence ids are (partition, counter), so a retried task numbers alike.
 
-A null text is an empty document; every document ends with the end id. Null and repeated ids are documents of their own; other columns
+Special tokens written out in a text become their ids, as the library has it by default. A null text is an empty document; every document ends with the end id. Null and repeated ids are documents of their own; other columns
 are ignored. An empty table gives no rows.
 """
 
@@ -36,8 +36,8 @@ _ROW = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id lo
 class WordCache:
     """Token ids of words, by word hash, in flat arrays."""
 
-    def __init__(self, encode, limit: int = CACHE_WORDS):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode, limit: int = CACHE_WORDS, marks: tuple[bytes, ...] = (), encode_text=None):
+        self.encode, self.limit, self.marks, self.encode_text = encode, limit, marks, encode_text
         self._clear()
 
     def _clear(self) -> None:
@@ -54,6 +54,28 @@ class WordCache:
 
     def chunk(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, ids before each row and in all)."""
+        ids, before = self._by_words(data, offsets)
+        marked = self._marked(data, offsets)
+        if not marked:
+            return ids, before
+        parts = [ids[a:b] for a, b in zip(before[:-1].tolist(), before[1:].tolist())]
+        for row in marked:
+            parts[row] = np.array(self.encode_text(data[offsets[row] : offsets[row + 1]].tobytes().decode()), np.uint32)
+        return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+
+    def _marked(self, data: np.ndarray, offsets: np.ndarray) -> list[int]:
+        """Rows that hold the text of a special token: the library cuts a text there before it looks for words."""
+        text, found = data.tobytes(), set()
+        for mark in self.marks:
+            at = text.find(mark)
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, "right")) - 1
+                if at + len(mark) <= offsets[row + 1]:
+                    found.add(row)
+                at = text.find(mark, at + 1)
+        return sorted(found)
+
+    def _by_words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, rows = pretoken.split(data, offsets)
         ends = np.append(starts[1:], len(data))
         hashes = textbatch.hash_spans(data, starts, ends)
@@ -89,8 +111,10 @@ def library_cache(path: str) -> WordCache:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _CACHES[path] = WordCache(lambda words: [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)])
+        _CACHES[path] = WordCache(
+            lambda words: [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)],
+            marks=tuple(t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()),
+            encode_text=lambda text: tokenizer.encode(text, add_special_tokens=False).ids)
     return _CACHES[path]
 
 

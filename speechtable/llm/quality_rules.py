@@ -68,6 +68,10 @@ def judge(docs: DataFrame, weight: list[int], text_col: str = "text", threshold:
     Input columns of these names are replaced.
     """
     added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept")
+    if {"_w", "_lines", "_grams", "_window", "_sorted", "_places"} & set(docs.columns):
+        # Columns named like those below travel as part of one column.
+        found = judge(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text")), weight, "text", threshold)
+        return found.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c not in added or c == text_col], *added)
     text = F.coalesce(F.col(text_col), F.lit(""))
     table = F.from_json(F.lit(json.dumps(weight, separators=(",", ":"))), "array<long>")
     df = docs.drop(*(c for c in added if c != text_col)).withColumns({"_w": textstats.words(text), "_lines": textstats.lines(text)})

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from speechtable.llm import store, textbatch
 
@@ -279,7 +280,7 @@ def covered(units: Units, ids: np.ndarray, rule: Rule, anchors: store.Store, spa
     return np.cumsum(change[: len(units.values)]) > 0
 
 
-def marks(docs: DataFrame, rule: Rule, solver: Solver, finish: Callable, schema: str) -> DataFrame:
+def marks(docs: DataFrame, rule: Rule, solver: Solver, finish: Callable, schema: str | StructType) -> DataFrame:
     """Run all steps over ``docs`` (id, text, any others); ``finish(batch, rows, data, offsets, units, covered)`` makes a chunk's output."""
     narrow = docs.select("id", "text")
     anchors = anchor_store(narrow, rule)

@@ -31,7 +31,7 @@ STATS = ("chars", "words", "word_length", "short_words", "long_words", "symbols"
 
 
 def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` without the text but with the statistics as doubles."""
+    """``docs`` without the text but with the statistics as doubles; input columns named like a statistic are replaced."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     w = F.col("_w")
     kept = [c for c in docs.columns if c not in STATS and c != text_col]

@@ -13,8 +13,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from speechtable.llm import repeats
 
@@ -162,7 +163,13 @@ def dedup_texts(docs: DataFrame, length: int = 50, gram: int = 16, id_col: str =
         text = pc.if_else(batch.column(1).is_valid(), text, pa.scalar(None, pa.string()))
         return pa.RecordBatch.from_arrays([batch.column(2), text], ["row", "text"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*(c for c in docs.columns if c != text_col)).alias("row"))
-    kind = rows.schema["row"].dataType.simpleString()
-    found = repeats.marks(rows, repeats.Rule("bytes", length, min(gram, length)), solver, finish, f"row {kind}, text string")
-    return found.select(*(F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*(_named(c) for c in docs.columns if c != text_col)).alias("row"))
+    kind = T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])
+    found = repeats.marks(rows, repeats.Rule("bytes", length, min(gram, length)), solver, finish, kind)
+    return found.select(*(F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))
+
+
+def _named(column: str) -> Column:
+    """The column of a name that may hold dots and backticks."""
+    quoted = column.replace("`", "``")
+    return F.col(f"`{quoted}`")

@@ -2,9 +2,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from speechtable import settings
+from speechtable.llm import quality_rules
 from tests.llm.brute import covered, texts
+from tests.llm.test_jaccard import brute_kept
 from tests.llm.test_models import base_counts
-from tests.llm.test_simhash import brute_components, brute_print
 
 
 def test_stages(spark, sf):
@@ -22,9 +23,7 @@ def test_stages(spark, sf):
     assert {i for i in rows[1] if labels.get(i) == 1} == {i for i in rows[2] if labels.get(i) == 1}
     assert sum(labels.get(i) == 0 for i in rows[2]) <= 0.2 * sum(v == 0 for v in labels.values())
     # Near duplicates: the smallest id of each component stays.
-    ids = sorted(rows[2])
-    roots = brute_components([brute_print(rows[2][i]) for i in ids])
-    assert sorted(rows[3]) == sorted({ids[r] for r in roots})
+    assert sorted(rows[3]) == brute_kept(rows[2])
     # Repeats: only bytes that the rule names go, and none is left but parts of characters.
     gone = covered({i: t.encode() for i, t in rows[3].items()}, 50)
     for i, text in rows[3].items():
@@ -51,3 +50,19 @@ def test_clashing_columns_nulls_and_ties(spark, sf):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_columns_of_any_name_travel_along(spark, sf):
+    text = " ".join(f"wort{i}" for i in range(80))
+    names = ["_row", "_place", "a.b", "c`d", "_w", "_lines", "words", "row", "doc", "id", "place", "_kept"]
+    rows = [(i, text if i < 3 else f"{text} {'neu ' * i}", *(f"{n}{i}" for n in names)) for i in range(5)] + [(None, "kurz", *names)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, sf)
+        assert found.columns == docs.columns
+        for r in found.collect():
+            i = "" if r[0] is None else r[0]
+            assert list(r)[2:] == [f"{n}{i}" for n in names]
+    assert {r[0] for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect()} >= {None, 0}
+    counted = quality_rules.judge(docs, [0] * 64)
+    assert counted.columns[: len(docs.columns)] == docs.columns and {r["_w"] for r in counted.collect()} == {"_w", *(f"_w{i}" for i in range(5))}

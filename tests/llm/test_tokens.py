@@ -8,6 +8,7 @@ import regex
 import tiktoken
 from hypothesis import given, settings as limits, strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from speechtable.llm import bpe, packing, pretoken
 from tests.llm.brute import texts
@@ -54,9 +55,10 @@ def test_heap_merges_equal_fold_of_library(library):
 
 
 @pytest.mark.parametrize("windows,size", [(64, 2048), (3, 64)])
-def test_packing_covers_every_id_once(spark, sf, library, windows, size):
+def test_packing_covers_every_id_once(spark, sf, windows, size):
     want = texts(spark, sf) | EDGES
-    ids = {i: np.array(library.encode_ordinary(t or "") + [1], "<u4") for i, t in want.items()}
+    tokenizer = Tokenizer.from_file(FILE)
+    ids = {i: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for i, t in want.items()}
     docs = spark.createDataFrame([(i, t, 1) for i, t in want.items()], "doc_id long, text string, part int").repartition(3)
     rows = packing.pack(docs, FILE, windows=windows, size=size).collect()
     at, used = dict.fromkeys(want, 0), {}
@@ -92,3 +94,14 @@ def test_small_tables(spark, n):
     docs = spark.createDataFrame([(1, None)][:n], "doc_id long, text string")
     assert [tuple(r)[:3] for r in packing.pack(docs, FILE).collect()] == [(1, 0, 1)][:n]
     assert [list(r["ids"]) for r in bpe.encode(docs, RANKS).collect()] == [[]][:n]
+
+
+def test_packing_takes_ids_as_the_library_gives_them(spark):
+    tokenizer = Tokenizer.from_file(FILE)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>  it's\n", "<|endoftext", "|>plain text", "<|endof", "text|>", "", "word " * 900 + "<|endoftext|>"]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), FILE).collect()
+    for i, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        own = sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["start"])
+        assert [r["start"] for r in own] == np.cumsum([0, *(r["length"] for r in own)])[:-1].tolist() and sum(r["length"] for r in own) == len(ids)
+        assert all(r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes()) for r in own)
