@@ -7,6 +7,7 @@ RBJ audio cookbook, Kaldi filter bank). Filters that depend only on rates are ca
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,17 +22,35 @@ POVEY_POWER = 0.85
 MEL_LOW_HZ = 20.0
 MEL_FLOOR = 1.1920928955078125e-07
 
+#: Least transform of a convolution in blocks; samples of a block of the high-pass, and of blocks filtered together.
+CONVOLVE_BLOCK, SCAN_BLOCK, SCAN_STRETCH = 1 << 15, 128, 1 << 17
 
-@lru_cache(maxsize=64)
-def _sinc_taps(up: int, down: int) -> tuple[np.ndarray, int]:
-    """(up, taps) filter for output phase p of every ``down`` inputs, and its left reach."""
+
+#: Taps of a pair of rates that a worker keeps; larger tables are made anew for each waveform, block by block.
+CACHED_TAPS = 1 << 20
+
+
+def _tap_blocks(up: int, down: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first output phase, first input, taps[phase, input]) of runs of phases whose inputs overlap.
+
+    Only inputs within reach count: about 13 for each phase (more by ``down / up`` where the rate falls). A run spans about twice
+    that, so all runs together are linear in the larger factor.
+    """
     cutoff = min(up, down) * SINC_ROLLOFF
-    reach = math.ceil(SINC_ZERO_CROSSINGS * down / cutoff)
-    inputs = np.arange(-reach, reach + down) / down
-    t = (inputs[None, :] - np.arange(up)[:, None] / up) * cutoff
-    t = np.clip(t, -SINC_ZERO_CROSSINGS, SINC_ZERO_CROSSINGS)
-    hann = np.cos(np.pi * t / (2 * SINC_ZERO_CROSSINGS)) ** 2
-    return np.sinc(t) * hann * (cutoff / down), reach
+    half = SINC_ZERO_CROSSINGS * down / cutoff
+    phases = max(1, int(2 * half * up / down))
+    for first in range(0, up, phases):
+        own = np.arange(first, min(first + phases, up))
+        start, end = math.floor(own[0] * down / up - half), math.ceil(own[-1] * down / up + half)
+        t = (np.arange(start, end + 1)[None, :] / down - own[:, None] / up) * cutoff
+        t = np.clip(t, -SINC_ZERO_CROSSINGS, SINC_ZERO_CROSSINGS)
+        hann = np.cos(np.pi * t / (2 * SINC_ZERO_CROSSINGS)) ** 2
+        yield first, start, np.sinc(t) * hann * (cutoff / down)
+
+
+@lru_cache(maxsize=16)
+def _kept_blocks(up: int, down: int) -> list[tuple[int, int, np.ndarray]]:
+    return list(_tap_blocks(up, down))
 
 
 def resample(x: np.ndarray, source: int, target: int) -> np.ndarray:
@@ -41,51 +60,90 @@ def resample(x: np.ndarray, source: int, target: int) -> np.ndarray:
         return x
     g = math.gcd(source, target)
     down, up = source // g, target // g
-    taps, reach = _sinc_taps(up, down)
-    padded = np.pad(np.asarray(x, dtype=np.float64), (reach, reach + down))
-    frames = sliding_window_view(padded, taps.shape[1])[::down]
     n_out = -(-len(x) * up // down)
-    return (frames @ taps.T).reshape(-1)[:n_out]
+    rounds = -(-n_out // up)
+    reach = math.ceil(SINC_ZERO_CROSSINGS * down / (min(up, down) * SINC_ROLLOFF)) + 1
+    padded = np.pad(np.asarray(x, dtype=np.float64), (reach, reach + 2 * down))
+    out = np.empty((rounds, up))
+    small = 30 * max(up, down) <= CACHED_TAPS
+    for first, start, taps in _kept_blocks(up, down) if small else _tap_blocks(up, down):
+        if rounds == 1 and first >= n_out:
+            break
+        span = padded[start + reach :]
+        if down < taps.shape[1] < rounds:
+            # Windows that overlap this much are no matrix to the library: add up shifted inputs.
+            for phase, row in enumerate(taps, first):
+                out[:, phase] = row[0] * span[: rounds * down : down]
+                for k in range(1, len(row)):
+                    out[:, phase] += row[k] * span[k : k + rounds * down : down]
+        else:
+            out[:, first : first + len(taps)] = sliding_window_view(span, taps.shape[1])[::down][:rounds] @ taps.T
+    return out.reshape(-1)[:n_out]
 
 
 def convolve(x: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Full convolution cut to the length of x."""
-    if len(x) == 0 or len(h) == 0:
-        return np.zeros(len(x))
-    h = h[: len(x)]  # later taps only reach samples that are cut off
-    size = 1 << (len(x) + len(h) - 2).bit_length() if len(x) + len(h) > 2 else 1
-    return np.fft.irfft(np.fft.rfft(x, size) * np.fft.rfft(h, size), size)[: len(x)] if size > 1 else x * h[0]
+    """Full convolution cut to the length of x; a long x is taken in blocks sized by the response, whose tails are added up."""
+    n = len(x)
+    if n == 0 or len(h) == 0:
+        return np.zeros(n)
+    h = h[:n]  # later taps only reach samples that are cut off
+    whole = 1 << (n + len(h) - 2).bit_length() if n + len(h) > 2 else 1
+    size = min(whole, max(CONVOLVE_BLOCK, 1 << (4 * len(h) - 1).bit_length()))
+    if size == 1:
+        return x * h[0]
+    spectrum = np.fft.rfft(h, size)
+    if size == whole:
+        return np.fft.irfft(np.fft.rfft(x, size) * spectrum, size)[:n]
+    out, step = np.zeros(n), size - len(h) + 1
+    for at in range(0, n, step):
+        part = np.fft.irfft(np.fft.rfft(x[at : at + step], size) * spectrum, size)[: n - at]
+        out[at : at + len(part)] += part
+    return out
 
 
 @lru_cache(maxsize=64)
-def _highpass_response(rate: int, cutoff: float, n: int) -> np.ndarray:
-    """Impulse response of the second-order high-pass until it falls below double precision, at most n taps."""
+def _highpass(rate: int, cutoff: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block of the second-order high-pass: outputs by inputs and by the state before, state after it by the same two.
+
+    The state is what the transposed form keeps, as its sum and its second part: the sum is small where the cut-off is low, so no digits
+    cancel. All four come from running the recursion on unit vectors.
+    """
     w = 2 * math.pi * cutoff / rate
     alpha, cos = math.sin(w) / (2 * HIGHPASS_Q), math.cos(w)
-    a0, a1, a2 = 1 + alpha, -2 * cos, 1 - alpha
-    b = np.array([(1 + cos) / 2, -(1 + cos), (1 + cos) / 2]) / a0
-    decay = math.sqrt(abs(a2 / a0))
-    taps = min(n, 3 if decay < 1e-9 else max(3, math.ceil(math.log(1e-18) / math.log(decay))))
-    h = np.zeros(taps)
-    for k in range(min(taps, 1 << 16)):
-        h[k] = (b[k] if k < 3 else 0.0) - (a1 / a0) * (h[k - 1] if k else 0.0) - (a2 / a0) * (h[k - 2] if k > 1 else 0.0)
-    if taps > 1 << 16:
-        # The recursion's two modes, from the last two values it gave.
-        one, two = np.roots([1.0, a1 / a0, a2 / a0]).astype(complex)
-        at = np.arange(taps - (1 << 16))
-        first, second = h[(1 << 16) - 2], h[(1 << 16) - 1]
-        weight = (second - two * first) / (one - two)
-        h[1 << 16 :] = (weight * np.exp((at + 2) * np.log(one)) + (first - weight) * np.exp((at + 2) * np.log(two))).real
-    return h
+    a0 = 1 + alpha
+    b, a2, slow = (1 + cos) / 2 / a0, (1 - alpha) / a0, 4 * math.sin(w / 2) ** 2 / a0
+    total, second = np.eye(SCAN_BLOCK + 2)[SCAN_BLOCK :]
+    outputs = np.empty((SCAN_BLOCK, SCAN_BLOCK + 2))
+    for k, x in enumerate(np.eye(SCAN_BLOCK, SCAN_BLOCK + 2)):
+        outputs[k] = y = b * x + total - second
+        total, second = (1 - slow) * total + slow * (second - b * x), b * x - a2 * y
+    after = np.stack([total, second])
+    return tuple(np.ascontiguousarray(m.T) for m in (outputs[:, :SCAN_BLOCK], outputs[:, SCAN_BLOCK:], after[:, :SCAN_BLOCK], after[:, SCAN_BLOCK:]))
 
 
 def low_cut(x: np.ndarray, rate: int, cutoff: float) -> np.ndarray:
-    """High-pass by convolution with the decayed response, clamped to [-1, 1]; cutoffs are below half the rate."""
+    """Second-order high-pass, clamped to [-1, 1]; cutoffs are below half the rate.
+
+    Blocks are filtered as if nothing came before them, all of a stretch in one product; the state is then carried from block to block, as
+    a sample-by-sample loop would, in memory of one stretch beside the result.
+    """
     if not 0 < cutoff < rate / 2:
         raise ValueError(f"a low cut of {cutoff:g} Hz needs a rate above {2 * cutoff:g} Hz, not {rate}")
-    # Taps beyond the waveform's length do not reach it.
-    n = 1 << max(len(x) - 1, 2).bit_length()
-    return np.clip(convolve(np.asarray(x, dtype=np.float64), _highpass_response(int(rate), float(cutoff), n)), -1.0, 1.0)
+    inputs, states, moved, kept = _highpass(int(rate), float(cutoff))
+    x = np.asarray(x, dtype=np.float64)
+    out = np.empty(len(x))
+    total = second = 0.0
+    (a, c), (d, e) = kept.T.tolist()
+    for at in range(0, len(x), SCAN_STRETCH):
+        part = x[at : at + SCAN_STRETCH]
+        rows = -(-len(part) // SCAN_BLOCK)
+        blocks = np.pad(part, (0, rows * SCAN_BLOCK - len(part))).reshape(rows, SCAN_BLOCK)
+        before = []
+        for own_total, own_second in (blocks @ moved).tolist():
+            before.append((total, second))
+            total, second = own_total + a * total + c * second, own_second + d * total + e * second
+        out[at : at + SCAN_STRETCH] = (blocks @ inputs + np.array(before) @ states).reshape(-1)[: len(part)]
+    return np.clip(out, -1.0, 1.0)
 
 
 def peak_normalize(x: np.ndarray) -> np.ndarray:

@@ -58,13 +58,12 @@ def test_split_equals_whole_and_failing_pieces_fail_the_row(spark):
 def test_low_cut_without_tap_limit_and_beyond_nyquist():
     with pytest.raises(ValueError, match="rate above"):
         kernels.low_cut(np.ones(10), 16, 8.0)
-    # Closed form and recursion agree where both apply.
-    h = kernels._highpass_response(48000, 0.05, 1 << 18)
-    b, a = h[:3], h
+    # The response to an impulse goes on obeying the recursion, far beyond any block.
+    h = kernels.low_cut(np.eye(1, 1 << 18)[0], 48000, 0.05)
     k = np.arange(1 << 17, (1 << 17) + 50)
-    ratio = np.linalg.lstsq(np.stack([a[k - 1], a[k - 2]], 1), a[k], rcond=None)[0]
+    ratio = np.linalg.lstsq(np.stack([h[k - 1], h[k - 2]], 1), h[k], rcond=None)[0]
     early = np.arange(100, 150)
-    assert np.allclose(a[early], ratio[0] * a[early - 1] + ratio[1] * a[early - 2], rtol=1e-6) and len(h) == 1 << 18 and b[0] > 0.9
+    assert np.allclose(h[early], ratio[0] * h[early - 1] + ratio[1] * h[early - 2], rtol=1e-6) and h[0] > 0.9
 
 
 def test_unknown_options_and_snr_range(spark, sf):
