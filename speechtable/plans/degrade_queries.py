@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ from speechtable.plans.registry import (
 )
 from speechtable.plans.wave_queries import _PEAK, LOW_CUT_SQL, NORMALIZED
 
+#: The stages, with a direct path that a 16 Hz response can hold: 0.25 s are 4 samples.
+AUDIBLE = tuple(replace(s, options={"early_seconds": 0.25}) if s.name == "reverb" else s for s in degrade.STAGES)
 _NOISE_N = "(SELECT count(*) FROM noise_pool)"
 _RIR_N = "(SELECT count(*) FROM rir_pool)"
 
@@ -250,7 +253,7 @@ def _chain_ctes(bands: tuple[int, ...] = (), codec: bool = False, seconds: int =
     """`chain` (key, clean, noisy): all stages over `wave`, each where its draw says so."""
     on = lambda stage: f"{sql_draw('key', stage + '.gate')} < 0.5"
     losses = seconds * 3 // 10
-    ctes = [_NOISE, _REVERB.replace("begin + 4 THEN", "begin + 0 THEN"), f"""
+    ctes = [_NOISE, _REVERB, f"""
         reverbed AS (SELECT key, CASE WHEN {on('rir')} THEN leveled.dry ELSE samples END AS clean,
             CASE WHEN {on('rir')} THEN leveled.wet ELSE samples END AS x FROM wave JOIN leveled USING (key)),
         joined AS (SELECT reverbed.*, noise FROM reverbed JOIN picked USING (key)),
@@ -310,7 +313,7 @@ def _prepared_ctes(crops: int, samples: int) -> str:
         wave AS (SELECT key || '-' || crop AS key, {NORMALIZED.format(c='x')} AS samples, 16 AS sample_rate FROM cropped)"""
 
 
-_NATIVE_STAGES = tuple(s for s in degrade.STAGES if s.name not in ("band", "codec"))
+_NATIVE_STAGES = tuple(s for s in AUDIBLE if s.name not in ("band", "codec"))
 
 
 def _kinds(df):
@@ -329,7 +332,7 @@ def degradation_chain(spark, sf):
 
     rows = fx.wave(spark, sf)
     chain = degrade.degrade(
-        rows, fx.noise_pool(spark, sf), fx.rir_pool(spark, sf), degrade.with_codec(coarse), band_rates=_BANDS
+        rows, fx.noise_pool(spark, sf), fx.rir_pool(spark, sf), degrade.with_codec(coarse, AUDIBLE), band_rates=_BANDS
     )
     return _kinds(chain)
 
@@ -344,7 +347,7 @@ def training_pairs(spark, sf):
     rows = segment.prepare_crops(fx.wave(spark, sf), n_crops=2, seconds=2.0, cutoff=2.0)
     rows = rows.withColumn("key", F.concat_ws("-", "key", "crop"))
     pairs = degrade.degrade(
-        rows, fx.noise_pool(spark, sf), fx.rir_pool(spark, sf), band_rates=_BANDS, target=24, low=8
+        rows, fx.noise_pool(spark, sf), fx.rir_pool(spark, sf), AUDIBLE, band_rates=_BANDS, target=24, low=8
     )
     names = ("clean", "noisy", "clean_16k", "noisy_16k")
     kinds = [F.struct(F.lit(c).alias("kind"), F.col(c).alias("y")) for c in names]

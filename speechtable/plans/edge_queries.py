@@ -12,7 +12,7 @@ from speechtable import settings
 from speechtable.operators import degrade, merge, records, restore, selection
 from speechtable.plans import cleansing, pairs
 from speechtable.plans import fixtures as fx
-from speechtable.plans.degrade_queries import _BANDS, _chain_ctes, _prepared_ctes, _rates_ctes, half_gain
+from speechtable.plans.degrade_queries import _BANDS, AUDIBLE, _chain_ctes, _prepared_ctes, _rates_ctes, half_gain
 from speechtable.plans.registry import digest, query, samples_long, sql_digest, sql_draw, sql_long
 from speechtable.plans.wave_queries import merged_sql
 from speechtable.sources import catalog, corpus, files, ingest, tarshards
@@ -210,7 +210,9 @@ def cached_models(spark, sf):
         placed AS (SELECT key, split, (row_number() OVER (PARTITION BY split ORDER BY {sql_draw('key', 'shuffle')}, key) - 1) // 4 AS batch_id,
                 CAST((row_number() OVER (PARTITION BY split ORDER BY {sql_draw('key', 'shuffle')}, key) - 1) % 4 AS INT) AS slot
             FROM (SELECT DISTINCT key, CASE WHEN {sql_draw('key', 'split')} < 0.75 THEN 'train' ELSE 'valid' END AS split FROM rated)),
-        m AS (SELECT split, batch_id, slot, key, kind, 6 AS n_mels, CAST(1 + (len(y) + 80 - 16) // 8 AS INT) AS n_frames, y FROM rated JOIN placed USING (key)
+        m AS (SELECT split, batch_id, slot, key, kind, 6 AS n_mels, CAST(1 + (len(y) + 80 - 16) // 8 AS INT) AS n_frames,
+            list_transform(y, lambda v: CAST(v AS FLOAT)::DOUBLE) AS y FROM rated JOIN placed USING (key)  -- records hold 32-bit floats
+           
             WHERE kind LIKE '%16k') """ + sql_digest("m", "split, batch_id, slot, key, kind, n_mels, n_frames"),
     ["noise_pool", "rir_pool"],
 )
@@ -218,7 +220,8 @@ def preprocessed_batches(spark, sf):
     """Crops, degradation, mel features, records in shards per split, read back, shuffled and batched."""
     rows = fx.wave(spark, sf).withColumn("ordinal", F.col("key"))
     made = pairs.training_pairs(
-        rows, fx.noise_pool(spark, sf), fx.rir_pool(spark, sf), target=24, n_crops=1, seconds=2.0, cutoff=2.0, low=8, band_rates=_BANDS)
+        rows, fx.noise_pool(spark, sf), fx.rir_pool(spark, sf), target=24, n_crops=1, seconds=2.0, cutoff=2.0, low=8, stages=AUDIBLE,
+        band_rates=_BANDS)
     folder = settings.fresh_path(spark, "preprocessed")
     # The short low-rate waveforms count as 16 kHz for the mel front end.
     made = made.withColumn("sample_rate_16k", F.lit(16000))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from speechtable.operators.ordering import running
 
 SEGMENT = 48  # samples per `signal` row; the last row of a user is shorter
-NOISE_SPEAKER, RIR_SPEAKER, RIR_SAMPLES = 9, 8, 8
+NOISE_SPEAKER, RIR_SPEAKER = 9, 8
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,9 +42,11 @@ def signal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Waves cut to 20 to 64 samples."""
-    length = (20 + F.col("key") % 45).cast("int")
-    return wave(spark, sf_dir).withColumn("samples", F.slice("samples", F.lit(1), length))
+    """Waves cut in two after 20 to 63 samples."""
+    length = (20 + F.col("key") % 44).cast("int")
+    rest = F.slice("samples", length + 1, F.greatest(F.size("samples") - length, F.lit(0)))
+    both = wave(spark, sf_dir).select("key", F.posexplode(F.array(F.slice("samples", F.lit(1), length), rest)).alias("part", "samples"), "sample_rate", "speaker")
+    return both.select((2 * F.col("key") + F.col("part")).alias("key"), "samples", "sample_rate", "speaker")
 
 
 def utt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,17 +78,18 @@ def noise_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rir_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses of two channels: the first eight samples and the eight after them."""
+    """Responses of two channels: every other sample, and those between them."""
     rows = wave(spark, sf_dir).filter(F.col("speaker") == RIR_SPEAKER)
-    channels = F.array(F.slice("samples", 1, RIR_SAMPLES), F.slice("samples", 1 + RIR_SAMPLES, RIR_SAMPLES))
+    channels = F.array(F.filter("samples", lambda v, i: i % 2 == 0), F.filter("samples", lambda v, i: i % 2 == 1))
     return running(rows, order="key", index="pool_idx").select("pool_idx", channels.alias("channels"), "sample_rate")
 
 
 # The same views for DuckDB.
 SQL_VIEWS = {
     "wave": "SELECT vec_id AS key, embedding::DOUBLE[] AS samples, 16 AS sample_rate, label AS speaker FROM embeddings",
-    "clips": """SELECT vec_id AS key, embedding[1 : 20 + vec_id % 45]::DOUBLE[] AS samples, 16 AS sample_rate,
-        label AS speaker FROM embeddings""",
+    "clips": """SELECT 2 * vec_id + part AS key, CASE WHEN part = 0 THEN embedding[1 : 20 + vec_id % 44]
+            ELSE embedding[21 + vec_id % 44 : len(embedding)] END::DOUBLE[] AS samples, 16 AS sample_rate, label AS speaker
+        FROM (SELECT *, unnest(range(2)) AS part FROM embeddings)""",
     "signal": f"""SELECT user_id || '-' || segment AS key, user_id, segment, list(value ORDER BY event_id) AS samples,
         16 AS sample_rate FROM (SELECT user_id, event_id, value,
                      (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // {SEGMENT} AS segment FROM events)
@@ -98,6 +101,6 @@ SQL_VIEWS = {
     "noise_pool": f"""SELECT row_number() OVER (ORDER BY vec_id) - 1 AS pool_idx, embedding::DOUBLE[] AS samples,
         16 AS sample_rate FROM embeddings WHERE label = {NOISE_SPEAKER}""",
     "rir_pool": f"""SELECT row_number() OVER (ORDER BY vec_id) - 1 AS pool_idx,
-        [embedding[1:{RIR_SAMPLES}]::DOUBLE[], embedding[{RIR_SAMPLES + 1}:{2 * RIR_SAMPLES}]::DOUBLE[]] AS channels,
+        [list_filter(embedding, lambda v, i: i % 2 = 1)::DOUBLE[], list_filter(embedding, lambda v, i: i % 2 = 0)::DOUBLE[]] AS channels,
         16 AS sample_rate FROM embeddings WHERE label = {RIR_SPEAKER}""",
 }

@@ -8,7 +8,7 @@ from speechtable import settings
 from speechtable.operators import audit, ordering, records
 from speechtable.plans import audits, cleansing, pairs
 from speechtable.plans import fixtures as fx
-from speechtable.plans.degrade_queries import _BANDS, _chain_ctes, _prepared_ctes, _rates_ctes, half_gain
+from speechtable.plans.degrade_queries import _BANDS, AUDIBLE, _chain_ctes, _prepared_ctes, _rates_ctes, half_gain
 from speechtable.plans.registry import digest, query, samples_long, sql_digest, sql_long
 from speechtable.plans.wave_queries import merged_sql
 from speechtable.sources import catalog, corpus, files, ingest, manifest, tarindex, tarshards, tarstream
@@ -394,7 +394,7 @@ def paired_shards(spark, sf):
     rows = fx.wave(spark, sf).withColumn("ordinal", F.col("key"))
     made = pairs.training_pairs(
         rows, fx.noise_pool(spark, sf), fx.rir_pool(spark, sf), target=24, seconds=10.0, cutoff=2.0, low=8,
-        band_rates=_BANDS, merge_by=["speaker"],
+        band_rates=_BANDS, merge_by=["speaker"], stages=AUDIBLE,
     )
     # The short low-rate waveforms count as 16 kHz for the mel front end.
     mels = pairs.with_mel(made.withColumn("sample_rate_16k", F.lit(16000)), n_mels=6, frame_ms=1.0, hop_ms=0.5)

@@ -18,20 +18,20 @@ NORMALIZED = "list_transform({c}, lambda v: (v / nullif(" + _PEAK + ", 0) + 1e-7
 
 
 def _stereo(spark, sf):
-    halves = F.array(F.slice("samples", 1, 32), F.slice("samples", 33, 32))
-    return fx.wave(spark, sf).select("key", halves.alias("channels"))
+    """Two channels of uneven length: a signal and the same backwards."""
+    return fx.signal(spark, sf).select("key", F.array("samples", F.reverse("samples")).alias("channels"))
 
 
 @query(
-    "WITH m AS (SELECT key, list_transform(range(32), lambda i: (samples[i + 1] + samples[i + 33]) / 2) AS y FROM wave) "
+    "WITH m AS (SELECT key, list_transform(samples, lambda v, i: (v + samples[len(samples) - i + 1]) / 2) AS y FROM signal) "
     + sql_long("m"),
-    ["wave"],
+    ["signal"],
 )
 def mono_by_mean(spark, sf):
     return samples_long(segment.to_mono(_stereo(spark, sf), "mean"), ["key"], "samples")
 
 
-@query("WITH m AS (SELECT key, samples[1:32] AS y FROM wave) " + sql_long("m"), ["wave"])
+@query("WITH m AS (SELECT key, samples AS y FROM signal) " + sql_long("m"), ["signal"])
 def mono_by_first_channel(spark, sf):
     return samples_long(segment.to_mono(_stereo(spark, sf), "first"), ["key"], "samples")
 
@@ -250,16 +250,17 @@ def ragged_batches(spark, sf):
 
 
 def _with_gaps(spark, sf):
-    """Every tenth waveform silent and every seventh with a NaN in front."""
-    rows = fx.wave(spark, sf)
+    """About every tenth signal silent and every seventh with a NaN in front."""
+    rows, number = fx.signal(spark, sf), 3 * F.col("user_id") + F.col("segment")
     silent = F.transform("samples", lambda v: v * 0)
-    broken = F.concat(F.array(F.lit(float("nan"))), F.slice("samples", 2, 63))
-    return rows.withColumn(
-        "samples", F.when(F.col("key") % 10 == 0, silent).when(F.col("key") % 7 == 0, broken).otherwise(F.col("samples"))
-    )
+    broken = F.transform("samples", lambda v, i: F.when(i == 0, float("nan")).otherwise(v))
+    return rows.withColumn("samples", F.when(number % 10 == 0, silent).when(number % 7 == 0, broken).otherwise(F.col("samples")))
+
 
+_NUMBER = "(3 * user_id + segment)"
 
-@query("SELECT key FROM wave WHERE key % 10 <> 0 AND key % 7 <> 0", ["wave"])
+
+@query(f"SELECT key FROM signal WHERE {_NUMBER} % 10 <> 0 AND {_NUMBER} % 7 <> 0", ["signal"])
 def nan_rejected(spark, sf):
     """Silence turns to null samples in normalising, and both kinds of rows go."""
     both = records.branch(segment.normalize(_with_gaps(spark, sf)), "samples")
@@ -267,9 +268,10 @@ def nan_rejected(spark, sf):
 
 
 @query(
-    """WITH m AS (SELECT key, CASE WHEN key % 10 = 0 THEN list_transform(samples, lambda v: 0.0::DOUBLE)
-        WHEN key % 7 = 0 THEN list_concat([0.0::DOUBLE], samples[2:64]) ELSE samples END AS y FROM wave) """ + sql_long("m"),
-    ["wave"],
+    f"""WITH m AS (SELECT key, CASE WHEN {_NUMBER} % 10 = 0 THEN list_transform(samples, lambda v: 0.0::DOUBLE)
+        WHEN {_NUMBER} % 7 = 0 THEN list_transform(samples, lambda v, i: CASE WHEN i = 1 THEN 0.0::DOUBLE ELSE v END) ELSE samples END AS y FROM signal) """
+    + sql_long("m"),
+    ["signal"],
 )
 def nan_replaced(spark, sf):
     return samples_long(records.nan_to_num(_with_gaps(spark, sf), "samples"), ["key"], "samples")
