@@ -58,7 +58,7 @@ def normalize_mel_matrix(df: DataFrame, col: str = "features", floor: float = VA
 
 
 def pad_features(
-    df: DataFrame, batch_cols: Sequence[str] = ("batch_id",), col: str = "features", multiple: int | None = STRIDE,
+    df: DataFrame, batch_cols: Sequence[str], col: str = "features", multiple: int | None = STRIDE,
     value: float = 0.0, max_length: int | None = None, dims: int | None = None,
 ) -> DataFrame:
     """Pad each matrix to the batch's longest (or ``max_length``), rounded up; add ``attention_mask``.

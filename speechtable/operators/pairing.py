@@ -13,6 +13,7 @@ from speechtable.operators.ordering import numbered
 from speechtable.operators.segment import random_crop
 
 BROADCAST_BYTES = 64 << 20  # a pool below this size is sent to every executor
+ROW_BYTES = 160  # of a broadcast row beside its samples: key, row header, hash table slot, array headers
 SPREAD = 4096  # distinct join keys a shuffled pool should offer
 
 # Fixed values of the reference degradations.
@@ -53,11 +54,11 @@ def prepare_pool(
 
 
 def pool_size(pool: DataFrame, col: str) -> tuple[int, int]:
-    """(rows, bytes) of a pool, from one aggregate over its lengths."""
+    """(rows, bytes in memory) of a pool, from one aggregate over its lengths; a row costs more than its samples."""
     nested = pool.schema[col].dataType.elementType.simpleString().startswith("array")
     samples = F.aggregate(col, F.lit(0), lambda n, ch: n + F.size(ch)) if nested else F.size(col)
     rows, total = pool.agg(F.count(F.lit(1)), F.sum(samples.cast("bigint"))).first()
-    return rows, 8 * (total or 0)
+    return rows, 8 * (total or 0) + ROW_BYTES * rows
 
 
 def _join_pool(df: DataFrame, pool: DataFrame, picked: Column, n: int, n_bytes: int, key: Column, seed: int) -> DataFrame:

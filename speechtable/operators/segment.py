@@ -146,7 +146,7 @@ def _ordered(df: DataFrame, batch_cols: Sequence[str], slot: str, fields: Sequen
 
 
 def collate(
-    df: DataFrame, batch_cols: Sequence[str] = ("batch_id",), slot: str = "slot", col: str = "samples", key: str = "key"
+    df: DataFrame, batch_cols: Sequence[str], slot: str = "slot", col: str = "samples", key: str = "key"
 ) -> DataFrame:
     """One row per batch: keys, true lengths and waveforms padded to the longest member."""
     batches = _ordered(df, batch_cols, slot, [key, col]).withColumn("longest", F.array_max(F.transform(f"_members.{col}", F.size)))
@@ -159,7 +159,7 @@ def collate(
 
 
 def assemble_pairs(
-    df: DataFrame, batch_cols: Sequence[str] = ("batch_id",), slot: str = "slot", key: str = "key",
+    df: DataFrame, batch_cols: Sequence[str], slot: str = "slot", key: str = "key",
     cols: Sequence[str] = ("clean", "noisy"), rate: str = "sample_rate", features: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """(batches, ragged): stacked pairs with the first member's rate.

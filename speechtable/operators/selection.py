@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from speechtable.functions import draws
-from speechtable.operators.ordering import assign_shards, numbered, running
+from speechtable.operators.ordering import assign_shards, dense_ordinal, numbered, running
 
 
 def _row_count(df: DataFrame) -> Column:
@@ -90,6 +93,50 @@ def shuffle_positions(df: DataFrame, key: str = "key", seed: int = draws.DEFAULT
     return numbered(drawn, (), "_draw", [key], index="position").drop("_draw")
 
 
+def drawn_shards(catalog: DataFrame, seed: int = draws.DEFAULT_SEED) -> DataFrame:
+    """A shard catalogue (ordinal, path) in the order of a hashed draw of its paths: only paths are sorted."""
+    drawn = catalog.select("path", draws.draw(F.col("path"), "shards", 0, seed).alias("_draw"))
+    return dense_ordinal(drawn, ["_draw", "path"], unique=True).select("ordinal", "path")
+
+
+def shuffle_buffered(df: DataFrame, size: int, key: str = "key", seed: int = draws.DEFAULT_SEED) -> DataFrame:
+    """Shuffle each partition through a buffer of ``size`` rows; nothing crosses an exchange.
+
+    Once the buffer is full, each further row takes the place its own draw names, and the row that was there leaves; at the end the rest leaves
+    in the order of its draws. The same rows in the same partition leave in the same order, whoever runs the task. With shards in drawn order
+    (``drawn_shards``, then ``tarshards.read_listed``) audio is read once and moves nowhere.
+    """
+    if size < 1:
+        raise ValueError("buffer size must be >= 1")
+    # Plain names on the way, since a stage of batches cannot take names with dots.
+    columns = [f"c{i}" for i in range(len(df.columns))]
+    drawn = df.toDF(*columns).withColumn("_draw", draws.draw(F.col(columns[df.columns.index(key)]), "buffer", 0, seed))
+    schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(columns, df.schema)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            kept = held.num_rows if held is not None else 0
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            places = np.minimum((rows["_draw"].to_numpy() * size).astype(np.int64), size - 1).tolist()
+            slots, out = list(range(kept)), []
+            for i in range(kept, rows.num_rows):
+                if len(slots) < size:
+                    slots.append(i)
+                else:
+                    out.append(slots[places[i]])
+                    slots[places[i]] = i
+            if out:
+                yield from rows.take(pa.array(out)).select(columns).to_batches()
+            held = rows.take(pa.array(slots, pa.int64()))
+        if held is not None and held.num_rows:
+            order = np.argsort(held["_draw"].to_numpy(), kind="stable")
+            yield from held.take(pa.array(order)).select(columns).to_batches()
+
+    return drawn.mapInArrow(run, schema).toDF(*df.columns)
+
+
 def pending_units(
     units: DataFrame, splits: Sequence[str], completed: DataFrame, heavy: Sequence[str] = (), unit: str = "language"
 ) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from speechtable import settings
 from speechtable.functions import draws
 from speechtable.operators import audit, ordering, records, selection
 from speechtable.plans import fixtures as fx
 from speechtable.plans.registry import digest, query, sql_digest, sql_draw
+from speechtable.sources import catalog, ingest, tarshards
 
 
 def _rated(spark, sf):
@@ -147,6 +149,19 @@ def shuffled_positions(spark, sf):
     return selection.shuffle_positions(fx.utt(spark, sf)).select("key", "position")
 
 
+@query("SELECT CAST(key AS VARCHAR) AS key, CAST(1 AS BIGINT) AS n_seen, round(list_sum(samples), 4) + 0.0 AS total FROM wave", ["wave"])
+def buffered_shuffle(spark, sf):
+    """Shards in drawn order, their samples through a buffer: every sample leaves once, with its audio."""
+    folder = settings.fresh_path(spark, "shards")
+    rows = fx.wave(spark, sf).select("key", F.col("key").alias("ordinal"), F.col("samples").cast("array<float>").alias("samples.pth"))
+    tarshards.write_tarshards(rows, folder, 90)
+    listed = selection.drawn_shards(catalog.shard_catalog(spark, folder))
+    mixed = selection.shuffle_buffered(tarshards.read_listed(listed), 40)
+    typed = ingest.typed_members(mixed, {"samples.pth": "array<float>"})
+    total = F.aggregate(F.col("`samples.pth`").cast("array<double>"), F.lit(0.0), lambda s, v: s + v)
+    return typed.groupBy("key").agg(F.count(F.lit(1)).alias("n_seen"), F.round(F.sum(total), 4).alias("total"))
+
+
 @query(
     f"""SELECT key, round({sql_draw('key', 'crop')}, 9) AS u,
         CAST(floor({sql_draw('key', 'pool', '3')} * 1000) AS BIGINT) AS i,

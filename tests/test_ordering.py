@@ -114,3 +114,44 @@ def test_shard_numbers(spark, width, max_count):
     df = spark.createDataFrame([(o,) for o in ordinals], "ordinal bigint")
     got = {r.ordinal: r.shard_id for r in ordering.assign_shards(df.repartition(5), max_count, width=width).collect()}
     assert got == {o: i // max_count for i, o in enumerate(ordinals)}
+
+
+def test_buffered_shuffle_equals_its_plain_form(spark):
+    import hashlib
+
+    def draw(key):
+        return int(hashlib.md5(f"{key}|42|buffer|0".encode()).hexdigest()[:8], 16) / 2**32
+
+    def plain(keys, size):
+        slots, out = [], []
+        for k in keys:
+            if len(slots) < size:
+                slots.append(k)
+            else:
+                at = int(draw(k) * size)
+                out.append(slots[at])
+                slots[at] = k
+        return out + sorted(slots, key=draw)
+
+    df = spark.range(0, 3000, numPartitions=3).select(F.concat(F.lit("k"), "id").alias("key"), F.array(F.col("id").cast("double")).alias("a.b"))
+    keys = [f"k{i}" for i in range(3000)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 170)
+    try:
+        for size in (1, 7, 400, 5000):
+            mixed = selection.shuffle_buffered(df, size)
+            assert mixed.columns == df.columns and "Exchange" not in mixed._jdf.queryExecution().executedPlan().toString()
+            got = [r["key"] for r in mixed.collect()]
+            assert got == [k for at in (0, 1000, 2000) for k in plain(keys[at : at + 1000], size)]
+            # Run again, whoever runs it: the same order.
+            assert got == [r["key"] for r in selection.shuffle_buffered(df, size).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert selection.shuffle_buffered(df.limit(0), 5).collect() == []
+    with pytest.raises(ValueError):
+        selection.shuffle_buffered(df, 0)
+
+
+def test_shards_in_drawn_order(spark):
+    listed = spark.createDataFrame([(i, f"/d/{i}.tar") for i in range(50)], "ordinal long, path string")
+    a, b = ([(r["ordinal"], r["path"]) for r in selection.drawn_shards(listed.repartition(n)).orderBy("ordinal").collect()] for n in (1, 5))
+    assert a == b and [n for n, _ in a] == list(range(50)) and sorted(p for _, p in a) == sorted(f"/d/{i}.tar" for i in range(50)) != [p for _, p in a]

@@ -320,12 +320,18 @@ def test_normalised_matrix_equals_the_long_form(spark, sf):
 def test_padding_and_stacking(spark):
     df = spark.createDataFrame([("a", 0, [[1.0, 2.0]] * 3), ("b", 0, [[3.0, 4.0]]), ("c", 1, [])],
                                "key string, batch_id int, features array<array<double>>")
-    padded = features.pad_features(df, value=1.0, dims=2)
+    padded = features.pad_features(df, ["batch_id"], value=1.0, dims=2)
     rows = {r.key: r for r in padded.collect()}
     assert [len(rows[k].features) for k in "abc"] == [4, 4, 0]
     assert rows["a"].attention_mask == [1, 1, 1, 0] and rows["b"].features[1] == [1.0, 1.0]
     stacked = {r.key: r for r in features.stack_frames(padded).collect()}
     assert stacked["a"].features == [[1.0, 2.0, 1.0, 2.0], [1.0, 2.0, 1.0, 1.0]] and stacked["a"].attention_mask == [1, 0]
     assert stacked["c"].features == [] and stacked["c"].attention_mask == []
-    fixed = features.pad_features(df, max_length=5, dims=2).collect()
+    fixed = features.pad_features(df, ["batch_id"], max_length=5, dims=2).collect()
     assert all(len(r.features) == 6 for r in fixed)
+
+
+def test_pools_of_many_short_clips_are_not_small(spark):
+    pool = spark.range(500_000).select(F.col("id").alias("pool_idx"), F.array(F.lit(0.5)).alias("samples"), F.lit(16).alias("sample_rate"))
+    rows, size = pairing.pool_size(pool, "samples")
+    assert rows == 500_000 and size > pairing.BROADCAST_BYTES
