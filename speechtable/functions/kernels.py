@@ -226,15 +226,19 @@ def frames_of(x: np.ndarray, size: int, hop: int) -> np.ndarray:
     return sliding_window_view(x, size)[::hop] if len(x) >= size else np.empty((0, size))
 
 
+@lru_cache(maxsize=16)
+def _povey(size: int) -> np.ndarray:
+    return (0.5 - 0.5 * np.cos(2 * np.pi * np.arange(size) / (size - 1))) ** POVEY_POWER
+
+
 def log_mel(x: np.ndarray, rate: int, n_mels: int, frame_ms: float, hop_ms: float) -> np.ndarray:
     """(frames, n_mels) log mel energies of DC-free, pre-emphasised, Povey-windowed frames."""
     size, hop = int(rate * 0.001 * frame_ms), int(rate * 0.001 * hop_ms)
     frames = frames_of(np.asarray(x, dtype=np.float64), size, hop)
     frames = frames - frames.mean(axis=1, keepdims=True)
     earlier = np.hstack([frames[:, :1], frames[:, :-1]])
-    window = (0.5 - 0.5 * np.cos(2 * np.pi * np.arange(size) / (size - 1))) ** POVEY_POWER
     fft_size = 1 << (size - 1).bit_length()
-    power = np.abs(np.fft.rfft((frames - PREEMPHASIS * earlier) * window, fft_size)) ** 2
+    power = np.abs(np.fft.rfft((frames - PREEMPHASIS * earlier) * _povey(size), fft_size)) ** 2
     return np.log(np.maximum(power @ _mel_bank(int(rate), fft_size, n_mels), MEL_FLOOR))
 
 
