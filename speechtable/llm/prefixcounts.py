@@ -34,6 +34,8 @@ PART = 1 << 16
 CHUNK_BYTES = 1 << 20
 #: Characters of words whose counts a process keeps.
 CACHE_CHARS = 16_000_000
+#: Pairs of pieces a process remembers.
+PAIRS = 1_000_000
 #: Bytes of a word that is worth keeping.
 CACHED_WORD = 64
 #: What the vocabulary writes for a space.
@@ -92,7 +94,7 @@ class Vocabulary:
 
     def agree(self, before: int, piece: int) -> bool:
         """Whether a piece may follow a token."""
-        if len(self.pairs) >= 4_000_000:
+        if len(self.pairs) >= PAIRS:
             self.pairs.clear()
         a, b = self.names[before], self.names[piece]
         found = self.encode(a + b) == ([a, b] if a else [b])
