@@ -1,6 +1,7 @@
 """Tar shards as a Spark data source: ``spark.read/write.format("tarshards")``.
 
-Reading: one partition per shard; a plain tar larger than ``splitBytes`` is read by several partitions. Where an index (``tarindex``) or the writer's
+Reading: one range per shard; a plain tar larger than ``splitBytes`` is read in several ranges. A partition is one range, or, where there are more
+ranges than ``tasks``, neighbouring ranges of some bytes together, so that small shards do not make a task each. Where an index (``tarindex``) or the writer's
 manifest says where samples start, a partition opens its range right there, at a cost that does not depend on the range's place; without one its task
 walks the headers before it (``read_tarshards`` and ``read_listed`` then build an index first). Writing: tasks write whole numbered shards under names of
 their attempt, the manifest of the commit (``manifest``) says which of them count, so a retried or killed task leaves nothing that is read.
@@ -34,6 +35,8 @@ from speechtable.sources.tarindex import escaped, named
 
 SHARD_STRIDE = 1 << 32  # ordinal = shard number * stride + sample number
 BATCH_BYTES = 32 << 20
+#: Bytes of ranges one task reads together at most; a larger range is a task of its own.
+TASK_BYTES = 128 << 20
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 #: Samples between two entries of a written shard.
 EVERY = 1000
@@ -59,6 +62,27 @@ class ShardRange(InputPartition):
     sample: int = 0
 
 
+@dataclass
+class ShardRanges(InputPartition):
+    """Ranges one task reads, in order."""
+
+    ranges: list[ShardRange]
+
+
+def grouped(ranges: list[ShardRange], sizes: list[int], tasks: int) -> list[ShardRanges]:
+    """Neighbouring ranges together, of about the same bytes: as many groups as ``tasks``, more where these would hold over ``TASK_BYTES``."""
+    # Opening a range costs about as much as reading some of it.
+    costs = [size + (64 << 10) for size in sizes]
+    share, held, out = min(TASK_BYTES, sum(costs) / tasks), 0, []
+    for part, cost in zip(ranges, costs):
+        if not out or held + cost / 2 > share:
+            out.append(ShardRanges([]))
+            held = 0
+        out[-1].ranges.append(part)
+        held += cost
+    return out
+
+
 def list_shards(path: str) -> list[fs.FileInfo]:
     """Shard files of a path: itself, or those below it that count (plain tars first, by path)."""
     system, inner = files.locate(path)
@@ -133,27 +157,31 @@ class TarShardReader(DataSourceReader):
         self.split_bytes = int(options.get("splitbytes", 1 << 30))
         self.head = int(options["headbytes"]) if "headbytes" in options else None
         self.index = options.get("index")
+        self.tasks = int(options["tasks"]) if "tasks" in options else None
 
-    def partitions(self) -> list[ShardRange]:
-        ranges = []
+    def partitions(self) -> list[InputPartition]:
+        ranges, sizes = [], []
         shards = listed_shards(self.path)
         big = [(uri, size) for uri, size, _ in shards if size > self.split_bytes and not uri.endswith(".gz")]
         entries = _entries(self.path, big, self.index) if big else {}
         for number, (uri, size, _) in enumerate(shards):
             if (uri, size) in entries:
-                ranges += [ShardRange(uri, number, a, b, a, n) for a, b, n in tarindex.cut(entries[uri, size], self.split_bytes)]
-                continue
-            whole = uri.endswith(".gz") or size <= self.split_bytes or self.index == "none"
-            step = size + 1 if whole else self.split_bytes
-            ranges += [ShardRange(uri, number, at, at + step) for at in range(0, max(size, 1), step)]
+                found = [ShardRange(uri, number, a, b, a, n) for a, b, n in tarindex.cut(entries[uri, size], self.split_bytes)]
+            else:
+                whole = uri.endswith(".gz") or size <= self.split_bytes or self.index == "none"
+                step = size + 1 if whole else self.split_bytes
+                found = [ShardRange(uri, number, at, at + step) for at in range(0, max(size, 1), step)]
+            ranges += found
+            sizes += [min(r.stop, size) - r.start for r in found]
+        if self.tasks and len(ranges) > self.tasks:
+            return grouped(ranges, sizes, self.tasks)
         # An empty listing still needs one (empty) partition.
         return ranges or [ShardRange("", 0, 0, 0)]
 
-    def read(self, partition: ShardRange) -> Iterator[pa.RecordBatch]:
-        if not partition.path:
-            return
-        shard = files.plain(partition.path)
-        yield from _rows(partition, shard, self.mode, self.head)
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        for part in partition.ranges if isinstance(partition, ShardRanges) else [partition]:
+            if part.path:
+                yield from _rows(part, files.plain(part.path), self.mode, self.head)
 
 
 def _entries(path: str, shards: list[tuple[str, int]], index: str | None) -> dict[tuple[str, int], list[tuple[int, int]]]:
@@ -332,9 +360,10 @@ def read_tarshards(
 
     ``head_bytes`` reads only the start of each member; ``sizes`` are the full ones. Plain shards beyond ``split_bytes`` are split at the entries
     of the ``index`` named, of the one beside the corpus or of their manifest; what none of them covers is indexed now, by a job over its headers.
+    Tasks follow the bytes and the session's parallelism, not the number of shards and ranges: small ones are read several by a task.
     """
     register(spark)
-    reader = spark.read.format("tarshards").option("mode", mode).option("splitBytes", split_bytes)
+    reader = spark.read.format("tarshards").option("mode", mode).option("splitBytes", split_bytes).option("tasks", tarindex.spread(spark))
     if head_bytes is not None:
         reader = reader.option("headBytes", head_bytes)
     big = [(uri, size) for uri, size, _ in listed_shards(path) if size > split_bytes and not uri.endswith(".gz")]
