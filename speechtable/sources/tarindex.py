@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tarfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ from speechtable.sources import files
 FOLDER = "_tarindex"
 BLOCK = 512
 _SCAN = 1 << 20
+#: Bytes a reader of headers and small payloads asks its file for at once.
+BUFFER = 8 << 10
 _END = 1 << 62
 ENTRIES = "path string, size bigint, byte bigint, sample bigint"
 _WALKED = ("path string, size bigint, start bigint, stop bigint, first bigint, next bigint, first_key string, last_key string, "
@@ -43,6 +46,73 @@ def escaped(key: str) -> str:
     return folder + slash + base.replace("%", "%25").replace(".", "%2E")
 
 
+@dataclass(slots=True)
+class Member:
+    """A member of a plain tar: its header is at ``offset``, its payload at ``data``."""
+
+    name: str
+    offset: int
+    data: int
+    size: int
+    file: bool = True
+    #: Whether global headers apply.
+    special: bool = False
+
+
+def _plain(head: bytes, at: int) -> Member | None:
+    """The member of a plain header block; None where only ``tarfile`` can tell (links, long names, sparse files, bad or last blocks)."""
+    if len(head) != BLOCK or head[156] not in b"0\0" or head[124] & 0x80:
+        return None
+    try:
+        if int(head[148:156].split(b"\0", 1)[0], 8) != 256 + sum(head) - sum(head[148:156]):
+            return None
+        size = int(head[124:136].split(b"\0", 1)[0], 8)
+    except ValueError:
+        return None
+    name = head[:100].split(b"\0", 1)[0]
+    if head[345]:
+        name = head[345:500].split(b"\0", 1)[0] + b"/" + name
+    if size < 0 or name.endswith(b"/"):
+        return None
+    return Member(name.decode(tarfile.ENCODING, "surrogateescape"), at, at + BLOCK, size)
+
+
+class Window:
+    """A file read some kilobytes at a time, never ahead beyond ``stop``."""
+
+    def __init__(self, source, stop: int):
+        self.source, self.stop, self.start, self.data = source, stop, 0, b""
+
+    def read(self, start: int, n: int, ahead: bool = True) -> bytes:
+        low = start - self.start
+        if low < 0 or low + n > len(self.data):
+            self.source.seek(start)
+            self.data, self.start, low = self.source.read(max(n, min(BUFFER, self.stop - start) if ahead else 0)), start, 0
+        return self.data[low : low + n]
+
+
+def plain_members(window: Window, at: int) -> Iterator[Member]:
+    """Members of a plain tar from the header at ``at``, as ``tarfile`` reads them; what is not a plain header is left to it."""
+    start, size = at, 0
+    while True:
+        # The byte before tells whether the payload that ends here is whole.
+        back = int(at > start)
+        head = window.read(at - back, back + BLOCK, size < BUFFER)
+        if back and not head:
+            raise tarfile.ReadError("unexpected end of data")
+        found = _plain(head[back:], at)
+        if found is None:
+            break
+        yield found
+        size = found.size
+        at = found.data + -(-size // BLOCK) * BLOCK
+    window.source.seek(at)
+    with tarfile.open(fileobj=window.source, mode="r:") as tar:
+        for member in tar:
+            tar.members = []  # the index is not needed and would grow with the shard
+            yield Member(member.name, member.offset, member.offset_data, member.size, member.isfile(), bool(tar.pax_headers))
+
+
 def next_header(source, start: int, stop: int) -> int | None:
     """The first place at or after ``start``, a multiple of 512, whose block is a header by its checksum; None if none is before ``stop``."""
     at = -(-start // BLOCK) * BLOCK
@@ -75,26 +145,23 @@ def walk(path: str, size: int, start: int, stop: int, at: int | None) -> dict:
             if at is None or at >= stop:
                 out["next"] = at
                 return out
-            source.seek(at)
-            with tarfile.open(fileobj=source, mode="r:") as tar:
-                for member in tar:
-                    tar.members = []
-                    if tar.pax_headers:
-                        raise tarfile.ReadError("global headers")
-                    if member.offset >= stop:
-                        out["next"] = member.offset
-                        break
-                    if not member.isfile():
-                        continue
-                    key, suffix = named(member.name)
-                    if not suffix:
-                        continue
-                    if key != out["last_key"]:
-                        out["starts"].append(member.offset)
-                        out["last_key"] = key
-                        out["first_key"] = out["first_key"] if out["first_key"] is not None else key
-                else:
-                    out["next"] = _END
+            for member in plain_members(Window(source, stop), at):
+                if member.special:
+                    raise tarfile.ReadError("global headers")
+                if member.offset >= stop:
+                    out["next"] = member.offset
+                    break
+                if not member.file:
+                    continue
+                key, suffix = named(member.name)
+                if not suffix:
+                    continue
+                if key != out["last_key"]:
+                    out["starts"].append(member.offset)
+                    out["last_key"] = key
+                    out["first_key"] = out["first_key"] if out["first_key"] is not None else key
+            else:
+                out["next"] = _END
     except (tarfile.TarError, OSError, EOFError, ValueError) as error:
         out["error"] = f"{type(error).__name__}: {error}"
     return out

@@ -9,10 +9,11 @@ their attempt, the manifest of the commit (``manifest``) says which of them coun
 
 from __future__ import annotations
 
+import contextlib
 import io
 import tarfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -113,15 +114,16 @@ def _samples(
     """
     system, inner = files.locate(part.path)
     packed = part.path.endswith(".gz")
-    source = system.open_input_stream(inner, compression=None) if packed else system.open_input_file(inner)
-    if part.entry:
-        source.seek(part.entry)
-    with source, tarfile.open(fileobj=source, mode="r|gz" if packed else "r:") as tar:
-        number, key, mine, members, sizes = part.sample - 1, None, False, {}, {}
-        for member in tar:
-            tar.members = []  # the index is not needed and would grow with the shard
-            if not member.isfile():
-                continue
+    number, key, mine, members, sizes = part.sample - 1, None, False, {}, {}
+    with contextlib.ExitStack() as opened:
+        if packed or head is not None:
+            source = opened.enter_context(system.open_input_stream(inner, compression=None) if packed else system.open_input_file(inner))
+            if part.entry:
+                source.seek(part.entry)
+            found = _tar_members(opened.enter_context(tarfile.open(fileobj=source, mode="r|gz" if packed else "r:")), head)
+        else:
+            found = _plain_members(tarindex.Window(opened.enter_context(system.open_input_file(inner)), part.stop), part.entry)
+        for member, payload in found:
             name, suffix = named(member.name)
             if not suffix:
                 continue
@@ -133,19 +135,46 @@ def _samples(
                 number, key, members, sizes = number + 1, name, {}, {}
                 mine = packed or member.offset >= part.start
             if mine and number >= first:
-                wanted = member.size if head is None else min(head, member.size)
-                body = tar.extractfile(member)
-                if head is not None and suffix.rsplit(".", 1)[-1] == "wav":
-                    payload = wave_header(body, member.size)
-                else:
-                    payload = body.read(wanted)
-                    if len(payload) != wanted:
-                        raise tarfile.ReadError(f"member {member.name} is cut short")
-                members[suffix], sizes[suffix] = payload, member.size
+                members[suffix], sizes[suffix] = payload(suffix), member.size
         if mine and key is not None:
             yield number, key, members, sizes
 
 
+def _tar_members(tar: tarfile.TarFile, head: int | None) -> Iterator[tuple[tarfile.TarInfo, Callable[[str], bytes]]]:
+    """Files of an archive, and what reads the payload of each, or its head."""
+    for member in tar:
+        tar.members = []  # the index is not needed and would grow with the shard
+        if not member.isfile():
+            continue
+
+        def payload(suffix: str, member=member) -> bytes:
+            wanted = member.size if head is None else min(head, member.size)
+            body = tar.extractfile(member)
+            if head is not None and suffix.rsplit(".", 1)[-1] == "wav":
+                return wave_header(body, member.size)
+            found = body.read(wanted)
+            if len(found) != wanted:
+                raise tarfile.ReadError(f"member {member.name} is cut short")
+            return found
+
+        yield member, payload
+
+
+def _plain_members(window: tarindex.Window, at: int) -> Iterator[tuple[tarindex.Member, Callable[[str], bytes]]]:
+    """The same for whole payloads of a plain tar."""
+    for member in tarindex.plain_members(window, at):
+        if not member.file:
+            continue
+
+        def payload(suffix: str, member=member) -> bytes:
+            found = window.read(member.data, member.size, member.size < tarindex.BUFFER)
+            if len(found) != member.size:
+                raise tarfile.ReadError("unexpected end of data")
+            return found
+
+        yield member, payload
+
+
 class TarShardReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options.get("path")
@@ -239,6 +268,20 @@ def _payload(value, suffix: str, rate: int | None) -> bytes:
     return str(value).encode("utf-8")
 
 
+#: Header of an empty member without a name.
+_BLANK = tarfile.TarInfo("").tobuf(tarfile.USTAR_FORMAT)
+_BLANK_SUM = int(_BLANK[148:154], 8) - sum(_BLANK[124:135])
+
+
+def _header(name: str, size: int) -> bytes | None:
+    """The header ``tarfile`` would write; None for names and sizes that need more than one block."""
+    if not name.isascii() or not 0 < len(name) <= 100 or "\0" in name or size >= 8**11:
+        return None
+    plain, digits = name.encode(), b"%011o" % size
+    check = b"%06o\0" % (_BLANK_SUM + sum(plain) + sum(digits))
+    return b"".join((plain.ljust(100, b"\0"), _BLANK[100:124], digits, _BLANK[135:148], check, _BLANK[155:]))
+
+
 @dataclass
 class _Open:
     """A shard while it is written."""
@@ -257,10 +300,18 @@ class _Open:
     def add(self, key: str, members: list[tuple[str, bytes]]) -> None:
         if not self.packed and self.count % EVERY == 0 and members:
             self.entries.append((self.tar.offset, self.count))
+        stem = escaped(key)
         for suffix, payload in members:
-            member = tarfile.TarInfo(f"{escaped(key)}.{suffix}")
-            member.size = len(payload)
-            self.tar.addfile(member, io.BytesIO(payload))
+            header = _header(f"{stem}.{suffix}", len(payload))
+            if header is None:
+                member = tarfile.TarInfo(f"{stem}.{suffix}")
+                member.size = len(payload)
+                self.tar.addfile(member, io.BytesIO(payload))
+                self.tar.members = []  # would grow with the shard
+            else:
+                data = b"".join((header, payload, bytes(-len(payload) % tarindex.BLOCK)))
+                self.tar.fileobj.write(data)
+                self.tar.offset += len(data)
         self.count += bool(members)
 
     def close(self) -> manifest.Shard:
@@ -369,7 +420,7 @@ def read_tarshards(
     big = [(uri, size) for uri, size, _ in listed_shards(path) if size > split_bytes and not uri.endswith(".gz")]
     if big:
         known = _entries(path, big, index)
-        fine = [k for k, found in known.items() if len(found) * split_bytes > k[1] / 4]
+        fine = {k for k, found in known.items() if len(found) * split_bytes > k[1] / 4}
         if len(fine) < len(big):
             index = settings.fresh_path(spark, "tarindex")
             rest = spark.createDataFrame([k for k in big if k not in fine], "path string, size bigint")

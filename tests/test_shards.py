@@ -131,6 +131,68 @@ def test_bytes_read_do_not_depend_on_the_place(spark, tmp_path, monkeypatch):
     assert len(read) > 20 and max(read) < 1.2 * min(read)
 
 
+def test_plain_members_equal_tarfile(tmp_path):
+    """Names of all kinds, links, folders, broken ends: the same members, or the same error."""
+    long = "deep/" * 30 + "x" * 120 + ".wav"
+    for form in (tarfile.USTAR_FORMAT, tarfile.GNU_FORMAT, tarfile.PAX_FORMAT):
+        path = tmp_path / f"{form}.tar"
+        with tarfile.open(path, "w", format=form) as tar:
+            for i, name in enumerate(["a.wav", "a.txt", "d/é.wav", "e" * 90 + "/" + "f" * 80 + ".wav", *([long] if form != tarfile.USTAR_FORMAT else []), "z.wav"]):
+                info = tarfile.TarInfo(name)
+                info.size = (0, 1, 511, 512, 513, 200_000)[i]
+                tar.addfile(info, io.BytesIO(bytes([65 + i]) * info.size))
+                if i == 1:
+                    for kind in (tarfile.DIRTYPE, tarfile.SYMTYPE):
+                        other = tarfile.TarInfo("other")
+                        other.type, other.linkname = kind, "a.wav"
+                        tar.addfile(other)
+        whole = path.read_bytes()
+        for size in (len(whole), len(whole) - 200_000, 1024, 1030, 1536, 2048, 700, 100, 0):
+            path.write_bytes(whole[:size])
+            results = []
+            for plain in (True, False):
+                got = []
+                try:
+                    with open(path, "rb") as source:
+                        if plain:
+                            for m in tarindex.plain_members(tarindex.Window(source, 3000), 0):
+                                got.append((m.name, m.offset, m.data, m.size, m.file))
+                        else:
+                            with tarfile.open(fileobj=source, mode="r:") as tar:
+                                for m in tar:
+                                    got.append((m.name, m.offset, m.offset_data, m.size, m.isfile()))
+                except tarfile.TarError as error:
+                    got.append(type(error))
+                results.append(got)
+            assert results[0] == results[1]
+
+
+def test_headers_equal_those_of_tarfile():
+    for name, size in (("a.wav", 0), ("b" * 100, 8**11 - 1), ("d/e.txt", 513)):
+        info = tarfile.TarInfo(name)
+        info.size = size
+        assert tarshards._header(name, size) == info.tobuf(tarfile.PAX_FORMAT)
+    assert tarshards._header("é", 1) is tarshards._header("c" * 101, 1) is tarshards._header("d", 8**11) is None
+
+
+def test_plain_ranges_are_read_some_kilobytes_at_a_time(tmp_path, monkeypatch):
+    path = write(tmp_path / "a.tar", [(f"u{i:05d}.wav", bytes(400)) for i in range(1000)])
+    system, reads = Counting(), []
+    monkeypatch.setattr(tarshards.files, "locate", lambda p: (system, p))
+    opened = system.open_input_file
+
+    def counted(path):
+        source = opened(path)
+        whole = source.read
+        source.read = lambda n=-1: (reads.append(n), whole(n))[1]
+        return source
+
+    system.open_input_file = counted
+    assert len(list(tarshards._samples(tarshards.ShardRange(path, 0, 0, 1 << 62), None))) == 1000
+    assert len(tarindex.walk(path, 0, 0, 1 << 62, 0)["starts"]) == 1000
+    assert len(reads) < 400
+
+
 def test_headers_found_by_checksum_and_set_right_after_a_false_one(tmp_path):
     path = write(tmp_path / "a.tar", [("a.wav", inner_tar(6)), ("b.wav", b"1")])
     with open(path, "rb") as source:
