@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from speechtable import settings
 
 BLOCK = 1 << 16
+#: Ordinals of one row that ``assign_shards`` looks up: every row goes through the shard starts of its block.
+LOOKUP = 1 << 12
 _BLOCK, _GROUP = "_block", "_group"
 
 
@@ -121,12 +123,12 @@ def assign_shards(df: DataFrame, max_count: int | Column, order: str = "ordinal"
     """Output shard number of each row, ``max_count`` consecutive rows per shard, without moving the rows.
 
     Only ordinals are numbered. Each block of ordinals then becomes one small row (its first number
-    and the ordinals at which shards start), and rows look up their block: one row per 65,536
+    and the ordinals at which shards start), and rows look up their block: one row per 4,096
     ordinals and one value per shard, which the adaptive planner broadcasts while it is small.
     """
     if isinstance(max_count, int) and max_count < 1:
         raise ValueError("max_count must be >= 1")
-    block = F.floor(F.col(order) / F.lit(width)).cast("bigint")
+    block = F.floor(F.col(order) / F.lit(min(width, LOOKUP))).cast("bigint")
     narrow = running(df.select(order), order=order, index="_index", width=width).withColumn(_BLOCK, block)
     begins = F.when(F.pmod("_index", F.lit(max_count)) == 0, F.col(order))
     blocks = narrow.groupBy(_BLOCK).agg(F.min("_index").alias("_first"), F.collect_list(begins).alias("_starts"))

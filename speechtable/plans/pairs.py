@@ -90,7 +90,10 @@ def preprocess_to_shards(
 
 
 def training_batches(spark: SparkSession, folder: str, split: str, size: int, seed: int = draws.DEFAULT_SEED) -> DataFrame:
-    """Typed pairs of a split in shuffled batches: ``batch_id`` and ``slot`` per row."""
+    """Typed pairs of a split in shuffled batches: ``batch_id`` and ``slot`` per row.
+
+    Numbering scans keys beside whole rows, and a shard is read whole for any of its columns: rows are read from the shards once, into a table.
+    """
     typed = ingest.typed_members(read_tarshards(spark, f"{folder}/{split}"), RECORD)
     rows = typed.select(*[F.col(f"`{name}`").alias(name.rsplit(".", 1)[0]) for name in RECORD])
-    return assign_batches(shuffle_positions(rows, "key", seed), size, order="position")
+    return assign_batches(shuffle_positions(settings.materialize(rows, "typed"), "key", seed), size, order="position")

@@ -11,6 +11,7 @@ from pyarrow import fs
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from speechtable.plans import pairs
 from speechtable.sources import catalog, manifest, tarindex, tarshards
 
 LONG = "folder/" * 20 + "x" * 120
@@ -131,6 +132,18 @@ def test_bytes_read_do_not_depend_on_the_place(spark, tmp_path, monkeypatch):
     assert len(read) > 20 and max(read) < 1.2 * min(read)
 
 
+def test_training_batches_read_shards_once(spark, tmp_path):
+    cols = ", ".join(f"`{name}` {kind}" for name, kind in pairs.RECORD.items())
+    rows = [(i, f"k{i}", str(i), 24, 8, 6, *([0.5 * i, 1.0],) * 6) for i in range(10)]
+    tarshards.write_tarshards(spark.createDataFrame(rows, f"ordinal long, key string, {cols}"), f"{tmp_path}/train", 4)
+    found = pairs.training_batches(spark, str(tmp_path), "train", 4)
+    # Every plan that numbers them reads the table made of them, not the shards.
+    assert found.inputFiles() and all("typed" in path for path in found.inputFiles())
+    got = found.collect()
+    assert sorted((r["batch_id"], r["slot"]) for r in got) == [(i // 4, i % 4) for i in range(10)]
+    assert {r["key"]: r["noisy_mel"] for r in got} == {str(i): [0.5 * i, 1.0] for i in range(10)}
+
+
 def test_plain_members_equal_tarfile(tmp_path):
     """Names of all kinds, links, folders, broken ends: the same members, or the same error."""
     long = "deep/" * 30 + "x" * 120 + ".wav"
