@@ -1,7 +1,7 @@
 import numpy as np
 
 import corpus_pipeline
-from speechtable.llm import jaccard
+from speechtable.llm import jaccard, simhash
 from tests.llm.brute import WORD
 
 
@@ -61,6 +61,47 @@ def test_tables_equal_all_pairs(spark, sf):
         assert got == brute_kept({r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()})
 
 
+def test_prints_are_simhashes_of_samples():
+    rng = np.random.default_rng(6)
+    for n in (1, 3, 400, 2500):
+        shingles = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+        drawn = jaccard.samples(shingles)
+        assert drawn.shape == (jaccard.PRINTS, jaccard.SAMPLE) and np.isin(drawn, shingles).all()
+        got = jaccard.sample_prints(shingles) ^ jaccard._REGIONS
+        for row, value in zip(drawn.tolist(), got.tolist()):
+            assert value == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in row) > len(row))
+
+
+def test_near_prints_equal_all_pairs():
+    rng = np.random.default_rng(12)
+    prints = [int(x) for x in rng.integers(0, 1 << 63, 200)]
+    for base in prints[:40]:
+        prints += [base ^ int(sum(1 << int(b) for b in rng.choice(64, rng.integers(1, 4), replace=False))) for _ in range(12)]
+    ranks = np.unique(simhash.gray_ranks(np.array(prints, np.uint64)))
+    codes = [int(r) ^ int(r) >> 1 for r in ranks]
+    root, moved = list(range(len(codes))), True
+    near = [(i, j) for i in range(len(codes)) for j in range(i)
+            if codes[i] >> 64 - jaccard.FRONT == codes[j] >> 64 - jaccard.FRONT and (codes[i] ^ codes[j]).bit_count() <= jaccard.RADIUS]
+    while moved:
+        moved = False
+        for i, j in near:
+            if root[i] != root[j]:
+                root[i] = root[j] = min(root[i], root[j])
+                moved = True
+    got = jaccard.near_prints(ranks)
+    assert near and len({*zip(got.tolist(), root)}) == len({*root}) == len({*got.tolist()})
+    assert len(jaccard.near_prints(ranks[:0])) == 0
+
+
+def test_sets_of_near_prints_are_candidates(spark):
+    """Two sets without an equal fingerprint meet where two differ in two bits."""
+    prints = np.random.default_rng(3).integers(0, 1 << 63, (3, jaccard.PRINTS), dtype=np.uint64)
+    prints[1, 7] = prints[0, 7] ^ np.uint64(0b101)
+    rows = [(i, bytearray(simhash.gray_ranks(p).tobytes())) for i, p in enumerate(prints)]
+    found = jaccard._groups(spark.createDataFrame(rows, "cls long, prints binary"), 3).collect()
+    assert sorted(r["cls"] for r in found) == [0, 1] and len({r["bucket"] for r in found}) == 1
+
+
 class Sets:
     def __init__(self, sets):
         self.sets = sets
