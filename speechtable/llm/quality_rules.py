@@ -6,8 +6,9 @@ trusted target (rows whose ids the caller trusts). A bucket's weight is the loga
 so sums do not depend on any order. A document's score is the sum of the weights of its n-grams divided by their number; it is kept if the base
 rules pass and the score reaches the threshold.
 
-Scale: counting explodes n-grams into a partial aggregate of at most ``buckets`` groups per task, scoring needs no shuffle; the
-driver sees ``buckets`` sums, a fixed number. Trusted ids meet the documents in one join by id; the id is the only key.
+Scale: trusted ids meet the documents in one join by id; the id is the only key. One pass over the joined texts explodes n-grams into a partial
+aggregate of at most ``buckets`` groups per task that counts both multinomials; scoring needs no shuffle. The driver sees two
+sums per bucket, a fixed number.
 
 Null or empty texts have no words and fail the base rules. Without trusted documents all weights are zero and the base rules
 decide alone. Repeated ids are rows of their own (a trusted id trusts them all); other columns are ignored.
@@ -39,22 +40,25 @@ def grams(word_col: str, buckets: int) -> Column:
     return F.concat(single, pair)
 
 
-def bucket_counts(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
-    """(bucket, n) over all rows."""
-    split = docs.select(textstats.words(F.col(text_col)).alias("_w"))
-    return split.select(F.explode(grams("_w", buckets)).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+def bucket_counts(docs: DataFrame, text_col: str, buckets: int, flag: str) -> DataFrame:
+    """(bucket, n, n_flagged) over all rows, and over those whose ``flag`` is true."""
+    split = docs.select(textstats.words(F.col(text_col)).alias("_w"), F.col(flag).alias("_flag"))
+    return split.select(F.explode(grams("_w", buckets)).alias("bucket"), "_flag").groupBy("bucket").agg(
+        F.count("*").alias("n"), F.count_if("_flag").alias("n_flagged"))
 
 
 def weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> list[int]:
     """Log-likelihood ratio of each bucket in millionths. ``trusted`` has the trusted ids in ``id_col``."""
     # Trusted ids grow with the corpus: one plan at every size, never a broadcast of them.
-    ids = trusted.select(id_col).where(F.col(id_col).isNotNull()).distinct().hint("merge")
-    target = docs.select(id_col, text_col).join(ids, id_col, "left_semi")
-    both = bucket_counts(docs, text_col, buckets).withColumn("kind", F.lit(0)).unionByName(
-        bucket_counts(target, text_col, buckets).withColumn("kind", F.lit(1)))
+    ids = trusted.select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").distinct().hint("merge")
+    rows = docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text"))
+    # Rows without an id are trusted by nobody; as one key of the join they would meet in one task.
+    known = rows.where("_key IS NOT NULL").join(ids, F.col("_key") == F.col("_id"), "left").select("_text", F.col("_id").isNotNull().alias("_trusted"))
+    rows = known.unionByName(rows.where("_key IS NULL").select("_text", F.lit(False).alias("_trusted")))
     counts = np.zeros((2, buckets))
-    rows = both.toArrow()
-    counts[rows["kind"].to_numpy(), rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+    found = bucket_counts(rows, "_text", buckets, "_trusted").toArrow()
+    for kind, name in enumerate(("n", "n_flagged")):
+        counts[kind, found["bucket"].to_numpy()] = found[name].to_numpy()
     raw, target = counts
     if not target.sum():
         return [0] * buckets
