@@ -9,6 +9,7 @@ system a process copies a shard to its temporary folder when it first needs it a
 from __future__ import annotations
 
 import atexit
+import functools
 import json
 import math
 import os
@@ -56,7 +57,8 @@ class Store:
             local = _local(path) if n else ""
             arrays, at = [], 0
             for kind in ("<u8", *(kind for _, kind in self.columns)):
-                arrays.append(np.memmap(local, np.dtype(kind), "r", at, (n,)) if n else np.zeros(0, kind))
+                # A plain view of the map: NumPy's own class costs some microseconds a call.
+                arrays.append(np.asarray(np.memmap(local, np.dtype(kind), "r", at, (n,))) if n else np.zeros(0, kind))
                 at += n * np.dtype(kind).itemsize
             self._open[number] = arrays[0], dict(zip((name for name, _ in self.columns), arrays[1:]))
         return self._open[number]
@@ -128,42 +130,96 @@ def bits_for(df: DataFrame) -> int:
     return max(3, math.ceil(math.log2(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
 
 
-#: Rows on the way to a shard: Arrow batches of many rows, compressed by column, one per chunk and shard.
+#: Rows on the way to a shard: the columns of many rows compressed together, one value per chunk and shard.
 PACKED = "shard int, rows binary"
-_ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
+_ZSTD = pa.Codec("zstd")
+#: Bytes of unpacked rows in a batch.
+_BATCH = 1 << 29
 
 
 def pack(batch: pa.RecordBatch, bits: int) -> Iterator[pa.RecordBatch]:
-    """Deal a batch out to shards by its first column, unsigned 64-bit keys. Sorted keys travel as differences: a few bytes less each."""
+    """Deal a batch out to shards by its first column, unsigned 64-bit keys. Sorted keys travel as differences: a few bytes less each.
+
+    The other columns are numbers, strings or binary values without nulls. Shards are many and a shard's share of a batch may be small, so it carries
+    its bytes and one short head, not a stream of Arrow's with its schema.
+    """
     keys = batch.column(0).to_numpy().view(np.uint64)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     cuts = np.flatnonzero(np.diff(shards_of(keys, bits), prepend=-1))
-    rows = batch.take(pa.array(order))
+    if not len(cuts):
+        return
+    rows, columns = batch.take(pa.array(order)), []
+    for column in rows.columns[1:]:
+        if pa.types.is_primitive(column.type):
+            columns.append((column.to_numpy(), None))
+        else:
+            column = column.slice(0)
+            _, ends, data = column.buffers()
+            ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1]
+            columns.append((np.frombuffer(data if data is not None else b"", np.uint8), ends))
+    head = json.dumps([[f.name, str(f.type)] for f in rows.schema]).encode()
     parts = []
     for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)]):
-        steps = np.diff(keys[a:b], prepend=np.uint64(0))
-        part = pa.RecordBatch.from_arrays([pa.array(steps), *(c.slice(a, b - a) for c in rows.columns[1:])], rows.schema.names)
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, part.schema, options=_ZSTD) as out:
-            out.write_batch(part)
-        parts.append(sink.getvalue().to_pybytes())
-    if parts:
-        yield pa.RecordBatch.from_arrays([pa.array(shards_of(keys[cuts], bits), pa.int32()), pa.array(parts, pa.binary())], ["shard", "rows"])
+        raw = [len(head).to_bytes(4, "little"), (b - a).to_bytes(8, "little"), head, np.diff(keys[a:b], prepend=np.uint64(0)).tobytes()]
+        for values, ends in columns:
+            raw += [values[a:b].tobytes()] if ends is None else [np.diff(ends[a : b + 1]).tobytes(), values[ends[a] : ends[b]].tobytes()]
+        raw = b"".join(raw)
+        parts.append(len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True))
+    yield pa.RecordBatch.from_arrays([pa.array(shards_of(keys[cuts], bits), pa.int32()), pa.array(parts, pa.binary())], ["shard", "rows"])
 
 
 def unpack(batches: Iterator[pa.RecordBatch]) -> list[pa.RecordBatch]:
-    """The batches ``pack`` made, keys as int64."""
-    out = []
+    """The rows ``pack`` dealt out, keys as int64, in few batches."""
+    out, held, size = [], {}, 0
+
+    def flush() -> None:
+        for head, parts in held.items():
+            names, kinds = zip(*json.loads(head))
+            arrays = []
+            for k, kind in enumerate(kinds):
+                kind = pa.int64() if not k else pa.type_for_alias(kind)
+                values = np.concatenate([p[k][0] for p in parts])
+                if parts[0][k][1] is None:
+                    arrays.append(pa.array(values, kind))
+                else:
+                    ends = np.concatenate(([0], np.cumsum(np.concatenate([p[k][1] for p in parts]))))
+                    arrays.append(pa.Array.from_buffers(kind, len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values)]))
+            out.append(pa.RecordBatch.from_arrays(arrays, list(names)))
+        held.clear()
+
     for batch in batches:
         for blob in batch.column(1):
-            with pa.ipc.open_stream(blob.as_buffer()) as source:
-                for part in source:
-                    keys = np.cumsum(part.column(0).to_numpy(), dtype=np.uint64).view(np.int64)
-                    out.append(pa.RecordBatch.from_arrays([pa.array(keys), *part.columns[1:]], part.schema.names))
+            blob = blob.as_buffer()
+            raw = _ZSTD.decompress(blob.slice(8), decompressed_size=int.from_bytes(blob.slice(0, 8).to_pybytes(), "little"), asbytes=True)
+            at, n = 12 + int.from_bytes(raw[:4], "little"), int.from_bytes(raw[4:12], "little")
+            head = raw[12:at]
+            columns = [(np.cumsum(np.frombuffer(raw, np.uint64, n, at), dtype=np.uint64).view(np.int64), None)]
+            at += 8 * n
+            for kind in _kinds(head)[1:]:
+                if kind is None:
+                    sizes = np.frombuffer(raw, np.int32, n, at)
+                    columns.append((np.frombuffer(raw, np.uint8, int(sizes.sum()), at + 4 * n), sizes))
+                    at += 4 * n + len(columns[-1][0])
+                else:
+                    columns.append((np.frombuffer(raw, kind, n, at), None))
+                    at += kind.itemsize * n
+            held.setdefault(head, []).append(columns)
+            size += len(raw)
+            if size >= _BATCH:
+                flush()
+                size = 0
+    flush()
     return out
 
 
+@functools.cache
+def _kinds(head: bytes) -> list[np.dtype | None]:
+    """NumPy's kinds of the columns, None for values of varying size."""
+    kinds = [pa.type_for_alias(kind) for _, kind in json.loads(head)]
+    return [np.dtype(kind.to_pandas_dtype()) if pa.types.is_primitive(kind) else None for kind in kinds]
+
+
 def place_packed(df: DataFrame, bits: int) -> DataFrame:
     return df.repartitionById(1 << bits, "shard")
 
@@ -204,7 +260,7 @@ def build(df: DataFrame, key: str, columns: dict[str, str], reduce: Reduce | Non
             yield pa.RecordBatch.from_pydict({"shard": pa.array([number], pa.int32()), "path": [path], "n": pa.array([b - a], pa.int64()), "note": [note]})
 
     if packed:
-        rows = place_packed(df, bits)
+        rows = df if placed else place_packed(df, bits)
     else:
         rows = df.select(key, *columns)
         rows = rows if placed else place(rows, key, bits)

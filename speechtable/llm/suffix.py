@@ -137,9 +137,7 @@ def dedup(docs: DataFrame, length: int = 50, gram: int = 16, id_col: str = "doc_
         base = offsets[:-1][np.repeat(np.arange(n), np.diff(rows))]
         spans = pa.ListArray.from_arrays(pa.array(rows.astype(np.int32)), pa.StructArray.from_arrays(
             [pa.array(begin - base), pa.array(end - begin)], ["start", "length"]))
-        sizes = np.add.reduceat(np.append(~gone, False).astype(np.int64), offsets[:-1]) if n else np.zeros(0, np.int64)
-        sizes[np.diff(offsets) == 0] = 0
-        bounds = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        bounds = (offsets - np.concatenate(([0], np.cumsum(end - begin)))[rows]).astype(np.int32)
         kept = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data[~gone]))])
         return pa.RecordBatch.from_arrays([batch.column(0), kept, spans], ["id", "kept", "spans"])
 

@@ -140,9 +140,9 @@ def binary_array(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def distinct(keys: np.ndarray, stable: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(order that sorts the keys, starts of the runs of equal keys in that order, number of the run of each key in order)."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys, kind="stable" if stable else None)
     ranked = keys[order]
     first = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(keys) else np.zeros(0, bool)
     return order, np.flatnonzero(first), np.cumsum(first) - 1

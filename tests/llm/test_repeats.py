@@ -148,3 +148,67 @@ def test_packed_rows_come_back():
     assert packed[0].column(0).to_pylist() == [0, 2, 3]
     back = [(k % (1 << 64), v) for b in store.unpack(packed) for k, v in zip(*(c.to_pylist() for c in b.columns))]
     assert back == [(5, "a"), (5, "e"), (7, "c"), (1 << 63, "b"), ((1 << 64) - 1, "d")]
+
+
+def test_frequent_grams_make_no_candidates(spark):
+    """Phrases that all documents use are no anchors where the words around them differ."""
+    rng = np.random.default_rng(12)
+    phrases = ["as a matter of fact ", "on the other hand we ", "in the first place it "]
+    docs = {i: "".join(phrases[k % 3] + "".join(rng.choice(list("abcdefghij"), 40)) + " " for k in range(20)) for i in range(30)}
+    df = spark.createDataFrame(list(docs.items()), "id long, text string")
+    rule = repeats.Rule("bytes", 50, 16)
+    assert len(repeats.anchor_store(df, rule)) == 0
+    docs[99] = docs[7][100:400]
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert byte_result(suffix.dedup(df)) == byte_brute(docs, 50)
+
+
+def test_runs_cover_every_window_once():
+    """Equal windows have equal anchors, whatever block or row they stand in."""
+    rng = np.random.default_rng(2)
+    parts = [b"x" * 90, b"", b"ab" * 70, bytes(rng.integers(97, 100, 300).astype(np.uint8)), b"short"]
+    parts += [parts[3][20:280], b"cab" + b"ab" * 40, b"-" * 5]
+    data, offsets = np.frombuffer(b"".join(parts), np.uint8), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+    for rule in (repeats.Rule("bytes", 50, 16), repeats.Rule("bytes", 9, 8), repeats.Rule("bytes", 5, 3), repeats.Rule("bytes", 16, 16)):
+        units = repeats.units_of(data, offsets, rule)
+        seen = {}
+        for block in (repeats.BLOCK, 64):
+            with pytest.MonkeyPatch.context() as m:
+                m.setattr(repeats, "BLOCK", block)
+                runs = repeats.runs_of(units, rule)
+            windows = [(int(r), int(s + k), int(a)) for s, n, a, r in zip(runs.start, runs.windows, runs.anchor, runs.row) for k in range(n)]
+            assert sorted(w[:2] for w in windows) == [(r, s) for r, (a, b) in enumerate(zip(offsets, offsets[1:])) for s in range(a, b - rule.length + 1)]
+            for _, s, a in windows:
+                assert seen.setdefault(data[s : s + rule.length].tobytes(), a) == a
+        assert runs.windows.max() <= repeats.MAX_RUN
+
+
+def test_solver_sees_anchors_of_several_first_documents_only(spark):
+    seen = []
+
+    def solver(data, offsets, first, length):
+        seen.append(len(first))
+        return suffix.solver(data, offsets, first, length)
+
+    rng = np.random.default_rng(5)
+    text = "".join(rng.choice(list("abcdefghij "), 400))
+    docs = spark.createDataFrame([(i, text) for i in range(6)], "id long, text string").coalesce(1)
+    rule = repeats.Rule("bytes", 50, 16)
+    found = repeats.solve(docs, rule, repeats.anchor_store(docs, rule), solver)
+    assert len(found) > 0 and not seen
+    # Whole copies are one segment each: later documents repeat it whole.
+    assert all((found.shard(k)[1]["units"] == 0xFFFFFFFF).all() and (found.shard(k)[1]["doc"] == 0).all() for k in found.shards)
+
+
+def test_a_row_a_shard_stays_small():
+    import pyarrow as pa
+
+    from speechtable.llm import store
+
+    keys = np.arange(256, dtype=np.uint64) << np.uint64(56)
+    batch = pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array([b"body"] * 256, pa.binary()), pa.array(np.arange(256, dtype=np.uint32))], ["key", "body", "n"])
+    packed = list(store.pack(batch, 8))
+    assert sum(len(v) for v in packed[0].column(1).to_pylist()) < 160 * 256
+    back = store.unpack(packed)
+    assert len(back) == 1 and back[0].column(1).to_pylist() == [b"body"] * 256 and back[0].column(2).to_pylist() == list(range(256))
+    assert store.unpack(iter([])) == [] and not list(store.pack(batch.slice(0, 0), 8))
