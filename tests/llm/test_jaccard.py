@@ -128,3 +128,43 @@ def test_texts_of_one_id_are_rows_of_their_own(spark):
     got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
     assert len(got) == 4 and {(1, one), (1, two), (None, one)} <= set(got)
     assert [t for i, t in got if i == 4][0] in (three, three + " end")
+
+
+def test_all_prints_within_the_radius_are_candidates(spark):
+    """Wherever the differing bits are, also among the first ones."""
+    rng = np.random.default_rng(9)
+    bits = [(0, 1), (0, 63), (62, 63), (40, 63), (5, 40), (35, 36), (20, 50), (63, 63), (36, 36)]
+    rows, want = [], set()
+    for k, (i, j) in enumerate(bits):
+        prints = rng.integers(0, 1 << 63, (2, jaccard.PRINTS), dtype=np.uint64)
+        prints[1, k] = prints[0, k] ^ np.uint64(1 << i | 1 << j)
+        rows += [(2 * k + n, bytearray(simhash.gray_ranks(p).tobytes())) for n, p in enumerate(prints)]
+        want.add((2 * k, 2 * k + 1))
+    far = rng.integers(0, 1 << 63, (1, jaccard.PRINTS), dtype=np.uint64).repeat(2, axis=0)
+    far[1] ^= np.uint64(1 << 63 | 1 << 30 | 1)
+    rows += [(100 + n, bytearray(simhash.gray_ranks(p).tobytes())) for n, p in enumerate(far)]
+    found = {}
+    for r in jaccard._groups(spark.createDataFrame(rows, "cls long, prints binary"), 3).collect():
+        found.setdefault(r["bucket"], set()).add(r["cls"])
+    assert {tuple(sorted(g)) for g in found.values()} == want
+
+
+def test_orders_bring_near_prints_together():
+    rng = np.random.default_rng(10)
+    one = rng.integers(0, 1 << 63, 64 * 63 // 2, dtype=np.uint64)
+    other = one ^ np.array([1 << i | 1 << j for i in range(64) for j in range(i)], np.uint64)
+    a, b = jaccard.turned(one), jaccard.turned(other)
+    assert (np.bitwise_count(a ^ b) == 2).all() and ((a ^ b) >> np.uint64(64 - jaccard.FRONT) == 0).any(axis=1).all()
+
+
+def test_few_and_many_prints_make_the_same_groups(monkeypatch):
+    rng = np.random.default_rng(14)
+    base = int(rng.integers(0, 1 << 63))
+    prints = [base ^ int(sum(1 << int(b) for b in rng.choice(30, rng.integers(0, 5), replace=False))) for _ in range(150)]
+    ranks = np.unique(simhash.gray_ranks(np.array(prints, np.uint64)))
+    groups = []
+    for few in (1, 64, 1000):
+        monkeypatch.setattr(jaccard, "FEW", few)
+        root = jaccard.near_prints(ranks)
+        groups.append({frozenset(np.flatnonzero(root == r).tolist()) for r in np.unique(root)})
+    assert groups[0] == groups[1] == groups[2] and 1 < len(groups[0]) < len(ranks)
